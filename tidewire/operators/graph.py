@@ -28,9 +28,10 @@ _BITS = 64
 
 def listings(state: DataFrame, *, keys: Sequence[str] = GRAPH) -> DataFrame:
     """One row per listed neighbor: lister, neighbor, cost and the age of the listing (microseconds)."""
+    # The outer form keeps the optimizer from evaluating the array a second time as a filter.
     return state.select(
-        *keys, F.col("node_id").alias("lister"), "age", F.explode("neighbors").alias("__n")
-    ).select(*keys, "lister", "age", F.col("__n.id").alias("listed"), F.col("__n.cost").alias("cost"))
+        *keys, F.col("node_id").alias("lister"), "age", F.explode_outer("neighbors").alias("__n")
+    ).filter(F.col("__n").isNotNull()).select(*keys, "lister", "age", F.col("__n.id").alias("listed"), F.col("__n.cost").alias("cost"))
 
 
 def wireless_edges(
@@ -155,7 +156,7 @@ def depths(state: DataFrame, *, keys: Sequence[str] = GRAPH, max_hops: int = MAX
 def _both_ways(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     forward = F.struct(F.col("a").alias("a"), F.col("b").alias("b"), F.col("cost").alias("cost"))
     back = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("cost").alias("cost"))
-    return edges.select(*keys, F.explode(F.array(forward, back)).alias("e")).select(*keys, "e.*")
+    return edges.select(*keys, F.explode_outer(F.array(forward, back)).alias("e")).select(*keys, "e.*")
 
 
 def _numbered_nodes(directed: DataFrame, keys: Sequence[str]) -> DataFrame:

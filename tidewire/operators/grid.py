@@ -82,7 +82,7 @@ def sliding_window_differences(
     return (
         panes.withColumns({"__lowest": lowest, "__highest": highest})
         .filter(F.col("__lowest") <= F.col("__highest"))
-        .withColumn("__window", F.explode(F.sequence("__lowest", "__highest")))
+        .withColumn("__window", F.explode_outer(F.sequence("__lowest", "__highest")))
         .groupBy(*keys, "__window")
         .agg(
             F.min("first_time").alias("window_start"),
@@ -141,9 +141,9 @@ def stencil_residuals(
     t, s = F.col(value), F.col(order)
     placed = (
         grid.select("x", "y", s.alias("__s"), t.alias("__t"))
-        .withColumn("__tx", F.explode(reach("x", -1, 1)))
-        .withColumn("__ty", F.explode(reach("y", -1, 1)))
-        .withColumn("__ts", F.explode(reach("__s", -1, 0)))
+        .withColumn("__tx", F.explode_outer(reach("x", -1, 1)))
+        .withColumn("__ty", F.explode_outer(reach("y", -1, 1)))
+        .withColumn("__ts", F.explode_outer(reach("__s", -1, 0)))
     )
     box = ["__tx", "__ty", "__ts"]
     placed = placed.repartition(*box)

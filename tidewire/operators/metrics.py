@@ -154,7 +154,7 @@ def series_long(with_means: DataFrame) -> DataFrame:
             for m, mean in RUNNING.items()
         ]
     )
-    return with_means.select("network", "tick", F.explode(points).alias("p")).select("network", "tick", "p.*")
+    return with_means.select("network", "tick", F.explode_outer(points).alias("p")).select("network", "tick", "p.*")
 
 
 def summary(instants: DataFrame) -> DataFrame:
@@ -208,6 +208,56 @@ def degree_means(state: DataFrame) -> DataFrame:
     )
 
 
+def degree_at_messages(
+    reports: DataFrame, *, stale: float, order: str = "offset", width: int | None = None
+) -> DataFrame:
+    """Exact mode: at every message the visible reporting nodes, their mean degree and its since-boot mean.
+
+    Sums over the visible nodes change only when a report arrives or runs out, so they are
+    running sums of these changes: two rows per report instead of one row per message and
+    node.  A node's new report takes the place of its last one if that is still visible; a
+    report that is not replaced in time leaves after ``stale`` seconds.
+    """
+    limit = F.lit(int(round(stale * 1_000_000)))
+    keys = ["network", "node_id"]
+    slim = reports.filter(F.col("node_id") != addresses.ROOT_ID).select(
+        *keys, order, "t", F.col("degree").cast("bigint").alias("degree")
+    )
+    rows = ordered.previous_row(slim, keys=keys, order=order, columns={"t": "__pt", "degree": "__pd"})
+    rows = ordered.next_row(rows, keys=keys, order=order, columns={"t": "__nt"})
+    replaces = F.coalesce(F.col("t") - F.col("__pt") <= limit, F.lit(False))
+    arrivals = rows.select(
+        "network",
+        F.struct("t", F.lit(0).alias("kind"), F.col(order).alias("id")).alias("__at"),
+        F.when(replaces, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("__nodes"),
+        (F.col("degree") - F.when(replaces, F.col("__pd")).otherwise(F.lit(0))).alias("__degrees"),
+    )
+    runs_out = F.coalesce(F.col("__nt") - F.col("t") > limit, F.lit(True))
+    expiries = rows.filter(runs_out).select(
+        "network",
+        F.struct((F.col("t") + limit).alias("t"), F.lit(1).alias("kind"), F.col(order).alias("id")).alias("__at"),
+        F.lit(-1).cast("bigint").alias("__nodes"),
+        (-F.col("degree")).alias("__degrees"),
+    )
+    changes = stage(arrivals.unionByName(expiries), "changes")
+    if width is None:
+        width = ordered.fitted_width(changes, "__at")
+    sums = {"visible": F.col("__nodes"), "degrees": F.col("__degrees")}
+    totals = ordered.running_sums(changes, keys=["network"], order="__at", sums=sums, width=width)
+    messages = totals.filter(F.col("__at.kind") == 0).select(
+        "network",
+        F.col("__at.id").alias(order),
+        "visible",
+        (F.col("degrees") / F.col("visible")).alias("neighbor_avg"),
+    )
+    means = {"__sum": F.col("neighbor_avg"), "__n": F.lit(1).cast("bigint")}
+    return (
+        ordered.running_sums(messages, keys=["network"], order=order, sums=means)
+        .withColumn("neighbor_avg_over_time", F.col("__sum") / F.col("__n"))
+        .drop("__sum", "__n")
+    )
+
+
 def topology_table(nodes: DataFrame, *, include_root: bool = False) -> DataFrame:
     """Node | Parent | Neighbors, from ``graph.node_table`` rows."""
     rows = nodes if include_root else nodes.filter(~F.col("is_root"))

@@ -40,9 +40,27 @@ def with_chunk(df: DataFrame, order: str, width: int = DEFAULT_WIDTH) -> DataFra
     """Add the chunk number; it grows with ``order``, so chunks are ordered like the rows."""
     if width < 1:
         raise ValueError("chunk width must be at least 1")
-    kind = df.schema[order].dataType
-    value = micros(order) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else F.col(order)
-    return df.withColumn(CHUNK, F.floor(value.cast("bigint") / F.lit(width)))
+    return df.withColumn(CHUNK, F.floor(_position(df, order) / F.lit(width)))
+
+
+def _position(df: DataFrame, order: str) -> Column:
+    """The order column as a number; a struct is cut by its first field."""
+    kind, value = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, T.StructType):
+        value, kind = value[kind[0].name], kind[0].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        value = micros(value)
+    return value.cast("bigint")
+
+
+def fitted_width(df: DataFrame, order: str, rows: int = DEFAULT_WIDTH) -> int:
+    """Chunk width that holds ``rows`` rows on average, from one aggregate over the order column.
+
+    For order columns that are not dense counters, such as times.
+    """
+    position = _position(df, order)
+    low, high, count = df.agg(F.min(position), F.max(position), F.count(position)).first()
+    return max(1, (high - low + 1) * rows // max(count, 1)) if count else 1
 
 
 def chunk_window(keys: Sequence[str], order: str, descending: bool = False):

@@ -128,9 +128,10 @@ def state_at_intervals(
     return (
         rows.withColumns({"__first": first, "__last": last})
         .filter(F.col("__first") <= F.col("__last"))
-        .withColumn("tick", F.explode(F.sequence("__first", "__last")) * F.lit(int(every)))
+        .withColumn("__n", F.explode_outer(F.sequence("__first", "__last")))
+        .withColumn("tick", F.col("__n") * F.lit(int(every)))
         .withColumn("age", F.col("tick") * F.lit(1_000_000) - F.col("t"))
-        .drop("__first", "__last", "__next_t")
+        .drop("__first", "__last", "__next_t", "__n")
     )
 
 
@@ -155,7 +156,7 @@ def state_at_ticks(
     spread = (
         rows.withColumn("__until", until)
         .filter(F.col("t") <= F.col("__until"))
-        .withColumn("__bucket", F.explode(F.sequence(F.floor(F.col("t") / size), F.floor(F.col("__until") / size))))
+        .withColumn("__bucket", F.explode_outer(F.sequence(F.floor(F.col("t") / size), F.floor(F.col("__until") / size))))
     )
     at = ticks.select("network", "tick_t").distinct().withColumn("__bucket", F.floor(F.col("tick_t") / size))
     visible = (F.col("tick_t") >= F.col("t")) & (F.col("tick_t") <= F.col("__until"))

@@ -188,7 +188,7 @@ def count_windows(
         positions.join(sizes, "sensor_type")
         .withColumns({"__lowest": lowest, "__highest": highest})
         .filter(F.col("__lowest") <= F.col("__highest"))
-        .withColumn("window_no", F.explode(F.sequence("__lowest", "__highest")))
+        .withColumn("window_no", F.explode_outer(F.sequence("__lowest", "__highest")))
         .groupBy(*keys, "epoch", "window_no", "size")
         .agg(F.count(F.lit(1)).alias("__held"), *columns)
         .filter(F.col("__held") == F.col("size"))

@@ -150,7 +150,9 @@ def link_local_from_lladdr(spark, sf_dir):
 def link_cost(spark, sf_dir):
     decoded = reports.decode(_mesh(spark, sf_dir))
     return rounded(
-        decoded.select("offset", "node_id", F.explode("neighbors").alias("n")).select(
+        decoded.select("offset", "node_id", F.explode_outer("neighbors").alias("n"))
+        .filter(F.col("n").isNotNull())
+        .select(
             "offset", "node_id", F.col("n.id").alias("neighbor"), F.col("n.cost").alias("cost")
         ),
         "cost",
@@ -193,13 +195,20 @@ def state_as_of_tick(spark, sf_dir):
     )
 
 
-def state_as_of_message(spark, sf_dir):
-    """Exact mode at a twentieth of the messages' instants; every report can be visible in it."""
+def state_as_of_instants(spark, sf_dir):
+    """State at instants off the grid: the first message of every hour."""
     history = views.node_reports(views.events(spark, sf_dir))
-    ticks = history.filter(F.col("offset") % 50 == 0).select("network", F.col("t").alias("tick_t"))
+    hour = F.floor(F.col("t") / F.lit(views.HOUR * 1_000_000))
+    ticks = history.groupBy("network", hour.alias("hour")).agg(F.min("t").alias("tick_t"))
     seen = reports.state_at_ticks(history, ticks, bucket=6 * views.HOUR, stale=views.STALE)
-    return seen.groupBy("network", "tick_t").agg(
-        F.count(F.lit(1)).alias("visible"), F.max("age").alias("oldest"), F.sum("degree").alias("degrees")
+    return seen.select("network", "tick_t", "node_id", "offset", "age")
+
+
+def message_degree_means(spark, sf_dir):
+    """Exact mode: visible nodes, their mean degree and its since-boot mean at every message."""
+    history = views.node_reports(views.events(spark, sf_dir))
+    return rounded(
+        metrics.degree_at_messages(history, stale=views.STALE), "neighbor_avg", "neighbor_avg_over_time"
     )
 
 
@@ -366,7 +375,7 @@ BATCH: dict[str, Query] = {
         sensor_parse_quarantine, sensor_range_flags, unknown_sensor_reject, sample_reroute, reset_epochs,
         manual_flush_windows, window_message_format,
         node_id_from_addr, link_local_from_lladdr, link_cost, symmetric_cost, dag_rank, objective_names,
-        latest_report, state_as_of_tick, state_as_of_message, sticky_parent, neighbor_sets, neighbor_table_merge,
+        latest_report, state_as_of_tick, state_as_of_instants, message_degree_means, sticky_parent, neighbor_sets, neighbor_table_merge,
         wireless_edges_any, wireless_edges_mutual, edge_list_undirected, tree_edges, node_depths, root_choice,
         hop_diameter_apl, tree_diameter_apl, weighted_diameter_apl, node_table,
         depth_stats, degree_stats, network_counts, degree_midrange, degree_mean, instant_metrics, running_means,

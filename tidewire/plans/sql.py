@@ -279,12 +279,20 @@ _add("latest_report", _reports(),
 _add("state_as_of_tick", _states(),
      """select 'mesh' as network, tick, node_id, event_id as "offset", parent_id, degree, age,
                node_id = 1 as is_root from st""")
-_add("state_as_of_message", f"""{_reports()},
-msgs as (select distinct t as tick_t from rep where event_id % 50 = 0)""",
-     """select 'mesh' as network, tick_t, count(*) as visible, max(tick_t - t) as oldest, sum(degree) as degrees
-        from kept join deg using (event_id)
-        join msgs on tick_t >= t and (nt is null or tick_t < nt) and tick_t <= t + 172800000000
-        group by tick_t""")
+_add("state_as_of_instants", f"""{_reports()},
+instants as (select min(t) as tick_t from rep group by t // {HOUR * 1_000_000})""",
+     """select 'mesh' as network, tick_t, node_id, event_id as "offset", tick_t - t as age
+        from kept join instants on tick_t >= t and (nt is null or tick_t < nt) and tick_t <= t + 172800000000""")
+_add("message_degree_means", f"""{_reports()},
+msgs as (select event_id as msg, t as tick_t from rep),
+at_msg as (
+  select msg, tick_t, count(*) as visible, sum(degree) as degrees
+  from kept join deg using (event_id)
+  join msgs on tick_t >= t and (nt is null or tick_t < nt) and tick_t <= t + 172800000000
+  group by msg, tick_t)""",
+     """select 'mesh' as network, msg as "offset", visible, round(degrees / visible, 6) as neighbor_avg,
+               round(avg(degrees / visible) over (order by msg rows between unbounded preceding and current row), 6)
+                 as neighbor_avg_over_time from at_msg""")
 _add("sticky_parent", _reports(),
      """select event_id as "offset", node_id, parent_id, (pt is null or t - pt > 172800000000) as session_start from kept""")
 _add("neighbor_sets", _reports(),
