@@ -18,8 +18,8 @@ def consecutive_differences(
     width: int = ordered.DEFAULT_WIDTH,
 ) -> DataFrame:
     """Rows with the previous step's value and the change; a cell's first step is dropped."""
-    shifted = ordered.previous_row(
-        grid, keys=keys, order=order, columns={value: "prev_value", order: "prev_step"}, width=width
+    shifted = ordered.adjacent_rows(
+        grid, keys=keys, order=order, previous={value: "prev_value", order: "prev_step"}, width=width
     )
     return shifted.filter(F.col("prev_value").isNotNull()).withColumn("diff", F.col(value) - F.col("prev_value"))
 

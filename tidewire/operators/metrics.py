@@ -176,11 +176,11 @@ def degree_history(
 ) -> DataFrame:
     """Per node since boot: samples (one per changed sequence number), min, max and midrange degree."""
     keys = ["network", "node_id"]
-    rows = ordered.previous_row(
+    rows = ordered.adjacent_rows(
         reports.select(*keys, order, "seq", F.col("degree").cast("bigint").alias("degree")),
         keys=keys,
         order=order,
-        columns={"seq": "__seq", order: "__first"},
+        previous={"seq": "__seq", order: "__first"},
         width=width,
     )
     counted = rows.filter(F.col("__first").isNull() | ~F.col("seq").eqNullSafe(F.col("__seq")))
@@ -223,8 +223,9 @@ def degree_at_messages(
     slim = reports.filter(F.col("node_id") != addresses.ROOT_ID).select(
         *keys, order, "t", F.col("degree").cast("bigint").alias("degree")
     )
-    rows = ordered.previous_row(slim, keys=keys, order=order, columns={"t": "__pt", "degree": "__pd"})
-    rows = ordered.next_row(rows, keys=keys, order=order, columns={"t": "__nt"})
+    rows = ordered.adjacent_rows(
+        slim, keys=keys, order=order, previous={"t": "__pt", "degree": "__pd"}, following={"t": "__nt"}
+    )
     replaces = F.coalesce(F.col("t") - F.col("__pt") <= limit, F.lit(False))
     arrivals = rows.select(
         "network",

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "__chunk"
-_ROW = "__row"
+_FIRST, _LAST = "__is_first", "__is_last"
 
 # Default cut of an integer order column, in units of that column.
 DEFAULT_WIDTH = 1 << 18
@@ -94,38 +94,38 @@ def before(keys: Sequence[str]):
     return key_window(keys).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _shifted(df, keys, order, columns, width, forward):
-    names = [*df.columns, *columns.values()]
-    w = chunk_window(keys, order, descending=forward)
-    edge = F.min_by if forward else F.max_by
-    rows = with_chunk(df, order, width)
-    rows = carry_over(
-        rows,
-        keys,
-        {f"__edge_{out}": edge(src, order) for src, out in columns.items()},
-        {
-            f"__carry_{out}": (F.lead if forward else F.lag)(f"__edge_{out}").over(key_window(keys))
-            for out in columns.values()
-        },
-    )
-    rows = rows.withColumn(_ROW, F.row_number().over(w))
+def adjacent_rows(
+    df: DataFrame,
+    *,
+    keys,
+    order: str,
+    previous: Mapping[str, str] | None = None,
+    following: Mapping[str, str] | None = None,
+    width: int = DEFAULT_WIDTH,
+) -> DataFrame:
+    """Values of the row before and after, as ``lag(1)`` and ``lead(1)``: ``{source: output}`` each."""
+    previous, following = previous or {}, following or {}
+    names = [*df.columns, *previous.values(), *following.values()]
+    summary = {f"__low_{out}": F.min_by(src, order) for src, out in following.items()}
+    summary.update({f"__high_{out}": F.max_by(src, order) for src, out in previous.items()})
+    chunks = key_window(keys)
+    carries = {f"__carry_{out}": F.lead(f"__low_{out}").over(chunks) for out in following.values()}
+    carries.update({f"__carry_{out}": F.lag(f"__high_{out}").over(chunks) for out in previous.values()})
+    rows = carry_over(with_chunk(df, order, width), keys, summary, carries)
+    w = chunk_window(keys, order)
     rows = rows.withColumns(
         {
-            out: F.when(F.col(_ROW) == 1, F.col(f"__carry_{out}")).otherwise(F.lag(src).over(w))
-            for src, out in columns.items()
+            _FIRST: F.lag(F.lit(True)).over(w).isNull(),
+            _LAST: F.lead(F.lit(True)).over(w).isNull(),
+            **{f"__lag_{out}": F.lag(src).over(w) for src, out in previous.items()},
+            **{f"__lead_{out}": F.lead(src).over(w) for src, out in following.items()},
         }
     )
-    return rows.select(*names)
-
-
-def previous_row(df: DataFrame, *, keys, order: str, columns: Mapping[str, str], width: int = DEFAULT_WIDTH):
-    """Values of the preceding row of the key, as ``lag(1)`` gives them: ``{source: output}``."""
-    return _shifted(df, keys, order, columns, width, forward=False)
-
-
-def next_row(df: DataFrame, *, keys, order: str, columns: Mapping[str, str], width: int = DEFAULT_WIDTH):
-    """Values of the following row of the key, as ``lead(1)`` gives them: ``{source: output}``."""
-    return _shifted(df, keys, order, columns, width, forward=True)
+    return rows.select(
+        *df.columns,
+        *[F.when(F.col(_FIRST), F.col(f"__carry_{o}")).otherwise(F.col(f"__lag_{o}")).alias(o) for o in previous.values()],
+        *[F.when(F.col(_LAST), F.col(f"__carry_{o}")).otherwise(F.col(f"__lead_{o}")).alias(o) for o in following.values()],
+    ).select(*names)
 
 
 def running_sums(
@@ -160,49 +160,3 @@ def running_sums(
 def number_rows(df: DataFrame, *, keys, order: str, out: str, width: int = DEFAULT_WIDTH) -> DataFrame:
     """1-based position of each row inside its key."""
     return running_sums(df, keys=keys, order=order, sums={out: F.lit(1).cast("bigint")}, width=width)
-
-
-def last_known(
-    df: DataFrame, *, keys, order: str, columns: Mapping[str, str], width: int = DEFAULT_WIDTH
-) -> DataFrame:
-    """Most recent non-null value up to and including the row: ``{source: output}``."""
-    names = [*df.columns, *columns.values()]
-    rows = with_chunk(df, order, width)
-    rows = carry_over(
-        rows,
-        keys,
-        {f"__last_{out}": F.max_by(src, F.when(F.col(src).isNotNull(), F.col(order))) for src, out in columns.items()},
-        {f"__carry_{out}": F.last(f"__last_{out}", ignorenulls=True).over(before(keys)) for out in columns.values()},
-    )
-    frame = chunk_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns(
-        {
-            out: F.coalesce(F.last(src, ignorenulls=True).over(frame), F.col(f"__carry_{out}"))
-            for src, out in columns.items()
-        }
-    )
-    return rows.select(*names)
-
-
-def last_value_at(
-    df: DataFrame, *, keys, order: str, columns: Mapping[str, tuple[str, str]], width: int = DEFAULT_WIDTH
-) -> DataFrame:
-    """Value (possibly null) at the most recent marked row: ``{source: (mark, output)}``.
-
-    ``mark`` equals the order column on rows that count and is null elsewhere.
-    """
-    names = [*df.columns, *[out for _, out in columns.values()]]
-    rows = with_chunk(df, order, width)
-    summary, carries = {}, {}
-    for src, (mark, out) in columns.items():
-        summary[f"__last_{out}"] = F.max_by(src, mark)
-        summary[f"__mark_{out}"] = F.max(mark)
-        marked = F.when(F.col(f"__mark_{out}").isNotNull(), F.struct(F.col(f"__last_{out}").alias("v")))
-        carries[f"__carry_{out}"] = F.last(marked, ignorenulls=True).over(before(keys))
-    rows = carry_over(rows, keys, summary, carries)
-    frame = chunk_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    for src, (mark, out) in columns.items():
-        marked = F.when(F.col(mark).isNotNull(), F.struct(F.col(src).alias("v")))
-        here = F.last(marked, ignorenulls=True).over(frame)
-        rows = rows.withColumn(out, F.coalesce(here, F.col(f"__carry_{out}"))["v"])
-    return rows.select(*names)

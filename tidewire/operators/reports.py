@@ -71,7 +71,7 @@ def _micros(seconds: float) -> int:
     return int(round(seconds * 1_000_000))
 
 
-def keep_last(
+def with_history(
     reports: DataFrame,
     *,
     stale: float,
@@ -80,24 +80,57 @@ def keep_last(
     order: str = "offset",
     width: int = ordered.DEFAULT_WIDTH,
 ) -> DataFrame:
-    """Fill missing fields with the node's last value, unless it was silent for over ``stale`` seconds.
+    """Fill missing fields with the node's last value and add what its neighbors in time decide.
 
-    Adds ``session_start``.  A session start stands as an explicit (possibly null) value,
-    so one carry-forward over the whole key gives the per-session result.
+    A node that was silent for over ``stale`` seconds starts a new session and forgets its
+    values.  Adds ``session_start`` and ``next_t``, the time of the node's next report.
+
+    One pass over chunks: inside a chunk a *marker* is a row that settles the field (it
+    holds a value, or starts a session after a gap).  The chunk summary keeps the first and
+    last time and the last marker; whether a chunk's first row starts a session, and which
+    marker holds before it, follow from the summaries of the chunks before.
     """
-    names = reports.columns
-    rows = ordered.previous_row(reports, keys=keys, order=order, columns={"t": "__prev_t"}, width=width)
-    rows = rows.withColumn(
-        "session_start",
-        F.col("__prev_t").isNull() | (F.col("t") - F.col("__prev_t") > F.lit(_micros(stale))),
-    )
-    rows = rows.withColumns(
-        {f"__at_{c}": F.when(F.col("session_start") | F.col(c).isNotNull(), F.col(order)) for c in columns}
-    )
-    rows = ordered.last_value_at(
-        rows, keys=keys, order=order, columns={c: (f"__at_{c}", f"__kept_{c}") for c in columns}, width=width
+    gap = F.lit(_micros(stale))
+    local = ordered.chunk_window(keys, order)
+    rows = ordered.with_chunk(reports, order, width)
+    rows = rows.withColumns({"__lag": F.lag("t").over(local), "__lead": F.lead("t").over(local)})
+    after_gap = F.coalesce(F.col("t") - F.col("__lag") > gap, F.lit(False))
+    marks = {c: F.when(after_gap | F.col(c).isNotNull(), F.col(order)) for c in columns}
+    rows = rows.withColumns({f"__mark_{c}": mark for c, mark in marks.items()})
+
+    chunks, before = ordered.key_window(keys), ordered.before(keys)
+    summary = {"__first_t": F.min_by("t", order), "__last_t": F.max_by("t", order)}
+    carries = {
+        "__prev_t": F.lag("__last_t").over(chunks),
+        "__next_t": F.lead("__first_t").over(chunks),
+        "__starts": F.col("__prev_t").isNull() | (F.col("__first_t") - F.col("__prev_t") > gap),
+    }
+    for c in columns:
+        summary[f"__at_{c}"] = F.max(f"__mark_{c}")
+        summary[f"__value_{c}"] = F.max_by(c, f"__mark_{c}")
+        settled = F.col("__starts") | F.col(f"__at_{c}").isNotNull()
+        carries[f"__end_{c}"] = F.when(settled, F.struct(F.col(f"__value_{c}").alias("v")))
+        carries[f"__carry_{c}"] = F.last(f"__end_{c}", ignorenulls=True).over(before)["v"]
+    rows = ordered.carry_over(rows, keys, summary, carries)
+
+    frame = local.rowsBetween(Window.unboundedPreceding, 0)
+    held = {
+        c: F.last(F.when(F.col(f"__mark_{c}").isNotNull(), F.struct(F.col(c).alias("v"))), ignorenulls=True).over(frame)
+        for c in columns
+    }
+    rows = rows.withColumns({f"__held_{c}": h for c, h in held.items()})
+    is_first = F.col("__lag").isNull()
+    filled = {
+        c: F.when(F.col(f"__held_{c}").isNotNull(), F.col(f"__held_{c}.v"))
+        .when(~F.col("__starts"), F.col(f"__carry_{c}"))
+        .alias(c)
+        for c in columns
+    }
+    return rows.select(
+        *[filled.get(c, F.col(c)) for c in reports.columns],
+        F.when(is_first, F.col("__starts")).otherwise(after_gap).alias("session_start"),
+        F.coalesce("__lead", "__next_t").alias("next_t"),
     )
-    return rows.withColumns({c: F.col(f"__kept_{c}") for c in columns}).select(*names, "session_start")
 
 
 def latest(reports: DataFrame, *, keys: Sequence[str] = NODE, order: str = "offset") -> DataFrame:
@@ -111,27 +144,23 @@ def state_at_intervals(
     *,
     every: int,
     stale: float,
-    keys: Sequence[str] = NODE,
-    order: str = "offset",
-    width: int = ordered.DEFAULT_WIDTH,
 ) -> DataFrame:
     """State rows at every multiple of ``every`` seconds: each node's latest report no older than ``stale``.
 
-    A report is visible from its own time until the node's next one, so its ticks are a
-    plain sequence and no join with a tick table is needed.  ``tick`` is in epoch seconds.
+    Needs ``next_t`` (see ``with_history``).  A report is visible from its own time until the
+    node's next one, so its ticks are a plain sequence and no join with a tick table is needed.  ``tick`` is in epoch seconds.
     """
-    rows = ordered.next_row(reports, keys=keys, order=order, columns={"t": "__next_t"}, width=width)
     step = F.lit(_micros(every))
-    until = F.least(F.col("__next_t") - 1, F.col("t") + F.lit(_micros(stale)))
+    until = F.least(F.col("next_t") - 1, F.col("t") + F.lit(_micros(stale)))
     first = F.floor((F.col("t") + step - 1) / step)
     last = F.floor(until / step)
     return (
-        rows.withColumns({"__first": first, "__last": last})
+        reports.withColumns({"__first": first, "__last": last})
         .filter(F.col("__first") <= F.col("__last"))
         .withColumn("__n", F.explode_outer(F.sequence("__first", "__last")))
         .withColumn("tick", F.col("__n") * F.lit(int(every)))
         .withColumn("age", F.col("tick") * F.lit(1_000_000) - F.col("t"))
-        .drop("__first", "__last", "__next_t", "__n")
+        .drop("__first", "__last", "__n", "next_t")
     )
 
 
@@ -141,20 +170,16 @@ def state_at_ticks(
     *,
     bucket: float,
     stale: float,
-    keys: Sequence[str] = NODE,
-    order: str = "offset",
-    width: int = ordered.DEFAULT_WIDTH,
 ) -> DataFrame:
     """State rows at given instants (``network``, ``tick_t`` in microseconds, e.g. every message).
 
     Visibility intervals are spread over time buckets and equi-joined with the ticks of
     the bucket, so the range condition never meets more than one bucket's rows.
     """
-    rows = ordered.next_row(reports, keys=keys, order=order, columns={"t": "__next_t"}, width=width)
     size = F.lit(_micros(bucket))
-    until = F.least(F.col("__next_t") - 1, F.col("t") + F.lit(_micros(stale)))
+    until = F.least(F.col("next_t") - 1, F.col("t") + F.lit(_micros(stale)))
     spread = (
-        rows.withColumn("__until", until)
+        reports.withColumn("__until", until)
         .filter(F.col("t") <= F.col("__until"))
         .withColumn("__bucket", F.explode_outer(F.sequence(F.floor(F.col("t") / size), F.floor(F.col("__until") / size))))
     )
@@ -164,7 +189,7 @@ def state_at_ticks(
         spread.join(at, ["network", "__bucket"])
         .filter(visible)
         .withColumn("age", F.col("tick_t") - F.col("t"))
-        .drop("__bucket", "__until", "__next_t")
+        .drop("__bucket", "__until", "next_t")
     )
 
 

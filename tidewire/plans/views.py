@@ -135,7 +135,7 @@ def mesh_reports(ev: DataFrame, *, flagged_roots: bool = False) -> DataFrame:
 
 def node_reports(ev: DataFrame, **options) -> DataFrame:
     """Decoded reports with kept parents."""
-    return reports.keep_last(reports.decode(mesh_reports(ev, **options)), stale=STALE)
+    return reports.with_history(reports.decode(mesh_reports(ev, **options)), stale=STALE)
 
 
 def states(ev: DataFrame, *, every: int = DAY, **options) -> DataFrame:
@@ -147,7 +147,7 @@ def states(ev: DataFrame, *, every: int = DAY, **options) -> DataFrame:
 
 def latest_state(ev: DataFrame) -> DataFrame:
     """The newest report of every node, as one state without expiry (``tick`` 0)."""
-    newest = reports.latest(node_reports(ev)).withColumns(
+    newest = reports.latest(node_reports(ev).drop("next_t")).withColumns(
         {"tick": F.lit(0).cast("bigint"), "age": F.lit(0).cast("bigint")}
     )
     return reports.add_synthetic_root(newest)
