@@ -24,16 +24,43 @@ def consecutive_differences(
     return shifted.filter(F.col("prev_value").isNotNull()).withColumn("diff", F.col(value) - F.col("prev_value"))
 
 
-def difference_stats(grid: DataFrame, *, keys: Sequence[str] = CELL, **options) -> DataFrame:
-    """Minimum, maximum and mean consecutive change per cell."""
+def difference_stats(
+    grid: DataFrame, *, keys: Sequence[str] = CELL, order: str = "time_step", value: str = "temperature",
+    width: int = ordered.DEFAULT_WIDTH,
+) -> DataFrame:
+    """Minimum, maximum and mean consecutive change per cell.
+
+    Chunks are reduced where their rows already are; the changes across chunk borders come
+    from the chunk summaries, so rows are shuffled once and never joined back.
+    """
+    local = F.col(value) - F.lag(value).over(ordered.chunk_window(keys, order))
+    chunks = (
+        ordered.with_chunk(grid, order, width)
+        .withColumn("__diff", local)
+        .groupBy(*keys, ordered.CHUNK)
+        .agg(
+            F.min("__diff").alias("__min"),
+            F.max("__diff").alias("__max"),
+            F.sum("__diff").alias("__sum"),
+            F.count("__diff").alias("__n"),
+            F.min_by(value, order).alias("__first"),
+            F.max_by(value, order).alias("__last"),
+        )
+    )
+    border = F.col("__first") - F.lag("__last").over(ordered.key_window(keys))
+    total = F.sum(F.coalesce("__sum", F.lit(0.0)) + F.coalesce("__border", F.lit(0.0)))
+    changes = F.sum(F.col("__n") + F.col("__border").isNotNull().cast("int"))
     return (
-        consecutive_differences(grid, keys=keys, **options)
+        chunks.withColumn("__border", border)
         .groupBy(*keys)
         .agg(
-            F.min("diff").alias("min_temp_diff"),
-            F.max("diff").alias("max_temp_diff"),
-            F.avg("diff").alias("avg_temp_diff"),
+            F.min(F.least("__min", "__border")).alias("min_temp_diff"),
+            F.max(F.greatest("__max", "__border")).alias("max_temp_diff"),
+            total.alias("__total"),
+            changes.alias("__changes"),
         )
+        .filter(F.col("__changes") > 0)
+        .select(*keys, "min_temp_diff", "max_temp_diff", (F.col("__total") / F.col("__changes")).alias("avg_temp_diff"))
     )
 
 

@@ -85,9 +85,9 @@ def instant(
     """One row of network metrics per state.
 
     The diameter and path length are those of the routing tree; ``weighted`` adds the
-    hop and cost metrics of the mutual, fresh wireless graph.
+    hop and cost metrics of the mutual, fresh wireless graph.  The state is read once per
+    metric: pass a staged one when it is costly to compute.
     """
-    state = stage(state, "state")
     on = list(keys)
     chosen = graph.roots(state, keys=keys)
     depths = graph.depths(state, keys=keys)

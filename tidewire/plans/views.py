@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators import ordered, reports
+from tidewire.storage import stage
 
 HOUR = 3600
 DAY = 24 * HOUR
@@ -140,9 +141,9 @@ def node_reports(ev: DataFrame, **options) -> DataFrame:
 
 def states(ev: DataFrame, *, every: int = DAY, **options) -> DataFrame:
     """Network state at fixed ticks, border router included."""
-    return reports.add_synthetic_root(
-        reports.state_at_intervals(node_reports(ev, **options), every=every, stale=STALE)
-    )
+    # The state is read several times by every graph operator, the history behind it only once.
+    visible = reports.state_at_intervals(node_reports(ev, **options), every=every, stale=STALE)
+    return reports.add_synthetic_root(stage(visible, "visible"))
 
 
 def latest_state(ev: DataFrame) -> DataFrame:
