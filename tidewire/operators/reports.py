@@ -223,13 +223,17 @@ def add_synthetic_root(state: DataFrame, *, keys: Sequence[str] = ("network", "t
 
 
 def resets_as_epochs(
-    reports: DataFrame, *, reset: str, order: str = "offset", width: int = ordered.DEFAULT_WIDTH
+    reports: DataFrame, *, reset: Column, order: str = "offset", width: int = ordered.DEFAULT_WIDTH
 ) -> DataFrame:
-    """Full reset by a control row: state operators keyed on ``epoch`` too start empty after it."""
+    """Full reset by control rows: adds ``epoch`` and drops the control rows.
+
+    Operators keyed on ``epoch`` too start empty after a reset.
+    """
+    marked = reports.withColumn("__reset", reset)
     numbered = ordered.running_sums(
-        reports, keys=["network"], order=order, sums={"epoch": F.col(reset).cast("bigint")}, width=width
+        marked, keys=["network"], order=order, sums={"epoch": F.col("__reset").cast("bigint")}, width=width
     )
-    return numbered.filter(~F.col(reset))
+    return numbered.filter(~F.col("__reset")).drop("__reset")
 
 
 def merge_neighbor_tables(

@@ -409,3 +409,45 @@ _add("general_table", _instant(),
 _add("network_summary", _instant(),
      """select network, tick, node_count as nodes, diameter, round(depth_avg, 3) as depth_avg,
                round(neighbor_avg, 3) as neighbor_avg, objective_function as "of", root_id as root from inst""", True)
+
+
+# --- streams give the batch result, up to the ticks and windows the data itself has passed -----------
+for _stream, _batch in (("stream_count_windows", "count_window_avg"), ("stream_flush_windows", "manual_flush_windows")):
+    STATEMENTS[_stream] = STATEMENTS[_batch]
+_add("stream_time_windows", f"""{READINGS},
+placed as (
+  select *, unnest(range((epoch_us(ts) // 1000000 - 360000) // 36000 + 1, epoch_us(ts) // 1000000 // 36000 + 1)) as w
+  from readings)""",
+     """select sensor_type, min(seq) as window_start_step, max(seq) as window_end_step,
+               round(arg_max(value, seq) - arg_min(value, seq), 6) as temp_diff
+        from placed where (w * 36000 + 360000) * 1000 <= (select max(epoch_us(ts)) // 1000 from readings)
+        group by sensor_type, w""")
+_add("stream_network_state", _states(),
+     """select 'mesh' as network, tick, node_id, event_id as "offset", parent_id, degree, age from vis
+        where tick * 1000000 <= (select max(t) from rep)""")
+_add("stream_network_metrics", _instant(),
+     """select network, tick, node_count, undirected_edge_count, tree_edge_count, diameter, round(depth_avg, 6) as depth_avg,
+               round(neighbor_avg, 6) as neighbor_avg, round(avg_path_len, 6) as avg_path_len
+        from inst where tick * 1000000 <= (select max(t) from rep)""", True)
+_add("grid_csv_snapshots", GRID, "select x, y, time_step, time_step as seconds, temperature from grid")
+_add("report_json_source", _reports(),
+     """select event_id, node_id, seq, objective_function, rank, coalesce(n, 0) as listed
+        from rep left join (select event_id, count(*) as n from heard group by event_id) using (event_id)
+        where event_id % 19 <> 0""")
+_add("report_json_quarantine", _reports(),
+     "select count(*) as broken, cast(40 as bigint) as longest from rep where event_id % 19 = 0")
+_add("reset_states", f"""{EV},
+rep as (
+  select event_id, epoch_us(ts) as t, user_id + 2 as node_id, k,
+         case when k % 7 = 0 then null
+              else greatest(1, case when k % 10 = 0 then (user_id + 2) // 2 else (user_id + 2) // 3 end) end as raw_parent,
+         cast(sum(case when event_id % 997 = 996 then 1 else 0 end) over (order by event_id) as bigint) as epoch
+  from ev),
+gaps as (
+  select *, lag(t) over (partition by epoch, node_id order by event_id) as pt from rep where event_id % 997 <> 996),
+sessions as (
+  select *, sum(case when pt is null or t - pt > 172800000000 then 1 else 0 end)
+              over (partition by epoch, node_id order by event_id) as sid from gaps)""",
+     """select event_id as "offset", node_id, epoch, last_value(raw_parent ignore nulls) over (
+                 partition by epoch, node_id, sid order by event_id rows between unbounded preceding and current row) as parent_id,
+               (pt is null or t - pt > 172800000000) as session_start from sessions""")

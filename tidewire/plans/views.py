@@ -72,12 +72,11 @@ def lladdr(node: Column) -> Column:
     return F.repeat(F.lpad(F.lower(F.hex(node)), 4, "0"), 4)
 
 
-def _with_candidates(ev: DataFrame) -> DataFrame:
+def _with_candidates(ev: DataFrame, max_node: Column | None = None) -> DataFrame:
     """Each event as node ``user_id + 2`` with its six candidate neighbors."""
-    node = F.col("user_id") + 2
-    nodes = ev.withColumn("node", node).withColumn(
-        "max_node", ev.select((F.max("user_id") + 2).alias("m")).scalar()
-    )
+    if max_node is None:
+        max_node = ev.select((F.max("user_id") + 2).alias("m")).scalar()
+    nodes = ev.withColumn("node", F.col("user_id") + 2).withColumn("max_node", max_node)
     third = F.expr("node div 3")
     n = F.col("node")
     return nodes.withColumn(
@@ -88,7 +87,7 @@ def _with_candidates(ev: DataFrame) -> DataFrame:
     )
 
 
-def mesh_reports(ev: DataFrame, *, flagged_roots: bool = False) -> DataFrame:
+def mesh_reports(ev: DataFrame, *, flagged_roots: bool = False, max_node: Column | None = None) -> DataFrame:
     """Routing reports of one mesh, in message form (addresses, nested neighbors)."""
     k = F.col("k")
     null_int, null_double = F.lit(None).cast("int"), F.lit(None).cast("double")
@@ -113,7 +112,7 @@ def mesh_reports(ev: DataFrame, *, flagged_roots: bool = False) -> DataFrame:
     if flagged_roots:
         rank = F.when(k < 3, F.lit(128)).otherwise(rank)
     return (
-        _with_candidates(ev)
+        _with_candidates(ev, max_node)
         .withColumn("rank", rank.cast("int"))
         .select(
             F.lit("mesh").alias("network"),

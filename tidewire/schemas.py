@@ -49,6 +49,7 @@ GRID_CSV = T.StructType(
         T.StructField("x", T.IntegerType()),
         T.StructField("y", T.IntegerType()),
         T.StructField("temperature", T.DoubleType()),
+        T.StructField("_corrupt", T.StringType()),
     ]
 )
 
