@@ -84,7 +84,7 @@ class NetworkState(StatefulProcessor):
 
     def _wake(self, tick):
         for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
+            self.handle.deleteTimer(timer)
         if tick is not None:
             self.handle.registerTimer(int(tick // 1000) + 1)
 
