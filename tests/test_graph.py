@@ -1,0 +1,234 @@
+"""Graph operators against searches written out per graph; many random graphs share one run."""
+
+import heapq
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewire.operators import graph, metrics, reports
+
+KEYS = ("network", "tick")
+
+
+def distances(adjacent, source):
+    found, queue = {}, [(0, source)]
+    while queue:
+        d, u = heapq.heappop(queue)
+        if u in found:
+            continue
+        found[u] = d
+        for v, w in adjacent.get(u, {}).items():
+            heapq.heappush(queue, (d + w, v))
+    return found
+
+
+def all_pairs(edges):
+    adjacent = {}
+    for a, b, w in edges:
+        adjacent.setdefault(a, {})[b] = w
+        adjacent.setdefault(b, {})[a] = w
+    found = [d for s in adjacent for t, d in distances(adjacent, s).items() if t != s]
+    return (max(found), sum(found) / len(found)) if found else (0, 0.0)
+
+
+@pytest.fixture(scope="module")
+def graphs():
+    rng = random.Random(2)
+    out = {("path", 0): [(i, i + 1, 1.0 + i) for i in range(1, 4)], ("two", 0): [(1, 2, 1.0), (8, 9, 2.0)]}
+    for number in range(12):
+        nodes = rng.randint(2, 90)
+        links = {tuple(sorted(rng.sample(range(1, nodes + 1), 2))) for _ in range(rng.randint(1, 2 * nodes))}
+        out[("random", number)] = [(a, b, rng.choice([0.5, 1.0, 2.25])) for a, b in links]
+    return out
+
+
+def edge_df(spark, graphs):
+    rows = [(n, t, a, b, w) for (n, t), edges in graphs.items() for a, b, w in edges]
+    return spark.createDataFrame(rows, "network string, tick long, a long, b long, cost double")
+
+
+def test_hop_metrics(spark, graphs):
+    got = {(r.network, r.tick): (r.diameter, r.avg_path_len) for r in graph.hop_metrics(edge_df(spark, graphs)).collect()}
+    assert got[("path", 0)] == (3, pytest.approx(5 / 3))
+    assert got.keys() == graphs.keys()
+    for key, edges in graphs.items():
+        diameter, mean = all_pairs([(a, b, 1) for a, b, _ in edges])
+        assert got[key] == (diameter, pytest.approx(mean))
+
+
+@pytest.mark.parametrize("per_pass", [1 << 14, 40])
+def test_weighted_metrics(spark, graphs, per_pass):
+    rows = graph.weighted_metrics(edge_df(spark, graphs), sources_per_pass=per_pass).collect()
+    got = {(r.network, r.tick): (r.diameter_weighted, r.avg_path_len_weighted) for r in rows}
+    assert got.keys() == graphs.keys()
+    for key, edges in graphs.items():
+        diameter, mean = all_pairs(edges)
+        assert got[key] == (pytest.approx(diameter), pytest.approx(mean))
+
+
+def test_unit_costs_give_hops(spark, graphs):
+    few = {k: v for k, v in graphs.items() if k[0] != "random" or k[1] < 3}
+    edges = edge_df(spark, few).withColumn("cost", F.lit(1.0))
+    hops = {(r.network, r.tick): (r.diameter, r.avg_path_len) for r in graph.hop_metrics(edges).collect()}
+    costs = {(r.network, r.tick): (r.diameter_weighted, r.avg_path_len_weighted) for r in graph.weighted_metrics(edges).collect()}
+    assert hops == costs
+
+
+def test_no_links(spark, graphs):
+    nothing = edge_df(spark, graphs).filter("false")
+    assert graph.hop_metrics(nothing).count() == 0 and graph.weighted_metrics(nothing).count() == 0
+
+
+@pytest.fixture(scope="module")
+def forests():
+    """child -> parent maps: trees, phantom parents, loops, chains, stars."""
+    rng = random.Random(4)
+    out = {
+        ("chain", 0): {i: i - 1 for i in range(2, 40)},
+        ("star", 0): {i: 1 for i in range(2, 60)},
+        ("loop", 0): {2: 3, 3: 4, 4: 2, 5: 4, 6: 1, 7: 6},
+        ("pair", 0): {2: 3, 3: 2, 9: 1},
+        ("phantom", 0): {2: 99, 3: 2, 4: 1},
+    }
+    for number in range(15):
+        nodes = rng.randint(2, 70)
+        out[("random", number)] = {i: rng.randint(1, i - 1) if rng.random() < 0.9 else rng.randint(1, nodes) for i in range(2, nodes + 1)}
+    return out
+
+
+def state_df(spark, forests, extra_root=True):
+    rows = []
+    for (network, tick), parents in forests.items():
+        nodes = {*parents, 1}
+        for node in nodes:
+            rows.append((network, tick, node, parents.get(node), node == 1))
+    return spark.createDataFrame(rows, "network string, tick long, node_id long, parent_id long, is_root boolean")
+
+
+def test_tree_metrics(spark, forests):
+    links = graph.tree_edges(state_df(spark, forests))
+    got = {(r.network, r.tick): (r.diameter, r.avg_path_len) for r in graph.tree_metrics(links).collect()}
+    for key, parents in forests.items():
+        edges = {tuple(sorted((c, p))) for c, p in parents.items() if c != p}
+        diameter, mean = all_pairs([(a, b, 1) for a, b in edges])
+        assert got[key] == (diameter, pytest.approx(mean)), key
+
+
+def depth_model(parents):
+    out = {}
+    for node in {*parents, 1}:
+        at, hops, seen = node, 0, set()
+        while at != 1 and at not in seen and parents.get(at) is not None and parents[at] != at:
+            seen.add(at)
+            at, hops = parents[at], hops + 1
+        if at == 1:
+            out[node] = hops
+    return out
+
+
+def test_depths(spark, forests):
+    got = {}
+    for r in graph.depths(state_df(spark, forests)).collect():
+        got.setdefault((r.network, r.tick), {})[r.node_id] = r.depth
+    assert got == {key: depth_model(parents) for key, parents in forests.items()}
+
+
+def test_depth_cap_and_stats(spark):
+    state = state_df(spark, {("chain", 0): {i: i - 1 for i in range(2, 12)}})
+    capped = graph.depths(state, max_hops=4)
+    assert sorted(r.depth for r in capped.collect()) == [0, 1, 2, 3, 4]
+    chosen = graph.roots(state)
+    row = metrics.depth_stats(capped, chosen).first()
+    assert (row.depth_avg, row.depth_min, row.depth_max) == (2.5, 1, 4)
+    row = metrics.depth_stats(capped, chosen, include_root=True).first()
+    assert (row.depth_avg, row.depth_min) == (2.0, 0)
+    row = metrics.depth_stats(capped.filter("depth = 0"), chosen).first()
+    assert (row.depth_avg, row.depth_min, row.depth_max) == (0.0, None, None)
+
+
+def test_root_choice(spark):
+    rows = [
+        ("flagged", 5, 1, True), ("flagged", 12, 1, True), ("flagged", 1, None, False),
+        ("border", 1, None, False), ("border", 2, None, False),
+        ("orphan", 3, 4, False), ("orphan", 10, None, False), ("orphan", 9, 9, False),
+        ("circle", 4, 3, False), ("circle", 3, 4, False),
+    ]
+    df = spark.createDataFrame([(n, 0, *r) for n, *r in rows], "network string, tick long, node_id long, parent_id long, is_root boolean")
+    assert {r.network: r.root_id for r in graph.roots(df).collect()} == {"flagged": 12, "border": 1, "orphan": 9, "circle": 3}
+
+
+def listing_df(spark, rows):
+    df = spark.createDataFrame(rows, "node_id long, age long, neighbors array<struct<id:bigint,cost:double>>")
+    return df.withColumns({"network": F.lit("n"), "tick": F.lit(0).cast("long")})
+
+
+def test_wireless_edges(spark):
+    second = 1_000_000
+    state = listing_df(
+        spark,
+        [
+            (1, 50 * second, [(2, 3.0)]),                        # the border router, long ago
+            (2, 1 * second, [(1, 1.0), (3, 2.0), (2, 9.0)]),     # lists itself too
+            (3, 2 * second, [(2, 4.0), (4, 5.0), (77, 1.0)]),    # 77 is not in the state
+            (4, 9 * second, [(3, 5.0), (1, 1.5)]),
+        ],
+    )
+
+    def links(**options):
+        return {(r.a, r.b): r.cost for r in graph.wireless_edges(state, **options).collect()}
+
+    assert links(rule="any") == {(1, 2): 2.0, (2, 3): 3.0, (3, 4): 5.0, (1, 4): 1.5, (3, 77): 1.0}
+    # Node 4's report is too old; the router's own age does not matter.
+    assert links(rule="mutual_fresh", fresh=3) == {(1, 2): 2.0, (2, 3): 3.0}
+    assert links(rule="mutual_fresh") == {(1, 2): 2.0, (2, 3): 3.0, (3, 4): 5.0, (1, 4): 1.5}
+    assert {(r.src, r.dst) for r in graph.edge_list(graph.wireless_edges(state, rule="any")).collect()} >= {("3", "77")}
+    with pytest.raises(ValueError):
+        graph.wireless_edges(state, rule="some")
+
+
+def test_edge_list_orders_ends_as_text(spark):
+    edges = spark.createDataFrame([("n", 0, 9, 10, 1.0)], "network string, tick long, a long, b long, cost double")
+    assert tuple(graph.edge_list(edges).first())[2:] == ("10", "9")
+
+
+def test_tables(spark):
+    state = listing_df(spark, [(1, 0, []), (2, 0, [(10, 1.0), (9, 1.0)]), (3, 0, [])]).withColumns(
+        {"parent_id": F.when(F.col("node_id") == 2, F.lit(1).cast("long")), "is_root": F.col("node_id") == 1,
+         "degree": F.size("neighbors"), "rank": F.lit(300), "dag_rank": F.lit(2)})
+    nodes = graph.node_table(state)
+    topology = {r.Node: (r.Parent, r.Neighbors) for r in metrics.topology_table(nodes, include_root=True).collect()}
+    assert topology == {1: ("—", ""), 2: ("1", "9,10"), 3: ("", "")}
+    assert {r.Node for r in metrics.topology_table(nodes).collect()} == {2, 3}
+    history = spark.createDataFrame([("n", 2, 2.506, 1, 4)], "network string, node_id long, avg_neighbors double, min_neighbors long, max_neighbors long")
+    table = {r.Node: tuple(r)[3:] for r in metrics.per_node_table(nodes, history).collect()}
+    assert table == {2: (2.51, 1, 4), 3: (0.0, 0, 0)}
+    current = {r.Node: tuple(r)[3:] for r in metrics.per_node_table(nodes, None).collect()}
+    assert current == {2: (2.0, 2, 2), 3: (0.0, 0, 0)}
+
+
+def test_running_means_and_history(spark):
+    rows = [(n, t, float(t % 5), t % 7, 1.0 * t, 2.0, "OF0" if t % 2 else "MRHOF") for n in ("a", "b") for t in range(0, 6000, 10)]
+    df = spark.createDataFrame(
+        rows, "network string, tick long, depth_avg double, diameter long, neighbor_avg double, avg_path_len double, objective_function string")
+    for width in (25, 1 << 18):
+        means = {(r.network, r.tick): r for r in metrics.running_means(df, width=width).collect()}
+        seen = [r for r in rows if r[0] == "a" and r[1] <= 1230]
+        row = means[("a", 1230)]
+        assert row.samples == len(seen)
+        assert row.diameter_avg == pytest.approx(sum(r[3] for r in seen) / len(seen))
+        assert row.neighbor_avg_over_time == pytest.approx(sum(r[4] for r in seen) / len(seen))
+    recent = metrics.recent_history(df)
+    assert {(r.network, r["count"], r.low) for r in recent.groupBy("network").agg(F.count("*").alias("count"), F.min("tick").alias("low")).collect()} == {("a", 500, 1000), ("b", 500, 1000)}
+    assert "WindowGroupLimit" in recent._jdf.queryExecution().executedPlan().toString()
+    compared = {r.objective_function: r for r in metrics.by_objective(df).collect()}
+    assert compared["MRHOF"].samples == 1200 and "OF0" not in compared
+    assert metrics.series_long(metrics.running_means(df)).count() == 4 * len(rows)
+
+
+def test_degree_history_counts_changes_only(spark):
+    rows = [("n", 2, 0, 5, 3), ("n", 2, 1, 5, 9), ("n", 2, 2, 6, 4), ("n", 2, 3, 0, 1), ("n", 3, 4, None, 2), ("n", 3, 5, None, 7)]
+    df = spark.createDataFrame(rows, "network string, node_id long, offset long, seq long, degree int")
+    for width in (1, 100):
+        got = {r.node_id: tuple(r)[2:] for r in metrics.degree_history(df, width=width).collect()}
+        assert got == {2: (3, 1, 4, 2.5), 3: (1, 2, 2, 2.0)}
