@@ -5,24 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import text
 from tidewire.operators import sensor
-
-
-def model(rows, config):
-    """Row at a time: append, emit and slide, then clear on a reset."""
-    held, epoch, number, out = {}, {}, {}, []
-    for key, _, value, anomaly, command in sorted(rows, key=lambda r: r[1]):
-        size, slide = config[key]
-        held.setdefault(key, [])
-        if not command:
-            held[key].append(value)
-            if len(held[key]) == size:
-                window = held[key]
-                out.append((key, epoch.get(key, 0), number.get(key, 0), sum(window) / size, sum(window), min(window), max(window)))
-                number[key] = number.get(key, 0) + 1
-                held[key] = window[min(slide, size):]
-        if anomaly or command:
-            held[key], number[key], epoch[key] = [], 0, epoch.get(key, 0) + 1
-    return out
+from tests_support import count_window_model
 
 
 CONFIG = {"a": (3, 2), "b": (4, 4), "c": (2, 5), "d": (5, 1), "hot": (10, 3)}
@@ -50,7 +33,7 @@ def test_count_windows_match_model(spark, rows, width):
     positions = sensor.with_window_positions(df, control="is_command", width=width)
     got = sensor.count_windows(positions, config_df(spark), aggregates=list(sensor.AGGREGATES))
     got = {(r.sensor_type, r.epoch, r.window_no, round(r.average, 9), r.sum, r.min, r.max) for r in got.collect()}
-    want = {(*w[:3], round(w[3], 9), *w[4:]) for w in model(rows, CONFIG)}
+    want = {(*w[:3], round(w[3], 9), *w[4:]) for w in count_window_model(rows, CONFIG)}
     assert got == want and len(want) > 100
 
 

@@ -43,11 +43,13 @@ _NAMES = [n for n, _ in _KEPT]
 _SECOND = 1_000_000
 
 
-def _plain(value):
-    """Arrow hands out numpy scalars and NaN; state wants plain values and None."""
+def _plain(value, kind):
+    """State wants plain values; a column with gaps arrives as floats and NaN."""
     if value is None or value != value:
         return None
-    return value.item() if hasattr(value, "item") else value
+    if isinstance(kind, T.LongType):
+        return int(value)
+    return bool(value) if isinstance(kind, T.BooleanType) else value
 
 
 class NetworkState(StatefulProcessor):
@@ -104,13 +106,11 @@ class NetworkState(StatefulProcessor):
                 epoch, tick = epoch + 1, None
                 continue
             node = (int(row["node_id"]),)
-            kept = {name: _plain(row[name]) for name in _NAMES}
+            kept = {name: _plain(row[name], kind) for name, kind in _KEPT}
             if kept["parent_id"] is None and self.nodes.containsKey(node):
                 last = self.nodes.getValue(node)
                 if t - last[1] <= self.stale:
                     kept["parent_id"] = last[3]
-            if kept["parent_id"] is not None:
-                kept["parent_id"] = int(kept["parent_id"])
             self.nodes.updateValue(node, tuple(kept[name] for name in _NAMES))
             if tick is None:
                 tick = self._first_tick(t)
