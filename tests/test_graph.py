@@ -211,8 +211,8 @@ def test_running_means_and_history(spark):
     rows = [(n, t, float(t % 5), t % 7, 1.0 * t, 2.0, "OF0" if t % 2 else "MRHOF") for n in ("a", "b") for t in range(0, 6000, 10)]
     df = spark.createDataFrame(
         rows, "network string, tick long, depth_avg double, diameter long, neighbor_avg double, avg_path_len double, objective_function string")
-    for width in (25, 1 << 18):
-        means = {(r.network, r.tick): r for r in metrics.running_means(df, width=width).collect()}
+    for limit in (25, 1 << 21):
+        means = {(r.network, r.tick): r for r in metrics.running_means(df, limit=limit).collect()}
         seen = [r for r in rows if r[0] == "a" and r[1] <= 1230]
         row = means[("a", 1230)]
         assert row.samples == len(seen)
@@ -229,6 +229,6 @@ def test_running_means_and_history(spark):
 def test_degree_history_counts_changes_only(spark):
     rows = [("n", 2, 0, 5, 3), ("n", 2, 1, 5, 9), ("n", 2, 2, 6, 4), ("n", 2, 3, 0, 1), ("n", 3, 4, None, 2), ("n", 3, 5, None, 7)]
     df = spark.createDataFrame(rows, "network string, node_id long, offset long, seq long, degree int")
-    for width in (1, 100):
-        got = {r.node_id: tuple(r)[2:] for r in metrics.degree_history(df, width=width).collect()}
+    for limit in (1, 100):
+        got = {r.node_id: tuple(r)[2:] for r in metrics.degree_history(df, limit=limit).collect()}
         assert got == {2: (3, 1, 4, 2.5), 3: (1, 2, 2, 2.0)}

@@ -32,9 +32,9 @@ def series(cells):
     return out
 
 
-@pytest.mark.parametrize("width", [4, 1000])
-def test_difference_stats(df, cells, width):
-    got = {(r.x, r.y): r for r in grid.difference_stats(df, width=width).collect()}
+@pytest.mark.parametrize("limit", [4, 1000])
+def test_difference_stats(df, cells, limit):
+    got = {(r.x, r.y): r for r in grid.difference_stats(df, limit=limit).collect()}
     assert (9, 9) not in got
     for cell, values in series(cells).items():
         if len(values) < 2:
@@ -74,7 +74,7 @@ def test_max_window_difference(df):
 
 
 def test_step_changes(df, cells):
-    changes = grid.step_changes(df, width=6)
+    changes = grid.step_changes(df, limit=6)
     got = {r.time_step: r.max_change for r in changes.collect()}
     want = {}
     for values in series(cells).values():
@@ -124,7 +124,11 @@ def test_csv_sink_and_step_layout(spark, df, tmp_path):
     assert "PartitionFilters: [isnotnull(time_step" in plan
 
 
-def test_one_row_exchange_for_difference_stats(df):
-    plan = grid.difference_stats(df)._jdf.queryExecution().executedPlan().toString()
-    # Rows travel once; the second exchange carries one row per chunk.
-    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+def test_rows_travel_once_for_difference_stats(df):
+    def plan(**options):
+        return grid.difference_stats(df, **options)._jdf.queryExecution().executedPlan().toString()
+
+    assert plan().count("Exchange hashpartitioning") == 1 and "Join" not in plan()
+    # With a long cell the second exchange carries one row per chunk; only the small cut list is joined.
+    cut = plan(limit=100)
+    assert cut.count("Exchange hashpartitioning") == 2 and cut.count("Join") == 1 and "BroadcastHashJoin" in cut

@@ -26,11 +26,11 @@ def by_key(rows):
     return groups
 
 
-@pytest.mark.parametrize("width", [1, 7, 50, 10_000])
-def test_adjacent_rows(spark, rows, width):
+@pytest.mark.parametrize("limit", [1, 7, 50, 10_000])
+def test_adjacent_rows(spark, rows, limit):
     df = spark.createDataFrame(rows, "k int, o long, v double")
     got = ordered.adjacent_rows(
-        df, keys=["k"], order="o", previous={"v": "pv", "o": "po"}, following={"v": "nv"}, width=width
+        df, keys=["k"], order="o", previous={"v": "pv", "o": "po"}, following={"v": "nv"}, limit=limit
     ).collect()
     want = set()
     for group in by_key(rows).values():
@@ -41,20 +41,20 @@ def test_adjacent_rows(spark, rows, width):
     assert {tuple(r) for r in got} == want and len(got) == len(rows)
 
 
-@pytest.mark.parametrize("width", [1, 7, 10_000])
-def test_running_sums_and_numbers(spark, rows, width):
+@pytest.mark.parametrize("limit", [1, 7, 10_000])
+def test_running_sums_and_numbers(spark, rows, limit):
     df = spark.createDataFrame(rows, "k int, o long, v double")
     summed = ordered.running_sums(
-        df, keys=["k"], order="o", sums={"s": F.coalesce("v", F.lit(0.0))}, width=width
+        df, keys=["k"], order="o", sums={"s": F.coalesce("v", F.lit(0.0))}, limit=limit
     )
     got = ordered.number_rows(
         ordered.running_sums(
-            summed, keys=["k"], order="o", sums={"e": F.lit(1)}, width=width, include_current=False
+            summed, keys=["k"], order="o", sums={"e": F.lit(1)}, limit=limit, include_current=False
         ),
         keys=["k"],
         order="o",
         out="n",
-        width=width,
+        limit=limit,
     ).collect()
     want = set()
     for group in by_key(rows).values():
@@ -65,16 +65,26 @@ def test_running_sums_and_numbers(spark, rows, width):
     assert {tuple(r) for r in got} == want
 
 
-def test_struct_order_and_fitted_width(spark, rows):
+def test_struct_order(spark, rows):
     df = spark.createDataFrame(rows, "k int, o long, v double").withColumn("at", F.struct("o", F.lit(0).alias("x")))
-    width = ordered.fitted_width(df, "at", rows=40)
-    assert 60 <= width <= 200
-    got = ordered.number_rows(df, keys=["k"], order="at", out="n", width=width).select("k", "o", "n").collect()
+    got = ordered.number_rows(df, keys=["k"], order="at", out="n", limit=30).select("k", "o", "n").collect()
     want = {(k, o, i + 1) for g in by_key(rows).values() for i, (k, o, _) in enumerate(g)}
     assert {tuple(r) for r in got} == want
 
 
-def test_width_must_be_positive(spark, rows):
+def test_only_long_keys_are_cut(spark, rows):
+    df = spark.createDataFrame(rows, "k int, o long, v double")
+    cut = ordered.chunked(df, ["k"], "o", limit=100)
+    sizes = {(r.k, r[ordered.CHUNK]): r["count"] for r in cut.rows.groupBy("k", ordered.CHUNK).count().collect()}
+    assert cut.is_cut and max(sizes.values()) <= 100
+    assert {k for k, chunk in sizes if chunk > 0} == {0}
+    whole = ordered.chunked(df, ["k"], "o")
+    assert not whole.is_cut
+    plan = ordered.adjacent_rows(df, keys=["k"], order="o", previous={"v": "pv"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_limit_must_be_positive(spark, rows):
     df = spark.createDataFrame(rows, "k int, o long, v double")
     with pytest.raises(ValueError):
-        ordered.with_chunk(df, "o", 0)
+        ordered.chunked(df, ["k"], "o", 0)

@@ -130,9 +130,9 @@ def timeline_df(spark, rows):
     return df.withColumns({"network": F.lit("n"), "degree": (F.col("offset") % 4).cast("int"), "is_root": F.lit(False)})
 
 
-@pytest.mark.parametrize("width", [1, 16, 100_000])
-def test_history_matches_model(spark, timeline, width):
-    got = reports.with_history(timeline_df(spark, timeline), stale=60, width=width).collect()
+@pytest.mark.parametrize("limit", [1, 16, 100_000])
+def test_history_matches_model(spark, timeline, limit):
+    got = reports.with_history(timeline_df(spark, timeline), stale=60, limit=limit).collect()
     want = history_model(timeline, 60_000_000)
     assert {r.offset: (r.node_id, r.session_start, r.parent_id, r.next_t) for r in got} == want
 
@@ -165,9 +165,9 @@ def test_visibility_ends_exactly_at_stale(spark):
     assert got == {(60_000_000, 2), (60_000_000, 3), (60_001_000, 3), (60_001_000, 4)}
 
 
-@pytest.mark.parametrize("width", [1_000_000, 10_000_000_000])
-def test_degree_at_messages(spark, timeline, width):
-    got = {r.offset: r for r in metrics.degree_at_messages(timeline_df(spark, timeline), stale=60, width=width).collect()}
+@pytest.mark.parametrize("limit", [20, 1 << 21])
+def test_degree_at_messages(spark, timeline, limit):
+    got = {r.offset: r for r in metrics.degree_at_messages(timeline_df(spark, timeline), stale=60, limit=limit).collect()}
     seen = {}
     total = count = 0
     for offset, node, t, _ in sorted(timeline):
@@ -185,8 +185,8 @@ def test_degree_at_messages(spark, timeline, width):
 
 def test_reset_starts_empty(spark):
     rows = [(0, 2, 0, 7), (1, 0, 1, None), (2, 2, 2, None), (3, 2, 3, 8), (4, 2, 4, None)]
-    cleared = reports.resets_as_epochs(timeline_df(spark, rows), reset=F.col("node_id") == 0, width=2)
-    history = reports.with_history(cleared, stale=60, keys=["network", "epoch", "node_id"], width=2)
+    cleared = reports.resets_as_epochs(timeline_df(spark, rows), reset=F.col("node_id") == 0, limit=2)
+    history = reports.with_history(cleared, stale=60, keys=["network", "epoch", "node_id"], limit=2)
     assert {(r.offset, r.epoch, r.parent_id) for r in history.collect()} == {(0, 0, 7), (2, 1, None), (3, 1, 8), (4, 1, 8)}
 
 

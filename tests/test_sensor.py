@@ -27,10 +27,10 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("width", [1, 13, 200, 1 << 18])
-def test_count_windows_match_model(spark, rows, width):
+@pytest.mark.parametrize("limit", [1, 13, 200, 1 << 21])
+def test_count_windows_match_model(spark, rows, limit):
     df = spark.createDataFrame(rows, "sensor_type string, seq long, value double, is_anomaly boolean, is_command boolean")
-    positions = sensor.with_window_positions(df, control="is_command", width=width)
+    positions = sensor.with_window_positions(df, control="is_command", limit=limit)
     got = sensor.count_windows(positions, config_df(spark), aggregates=list(sensor.AGGREGATES))
     got = {(r.sensor_type, r.epoch, r.window_no, round(r.average, 9), r.sum, r.min, r.max) for r in got.collect()}
     want = {(*w[:3], round(w[3], 9), *w[4:]) for w in count_window_model(rows, CONFIG)}

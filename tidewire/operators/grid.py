@@ -15,28 +15,29 @@ CELL = ("x", "y")
 
 def consecutive_differences(
     grid: DataFrame, *, keys: Sequence[str] = CELL, order: str = "time_step", value: str = "temperature",
-    width: int = ordered.DEFAULT_WIDTH,
+    limit: int = ordered.ROW_LIMIT,
 ) -> DataFrame:
     """Rows with the previous step's value and the change; a cell's first step is dropped."""
     shifted = ordered.adjacent_rows(
-        grid, keys=keys, order=order, previous={value: "prev_value", order: "prev_step"}, width=width
+        grid, keys=keys, order=order, previous={value: "prev_value", order: "prev_step"}, limit=limit
     )
     return shifted.filter(F.col("prev_value").isNotNull()).withColumn("diff", F.col(value) - F.col("prev_value"))
 
 
 def difference_stats(
     grid: DataFrame, *, keys: Sequence[str] = CELL, order: str = "time_step", value: str = "temperature",
-    width: int = ordered.DEFAULT_WIDTH,
+    limit: int = ordered.ROW_LIMIT,
 ) -> DataFrame:
     """Minimum, maximum and mean consecutive change per cell.
 
-    Chunks are reduced where their rows already are; the changes across chunk borders come
-    from the chunk summaries, so rows are shuffled once and never joined back.
+    Chunks (whole cells, unless a cell is too long for one task) are reduced where their
+    rows already are; the changes across chunk borders come from the chunk summaries, so
+    rows are shuffled once and never joined back.
     """
     local = F.col(value) - F.lag(value).over(ordered.chunk_window(keys, order))
     chunks = (
-        ordered.with_chunk(grid, order, width)
-        .withColumn("__diff", local)
+        ordered.chunked(grid, keys, order, limit)
+        .rows.withColumn("__diff", local)
         .groupBy(*keys, ordered.CHUNK)
         .agg(
             F.min("__diff").alias("__min"),

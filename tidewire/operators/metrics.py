@@ -117,12 +117,12 @@ def instant(
 
 
 def running_means(
-    instants: DataFrame, *, key: str = "network", order: str = "tick", width: int = ordered.DEFAULT_WIDTH
+    instants: DataFrame, *, key: str = "network", order: str = "tick", limit: int = ordered.ROW_LIMIT
 ) -> DataFrame:
     """Since-boot means of the headline metrics up to each tick, with the number of samples."""
     sums = {f"__sum_{m}": F.col(m).cast("double") for m in RUNNING}
     sums["samples"] = F.lit(1).cast("bigint")
-    rows = ordered.running_sums(instants, keys=[key], order=order, sums=sums, width=width)
+    rows = ordered.running_sums(instants, keys=[key], order=order, sums=sums, limit=limit)
     return rows.withColumns({out: F.col(f"__sum_{m}") / F.col("samples") for m, out in RUNNING.items()}).drop(
         *[f"__sum_{m}" for m in RUNNING]
     )
@@ -172,7 +172,7 @@ def summary(instants: DataFrame) -> DataFrame:
 
 
 def degree_history(
-    reports: DataFrame, *, order: str = "offset", width: int = ordered.DEFAULT_WIDTH
+    reports: DataFrame, *, order: str = "offset", limit: int = ordered.ROW_LIMIT
 ) -> DataFrame:
     """Per node since boot: samples (one per changed sequence number), min, max and midrange degree."""
     keys = ["network", "node_id"]
@@ -181,7 +181,7 @@ def degree_history(
         keys=keys,
         order=order,
         previous={"seq": "__seq", order: "__first"},
-        width=width,
+        limit=limit,
     )
     counted = rows.filter(F.col("__first").isNull() | ~F.col("seq").eqNullSafe(F.col("__seq")))
     return counted.groupBy(*keys).agg(
@@ -209,7 +209,7 @@ def degree_means(state: DataFrame) -> DataFrame:
 
 
 def degree_at_messages(
-    reports: DataFrame, *, stale: float, order: str = "offset", width: int | None = None
+    reports: DataFrame, *, stale: float, order: str = "offset", limit: int = ordered.ROW_LIMIT
 ) -> DataFrame:
     """Exact mode: at every message the visible reporting nodes, their mean degree and its since-boot mean.
 
@@ -218,33 +218,36 @@ def degree_at_messages(
     node.  A node's new report takes the place of its last one if that is still visible; a
     report that is not replaced in time leaves after ``stale`` seconds.
     """
-    limit = F.lit(int(round(stale * 1_000_000)))
+    stays = F.lit(int(round(stale * 1_000_000)))
     keys = ["network", "node_id"]
     slim = reports.filter(F.col("node_id") != addresses.ROOT_ID).select(
         *keys, order, "t", F.col("degree").cast("bigint").alias("degree")
     )
     rows = ordered.adjacent_rows(
-        slim, keys=keys, order=order, previous={"t": "__pt", "degree": "__pd"}, following={"t": "__nt"}
+        slim,
+        keys=keys,
+        order=order,
+        previous={"t": "__pt", "degree": "__pd"},
+        following={"t": "__nt"},
+        limit=limit,
     )
-    replaces = F.coalesce(F.col("t") - F.col("__pt") <= limit, F.lit(False))
+    replaces = F.coalesce(F.col("t") - F.col("__pt") <= stays, F.lit(False))
     arrivals = rows.select(
         "network",
         F.struct("t", F.lit(0).alias("kind"), F.col(order).alias("id")).alias("__at"),
         F.when(replaces, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("__nodes"),
         (F.col("degree") - F.when(replaces, F.col("__pd")).otherwise(F.lit(0))).alias("__degrees"),
     )
-    runs_out = F.coalesce(F.col("__nt") - F.col("t") > limit, F.lit(True))
+    runs_out = F.coalesce(F.col("__nt") - F.col("t") > stays, F.lit(True))
     expiries = rows.filter(runs_out).select(
         "network",
-        F.struct((F.col("t") + limit).alias("t"), F.lit(1).alias("kind"), F.col(order).alias("id")).alias("__at"),
+        F.struct((F.col("t") + stays).alias("t"), F.lit(1).alias("kind"), F.col(order).alias("id")).alias("__at"),
         F.lit(-1).cast("bigint").alias("__nodes"),
         (-F.col("degree")).alias("__degrees"),
     )
     changes = stage(arrivals.unionByName(expiries), "changes")
-    if width is None:
-        width = ordered.fitted_width(changes, "__at")
     sums = {"visible": F.col("__nodes"), "degrees": F.col("__degrees")}
-    totals = ordered.running_sums(changes, keys=["network"], order="__at", sums=sums, width=width)
+    totals = ordered.running_sums(changes, keys=["network"], order="__at", sums=sums, limit=limit)
     messages = totals.filter(F.col("__at.kind") == 0).select(
         "network",
         F.col("__at.id").alias(order),
@@ -253,7 +256,7 @@ def degree_at_messages(
     )
     means = {"__sum": F.col("neighbor_avg"), "__n": F.lit(1).cast("bigint")}
     return (
-        ordered.running_sums(messages, keys=["network"], order=order, sums=means)
+        ordered.running_sums(messages, keys=["network"], order=order, sums=means, limit=limit)
         .withColumn("neighbor_avg_over_time", F.col("__sum") / F.col("__n"))
         .drop("__sum", "__n")
     )

@@ -1,18 +1,17 @@
-"""Ordered row computations that split long keys into bounded chunks.
+"""Ordered row computations that cut long keys into bounded chunks.
 
-A window over ``partitionBy(key)`` sends every row of a key to one task, which breaks
-when one key holds a large share of the data.  The functions here cut each key into
-chunks along its order column, run the window inside ``(key, chunk)``, and repair the
-chunk borders with a carry computed from one summary row per chunk:
+A window over ``partitionBy(key)`` sends every row of a key to one task.  That is right
+while keys are small and breaks when one key holds a large share of the data.  Each
+operator here first looks at the key sizes (one aggregate over the key columns):
 
-* the rows are shuffled once, on ``(key, chunk)``;
-* the summary is built by a partially aggregated ``groupBy`` and holds ``rows / chunk``
-  entries, so the only window over a whole key runs on that small table;
-* the carry joins back on ``(key, chunk)``, the partitioning the rows already have.
+* no key above ``limit`` rows: the plain window, one shuffle, nothing else;
+* otherwise the long keys are cut into chunks along the order column.  The rows are
+  shuffled once, on ``(key, chunk)``, the window runs inside a chunk, and the chunk
+  borders are repaired by a carry computed from one summary row per chunk.  Only that
+  small table is ever windowed over a whole key, and the carry joins back on the
+  partitioning the rows already have.
 
-The order column must be unique inside a key.  With an integer order column a chunk can
-never hold more than ``width`` rows, however skewed the keys are.  Timestamps are cut by
-microseconds.  Key columns must not be null.
+The order column must be unique inside a key; key columns must not be null.
 """
 
 from __future__ import annotations
@@ -23,11 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewire.storage import stage
+
 CHUNK = "__chunk"
 _FIRST, _LAST = "__is_first", "__is_last"
 
-# Default cut of an integer order column, in units of that column.
-DEFAULT_WIDTH = 1 << 18
+# Rows a key may bring to one task.
+ROW_LIMIT = 1 << 21
 
 
 def micros(column: Column | str) -> Column:
@@ -36,13 +37,6 @@ def micros(column: Column | str) -> Column:
     return F.unix_micros(column.cast("timestamp"))
 
 
-def with_chunk(df: DataFrame, order: str, width: int = DEFAULT_WIDTH) -> DataFrame:
-    """Add the chunk number; it grows with ``order``, so chunks are ordered like the rows."""
-    if width < 1:
-        raise ValueError("chunk width must be at least 1")
-    return df.withColumn(CHUNK, F.floor(_position(df, order) / F.lit(width)))
-
-
 def _position(df: DataFrame, order: str) -> Column:
     """The order column as a number; a struct is cut by its first field."""
     kind, value = df.schema[order].dataType, F.col(order)
@@ -53,36 +47,65 @@ def _position(df: DataFrame, order: str) -> Column:
     return value.cast("bigint")
 
 
-def fitted_width(df: DataFrame, order: str, rows: int = DEFAULT_WIDTH) -> int:
-    """Chunk width that holds ``rows`` rows on average, from one aggregate over the order column.
-
-    For order columns that are not dense counters, such as times.
+class Chunked:
+    """Rows with their chunk number, and whether any key had to be cut."""
+
+    def __init__(self, rows: DataFrame, keys: Sequence[str], is_cut: bool):
+        self.rows, self.keys, self.is_cut = rows, list(keys), is_cut
+
+    def with_columns(self, columns: Mapping[str, Column]) -> Chunked:
+        return Chunked(self.rows.withColumns(dict(columns)), self.keys, self.is_cut)
+
+    def carry(
+        self,
+        summary: Mapping[str, Column],
+        carries: Mapping[str, Column],
+        alone: Mapping[str, Column],
+    ) -> DataFrame:
+        """Rows with the ``carries`` of their chunk.
+
+        ``summary`` are aggregates per (key, chunk); ``carries`` are expressions over the
+        summary rows of a key (use ``key_window`` or ``before``) and may build on each
+        other.  ``alone`` gives the values in force without an earlier or later chunk; its
+        names are the columns that are joined.
+        """
+        if not self.is_cut:
+            return self.rows.withColumns(dict(alone))
+        on = [*self.keys, CHUNK]
+        carried = self.rows.groupBy(*on).agg(*[c.alias(n) for n, c in summary.items()])
+        for name, column in carries.items():
+            carried = carried.withColumn(name, column)
+        return self.rows.join(carried.select(*on, *alone), on, "left")
+
+
+def chunked(df: DataFrame, keys: Sequence[str], order: str, limit: int = ROW_LIMIT) -> Chunked:
+    """Cut keys with more than ``limit`` rows; chunks are ordered like the rows.
+
+    The chunk width is fitted per key, to a quarter of ``limit`` rows on average, so an
+    uneven stretch of a key still fits a task.  The table of cut keys has at most
+    rows / limit entries; it is staged, so Spark sees its size and broadcasts it only
+    while it is small.
     """
+    if limit < 1:
+        raise ValueError("a key must be allowed at least 1 row")
     position = _position(df, order)
-    low, high, count = df.agg(F.min(position), F.max(position), F.count(position)).first()
-    return max(1, (high - low + 1) * rows // max(count, 1)) if count else 1
-
-
-def chunk_window(keys: Sequence[str], order: str, descending: bool = False):
-    column = F.col(order).desc() if descending else F.col(order).asc()
-    return Window.partitionBy(*keys, CHUNK).orderBy(column)
-
+    sizes = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__n"), F.min(position).alias("__low"), F.max(position).alias("__high"))
+        .filter(F.col("__n") > limit)
+    )
+    if sizes.isEmpty():
+        return Chunked(df.withColumn(CHUNK, F.lit(0).cast("bigint")), keys, False)
+    span = (F.col("__high") - F.col("__low") + 1).cast("double")
+    width = F.greatest(F.lit(1), F.floor(span * F.lit(max(1, limit // 4)) / F.col("__n")))
+    cuts = stage(sizes.select(*keys, "__low", width.alias("__width")), "cuts")
+    number = F.floor((position - F.col("__low")) / F.col("__width"))
+    rows = df.join(cuts, list(keys), "left").withColumn(CHUNK, F.coalesce(number, F.lit(0)))
+    return Chunked(rows.drop("__low", "__width"), keys, True)
 
-def carry_over(
-    df: DataFrame,
-    keys: Sequence[str],
-    summary: Mapping[str, Column],
-    carries: Mapping[str, Column],
-) -> DataFrame:
-    """Join to each row the ``carries`` of its chunk.
 
-    ``summary`` are aggregates per (key, chunk); ``carries`` are expressions over the
-    summary rows of a key (use ``key_window`` or ``before``) and may build on each other.
-    """
-    carried = df.groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in summary.items()])
-    for name, column in carries.items():
-        carried = carried.withColumn(name, column)
-    return df.join(carried.select(*keys, CHUNK, *carries), [*keys, CHUNK], "left")
+def chunk_window(keys: Sequence[str], order: str):
+    return Window.partitionBy(*keys, CHUNK).orderBy(order)
 
 
 def key_window(keys: Sequence[str]):
@@ -94,6 +117,10 @@ def before(keys: Sequence[str]):
     return key_window(keys).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def nothing(kind) -> Column:
+    return F.lit(None).cast(kind)
+
+
 def adjacent_rows(
     df: DataFrame,
     *,
@@ -101,31 +128,35 @@ def adjacent_rows(
     order: str,
     previous: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
-    width: int = DEFAULT_WIDTH,
+    limit: int = ROW_LIMIT,
 ) -> DataFrame:
     """Values of the row before and after, as ``lag(1)`` and ``lead(1)``: ``{source: output}`` each."""
     previous, following = previous or {}, following or {}
-    names = [*df.columns, *previous.values(), *following.values()]
-    summary = {f"__low_{out}": F.min_by(src, order) for src, out in following.items()}
-    summary.update({f"__high_{out}": F.max_by(src, order) for src, out in previous.items()})
-    chunks = key_window(keys)
-    carries = {f"__carry_{out}": F.lead(f"__low_{out}").over(chunks) for out in following.values()}
-    carries.update({f"__carry_{out}": F.lag(f"__high_{out}").over(chunks) for out in previous.values()})
-    rows = carry_over(with_chunk(df, order, width), keys, summary, carries)
-    w = chunk_window(keys, order)
-    rows = rows.withColumns(
+    w, chunks = chunk_window(keys, order), key_window(keys)
+    cut = chunked(df, keys, order, limit)
+    local = {out: F.lag(src).over(w) for src, out in previous.items()}
+    local.update({out: F.lead(src).over(w) for src, out in following.items()})
+    if not cut.is_cut:
+        return cut.rows.withColumns(local).select(*df.columns, *local)
+    summary = {f"__edge_{out}": F.max_by(src, order) for src, out in previous.items()}
+    summary.update({f"__edge_{out}": F.min_by(src, order) for src, out in following.items()})
+    carries = {f"__carry_{out}": F.lag(f"__edge_{out}").over(chunks) for out in previous.values()}
+    carries.update({f"__carry_{out}": F.lead(f"__edge_{out}").over(chunks) for out in following.values()})
+    rows = cut.carry(summary, carries, carries).withColumns(
         {
             _FIRST: F.lag(F.lit(True)).over(w).isNull(),
             _LAST: F.lead(F.lit(True)).over(w).isNull(),
-            **{f"__lag_{out}": F.lag(src).over(w) for src, out in previous.items()},
-            **{f"__lead_{out}": F.lead(src).over(w) for src, out in following.items()},
+            **{f"__near_{out}": column for out, column in local.items()},
         }
     )
+    edge = {out: _FIRST for out in previous.values()} | {out: _LAST for out in following.values()}
     return rows.select(
         *df.columns,
-        *[F.when(F.col(_FIRST), F.col(f"__carry_{o}")).otherwise(F.col(f"__lag_{o}")).alias(o) for o in previous.values()],
-        *[F.when(F.col(_LAST), F.col(f"__carry_{o}")).otherwise(F.col(f"__lead_{o}")).alias(o) for o in following.values()],
-    ).select(*names)
+        *[
+            F.when(F.col(flag), F.col(f"__carry_{out}")).otherwise(F.col(f"__near_{out}")).alias(out)
+            for out, flag in edge.items()
+        ],
+    )
 
 
 def running_sums(
@@ -134,29 +165,25 @@ def running_sums(
     keys,
     order: str,
     sums: Mapping[str, Column],
-    width: int = DEFAULT_WIDTH,
+    limit: int = ROW_LIMIT,
     include_current: bool = True,
 ) -> DataFrame:
     """Prefix sums of each expression along the key; 0 before the first row when exclusive."""
-    names = [*df.columns, *sums]
-    rows = with_chunk(df, order, width).withColumns({f"__term_{out}": c for out, c in sums.items()})
-    rows = carry_over(
-        rows,
-        keys,
+    zero = F.lit(0)
+    cut = chunked(df, keys, order, limit).with_columns({f"__term_{out}": c for out, c in sums.items()})
+    rows = cut.carry(
         {f"__sum_{out}": F.sum(f"__term_{out}") for out in sums},
-        {f"__base_{out}": F.sum(f"__sum_{out}").over(before(keys)) for out in sums},
+        {f"__base_{out}": F.coalesce(F.sum(f"__sum_{out}").over(before(keys)), zero) for out in sums},
+        {f"__base_{out}": zero for out in sums},
     )
     frame = chunk_window(keys, order).rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
-    rows = rows.withColumns(
-        {
-            out: F.coalesce(F.col(f"__base_{out}"), F.lit(0))
-            + F.coalesce(F.sum(f"__term_{out}").over(frame), F.lit(0))
-            for out in sums
-        }
+    rows = rows.withColumns({f"__part_{out}": F.sum(f"__term_{out}").over(frame) for out in sums})
+    return rows.select(
+        *df.columns,
+        *[(F.col(f"__base_{out}") + F.coalesce(f"__part_{out}", zero)).alias(out) for out in sums],
     )
-    return rows.select(*names)
 
 
-def number_rows(df: DataFrame, *, keys, order: str, out: str, width: int = DEFAULT_WIDTH) -> DataFrame:
+def number_rows(df: DataFrame, *, keys, order: str, out: str, limit: int = ROW_LIMIT) -> DataFrame:
     """1-based position of each row inside its key."""
-    return running_sums(df, keys=keys, order=order, sums={out: F.lit(1).cast("bigint")}, width=width)
+    return running_sums(df, keys=keys, order=order, sums={out: F.lit(1).cast("bigint")}, limit=limit)

@@ -78,25 +78,26 @@ def with_history(
     columns: Sequence[str] = ("parent_id",),
     keys: Sequence[str] = NODE,
     order: str = "offset",
-    width: int = ordered.DEFAULT_WIDTH,
+    limit: int = ordered.ROW_LIMIT,
 ) -> DataFrame:
     """Fill missing fields with the node's last value and add what its neighbors in time decide.
 
     A node that was silent for over ``stale`` seconds starts a new session and forgets its
     values.  Adds ``session_start`` and ``next_t``, the time of the node's next report.
 
-    One pass over chunks: inside a chunk a *marker* is a row that settles the field (it
+    One pass over chunks (whole nodes, unless a node is too long): inside a chunk a *marker* is a row that settles the field (it
     holds a value, or starts a session after a gap).  The chunk summary keeps the first and
     last time and the last marker; whether a chunk's first row starts a session, and which
     marker holds before it, follow from the summaries of the chunks before.
     """
     gap = F.lit(_micros(stale))
     local = ordered.chunk_window(keys, order)
-    rows = ordered.with_chunk(reports, order, width)
-    rows = rows.withColumns({"__lag": F.lag("t").over(local), "__lead": F.lead("t").over(local)})
+    cut = ordered.chunked(reports, keys, order, limit).with_columns(
+        {"__lag": F.lag("t").over(local), "__lead": F.lead("t").over(local)}
+    )
     after_gap = F.coalesce(F.col("t") - F.col("__lag") > gap, F.lit(False))
     marks = {c: F.when(after_gap | F.col(c).isNotNull(), F.col(order)) for c in columns}
-    rows = rows.withColumns({f"__mark_{c}": mark for c, mark in marks.items()})
+    cut = cut.with_columns({f"__mark_{c}": mark for c, mark in marks.items()})
 
     chunks, before = ordered.key_window(keys), ordered.before(keys)
     summary = {"__first_t": F.min_by("t", order), "__last_t": F.max_by("t", order)}
@@ -105,13 +106,15 @@ def with_history(
         "__next_t": F.lead("__first_t").over(chunks),
         "__starts": F.col("__prev_t").isNull() | (F.col("__first_t") - F.col("__prev_t") > gap),
     }
+    alone = {"__next_t": ordered.nothing("bigint"), "__starts": F.lit(True)}
     for c in columns:
         summary[f"__at_{c}"] = F.max(f"__mark_{c}")
         summary[f"__value_{c}"] = F.max_by(c, f"__mark_{c}")
         settled = F.col("__starts") | F.col(f"__at_{c}").isNotNull()
         carries[f"__end_{c}"] = F.when(settled, F.struct(F.col(f"__value_{c}").alias("v")))
         carries[f"__carry_{c}"] = F.last(f"__end_{c}", ignorenulls=True).over(before)["v"]
-    rows = ordered.carry_over(rows, keys, summary, carries)
+        alone[f"__carry_{c}"] = ordered.nothing(reports.schema[c].dataType)
+    rows = cut.carry(summary, carries, alone)
 
     frame = local.rowsBetween(Window.unboundedPreceding, 0)
     held = {
@@ -223,7 +226,7 @@ def add_synthetic_root(state: DataFrame, *, keys: Sequence[str] = ("network", "t
 
 
 def resets_as_epochs(
-    reports: DataFrame, *, reset: Column, order: str = "offset", width: int = ordered.DEFAULT_WIDTH
+    reports: DataFrame, *, reset: Column, order: str = "offset", limit: int = ordered.ROW_LIMIT
 ) -> DataFrame:
     """Full reset by control rows: adds ``epoch`` and drops the control rows.
 
@@ -231,7 +234,7 @@ def resets_as_epochs(
     """
     marked = reports.withColumn("__reset", reset)
     numbered = ordered.running_sums(
-        marked, keys=["network"], order=order, sums={"epoch": F.col("__reset").cast("bigint")}, width=width
+        marked, keys=["network"], order=order, sums={"epoch": F.col("__reset").cast("bigint")}, limit=limit
     )
     return numbered.filter(~F.col("__reset")).drop("__reset")
 

@@ -114,7 +114,7 @@ def with_window_positions(
     order: str = "seq",
     reset: str = "is_anomaly",
     control: str | None = None,
-    width: int = ordered.DEFAULT_WIDTH,
+    limit: int = ordered.ROW_LIMIT,
 ) -> DataFrame:
     """Add ``epoch`` (resets seen before the row) and ``position`` (1-based inside the epoch).
 
@@ -125,13 +125,13 @@ def with_window_positions(
     names = [*readings.columns, "epoch", "position"]
     is_value = F.lit(True) if control is None else ~F.col(control)
     resets = F.col(reset) if control is None else (F.col(reset) | F.col(control))
-    rows = ordered.with_chunk(readings, order, width).withColumns(
+    cut = ordered.chunked(readings, keys, order, limit).with_columns(
         {"__one": is_value.cast("bigint"), "__reset": resets.cast("bigint")}
     )
     local = ordered.chunk_window(keys, order)
     here = local.rowsBetween(Window.unboundedPreceding, 0)
     earlier = local.rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumns(
+    cut = cut.with_columns(
         {
             "__count": F.sum("__one").over(here),
             "__resets": F.coalesce(F.sum("__reset").over(earlier), F.lit(0)),
@@ -139,19 +139,18 @@ def with_window_positions(
     )
     # Readings of the chunk up to and including its last reset row before this one.
     closed = F.when(F.col("__reset") == 1, F.col("__count"))
-    rows = rows.withColumn("__closed", F.max(closed).over(earlier))
-    before = ordered.before(keys)
-    rows = ordered.carry_over(
-        rows.withColumn("__mark", closed),
-        keys,
+    cut = cut.with_columns({"__mark": closed, "__closed": F.max(closed).over(earlier)})
+    before, zero = ordered.before(keys), F.lit(0).cast("bigint")
+    rows = cut.carry(
         {"__n": F.sum("__one"), "__r": F.sum("__reset"), "__m": F.max("__mark")},
         {
-            "__resets_before": F.coalesce(F.sum("__r").over(before), F.lit(0)),
-            "__n_before": F.coalesce(F.sum("__n").over(before), F.lit(0)),
+            "__resets_before": F.coalesce(F.sum("__r").over(before), zero),
+            "__n_before": F.coalesce(F.sum("__n").over(before), zero),
             # Readings of the key up to the chunk's last reset; the window is open since then.
             "__at_reset": F.col("__n_before") + F.col("__m"),
-            "__opened": F.coalesce(F.last("__at_reset", ignorenulls=True).over(before), F.lit(0)),
+            "__opened": F.coalesce(F.last("__at_reset", ignorenulls=True).over(before), zero),
         },
+        {"__resets_before": zero, "__n_before": zero, "__opened": zero},
     )
     rows = rows.withColumns(
         {
