@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 ROOT_ID = 1
 ROOT_ADDRESS = "fe80::201:1:1:1"
 
-# Fixed patterns: the address form that carries a node id three times, and the DODAG form of a root.
-NODE_ADDRESS = r"(?i)::([0-9a-f]+):([0-9a-f]+):\2:\2$"
+# Fixed patterns: the address form that carries a node id three times (at most 15 digits, so it
+# fits a long), and the DODAG form of a root.
+NODE_ADDRESS = r"(?i)::([0-9a-f]+):([0-9a-f]{1,15}):\2:\2$"
 ROOT_ADDRESS_FORM = r"(?i)::[0-9a-f]+:1:1:1$"
 
 
 def node_id_from_address(address: Column) -> Column:
     """Node id carried by an address, null when the address has another form."""
-    digits = F.regexp_extract(address, NODE_ADDRESS, 2)
-    return F.when(F.length(digits).between(1, 15), F.conv(digits, 16, 10).cast("bigint"))
+    # No match gives an empty text, and that converts to null.
+    return F.conv(F.regexp_extract(address, NODE_ADDRESS, 2), 16, 10).cast("bigint")
 
 
 def root_address(dodag_id: Column) -> Column:

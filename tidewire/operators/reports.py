@@ -36,30 +36,28 @@ def decode(reports: DataFrame) -> DataFrame:
     seq, preferred_parent, neighbors, is_root and the optional kept fields.
     Rows without a usable node id are left out (see ``undecodable``).
     """
-    parent = addresses.node_id_from_address(F.col("preferred_parent"))
     empty = F.expr("cast(array() as array<struct<id:bigint,cost:double>>)")
-    listed = decoded_neighbors(F.col("neighbors"))
+    listed = F.col("__listed")
+    distinct_ids = F.size(F.array_distinct(F.transform(listed, lambda n: n["id"])))
     last_wins = F.filter(
-        F.col("__listed"),
-        lambda n, i: ~F.exists(
-            F.slice("__listed", i + 2, F.size("__listed")), lambda later: later["id"] == n["id"]
-        ),
-    )
-    out = (
-        reports.withColumns(
-            {
-                "node_id": F.col("node_id").try_cast("bigint"),
-                "parent_id": parent,
-                "__listed": listed,
-                "is_root": F.coalesce(F.col("is_root"), F.lit(False)),
-                "t": ordered.micros("received_at"),
-            }
-        )
-        .filter(F.col("node_id").isNotNull())
-        .withColumn("neighbors", F.coalesce(last_wins, empty))
-        .withColumn("degree", F.size("neighbors"))
+        listed,
+        lambda n, i: ~F.exists(F.slice(listed, i + 2, F.size(listed)), lambda later: later["id"] == n["id"]),
     )
-    return out.drop("__listed", "preferred_parent")
+    decoded = reports.withColumns(
+        {
+            "node_id": F.col("node_id").try_cast("bigint"),
+            "parent_id": addresses.node_id_from_address(F.col("preferred_parent")),
+            "__listed": F.coalesce(decoded_neighbors(F.col("neighbors")), empty),
+            "is_root": F.coalesce(F.col("is_root"), F.lit(False)),
+            "t": ordered.micros("received_at"),
+        }
+    ).filter(F.col("node_id").isNotNull())
+    return decoded.withColumns(
+        {
+            "neighbors": F.when(distinct_ids == F.size(listed), listed).otherwise(last_wins),
+            "degree": distinct_ids,
+        }
+    ).drop("__listed", "preferred_parent")
 
 
 def undecodable(reports: DataFrame) -> DataFrame:

@@ -305,7 +305,7 @@ def depth_stats(spark, sf_dir):
 
 
 def degree_stats(spark, sf_dir):
-    return rounded(metrics.degree_stats(_states(spark, sf_dir, every=views.HOUR)), "neighbor_avg")
+    return rounded(metrics.degree_stats(views.visible(views.events(spark, sf_dir), every=views.HOUR)), "neighbor_avg")
 
 
 def network_counts(spark, sf_dir):
@@ -336,7 +336,7 @@ def running_means(spark, sf_dir):
 
 
 def last_500(spark, sf_dir):
-    hourly = metrics.degree_stats(_states(spark, sf_dir, every=views.HOUR))
+    hourly = metrics.degree_stats(views.visible(views.events(spark, sf_dir), every=views.HOUR))
     return rounded(metrics.recent_history(hourly), "neighbor_avg")
 
 

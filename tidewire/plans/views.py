@@ -138,19 +138,15 @@ def node_reports(ev: DataFrame, **options) -> DataFrame:
     return reports.with_history(reports.decode(mesh_reports(ev, **options)), stale=STALE)
 
 
-def states(ev: DataFrame, *, every: int = DAY, **options) -> DataFrame:
-    """Network state at fixed ticks, border router included."""
-    # The state is read several times by every graph operator, the history behind it only once.
-    visible = reports.state_at_intervals(node_reports(ev, **options), every=every, stale=STALE)
-    return reports.add_synthetic_root(stage(visible, "visible"))
+def visible(ev: DataFrame, *, every: int = DAY, **options) -> DataFrame:
+    """Reporting nodes at fixed ticks."""
+    return reports.state_at_intervals(node_reports(ev, **options), every=every, stale=STALE)
 
 
-def latest_state(ev: DataFrame) -> DataFrame:
-    """The newest report of every node, as one state without expiry (``tick`` 0)."""
-    newest = reports.latest(node_reports(ev).drop("next_t")).withColumns(
-        {"tick": F.lit(0).cast("bigint"), "age": F.lit(0).cast("bigint")}
-    )
-    return reports.add_synthetic_root(newest)
+def states(ev: DataFrame, **options) -> DataFrame:
+    """Network state at fixed ticks, border router included."""
+    # The state is read several times by every graph operator, the history behind it only once.
+    return reports.add_synthetic_root(stage(visible(ev, **options), "visible"))
 
 
 def neighbor_tables(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
