@@ -31,26 +31,44 @@ def messages():
     return out
 
 
-def test_count_windows_survive_restarts(spark, tmp_path, messages):
-    runs.use_durable_state(spark)
-    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
-    config = sensor.sensor_config(spark)
-    schema = RAW_READING.add("flush", T.BooleanType())
+DELIVERIES = [(0, 7), (7, 250), (250, 251), (251, 600)]
+
+
+def start_processor(spark, source, folder, config, schema):
+    rows = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(source)
+    readings = count_windows.keyed_readings(
+        rows.filter("not flush").drop("flush"), config, rows.filter("flush").select("key", "partition", "offset")
+    )
+    windows = count_windows.count_windows(readings, aggregate="sum")
+    runs.run_available(runs.file_writer(windows, f"{folder}/rows", f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/rows")
+
+
+def start_trigger_windows(spark, source, folder, config, schema):
+    rows = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(source)
+    readings = count_windows.keyed_readings(
+        rows.filter("not flush").drop("flush"), config, rows.filter("flush").select("key", "partition", "offset")
+    )
+    handler = count_windows.TriggerWindows(folder, config, aggregate="sum", limit=40)
+    runs.run_available(
+        readings.writeStream.foreachBatch(handler).option("checkpointLocation", f"{folder}/checkpoint")
+    )
+    return handler.result(spark)
 
-    def start():
-        rows = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(source)
-        readings = count_windows.keyed_readings(
-            rows.filter("not flush").drop("flush"), config, rows.filter("flush").select("key", "partition", "offset")
-        )
-        runs.run_available(runs.file_writer(count_windows.count_windows(readings, aggregate="sum"), out, checkpoint))
 
+@pytest.mark.parametrize("start", [start_processor, start_trigger_windows])
+def test_count_windows_survive_restarts(spark, tmp_path, messages, start):
+    runs.use_durable_state(spark)
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    config = sensor.sensor_config(spark)
+    schema = T.StructType([*RAW_READING.fields, T.StructField("flush", T.BooleanType())])
     # Uneven deliveries, each followed by a stop; the last start finds nothing new.
-    for number, (low, high) in enumerate([(0, 7), (7, 250), (250, 251), (251, 600)]):
+    for number, (low, high) in enumerate(DELIVERIES):
         df = spark.createDataFrame(messages[low:high], schema).orderBy(F.rand(1))
         deliver(df, source, number)
-        start()
-    start()
-    got = [tuple(r) for r in spark.read.parquet(out).select("sensor_type", "epoch", "window_no", "result").collect()]
+        start(spark, source, folder, config, schema)
+    found = start(spark, source, folder, config, schema)
+    got = [tuple(r) for r in found.select("sensor_type", "epoch", "window_no", "result").collect()]
     rows = []
     for key, value, _, offset, _, flush in messages:
         known = key in sensor.SENSOR_TYPES
@@ -64,6 +82,18 @@ def test_count_windows_survive_restarts(spark, tmp_path, messages):
     assert sorted(got) == sorted(want) and len(want) > 20
 
 
+def test_repeated_trigger_changes_nothing(spark, tmp_path, messages):
+    config = sensor.sensor_config(spark)
+    handler = count_windows.TriggerWindows(str(tmp_path), config)
+    values = [("wind", float(i % 40), i, False, False) for i in range(95)]
+    schema = "sensor_type string, value double, offset long, is_anomaly boolean, is_command boolean"
+    first, second = (spark.createDataFrame(part, schema) for part in (values[:33], values[33:]))
+    for batch, number in ((first, 0), (first, 0), (second, 1), (second, 1)):
+        handler(batch, number)
+    got = sorted((r.window_no, round(r.result, 9)) for r in handler.result(spark).collect())
+    assert got == [(n, round(sum(v[1] for v in values[10 * n : 10 * n + 20]) / 20, 9)) for n in range(8)]
+
+
 def test_unknown_aggregate():
     with pytest.raises(ValueError, match="median"):
         count_windows.CountWindow("median")

@@ -412,7 +412,8 @@ _add("network_summary", _instant(),
 
 
 # --- streams give the batch result, up to the ticks and windows the data itself has passed -----------
-for _stream, _batch in (("stream_count_windows", "count_window_avg"), ("stream_flush_windows", "manual_flush_windows")):
+for _stream, _batch in (("stream_count_windows", "count_window_avg"), ("stream_trigger_windows", "count_window_avg"),
+                        ("stream_flush_windows", "manual_flush_windows")):
     STATEMENTS[_stream] = STATEMENTS[_batch]
 _add("stream_time_windows", f"""{READINGS},
 placed as (

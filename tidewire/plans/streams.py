@@ -18,8 +18,9 @@ from .catalog import Query, _windows, rounded
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     runs.use_durable_state(spark)
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    table = f"{sf_dir}/events.parquet"
+    # A file source watches folders; as a pattern the name fits a single file and a folder of parts.
+    stream = spark.readStream.schema(spark.read.parquet(table).schema).parquet(f"{sf_dir}/[e]vents.parquet")
     return stream.select(
         "event_id", "ts", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("bigint").alias("k")
     )
@@ -49,6 +50,18 @@ def stream_count_windows(spark, sf_dir):
     return rounded(_finished(count_windows.count_windows(readings), "count-windows"), "result")
 
 
+def stream_trigger_windows(spark, sf_dir):
+    """The batch operator per trigger, with the open windows kept between triggers."""
+    config = sensor.sensor_config(spark)
+    folder = storage.new_folder(spark, "trigger-windows")
+    handler = count_windows.TriggerWindows(folder, config)
+    readings = count_windows.keyed_readings(_topic_rows(_event_stream(spark, sf_dir)), config)
+    runs.run_available(
+        readings.writeStream.foreachBatch(handler).option("checkpointLocation", f"{folder}/checkpoint")
+    )
+    return rounded(handler.result(spark), "result")
+
+
 def stream_flush_windows(spark, sf_dir):
     rows = _topic_rows(_event_stream(spark, sf_dir))
     is_command = F.col("offset") % 97 == 0
@@ -192,7 +205,7 @@ def reset_states(spark, sf_dir):
 STREAMS: dict[str, Query] = {
     f.__name__: f
     for f in (
-        stream_count_windows, stream_flush_windows, stream_time_windows, stream_network_state,
+        stream_count_windows, stream_trigger_windows, stream_flush_windows, stream_time_windows, stream_network_state,
         stream_network_metrics, grid_csv_snapshots, report_json_source, report_json_quarantine,
         output_topic_rows, next_topic_routing, reset_states,
     )

@@ -62,11 +62,12 @@ class Rounds:
         self._round += 1
         df.write.parquet(self._path(self._round))
         if self._round > 2:
-            self._drop(self._round - 2)
+            drop(self._spark, self._path(self._round - 2))
         return self._spark.read.schema(df.schema).parquet(self._path(self._round))
 
-    def _drop(self, number: int) -> None:
-        jvm = self._spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._path(number))
-        conf = self._spark.sparkContext._jsc.hadoopConfiguration()
-        path.getFileSystem(conf).delete(path, True)
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

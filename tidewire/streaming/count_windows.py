@@ -1,4 +1,10 @@
-"""Count sliding windows on a stream, with reset by anomaly or command."""
+"""Count sliding windows on a stream, with reset by anomaly or command.
+
+Two forms with the same result.  ``count_windows`` is a keyed state processor: lowest
+latency, one task per key and trigger.  ``TriggerWindows`` runs the batch operator on every
+trigger together with the readings still held: for backlogs and hot keys, because a long
+key is cut over many tasks there.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidewire.operators import sensor
+from tidewire import storage
+from tidewire.operators import ordered, sensor
 
 REDUCERS = {"average": np.mean, "sum": np.sum, "min": np.min, "max": np.max}
 
@@ -115,3 +122,82 @@ def count_windows(readings: DataFrame, *, aggregate: str = "average") -> DataFra
         outputMode="Append",
         timeMode="None",
     )
+
+
+class TriggerWindows:
+    """``foreachBatch`` handler around the batch operator; ``offset`` orders the readings of a key.
+
+    What outlives a trigger is written under its number: the held readings (fewer than a
+    window per key) and, per key, how many resets and windows it has seen.  A repeated
+    trigger reads the state before it and overwrites its own, so results stay exactly-once.
+    """
+
+    COLUMNS = ("sensor_type", "value", "offset", "is_anomaly", "is_command")
+
+    def __init__(self, folder: str, config: DataFrame, *, aggregate: str = "average", limit: int = ordered.ROW_LIMIT):
+        sensor.aggregate(aggregate)
+        self.folder, self.config, self.aggregate, self.limit = folder.rstrip("/"), config, aggregate, limit
+
+    def _state(self, trigger: int) -> str:
+        return f"{self.folder}/state/trigger={trigger}"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = storage.stage(batch.select(*self.COLUMNS), "trigger")
+        seen = rows.select("sensor_type").limit(0).selectExpr(
+            "sensor_type", "cast(0 as bigint) as epochs", "cast(0 as bigint) as windows"
+        )
+        if batch_id > 0:
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{self._state(batch_id - 1)}/held"))
+            seen = spark.read.schema(seen.schema).parquet(f"{self._state(batch_id - 1)}/seen")
+        positions = storage.stage(
+            sensor.with_window_positions(rows, order="offset", control="is_command", limit=self.limit), "positions"
+        )
+        # A command row holds no reading, so resets are counted on the rows, not on the positions.
+        resets = rows.groupBy("sensor_type").agg(
+            F.sum((F.col("is_anomaly") | F.col("is_command")).cast("bigint")).alias("resets")
+        )
+        sizes = self.config.select("sensor_type", "size", F.least("slide", "size").alias("step"))
+        open_rows = positions.join(resets, "sensor_type").filter(F.col("epoch") == F.col("resets"))
+        ends = open_rows.groupBy("sensor_type").agg(F.max("position").alias("last"))
+        full = F.floor((F.coalesce("last", F.lit(0)) - F.col("size")) / F.col("step")) + 1
+        keys = storage.stage(
+            seen.join(resets.join(ends, "sensor_type", "left").join(sizes, "sensor_type"), "sensor_type", "full")
+            .fillna(0, subset=["epochs", "windows", "resets"])
+            .withColumn("emitted", F.greatest(F.lit(0), F.coalesce(full, F.lit(0)))),
+            "keys",
+        )
+        windows = sensor.count_windows(positions, self.config, aggregates=[self.aggregate])
+        before = keys.select("sensor_type", "epochs", F.col("windows").alias("__windows"))
+        (
+            windows.join(before, "sensor_type")
+            .select(
+                "sensor_type",
+                (F.col("epoch") + F.col("epochs")).alias("epoch"),
+                (F.col("window_no") + F.when(F.col("epoch") == 0, F.col("__windows")).otherwise(F.lit(0))).alias(
+                    "window_no"
+                ),
+                "size",
+                F.col(self.aggregate).alias("result"),
+            )
+            .write.mode("overwrite")
+            .parquet(f"{self.folder}/windows/trigger={batch_id}")
+        )
+        held = open_rows.join(keys.select("sensor_type", "emitted", "step"), "sensor_type").filter(
+            F.col("position") > F.col("emitted") * F.col("step")
+        )
+        held.select(*self.COLUMNS).write.mode("overwrite").parquet(f"{self._state(batch_id)}/held")
+        (
+            keys.select(
+                "sensor_type",
+                (F.col("epochs") + F.col("resets")).alias("epochs"),
+                (F.when(F.col("resets") == 0, F.col("windows")).otherwise(F.lit(0)) + F.col("emitted")).alias("windows"),
+            )
+            .write.mode("overwrite")
+            .parquet(f"{self._state(batch_id)}/seen")
+        )
+        if batch_id > 1:
+            storage.drop(spark, self._state(batch_id - 2))
+
+    def result(self, spark) -> DataFrame:
+        return spark.read.schema(RESULT).parquet(f"{self.folder}/windows/trigger=*")
