@@ -64,20 +64,27 @@ class NetworkState(StatefulProcessor):
         self.nodes = handle.getMapState("nodes", NODE_KEY, NODE_STATE)
         self.clock = handle.getValueState("clock", CLOCK)
 
+    def _load(self):
+        # One read per call; rows then work on the local copy, and only what changed is written back.
+        self.live = {node: kept for (node,), kept in self.nodes.iterator()}
+        self.stored, self.changed = set(self.live), set()
+
+    def _save(self):
+        for node in self.stored - self.live.keys():
+            self.nodes.removeKey((node,))
+        for node in self.changed & self.live.keys():
+            self.nodes.updateValue((node,), self.live[node])
+
     def _snapshots(self, network, epoch, tick, until):
-        """State rows for ticks from ``tick`` to before ``until`` (microseconds); prunes silent nodes."""
+        """State rows for ticks from ``tick`` to before ``until`` (microseconds); forgets silent nodes."""
         out = []
         while tick < until:
-            live = 0
-            for (node,), kept in list(self.nodes.iterator()):
-                if tick - kept[1] > self.stale:
-                    self.nodes.removeKey((node,))
-                else:
-                    live += 1
-                    out.append((network, epoch, tick // _SECOND, node, *kept))
-            if not live:
+            for node in [n for n, kept in self.live.items() if tick - kept[1] > self.stale]:
+                del self.live[node]
+            if not self.live:
                 # Nobody is left to report: the next report sets the clock again.
                 return out, None
+            out += [(network, epoch, tick // _SECOND, node, *kept) for node, kept in self.live.items()]
             tick += self.every
         return out, tick
 
@@ -95,6 +102,7 @@ class NetworkState(StatefulProcessor):
         # Bounded by the source's trigger limit; arrival order is the source offset.
         batch = pd.concat(list(rows), ignore_index=True).sort_values("offset")
         epoch, tick = self.clock.get() if self.clock.exists() else (0, None)
+        self._load()
         out = []
         for row in batch.to_dict("records"):
             t = int(row["t"])
@@ -102,18 +110,19 @@ class NetworkState(StatefulProcessor):
                 emitted, tick = self._snapshots(network, epoch, tick, t)
                 out += emitted
             if row["reset"]:
-                self.nodes.clear()
+                self.live.clear()
                 epoch, tick = epoch + 1, None
                 continue
-            node = (int(row["node_id"]),)
+            node = int(row["node_id"])
             kept = {name: _plain(row[name], kind) for name, kind in _KEPT}
-            if kept["parent_id"] is None and self.nodes.containsKey(node):
-                last = self.nodes.getValue(node)
-                if t - last[1] <= self.stale:
-                    kept["parent_id"] = last[3]
-            self.nodes.updateValue(node, tuple(kept[name] for name in _NAMES))
+            last = self.live.get(node)
+            if kept["parent_id"] is None and last is not None and t - last[1] <= self.stale:
+                kept["parent_id"] = last[3]
+            self.live[node] = tuple(kept[name] for name in _NAMES)
+            self.changed.add(node)
             if tick is None:
                 tick = self._first_tick(t)
+        self._save()
         self.clock.update((epoch, tick))
         self._wake(tick)
         yield pd.DataFrame(out, columns=SNAPSHOT.names)
@@ -123,7 +132,9 @@ class NetworkState(StatefulProcessor):
         out = []
         if tick is not None:
             passed = timerValues.getCurrentWatermarkInMs() * 1000
+            self._load()
             out, tick = self._snapshots(key[0], epoch, tick, passed)
+            self._save()
             self.clock.update((epoch, tick))
             if tick is not None:
                 self.handle.registerTimer(int(tick // 1000) + 1)
