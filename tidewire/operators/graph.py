@@ -166,6 +166,54 @@ def _numbered_nodes(directed: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _key_texts(keys: Sequence[str]) -> dict[str, str]:
+    """Key list and join condition for the round statements; the frames' own names stay in braces."""
+    return {
+        "keys": ", ".join(keys),
+        "t_keys": ", ".join(f"t.{k}" for k in keys),
+        "same": " AND ".join(f"t.{k} = l.{k}" for k in keys),
+        "table": "{table}",
+        "links": "{links}",
+    }
+
+
+# Rounds are single statements: a loop of many rounds spends its time on data, not on building plans.
+_HOP_ROUND = """
+WITH gathered AS (
+  SELECT {keys}, node, word, seen, 0L AS arriving, hops, reached, ecc FROM {table}
+  UNION ALL
+  SELECT {t_keys}, l.b, t.word, 0L, t.fresh, 0L, 0L, 0L
+  FROM {table} t JOIN {links} l ON {same} AND t.node = l.a WHERE t.fresh <> 0
+), merged AS (
+  SELECT {keys}, node, word, bit_or(seen) AS seen, bit_or(arriving) & ~bit_or(seen) AS fresh,
+         max(hops) AS hops, max(reached) AS reached, max(ecc) AS ecc
+  FROM gathered GROUP BY {keys}, node, word
+)
+SELECT {keys}, node, word, seen | fresh AS seen, fresh,
+       hops + cast(bit_count(fresh) AS bigint) * {distance} AS hops,
+       reached + bit_count(fresh) AS reached,
+       cast(if(fresh <> 0, {distance}, ecc) AS bigint) AS ecc
+FROM merged
+"""
+
+_RELAX_ROUND = """
+WITH gathered AS (
+  SELECT {keys}, src, node, dist, cast(NULL AS double) AS offer FROM {table}
+  UNION ALL
+  SELECT {t_keys}, t.src, l.b, cast(NULL AS double), t.dist + l.cost
+  FROM {table} t JOIN {links} l ON {same} AND t.node = l.a WHERE t.better
+), merged AS (
+  SELECT {keys}, src, node, min(dist) AS dist, min(offer) AS offer FROM gathered GROUP BY {keys}, src, node
+)
+SELECT {keys}, src, node, least(dist, offer) AS dist,
+       coalesce(offer < coalesce(dist, double('infinity')), false) AS better
+FROM merged
+"""
+
+# Rounds between two looks for graphs that are finished.
+_RETIRE_EVERY = 8
+
+
 def hop_totals(edges: DataFrame, *, keys: Sequence[str] = GRAPH) -> DataFrame:
     """Per graph: hop diameter, sum of distances and number of reachable ordered pairs.
 
@@ -186,42 +234,25 @@ def hop_totals(edges: DataFrame, *, keys: Sequence[str] = GRAPH) -> DataFrame:
     start = start.withColumns({"fresh": F.col("seen"), "hops": zero, "reached": zero, "ecc": zero})
     rounds = Rounds(spark, "hops")
     table = rounds.store(start)
+    done = []
     distance = 0
-    while not table.filter(F.col("fresh") != 0).isEmpty():
+    while not table.filter("fresh <> 0").isEmpty():
         distance += 1
-        arriving = (
-            table.filter(F.col("fresh") != 0)
-            .select(*keys, F.col("node").alias("a"), "word", "fresh")
-            .join(directed, [*keys, "a"])
-            .select(*keys, F.col("b").alias("node"), "word", F.col("fresh").alias("arriving"))
-        )
-        merged = (
-            table.drop("fresh")
-            .withColumn("arriving", zero)
-            .unionByName(arriving.withColumns({c: zero for c in ("seen", "hops", "reached", "ecc")}))
-            .groupBy(*keys, "node", "word")
-            .agg(
-                F.bit_or("seen").alias("seen"),
-                F.bit_or("arriving").alias("arriving"),
-                F.max("hops").alias("hops"),
-                F.max("reached").alias("reached"),
-                F.max("ecc").alias("ecc"),
-            )
-            .withColumn("fresh", F.col("arriving").bitwiseAND(F.bitwise_not("seen")))
-            .withColumn("__new", F.bit_count("fresh").cast("bigint"))
-        )
         table = rounds.store(
-            merged.select(
-                *keys,
-                "node",
-                "word",
-                F.col("seen").bitwiseOR(F.col("fresh")).alias("seen"),
-                "fresh",
-                (F.col("hops") + F.col("__new") * distance).alias("hops"),
-                (F.col("reached") + F.col("__new")).alias("reached"),
-                F.when(F.col("__new") > 0, F.lit(distance)).otherwise(F.col("ecc")).cast("bigint").alias("ecc"),
-            )
+            spark.sql(_HOP_ROUND.format(**_key_texts(keys), distance=distance), table=table, links=directed)
         )
+        if distance % _RETIRE_EVERY == 0:
+            # Graphs no bit moves in any more are summed up and leave the loop.
+            moving = stage(table.filter("fresh <> 0").select(*keys).distinct(), "moving")
+            done.append(stage(_hop_sums(table.join(moving, list(keys), "left_anti"), keys), "done"))
+            table = rounds.store(table.join(moving, list(keys), "left_semi"))
+    sums = _hop_sums(table, keys)
+    for part in done:
+        sums = sums.unionByName(part)
+    return sums
+
+
+def _hop_sums(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return table.groupBy(*keys).agg(
         F.max("ecc").alias("diameter"),
         F.sum(F.col("hops").cast("decimal(38,0)")).alias("total"),
@@ -280,32 +311,10 @@ def _relax(sources: DataFrame, directed: DataFrame, keys: Sequence[str]) -> Data
             *keys, F.col("number").alias("src"), "node", F.lit(0.0).alias("dist"), F.lit(True).alias("better")
         )
     )
-    nothing = F.lit(None).cast("double")
+    step = _RELAX_ROUND.format(**_key_texts(keys))
+    spark = sources.sparkSession
     while not table.filter("better").isEmpty():
-        offers = (
-            table.filter("better")
-            .select(*keys, "src", F.col("node").alias("a"), "dist")
-            .join(directed, [*keys, "a"])
-            .select(*keys, "src", F.col("b").alias("node"), (F.col("dist") + F.col("cost")).alias("offer"))
-        )
-        merged = (
-            table.select(*keys, "src", "node", "dist")
-            .withColumn("offer", nothing)
-            .unionByName(offers.withColumn("dist", nothing))
-            .groupBy(*keys, "src", "node")
-            .agg(F.min("dist").alias("dist"), F.min("offer").alias("offer"))
-        )
-        table = rounds.store(
-            merged.select(
-                *keys,
-                "src",
-                "node",
-                F.least("dist", "offer").alias("dist"),
-                F.coalesce(F.col("offer") < F.coalesce(F.col("dist"), F.lit(float("inf"))), F.lit(False)).alias(
-                    "better"
-                ),
-            )
-        )
+        table = rounds.store(spark.sql(step, table=table, links=directed))
     # The source's own row (distance 0) is the only one that is not a pair.
     return table.groupBy(*keys).agg(
         F.max("dist").alias("ecc"),

@@ -54,16 +54,20 @@ class Rounds:
         self._spark = spark
         self._root = new_folder(spark, label)
         self._round = 0
+        self._schema = None
 
     def _path(self, number: int) -> str:
         return f"{self._root}/round={number}"
 
     def store(self, df: DataFrame) -> DataFrame:
+        """Write the next round (all rounds have the first one's schema) and return a scan of it."""
         self._round += 1
+        if self._schema is None:
+            self._schema = df.schema
         df.write.parquet(self._path(self._round))
         if self._round > 2:
             drop(self._spark, self._path(self._round - 2))
-        return self._spark.read.schema(df.schema).parquet(self._path(self._round))
+        return self._spark.read.schema(self._schema).parquet(self._path(self._round))
 
 
 def drop(spark: SparkSession, path: str) -> None:
