@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.operators import graph, metrics, reports
+from tidewire.operators import graph, metrics
 
 KEYS = ("network", "tick")
 

@@ -195,8 +195,6 @@ def _result(column: str) -> str:
     return f"select sensor_type, epoch, window_no, size, round({column}, 6) as result from windows"
 
 
-_WEEK_EDGES = MUTUAL_EDGES
-
 STATEMENTS: dict[str, str] = {}
 
 
