@@ -94,6 +94,17 @@ def test_repeated_trigger_changes_nothing(spark, tmp_path, messages):
     assert got == [(n, round(sum(v[1] for v in values[10 * n : 10 * n + 20]) / 20, 9)) for n in range(8)]
 
 
+@pytest.mark.parametrize("resets,want", [(False, [0, 1, 2, 3]), (True, [0, 1])])
+def test_malformed_text_resets_on_request_only(spark, resets, want):
+    raw = [("wind", "x" if i == 35 else str(i), 0, i) for i in range(55)]
+    df = spark.createDataFrame(raw, "key string, value string, partition int, offset long")
+    config = sensor.sensor_config(spark)
+    rows = count_windows.keyed_readings(df, config, reset_on_malformed=resets).drop("size", "slide")
+    positions = sensor.with_window_positions(rows, order="offset", control="is_command")
+    windows = sensor.count_windows(positions, config).filter("epoch = 0").collect()
+    assert sorted(r.window_no for r in windows) == want
+
+
 def test_unknown_aggregate():
     with pytest.raises(ValueError, match="median"):
         count_windows.CountWindow("median")

@@ -92,25 +92,33 @@ class CountWindow(StatefulProcessor):
         pass
 
 
-def keyed_readings(raw: DataFrame, config: DataFrame, commands: DataFrame | None = None) -> DataFrame:
+def _as_commands(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "sensor_type",
+        F.lit(None).cast("double").alias("value"),
+        "partition",
+        "offset",
+        F.lit(False).alias("is_anomaly"),
+        F.lit(True).alias("is_command"),
+    )
+
+
+def keyed_readings(
+    raw: DataFrame, config: DataFrame, commands: DataFrame | None = None, *, reset_on_malformed: bool = False
+) -> DataFrame:
     """Rows for the processor: parsed, known types only, range-checked, with window sizes.
 
     ``raw`` holds key, value (text), partition, offset; ``commands`` holds key, partition,
-    offset of manual reset commands, which share the readings' ordering.
+    offset of manual reset commands, which share the readings' ordering.  Text that is not
+    a number is left out, or on request resets its key like a command.
     """
     parsed = sensor.parse_values(raw.withColumnRenamed("key", "sensor_type"))
     good = parsed.filter(~F.col("is_malformed")).select("sensor_type", "value", "partition", "offset")
     rows = sensor.flag_out_of_range(good, config).withColumn("is_command", F.lit(False))
     if commands is not None:
-        control = commands.select(
-            F.col("key").alias("sensor_type"),
-            F.lit(None).cast("double").alias("value"),
-            "partition",
-            "offset",
-            F.lit(False).alias("is_anomaly"),
-            F.lit(True).alias("is_command"),
-        )
-        rows = rows.unionByName(control)
+        rows = rows.unionByName(_as_commands(commands.withColumnRenamed("key", "sensor_type")))
+    if reset_on_malformed:
+        rows = rows.unionByName(_as_commands(parsed.filter("is_malformed")))
     return rows.join(config.select("sensor_type", "size", "slide"), "sensor_type")
 
 
