@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import BoundedTable
+
 MAX_LENGTH = 2048
 SEPARATOR_ID = 1
 #: Words kept in a worker's table before the older half is forgotten.
@@ -33,24 +35,6 @@ WORD_TABLE = 300_000
 _PLAIN = regex.compile("[!-~¡-¬®-ÿ]+")
 
 
-class _Table(dict):
-    """Mapping filled on demand; once full, entries not used since the last change are forgotten."""
-
-    def __init__(self, make, limit: int):
-        super().__init__()
-        self._make, self._limit, self._old = make, limit, {}
-
-    def __missing__(self, key):
-        value = self._old.get(key)
-        if value is None:
-            value = self._make(key)
-        if len(self) >= self._limit:
-            self._old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 def _byte_letters() -> list[str]:
     """The printable character that byte-level vocabularies use for each byte."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -74,8 +58,8 @@ class Encoder:
         self._split = self._word_pattern(config)
         self._marks = [t["content"] for t in config.get("added_tokens", [])]
         self._letters = _byte_letters()
-        self._parts = _Table(self._encode_part, WORD_TABLE)
-        self._words = _Table(self._encode_word, WORD_TABLE)
+        self._parts = BoundedTable(self._encode_part, WORD_TABLE)
+        self._words = BoundedTable(self._encode_word, WORD_TABLE)
 
     @staticmethod
     def _word_pattern(config: dict):
