@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
+from . import balltree, extraction, mixing, packing, rules, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +24,52 @@ def op1_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op2_composite_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op3_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("passages")
+
+
+def op4_decision_list_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op6_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op7_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_power_of_two_packing": op1_power_of_two_packing,
+    "op2_composite_text_density": op2_composite_text_density,
+    "op3_segment_toxicity": op3_segment_toxicity,
+    "op4_decision_list_quality": op4_decision_list_quality,
+    "op5_simhash_multi_index": op5_simhash_multi_index,
+    "op6_ball_tree_top_k": op6_ball_tree_top_k,
+    "op7_minimax_shards": op7_minimax_shards,
+    "op8_warc_salvage": op8_warc_salvage,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 ORACLE: dict[str, str] = {}
