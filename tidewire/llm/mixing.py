@@ -147,10 +147,10 @@ def mixed_documents(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, bloc
     used = uses(rows, planned, block=block).join(rows.select("row", "__id"), "row")
     ranges = (
         used.select("__id", "first", "last", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("use"))
-        .groupBy("__id", "use").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("ranges"))
+        .groupBy("__id", "use").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__ranges")).drop("use")
     )
-    parts = F.regexp_extract_all(F.col("text").cast("string"), F.lit("[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*"), F.lit(0))
-    chosen = F.flatten(F.transform("ranges", lambda r: F.slice("__parts", (r["first"] + 1).cast("int"), (r["last"] - r["first"] + 1).cast("int"))))
+    parts = F.regexp_extract_all(F.col("text").cast("string"), F.lit("[^\\x20\\x09-\\x0D]++[\\x20\\x09-\\x0D]*+"), F.lit(0))
+    chosen = F.flatten(F.transform("__ranges", lambda r: F.slice("__parts", (r["first"] + 1).cast("int"), (r["last"] - r["first"] + 1).cast("int"))))
     text = F.rtrim(F.array_join(chosen, ""))
     columns = [text.alias("text") if c == "text" else F.length(text).cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns]
     return known.join(ranges, "__id").withColumn("__parts", parts).select(*columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, extraction, mixing, packing, rules, sharding, simhash, toxicity, warc
+from . import balltree, extraction, mixing, packing, pii, rules, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op6_ball_tree_top_k": op6_ball_tree_top_k,
     "op7_minimax_shards": op7_minimax_shards,
     "op8_warc_salvage": op8_warc_salvage,
+    "op9_contextual_pii": op9_contextual_pii,
     "op10_source_mixing": op10_source_mixing,
 }
 

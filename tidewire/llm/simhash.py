@@ -157,11 +157,27 @@ def stars(edges: DataFrame) -> DataFrame:
         current = rounds.store(small.select("e.*").filter("a <> b").distinct())
 
 
-def groups(docs: DataFrame, *, shingle: int = SHINGLE, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
-    """doc_id, fp and component_id: the smallest doc_id among all texts reachable through links."""
-    rows = stage(fingerprints(docs, shingle=shingle), "simhash-prints")
+def _grouped(rows: DataFrame, distance: int, segments: int) -> DataFrame:
+    """Adds root (a fingerprint that names the group) and component_id to staged rows with doc_id and fp."""
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     roots = stars(links(prints.select("fp"), distance=distance, segments=segments))
     rooted = prints.join(roots, prints["fp"] == roots["a"], "left").select("fp", "first", F.coalesce("b", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(rooted.join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(rooted.join(lowest, "root").select("fp", "root", "component_id"), "fp")
+
+
+def groups(docs: DataFrame, *, shingle: int = SHINGLE, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
+    """doc_id, fp and component_id: the smallest doc_id among all texts reachable through links."""
+    rows = stage(fingerprints(docs, shingle=shingle), "simhash-prints")
+    return _grouped(rows, distance, segments).select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, *, shingle: int = SHINGLE, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
+    """The document with the smallest doc_id of each group (null ids last), all columns kept."""
+    known = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-documents")
+    ids = known.select(F.col("doc_id").cast("long").alias("doc_id"), "__row")
+    prints = fingerprints(known.select(F.col("__row").alias("doc_id"), "text"), shingle=shingle).withColumnRenamed("doc_id", "__row")
+    rows = stage(prints.join(ids, "__row"), "simhash-prints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    first = _grouped(rows, distance, segments).groupBy("root").agg(F.min(order).alias("first")).select("first.__row")
+    return known.join(first, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -36,6 +36,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.storage import stage
 
@@ -54,6 +55,8 @@ CLIP = 6.0
 PREFIXES = (4, 5, 6)
 #: Evidence is rounded to this for the fit, and limited to this range.
 BIN, RANGE = 0.25, 12.0
+_DOUBLES = T.ArrayType(T.DoubleType())
+_SCANNED = [T.StructField("__n", T.LongType()), T.StructField("__top", T.DoubleType()), T.StructField("__further", _DOUBLES), T.StructField("__hits", _DOUBLES)]
 _LETTERS = regex.compile(r"[\p{L}\p{N}]+")
 
 
@@ -128,40 +131,36 @@ class _Scorer:
         return len(words), list(zip(places.tolist(), found[places].tolist(), strict=True))
 
 
-def _scan(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float], drift: float) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float], drift: float, keep_text: bool) -> Iterator[pa.RecordBatch]:
     scorer = _Scorer(lexicon)
     for batch in batches:
-        lengths, tops, sums, values = [], [], [], []
-        for text in batch.column(batch.num_columns - 1):
+        lengths, tops, further, values = [], [], [], []
+        for text in batch.column("text"):
             n, hits = scorer.hits(text.as_py() or "")
             lengths.append(n)
             found = sorted(segments(hits, drift), reverse=True)
             tops.append(found[0] if found else 0.0)
-            sums.append(found[1:])
+            further.append(found[1:])
             values.append([s for _, s in hits])
-        kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-        names = batch.schema.names[:-1]
-        yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array(lengths, pa.int64()), pa.array(tops, pa.float64()), pa.array(sums, pa.list_(pa.float64())), pa.array(values, pa.list_(pa.float64()))],
-            [*names, "n", "top", "further", "hits"],
-        )
+        added = [pa.array(lengths, pa.int64()), pa.array(tops, pa.float64()), pa.array(further, pa.list_(pa.float64())), pa.array(values, pa.list_(pa.float64()))]
+        kept = [c for c in batch.schema.names if keep_text or c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *added], [*kept, "__n", "__top", "__further", "__hits"])
 
 
-def scan(rows: DataFrame, lexicon: dict[str, float], *, drift: float = DRIFT) -> DataFrame:
-    """Adds n (words), top (best segment), further (other segments) and hits to the columns before ``text``."""
-    others = [c for c in rows.columns if c != "text"]
-    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in others)
-    schema = f"{fields}, n long, top double, further array<double>, hits array<double>"
-    return rows.select(*others, F.col("text").cast("string").alias("text")).mapInArrow(functools.partial(_scan, lexicon=lexicon, drift=drift), schema)
+def scan(rows: DataFrame, lexicon: dict[str, float], *, drift: float = DRIFT, keep_text: bool = False) -> DataFrame:
+    """Adds __n (words), __top (best segment), __further (other segments) and __hits; without ``keep_text`` the text goes."""
+    kept = [f for f in rows.schema.fields if keep_text or f.name != "text"]
+    schema = T.StructType([*kept, *_SCANNED])
+    return rows.mapInArrow(functools.partial(_scan, lexicon=lexicon, drift=drift, keep_text=keep_text), schema)
 
 
 def evidence(scale: float) -> Column:
     """Extreme-value statistic of the best segment plus what further significant ones add."""
-    size = F.log(F.greatest("n", F.lit(1)).cast("double"))
+    size = F.log(F.greatest("__n", F.lit(1)).cast("double"))
     added = F.aggregate(
-        F.transform("further", lambda s, k: F.greatest(F.lit(scale) * s - size - F.log((k + 2).cast("double")), F.lit(0.0))), F.lit(0.0), lambda a, x: a + x
+        F.transform("__further", lambda s, k: F.greatest(F.lit(scale) * s - size - F.log((k + 2).cast("double")), F.lit(0.0))), F.lit(0.0), lambda a, x: a + x
     )
-    value = F.lit(scale) * F.col("top") - size + added
+    value = F.lit(scale) * F.col("__top") - size + added
     return F.greatest(F.least(value, F.lit(RANGE)), F.lit(-RANGE))
 
 
@@ -276,8 +275,8 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_TRAINING, d
         return Model()
     seen = stage(scan(rows.filter(F.col("fold") == FOLDS - 1).select("toxic", "text"), lexicon, drift=drift), "toxicity-curve")
     clean = seen.filter("toxic = 0")
-    words = clean.agg(F.sum("n")).first()[0] or 0
-    histogram = [(r[0], r[1]) for r in clean.select(F.explode("hits").alias("s")).groupBy(F.round("s", 1)).count().collect()]
+    words = clean.agg(F.sum("__n")).first()[0] or 0
+    histogram = [(r[0], r[1]) for r in clean.select(F.explode("__hits").alias("s")).groupBy(F.round("s", 1)).count().collect()]
     scale = _scale(histogram, words, drift)
     at = (F.round(evidence(scale) / BIN) * BIN).alias("x")
     bins = [(r["x"], r["clean"], r["toxic"]) for r in seen.groupBy(at).agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic")).collect()]
@@ -287,17 +286,19 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_TRAINING, d
     return Model(lexicon, scale, intercept, max(slope, 0.0))
 
 
+def _chance(model: Model) -> Column:
+    return 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * evidence(model.scale)))) if model.usable else F.lit(0.0)
+
+
 def score(docs: DataFrame, model: Model, *, drift: float = DRIFT) -> DataFrame:
     """doc_id, held_out, score, predicted and passages (significant segments) of every document."""
-    rows = scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model.lexicon, drift=drift)
-    value = evidence(model.scale)
-    chance = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * value))) if model.usable else F.lit(0.0)
-    significant = F.size(F.filter("further", lambda s: F.lit(model.scale) * s > F.log(F.greatest("n", F.lit(1)).cast("double"))))
-    first = (F.lit(model.scale) * F.col("top") > F.log(F.greatest("n", F.lit(1)).cast("double"))).cast("int")
-    return rows.select(
-        "doc_id",
-        (fold() == 0).alias("held_out"),
-        chance.alias("score"),
-        (chance >= 0.5).cast("int").alias("predicted"),
-        (first + significant).alias("passages"),
-    )
+    rows = scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), model.lexicon, drift=drift)
+    size = F.log(F.greatest("__n", F.lit(1)).cast("double"))
+    passages = (F.lit(model.scale) * F.col("__top") > size).cast("int") + F.size(F.filter("__further", lambda s: F.lit(model.scale) * s > size))
+    chance = _chance(model)
+    return rows.select("doc_id", (fold() == 0).alias("held_out"), chance.alias("score"), (chance >= 0.5).cast("int").alias("predicted"), passages.alias("passages"))
+
+
+def clean_documents(docs: DataFrame, model: Model, *, drift: float = DRIFT) -> DataFrame:
+    """The documents that the model doesn't predict to be toxic, all columns kept."""
+    return scan(docs, model.lexicon, drift=drift, keep_text=True).filter(_chance(model) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
