@@ -5,7 +5,7 @@ clean texts with an informative Dirichlet prior (proportional to the rate over b
 counts documents, not occurrences, so a word repeated in one text proves little.  Features with a large
 z-score form the lexicon; every other word costs ``DRIFT``.
 
-Scoring: a word scores as its longest lexicon feature.  One linear scan finds all maximal-scoring
+Scoring: a word scores as its longest lexicon feature, less with each further use.  One linear scan finds all maximal-scoring
 segments.  With lambda from sum(p(s) * exp(lambda * s)) = 1 over clean texts, a segment of score S in a text of n
 words has the extreme-value statistic lambda * S - ln n.  The largest, plus what further significant
 segments add, is the evidence; a logistic curve fitted on labelled rows outside the counted ones turns it
@@ -47,8 +47,9 @@ MAX_TRAINING = 20_000
 #: Folds of crc32(doc_id); the first is held out, the last fits the curve, the others are counted.
 FOLDS = 5
 #: Cost of a word outside the lexicon.
-DRIFT = 0.25
-MIN_Z = 4.0
+DRIFT = 0.15
+#: What a lexicon feature needs: z-score and size of its log-odds ratio.
+MIN_Z, MIN_EFFECT = 4.0, 2.0
 MIN_DOCUMENTS = 5
 PRIOR = 500.0
 CLIP = 6.0
@@ -124,11 +125,15 @@ class _Scorer:
         return next((self._lexicon[f] for f in features(text) if f in self._lexicon), 0.0) if text else 0.0
 
     def hits(self, text: str) -> tuple[int, list[tuple[int, float]]]:
-        """Number of words, and (position, score) of those in the lexicon."""
+        """Number of words, and (position, score) of those in the lexicon; the m-th use of a word scores an m-th."""
         words = text.encode().split()
         found = np.fromiter(map(self._table.__getitem__, words), np.float64, len(words))
-        places = np.flatnonzero(found)
-        return len(words), list(zip(places.tolist(), found[places].tolist(), strict=True))
+        uses: Counter[bytes] = Counter()
+        hits = []
+        for place in np.flatnonzero(found).tolist():
+            uses[words[place]] += 1
+            hits.append((place, float(found[place]) / uses[words[place]]))
+        return len(words), hits
 
 
 def _scan(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float], drift: float, keep_text: bool) -> Iterator[pa.RecordBatch]:
@@ -217,7 +222,7 @@ def _lexicon(rows: DataFrame) -> dict[str, float]:
     doc_prior = F.lit(0.5)
     spread = F.sqrt(1 / (F.col("toxic_docs") + doc_prior) + 1 / (F.col("clean_docs") + doc_prior))
     scored = sums.filter("feature <> ''").select("feature", (odds["toxic"] - odds["clean"]).alias("delta"), spread.alias("spread"))
-    chosen = scored.filter(F.abs("delta") >= MIN_Z * F.col("spread")).select("feature", F.greatest(F.least("delta", F.lit(CLIP)), F.lit(-CLIP)).alias("delta"))
+    chosen = scored.filter(F.abs("delta") >= F.greatest(MIN_Z * F.col("spread"), F.lit(MIN_EFFECT))).select("feature", F.greatest(F.least("delta", F.lit(CLIP)), F.lit(-CLIP)).alias("delta"))
     return {r["feature"]: r["delta"] for r in chosen.collect()}
 
 
