@@ -2,8 +2,8 @@
 
 Every DOM node gets characters per tag, adjusted by how much of it sits in links relative to the whole
 body.  A node's density sum adds up its children's densities; the subtree with the largest sum is the
-core of the article.  The lowest density on the path from there up to the body is the threshold: the
-extracted subtree is widened to the highest ancestor on that path that belongs to the same article.
+core of the article.  An article or main element around the core is the article.  Elsewhere the lowest density on
+the path from the core up to the body is the threshold, and neighbors along that path that reach it belong to the article.
 
 Elements that say they are navigation, header, footer, sidebar, notice, advert, form, script, style or
 reader comments (by name, role, class or id) are cut off before densities are computed.
@@ -194,8 +194,8 @@ def _measure(root: _Node) -> list[_Node]:
     return nodes
 
 
-def main_node(root: _Node) -> _Node | None:
-    """The subtree that holds the article, or None where nothing is left to read."""
+def main_nodes(root: _Node) -> list[_Node]:
+    """The subtrees that hold the article, in page order."""
     nodes = _measure(root)
     semantic = [n for n in nodes if n.tag in ("article", "main") and n.chars]
     inside: set[int] = set()
@@ -204,18 +204,21 @@ def main_node(root: _Node) -> _Node | None:
             inside.add(id(node))
     candidates = [n for n in nodes if n.chars and (not semantic or id(n) in inside)]
     if not candidates:
-        return None
+        return []
     best = max(candidates, key=lambda n: (n.total, n.density))
     path = [best]
     while path[-1].parent is not None and path[-1].tag != "body":
         path.append(path[-1].parent)
-    threshold = min(n.density for n in path if n.chars)
-    chosen = best
-    for node in path:
-        if node.tag in ("article", "main"):
-            return node if node.tag == "article" or not semantic else next((n for n in path if n.tag == "article"), node)
-        if not semantic and node.tag not in ("#page", "html") and node.density >= threshold and node.chars <= 2 * chosen.chars:
-            chosen = node
+    if semantic:  # the innermost article around the core, else the main part
+        return [next(n for tag in ("article", "main") for n in path if n.tag == tag)]
+    threshold = min(n.density for n in path)
+    above, chosen, waiting = {id(n) for n in path[1:]}, [], [path[-1]]
+    while waiting:
+        node = waiting.pop()
+        if id(node) in above:
+            waiting += [c for c in reversed(node.children) if isinstance(c, _Node)]
+        elif node is best or not node.dropped and node.chars and (node.density >= threshold or node.tag == "h1"):
+            chosen.append(node)
     return chosen
 
 
@@ -239,8 +242,7 @@ def extract(page: str | None) -> str:
     """Main text of one page."""
     if not page:
         return ""
-    node = main_node(parse(page))
-    return text_of(node) if node else ""
+    return " ".join(filter(None, map(text_of, main_nodes(parse(page)))))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
