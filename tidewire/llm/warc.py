@@ -98,6 +98,8 @@ def read_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         if not colon:
             raise Damaged("header field")
         last = name.strip().lower().decode("utf-8", "replace")
+        if last in fields and last != "warc-concurrent-to":  # two headers run into one
+            raise Damaged("repeated header field")
         fields[last] = value.strip().decode("utf-8", "replace")
     if not fields.get("content-length", "").isascii() or not fields.get("content-length", "").isdigit():
         raise Damaged("content length")
