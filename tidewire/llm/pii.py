@@ -66,7 +66,7 @@ def matches(text: Column, pattern: str) -> Column:
     def placed(gaps: Column, found: Column) -> Column:
         lengths = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(gaps, i)))
         return _once(
-            _starts(lengths),
+            _once(lengths, _starts),
             lambda s: F.transform(
                 found,
                 lambda m, i: F.struct(
@@ -138,10 +138,11 @@ def _patterns(spans: DataFrame) -> Column:
 def _marked(rows: DataFrame) -> DataFrame:
     """All base spans and tokens, one a row; ``covered`` tokens are touched by a base span."""
     spans = rows.select("row", F.explode(F.concat("base", "tokens")).alias("s")).select("row", "s.*")
-    at = Window.partitionBy("row").orderBy("start", F.desc("kind"))
+    # Both windows only look back, which takes one pass; a base span comes before a token with the same start.
+    forth, back = Window.partitionBy("row").orderBy("start", F.desc("kind")), Window.partitionBy("row").orderBy(F.desc("start"), "kind")
     is_base = F.col("kind") >= 0
-    reached = F.max(F.when(is_base, F.col("end"))).over(at.rowsBetween(Window.unboundedPreceding, -1))
-    coming = F.min(F.when(is_base, F.col("start"))).over(at.rowsBetween(1, Window.unboundedFollowing))
+    reached = F.max(F.when(is_base, F.col("end"))).over(forth.rowsBetween(Window.unboundedPreceding, -1))
+    coming = F.min(F.when(is_base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     touched = F.coalesce(reached > F.col("start"), F.lit(False)) | F.coalesce(coming < F.col("end"), F.lit(False))
     return stage(spans.withColumn("covered", touched), "pii-marked")
 

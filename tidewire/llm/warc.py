@@ -34,6 +34,7 @@ from tidewire.storage import new_folder, stage
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+REQUIRED = ("warc-type", "warc-record-id", "warc-date")
 DATE = "2000-01-01T00:00:00Z"
 #: An empty gzip member; it stands between records so that Spark's text writer can write members.
 SPACER = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
@@ -103,6 +104,8 @@ def read_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         fields[last] = value.strip().decode("utf-8", "replace")
     if not fields.get("content-length", "").isascii() or not fields.get("content-length", "").isdigit():
         raise Damaged("content length")
+    if not all(fields.get(name) for name in REQUIRED):
+        raise Damaged("missing header field")
     begin = head_end + 4
     end = begin + int(fields["content-length"])
     if end > len(data):
