@@ -77,4 +77,39 @@ QUERIES = {
     "op10_source_mixing": op10_source_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+# SQL for the queries that it can express.  The others need the tokenizer, learned models, XXH64 or CRC-32 and are tested
+# against plain computations.
+ORACLE: dict[str, str] = {
+    "op6_ball_tree_top_k": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(x::double * 256)) as v, row_number() over () as r
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.r, q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score, c.r as other
+            from v q join v c on q.r <> c.r where q.vec_id % 50 = 0
+        )
+        select query_id, cast(row_number() over (partition by r order by score desc, vec_id, other) as integer) as rank, vec_id, score
+        from scored qualify row_number() over (partition by r order by score desc, vec_id, other) <= 5
+    """,
+    "op8_warc_salvage": """
+        with p as (
+            select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as h,
+                   row_number() over (partition by coalesce(html, '') order by page_id nulls last) as k,
+                   first_value(page_id) over (partition by coalesce(html, '') order by page_id nulls last) as first_id
+            from pages
+        ), digits as (
+            select *, list_transform(range(8), lambda i: ('0x' || substr(h, 5 * i::int + 1, 5))::bigint) as five from p
+        )
+        select page_id, cast(payload_bytes as bigint) as payload_bytes,
+               array_to_string(list_transform(five, lambda n:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((n >> 15) & 31 as int) + 1, 1) ||
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((n >> 10) & 31 as int) + 1, 1) ||
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((n >> 5) & 31 as int) + 1, 1) ||
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(n & 31 as int) + 1, 1)), '') as payload_digest,
+               case when k = 1 then 'response' else 'revisit' end as record_type,
+               case when k > 1 then first_id end as refers_to
+        from digits
+    """,
+}
