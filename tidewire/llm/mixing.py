@@ -122,7 +122,8 @@ def pieces(rows: DataFrame, planned: DataFrame, *, block: int = BLOCK) -> DataFr
 
 def uses(rows: DataFrame, planned: DataFrame, *, block: int = BLOCK) -> DataFrame:
     """The pieces that the mix takes and how often: blocks joined with the slots by index."""
-    drawn = slots(planned).groupBy("number", "block").agg(F.count("*").alias("times"))
+    # Sizes after an explode are underestimated; the hint keeps the slots from being broadcast.
+    drawn = slots(planned).groupBy("number", "block").agg(F.count("*").alias("times")).hint("merge")
     return pieces(rows, planned, block=block).join(drawn, ["number", "block"])
 
 
