@@ -129,7 +129,8 @@ def links(prints: DataFrame, *, distance: int = DISTANCE, segments: int = SEGMEN
         .filter(F.col("fp").bitwiseAND(F.col("p.low")) == 0)
         .select("fp", F.col("p.segment").alias("segment"), F.col("fp").bitwiseXOR(F.col("p.flip")).bitwiseAND(F.col("p.mask")).alias("value"))
     )
-    found = probes.join(stored, ["segment", "value"]).filter(
+    # Sizes after an explode are underestimated; the hint keeps a table from being broadcast.
+    found = probes.join(stored.hint("merge"), ["segment", "value"]).filter(
         (F.col("fp") != F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= distance)
     )
     return found.select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b")).distinct()
