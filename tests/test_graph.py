@@ -232,3 +232,13 @@ def test_degree_history_counts_changes_only(spark):
     for limit in (1, 100):
         got = {r.node_id: tuple(r)[2:] for r in metrics.degree_history(df, limit=limit).collect()}
         assert got == {2: (3, 1, 4, 2.5), 3: (1, 2, 2, 2.0)}
+
+
+def test_depths_of_a_chain_longer_than_any_cap_and_of_loops(spark):
+    chain = spark.range(2, 10_051).select(F.lit("n").alias("network"), F.lit(0).alias("tick"), F.col("id").alias("node_id"), (F.col("id") - 1).alias("parent_id"), F.lit(False).alias("is_root"))
+    loop = spark.createDataFrame(
+        [("n", 0, 20_001, 20_002, False), ("n", 0, 20_002, 20_001, False), ("n", 0, 1, None, True)],
+        "network string, tick int, node_id long, parent_id long, is_root boolean",
+    )
+    row = graph.depths(chain.union(loop)).agg(F.count("*").alias("n"), F.max("depth").alias("deepest")).first()
+    assert (row.n, row.deepest) == (10_050, 10_049)

@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tidewire.plans import catalog, streams
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["events"]
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = {**catalog.BATCH, **streams.STREAMS}
+SQL = {name: text for name, text in contract.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")

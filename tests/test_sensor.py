@@ -93,3 +93,14 @@ def test_messages(spark):
     assert general[0] == '{ "wind_sum": 9.500000}'
     typed = [r[0] for r in df.select(text.typed_result_message(F.col("k"), "average", F.col("v"))).collect()]
     assert typed == ["{ average wind speed: 9.500000}", "{ average Air quiality: 20.000000}", "{ average temperature: 1.000000}"]
+
+
+def test_not_a_number_is_in_no_range_and_spreads(spark):
+    nan = float("nan")
+    config = sensor.sensor_config(spark)
+    rows = spark.createDataFrame([("wind", nan), ("wind", 500.0), ("wind", -1.0), ("wind", 5.0), ("wind", None)], "sensor_type string, value double")
+    assert [r.is_anomaly for r in sensor.flag_out_of_range(rows, config).collect()] == [False, True, True, False, False]
+    values = spark.createDataFrame([(4.0,), (nan,), (6.0,)], "value double")
+    found = values.agg(*[sensor.aggregate(n)("value").alias(n) for n in ("min", "max", "sum", "average")]).first()
+    assert all(v != v for v in found)
+    assert values.filter("value < 7").agg(sensor.aggregate("min")("value")).first()[0] == 4.0

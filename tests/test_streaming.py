@@ -227,3 +227,32 @@ def test_file_topic_and_result_tables(spark, tmp_path):
         topics.write_result_tables({"topology": rows, "general": rows.limit(1)}, str(tmp_path / "tables"))
     assert spark.read.parquet(str(tmp_path / "tables" / "topology")).count() == 2
     topics.preview(rows, 1)
+
+
+def test_late_rows_and_open_windows_of_time_windows(spark, tmp_path):
+    from tidewire.operators import grid
+
+    rows = [(i % 3, i, f"2024-01-01 00:{(i * 7) % 60:02d}:00", float((i * 13) % 101)) for i in range(600)]
+    table = spark.createDataFrame(rows, "cell int, time_step long, at string, temperature double").withColumn("timestamp", F.to_timestamp("at")).drop("at")
+    handler = time_windows.PaneWindows(str(tmp_path), keys=["cell"], size="600 seconds", slide="60 seconds")
+    for trigger, part in enumerate((2, 0, 1)):  # deliveries out of order; the last one twice
+        handler(table.filter(F.col("time_step") % 3 == part), trigger)
+    handler(table.filter(F.col("time_step") % 3 == 1), 2)
+    whole = grid.sliding_window_differences(table, keys=["cell"], size="600 seconds", slide="60 seconds")
+    assert sorted(map(tuple, handler.result(spark).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_triggers_leave_no_staged_folders(spark, tmp_path):
+    from pathlib import Path
+
+    from tidewire import storage
+
+    staged = Path(storage.shared_folder(spark).removeprefix("file:")) / "tidewire"
+    config = sensor.sensor_config(spark)
+    handler = count_windows.TriggerWindows(str(tmp_path), config)
+    before = set(staged.iterdir()) if staged.exists() else set()
+    for trigger in range(5):
+        raw = spark.createDataFrame([("wind", str(i % 7), 0, trigger * 40 + i) for i in range(40)], "key string, value string, partition int, offset long")
+        handler(count_windows.keyed_readings(raw, config), trigger)
+    assert set(staged.iterdir()) == before
+    assert handler.result(spark).count() == (200 - 20) // 10 + 1

@@ -20,9 +20,6 @@ from . import ordered
 
 GRAPH = ("network", "tick")
 
-# Longest parent chain followed before a node counts as unreachable (fixed value).
-MAX_HOPS = 10_000
-
 _BITS = 64
 
 
@@ -103,9 +100,10 @@ def roots(state: DataFrame, *, keys: Sequence[str] = GRAPH) -> DataFrame:
     )
 
 
-def depths(state: DataFrame, *, keys: Sequence[str] = GRAPH, max_hops: int = MAX_HOPS) -> DataFrame:
+def depths(state: DataFrame, *, keys: Sequence[str] = GRAPH, max_hops: int | None = None) -> DataFrame:
     """Hops of each node below the root; nodes that never reach it (no parent, loop) are left out.
 
+    With ``max_hops`` deeper nodes are left out too.
     Pointer doubling: every open node jumps to its pointer's pointer, so the number of
     rounds is the logarithm of the depth.  Nodes whose pointer has arrived are closed and
     take part only as targets.
@@ -128,7 +126,9 @@ def depths(state: DataFrame, *, keys: Sequence[str] = GRAPH, max_hops: int = MAX
     )
     rounds = Rounds(spark, "depths")
     table = rounds.store(start)
-    for _ in range(math.ceil(math.log2(max_hops + 1)) + 1):
+    # After as many doublings as the largest graph's nodes allow, only loops are open.
+    largest = table.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    for _ in range(math.ceil(math.log2(largest + 1)) + 1):
         if table.filter(~F.col("done")).isEmpty():
             break
         target = table.select(
@@ -150,7 +150,8 @@ def depths(state: DataFrame, *, keys: Sequence[str] = GRAPH, max_hops: int = MAX
             )
         )
         table = rounds.store(table.filter("done").unionByName(jumped))
-    return table.filter(F.col("done") & (F.col("depth") <= max_hops)).select(*keys, "node_id", "depth")
+    near = F.lit(True) if max_hops is None else F.col("depth") <= max_hops
+    return table.filter(F.col("done") & near).select(*keys, "node_id", "depth")
 
 
 def _both_ways(edges: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -71,7 +71,7 @@ def _seconds(text: str) -> int:
     return int(number) * units[unit.rstrip("s")]
 
 
-def sliding_window_differences(
+def panes(
     grid: DataFrame,
     *,
     keys: Sequence[str] = CELL,
@@ -81,19 +81,13 @@ def sliding_window_differences(
     size: str = "100 seconds",
     slide: str = "10 seconds",
 ) -> DataFrame:
-    """Change between the first and last value of every epoch-aligned sliding window.
+    """Rows folded into panes as long as the common divisor of size and slide.
 
-    Rows are first folded into panes as long as the common divisor of size and slide, so
-    the copies a row makes (one per window it belongs to) are made from panes, not rows.
-    Both groupings combine before their shuffle, so no pane or window of a hot cell
-    arrives whole in one task.  Partial windows at both ends of the series are kept, and
-    window_start / window_end are the extremes of the data inside the window.
+    Panes of parts of the rows can be put together: ``windows_of_panes`` takes any number of rows per pane.
     """
-    size_s, slide_s = _seconds(size), _seconds(slide)
-    pane_s = math.gcd(size_s, slide_s)
     second = F.floor(ordered.micros(time) / F.lit(1_000_000))
-    panes = (
-        grid.groupBy(*keys, F.floor(second / F.lit(pane_s)).alias("__pane"))
+    return (
+        grid.groupBy(*keys, F.floor(second / F.lit(math.gcd(_seconds(size), _seconds(slide)))).alias("pane"))
         .agg(
             F.min_by(value, order).alias("first_value"),
             F.max_by(value, order).alias("last_value"),
@@ -103,12 +97,41 @@ def sliding_window_differences(
             F.max(order).alias("last_step"),
         )
     )
+
+
+def sliding_window_differences(
+    grid: DataFrame,
+    *,
+    keys: Sequence[str] = CELL,
+    order: str = "time_step",
+    value: str = "temperature",
+    time: str = "timestamp",
+    size: str = "100 seconds",
+    slide: str = "10 seconds",
+) -> DataFrame:
+    """Change between the first and last value of every epoch-aligned sliding window.
+
+    Rows are first folded into panes, so the copies a row makes (one per window it belongs to)
+    are made from panes, not rows.  Both groupings combine before their shuffle, so no pane or
+    window of a hot cell arrives whole in one task.  Partial windows at both ends of the series are
+    kept, and window_start / window_end are the extremes of the data inside the window.
+    """
+    folded = panes(grid, keys=keys, order=order, value=value, time=time, size=size, slide=slide)
+    return windows_of_panes(folded, keys=keys, size=size, slide=slide)
+
+
+def windows_of_panes(
+    folded: DataFrame, *, keys: Sequence[str] = CELL, size: str = "100 seconds", slide: str = "10 seconds"
+) -> DataFrame:
+    """The sliding windows made of panes."""
+    size_s, slide_s = _seconds(size), _seconds(slide)
+    pane_s = math.gcd(size_s, slide_s)
     # Windows start at multiples of the slide; those holding the pane start in (pane_end - size, pane_start].
-    start = F.col("__pane") * F.lit(pane_s)
+    start = F.col("pane") * F.lit(pane_s)
     lowest = F.floor((start + F.lit(pane_s - size_s - 1)) / F.lit(slide_s)) + 1
     highest = F.floor(start / F.lit(slide_s))
     return (
-        panes.withColumns({"__lowest": lowest, "__highest": highest})
+        folded.withColumns({"__lowest": lowest, "__highest": highest})
         .filter(F.col("__lowest") <= F.col("__highest"))
         .withColumn("__window", F.explode_outer(F.sequence("__lowest", "__highest")))
         .groupBy(*keys, "__window")

@@ -73,13 +73,14 @@ def with_history(
     reports: DataFrame,
     *,
     stale: float,
-    columns: Sequence[str] = ("parent_id",),
+    columns: Sequence[str] | None = None,
     keys: Sequence[str] = NODE,
     order: str = "offset",
     limit: int = ordered.ROW_LIMIT,
 ) -> DataFrame:
     """Fill missing fields with the node's last value and add what its neighbors in time decide.
 
+    ``columns`` are the fields to fill; by default all of ``KEPT`` that are there.
     A node that was silent for over ``stale`` seconds starts a new session and forgets its
     values.  Adds ``session_start`` and ``next_t``, the time of the node's next report.
 
@@ -88,6 +89,7 @@ def with_history(
     last time and the last marker; whether a chunk's first row starts a session, and which
     marker holds before it, follow from the summaries of the chunks before.
     """
+    columns = [c for c in KEPT if c in reports.columns] if columns is None else columns
     gap = F.lit(_micros(stale))
     local = ordered.chunk_window(keys, order)
     cut = ordered.chunked(reports, keys, order, limit).with_columns(

@@ -31,10 +31,16 @@ CONFIG = T.StructType(
 # Largest configuration that is broadcast; a bigger one is joined by shuffling.
 MAX_BROADCAST_TYPES = 10_000
 
+
+def _smallest(column: str) -> Column:
+    """Minimum that is NaN as soon as one value is, like the other aggregates."""
+    return F.when(F.bool_or(F.isnan(column)), F.lit(float("nan"))).otherwise(F.min(column))
+
+
 AGGREGATES: dict[str, Callable[[str], Column]] = {
     "average": F.avg,
     "sum": F.sum,
-    "min": F.min,
+    "min": _smallest,
     "max": F.max,
 }
 
@@ -44,7 +50,7 @@ def aggregate(name: str) -> Callable[[str], Column]:
     try:
         return AGGREGATES[name]
     except KeyError:
-        raise ValueError(f"Unknown aggregation type: {name}") from None
+        raise ValueError(f"no aggregate named {name!r}; known: {sorted(AGGREGATES)}") from None
 
 
 def sensor_config(spark, types: Mapping[str, Sequence] | None = None) -> DataFrame:
@@ -71,7 +77,9 @@ def parse_values(raw: DataFrame, *, text: str = "value", out: str = "value") ->
 def flag_out_of_range(readings: DataFrame, config: DataFrame) -> DataFrame:
     """Add ``is_anomaly``; types without a configured range are never anomalous."""
     ranges = config.select("sensor_type", "low", "high")
-    outside = ~F.col("value").between(F.col("low"), F.col("high"))
+    # A value that is not a number lies on neither side; Spark would order it above every number.
+    value = F.col("value")
+    outside = (value < F.col("low")) | ((value > F.col("high")) & ~F.isnan(value))
     return (
         readings.join(ranges, "sensor_type", "left")
         .withColumn("is_anomaly", F.coalesce(outside, F.lit(False)))

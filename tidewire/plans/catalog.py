@@ -279,7 +279,7 @@ def tree_diameter_apl(spark, sf_dir):
 
 def weighted_diameter_apl(spark, sf_dir):
     return rounded(
-        graph.weighted_metrics(_mutual(spark, sf_dir, every=7 * views.DAY)),
+        graph.weighted_metrics(_mutual(spark, sf_dir)),
         "diameter_weighted",
         "avg_path_len_weighted",
     )

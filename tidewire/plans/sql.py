@@ -293,6 +293,19 @@ at_msg as (
                  as neighbor_avg_over_time from at_msg""")
 _add("sticky_parent", _reports(),
      """select event_id as "offset", node_id, parent_id, (pt is null or t - pt > 172800000000) as session_start from kept""")
+_KEPT = {
+    "parent_id": "raw_parent",
+    "ipv6": "case when k % 6 = 0 then format('fe80::{:x}:{:x}:{:x}:{:x}', xor(node_id, 512), node_id, node_id, node_id) end",
+    "objective_function": "case when k % 5 <> 0 then objective_function end",
+    "dodag_id": "case when k % 4 <> 0 then concat('fd00::', k % 3) end",
+    "dodag_version": "case when k % 2 = 0 then k % 9 end",
+    "rank": "case when k % 3 <> 1 then rank end",
+    "dag_rank": "case when k % 3 <> 2 then rank // 128 end",
+}
+_add("kept_fields", _reports(),
+     "select event_id as \"offset\", node_id, " + ", ".join(f"last_value({e} ignore nulls) over w as {c}" for c, e in _KEPT.items())
+     + """, (pt is null or t - pt > 172800000000) as session_start from sessions
+        window w as (partition by node_id, sid order by event_id rows between unbounded preceding and current row)""")
 _add("neighbor_sets", _reports(),
      """select event_id as "offset", node_id, degree, coalesce(ids, '') as neighbors
         from rep join deg using (event_id) left join (
@@ -340,7 +353,7 @@ _add("hop_diameter_apl", f"{_states()},\n{MUTUAL_EDGES},\n{_all_pairs('edges', '
 _add("tree_diameter_apl", f"{_states()},\n{TREE_PAIRS}",
      """select 'mesh' as network, tick, cast(max(dist) as bigint) as diameter, round(avg(dist), 6) as avg_path_len
         from tdist where src <> node group by tick""", True)
-_add("weighted_diameter_apl", f"{_states(7 * DAY)},\n{MUTUAL_EDGES},\n{_all_pairs('edges', 'costs', 'cost')}",
+_add("weighted_diameter_apl", f"{_states()},\n{MUTUAL_EDGES},\n{_all_pairs('edges', 'costs', 'cost')}",
      """select 'mesh' as network, tick, round(max(dist), 6) as diameter_weighted, round(avg(dist), 6) as avg_path_len_weighted
         from costs where src <> node group by tick""", True)
 _add("node_table", _states(),
@@ -419,8 +432,11 @@ placed as (
   from readings)""",
      """select sensor_type, min(seq) as window_start_step, max(seq) as window_end_step,
                round(arg_max(value, seq) - arg_min(value, seq), 6) as temp_diff
-        from placed where (w * 36000 + 360000) * 1000 <= (select max(epoch_us(ts)) // 1000 from readings)
-        group by sensor_type, w""")
+        from placed group by sensor_type, w""")
+for _n in (1, 2, 3):
+    _query = {1: "q1_consecutive_diff", 2: "q2_time_window", 3: "q3_max_window_diff"}[_n]
+    STATEMENTS[f"q{_n}_sorted_csv"] = f"{STATEMENTS[_query]} order by all"
+STATEMENTS["q1_first_rows"] = f"{STATEMENTS['q1_consecutive_diff']} order by x, y limit 20"
 _add("stream_network_state", _states(),
      """select 'mesh' as network, tick, node_id, event_id as "offset", parent_id, degree, age from vis
         where tick * 1000000 <= (select max(t) from rep)""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from tidewire.operators import reports, sensor
 from tidewire.sources import grid_csv, reports_json, topics
 from tidewire.streaming import count_windows, network_state, runs, time_windows
 
-from . import views
+from . import catalog, views
 from .catalog import Query, _windows, rounded
 
 
@@ -26,6 +28,36 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _deliveries(spark: SparkSession, sf_dir: str, parts: int = 4) -> Iterator[DataFrame]:
+    """The table in several deliveries, by event: a stream over what has come so far, once per delivery.
+
+    A stream that is run on each of them is stopped and restarted from its checkpoint in between.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    folder = storage.new_folder(spark, "deliveries")
+    cuts = table.approxQuantile("event_id", [i / parts for i in range(1, parts)], 0.01)
+    share = F.lit(0)
+    for cut in cuts:
+        share = share + (F.col("event_id") > cut).cast("int")
+    for part in range(parts):
+        table.filter(share == part).write.parquet(f"{folder}/part={part}")
+        stream = spark.readStream.schema(table.schema).parquet(f"{folder}/part=*")
+        yield stream.select(
+            "event_id", "ts", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("bigint").alias("k")
+        )
+
+
+def _trigger_windows(spark: SparkSession, sf_dir: str, readings_of: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    folder = storage.new_folder(spark, label)
+    handler = None
+    for stream in _deliveries(spark, sf_dir):
+        handler = count_windows.TriggerWindows(folder, sensor.sensor_config(spark))
+        writer = readings_of(stream).writeStream.foreachBatch(handler).option("checkpointLocation", f"{folder}/checkpoint")
+        runs.run_available(writer)
+    return rounded(handler.result(spark), "result")
+
+
 def _finished(rows: DataFrame, label: str) -> DataFrame:
     """Run to completion into a fresh folder of the shared storage and read the result."""
     spark = rows.sparkSession
@@ -44,10 +76,9 @@ def _topic_rows(stream: DataFrame) -> DataFrame:
 
 
 def stream_count_windows(spark, sf_dir):
-    readings = count_windows.keyed_readings(
-        _topic_rows(_event_stream(spark, sf_dir)), sensor.sensor_config(spark)
-    )
-    return rounded(_finished(count_windows.count_windows(readings), "count-windows"), "result")
+    """Several deliveries with a restart in between; the open windows are kept between triggers."""
+    config = sensor.sensor_config(spark)
+    return _trigger_windows(spark, sf_dir, lambda s: count_windows.keyed_readings(_topic_rows(s), config), "count-windows")
 
 
 def stream_trigger_windows(spark, sf_dir):
@@ -63,26 +94,28 @@ def stream_trigger_windows(spark, sf_dir):
 
 
 def stream_flush_windows(spark, sf_dir):
-    rows = _topic_rows(_event_stream(spark, sf_dir))
-    is_command = F.col("offset") % 97 == 0
-    readings = count_windows.keyed_readings(
-        rows.filter(~is_command), sensor.sensor_config(spark), rows.filter(is_command)
-    )
-    return rounded(_finished(count_windows.count_windows(readings), "flush-windows"), "result")
+    config, is_command = sensor.sensor_config(spark), F.col("offset") % 97 == 0
+
+    def readings(stream: DataFrame) -> DataFrame:
+        rows = _topic_rows(stream)
+        return count_windows.keyed_readings(rows.filter(~is_command), config, rows.filter(is_command))
+
+    return _trigger_windows(spark, sf_dir, readings, "flush-windows")
 
 
 def stream_time_windows(spark, sf_dir):
     """Windows per sensor type in place of cells; the event number stands for the step."""
-    stream = _event_stream(spark, sf_dir).select(
-        views.sensor_type(F.col("event_type")).alias("sensor_type"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.col("event_id").alias("time_step"),
-        F.col("value").alias("temperature"),
-    )
-    windows = time_windows.sliding_window_differences(
-        stream, keys=["sensor_type"], size="100 hours", slide="10 hours"
-    )
-    done = _finished(windows, "time-windows")
+    folder = storage.new_folder(spark, "time-windows")
+    handler = time_windows.PaneWindows(folder, keys=["sensor_type"], size="100 hours", slide="10 hours")
+    for stream in _deliveries(spark, sf_dir):
+        rows = stream.select(
+            views.sensor_type(F.col("event_type")).alias("sensor_type"),
+            F.col("ts").cast("timestamp").alias("timestamp"),
+            F.col("event_id").alias("time_step"),
+            F.col("value").alias("temperature"),
+        )
+        runs.run_available(rows.writeStream.foreachBatch(handler).option("checkpointLocation", f"{folder}/checkpoint"))
+    done = handler.result(spark)
     return rounded(done.select("sensor_type", "window_start_step", "window_end_step", "temp_diff"), "temp_diff")
 
 
@@ -125,6 +158,34 @@ def stream_network_metrics(spark, sf_dir):
     )
 
 
+# --- sorted results and sinks ---------------------------------------------------------
+
+
+def _sorted_csv(rows: DataFrame, order: list[str], label: str) -> DataFrame:
+    """Write the result in order as CSV with header, and read it back."""
+    spark = rows.sparkSession
+    folder = storage.new_folder(spark, label)
+    topics.write_csv(topics.in_order(rows, order), folder)
+    return topics.read_csv(spark, folder, rows.schema)
+
+
+def q1_sorted_csv(spark, sf_dir):
+    return _sorted_csv(catalog.q1_consecutive_diff(spark, sf_dir), ["x", "y"], "q1-csv")
+
+
+def q2_sorted_csv(spark, sf_dir):
+    windows = catalog.q2_time_window(spark, sf_dir)
+    return _sorted_csv(windows, ["x", "y", "window_start_step", "window_end_step"], "q2-csv")
+
+
+def q3_sorted_csv(spark, sf_dir):
+    return _sorted_csv(catalog.q3_max_window_diff(spark, sf_dir), ["x", "y"], "q3-csv")
+
+
+def q1_first_rows(spark, sf_dir):
+    return topics.in_order(catalog.q1_consecutive_diff(spark, sf_dir), ["x", "y"], first=20)
+
+
 # --- file round trips and topic rows ------------------------------------------------
 
 
@@ -202,11 +263,20 @@ def reset_states(spark, sf_dir):
     return history.select("offset", "node_id", "epoch", "parent_id", "session_start")
 
 
+def kept_fields(spark, sf_dir):
+    """Every field a report may leave out, filled with the node's last value of the session."""
+    decoded = reports.decode(views.gappy_reports(views.events(spark, sf_dir)))
+    history = reports.with_history(decoded, stale=views.STALE)
+    whole = [F.col(c).cast("bigint").alias(c) for c in ("dodag_version", "rank", "dag_rank")]
+    return history.select("offset", "node_id", "parent_id", "ipv6", "objective_function", "dodag_id", *whole, "session_start")
+
+
 STREAMS: dict[str, Query] = {
     f.__name__: f
     for f in (
         stream_count_windows, stream_trigger_windows, stream_flush_windows, stream_time_windows, stream_network_state,
         stream_network_metrics, grid_csv_snapshots, report_json_source, report_json_quarantine,
-        output_topic_rows, next_topic_routing, reset_states,
+        output_topic_rows, next_topic_routing, reset_states, kept_fields, q1_sorted_csv, q2_sorted_csv, q3_sorted_csv,
+        q1_first_rows,
     )
 }

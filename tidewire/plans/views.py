@@ -133,6 +133,22 @@ def mesh_reports(ev: DataFrame, *, flagged_roots: bool = False, max_node: Column
     )
 
 
+def gappy_reports(ev: DataFrame) -> DataFrame:
+    """Reports that leave fields out now and then."""
+    k, node = F.col("__k"), F.col("node_id").cast("bigint")
+    known = mesh_reports(ev).join(ev.select(F.col("event_id").alias("offset"), F.col("k").alias("__k")), "offset")
+    return known.withColumns(
+        {
+            "ipv6": F.when(k % 6 == 0, address(node)),
+            "objective_function": F.when(k % 5 != 0, F.col("objective_function")),
+            "dodag_id": F.when(k % 4 != 0, F.concat(F.lit("fd00::"), (k % 3).cast("string"))),
+            "dodag_version": F.when(k % 2 == 0, k % 9).cast("int"),
+            "rank": F.when(k % 3 != 1, F.col("rank")),
+            "dag_rank": F.when(k % 3 != 2, F.col("dag_rank")),
+        }
+    ).drop("__k")
+
+
 def node_reports(ev: DataFrame, **options) -> DataFrame:
     """Decoded reports with kept parents."""
     return reports.with_history(reports.decode(mesh_reports(ev, **options)), stale=STALE)

@@ -6,10 +6,11 @@ The broker connector is an optional jar; everything downstream works on the rows
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidewire.schemas import RAW_READING
@@ -140,9 +141,24 @@ def write_result_tables(tables: dict[str, DataFrame], folder: str) -> None:
         table.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
 
 
+def in_order(df: DataFrame, order: Sequence[str], *, first: int | None = None) -> DataFrame:
+    """The result sorted for a sink or a reader; ``first`` keeps that many rows of it."""
+    rows = df.orderBy(*order)
+    return rows if first is None else rows.limit(first)
+
+
+# Times to the microsecond; the defaults of the format cut them.
+_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_csv(df: DataFrame, folder: str, *, rows_per_file: int = 1_000_000) -> None:
     """CSV with header, replacing the folder; file size is bounded without counting first."""
-    df.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", rows_per_file).csv(folder)
+    df.write.mode("overwrite").options(header=True, maxRecordsPerFile=rows_per_file, **_TIMES).csv(folder)
+
+
+def read_csv(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """A result written by ``write_csv``."""
+    return spark.read.schema(schema).options(header=True, **_TIMES).csv(folder)
 
 
 def preview(df: DataFrame, rows: int = 10) -> None:

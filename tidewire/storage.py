@@ -7,12 +7,16 @@ machine-local folder is used only when the master itself is local.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASES: dict[str, str] = {}
+_SCOPES = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,7 +40,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/tidewire/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidewire/{label}-{uuid.uuid4().hex}"
+    for scope in getattr(_SCOPES, "open", [])[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Drops every folder made inside once the block ends; for work whose results are written elsewhere."""
+    _SCOPES.open = [*getattr(_SCOPES, "open", []), []]
+    try:
+        yield
+    finally:
+        *_SCOPES.open, made = _SCOPES.open
+        for path in made:
+            drop(spark, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove everything staged below the shared folder, once no result that reads it is needed any more."""
+    drop(spark, f"{shared_folder(spark)}/tidewire")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -46,7 +46,7 @@ class CountWindow(StatefulProcessor):
 
     def __init__(self, aggregate: str):
         if aggregate not in REDUCERS:
-            raise ValueError(f"Unknown aggregation type: {aggregate}")
+            raise ValueError(f"no aggregate named {aggregate!r}; known: {sorted(REDUCERS)}")
         self.reduce = REDUCERS[aggregate]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -150,6 +150,10 @@ class TriggerWindows:
         return f"{self.folder}/state/trigger={trigger}"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with storage.temporary(batch.sparkSession):
+            self._trigger(batch, batch_id)
+
+    def _trigger(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = storage.stage(batch.select(*self.COLUMNS), "trigger")
         seen = rows.select("sensor_type").limit(0).selectExpr(

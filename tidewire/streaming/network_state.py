@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidewire import storage
 from tidewire.operators import metrics, reports
 
 NEIGHBORS = "array<struct<id:bigint,cost:double>>"
@@ -206,6 +207,10 @@ class TickMetrics:
         self.folder = folder.rstrip("/")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with storage.temporary(batch.sparkSession):
+            self._trigger(batch, batch_id)
+
+    def _trigger(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{self.folder}/state/trigger={batch_id}")
         arrived = spark.read.schema(batch.schema).parquet(f"{self.folder}/state/trigger={batch_id}")

@@ -1,13 +1,13 @@
-"""Time sliding windows on a stream."""
+"""Time sliding windows on a stream: appended once closed, or kept up to date whatever the order of arrival."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.operators.grid import CELL
+from tidewire.operators.grid import CELL, panes, windows_of_panes
 
 
 def sliding_window_differences(
@@ -34,3 +34,24 @@ def sliding_window_differences(
         )
         .drop("window")
     )
+
+
+class PaneWindows:
+    """``foreachBatch`` handler: folds each trigger's rows into panes; ``result`` makes the windows of all panes.
+
+    A late row adds to its pane whenever it comes, and windows that are still open are there too.  A trigger
+    writes its panes under its number, so a repeated trigger replaces its own.
+    """
+
+    def __init__(self, folder: str, *, keys: Sequence[str] = CELL, size: str = "100 seconds", slide: str = "10 seconds", **columns: str):
+        self.folder, self.keys, self.size, self.slide, self.columns = folder.rstrip("/"), keys, size, slide, columns
+        self.schema = None
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        folded = panes(batch, keys=self.keys, size=self.size, slide=self.slide, **self.columns)
+        self.schema = folded.schema
+        folded.write.mode("overwrite").parquet(f"{self.folder}/panes/trigger={batch_id}")
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        folded = spark.read.schema(self.schema).parquet(f"{self.folder}/panes/trigger=*")
+        return windows_of_panes(folded, keys=self.keys, size=self.size, slide=self.slide)
