@@ -88,3 +88,15 @@ def test_limit_must_be_positive(spark, rows):
     df = spark.createDataFrame(rows, "k int, o long, v double")
     with pytest.raises(ValueError):
         ordered.chunked(df, ["k"], "o", 0)
+
+
+def test_bursts_and_equal_first_fields_are_cut_too(spark):
+    rows = spark.range(100_000).select(
+        F.lit(1).alias("k"), F.when(F.col("id") < 99_000, F.col("id")).otherwise(F.col("id") * 1_000_000_000).alias("o"), F.col("id").alias("v")
+    )
+    cut = ordered.chunked(rows, ["k"], "o", limit=5000)
+    assert cut.rows.groupBy("k", ordered.CHUNK).count().agg(F.max("count")).first()[0] <= 5000
+    ties = rows.select("k", F.struct((F.col("v") % 2).alias("a"), F.col("v").alias("b")).alias("o"))
+    assert ordered.chunked(ties, ["k"], "o", limit=5000).rows.groupBy("k", ordered.CHUNK).count().agg(F.max("count")).first()[0] <= 5000
+    numbered = ordered.number_rows(rows, keys=["k"], order="o", out="n", limit=20_000)
+    assert numbered.filter("n <> v + 1").isEmpty()

@@ -5,8 +5,8 @@ while keys are small and breaks when one key holds a large share of the data.  E
 operator here first looks at the key sizes (one aggregate over the key columns):
 
 * no key above ``limit`` rows: the plain window, one shuffle, nothing else;
-* otherwise the long keys are cut into chunks along the order column.  The rows are
-  shuffled once, on ``(key, chunk)``, the window runs inside a chunk, and the chunk
+* otherwise the long keys are cut into chunks along the order column.  The window runs
+  inside a chunk, on rows shuffled by ``(key, chunk)``, and the chunk
   borders are repaired by a carry computed from one summary row per chunk.  Only that
   small table is ever windowed over a whole key, and the carry joins back on the
   partitioning the rows already have.
@@ -20,7 +20,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewire.storage import stage
 
@@ -37,16 +36,6 @@ def micros(column: Column | str) -> Column:
     return F.unix_micros(column.cast("timestamp"))
 
 
-def _position(df: DataFrame, order: str) -> Column:
-    """The order column as a number; a struct is cut by its first field."""
-    kind, value = df.schema[order].dataType, F.col(order)
-    if isinstance(kind, T.StructType):
-        value, kind = value[kind[0].name], kind[0].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        value = micros(value)
-    return value.cast("bigint")
-
-
 class Chunked:
     """Rows with their chunk number, and whether any key had to be cut."""
 
@@ -81,27 +70,22 @@ class Chunked:
 def chunked(df: DataFrame, keys: Sequence[str], order: str, limit: int = ROW_LIMIT) -> Chunked:
     """Cut keys with more than ``limit`` rows; chunks are ordered like the rows.
 
-    The chunk width is fitted per key, to a quarter of ``limit`` rows on average, so an
-    uneven stretch of a key still fits a task.  The table of cut keys has at most
-    rows / limit entries; it is staged, so Spark sees its size and broadcasts it only
-    while it is small.
+    The rows of long keys are dealt into ranges of (keys, whole order column) of half of ``limit`` rows each; Spark
+    takes the borders from a sample of the rows, so a burst gets as many chunks as it needs, and equal
+    first fields of a struct order are cut by its further ones.  The dealt rows are staged, which fixes their
+    chunks for everything that reads them.
     """
     if limit < 1:
         raise ValueError("a key must be allowed at least 1 row")
-    position = _position(df, order)
-    sizes = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(position).alias("__low"), F.max(position).alias("__high"))
-        .filter(F.col("__n") > limit)
-    )
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
     if sizes.isEmpty():
         return Chunked(df.withColumn(CHUNK, F.lit(0).cast("bigint")), keys, False)
-    span = (F.col("__high") - F.col("__low") + 1).cast("double")
-    width = F.greatest(F.lit(1), F.floor(span * F.lit(max(1, limit // 4)) / F.col("__n")))
-    cuts = stage(sizes.select(*keys, "__low", width.alias("__width")), "cuts")
-    number = F.floor((position - F.col("__low")) / F.col("__width"))
-    rows = df.join(cuts, list(keys), "left").withColumn(CHUNK, F.coalesce(number, F.lit(0)))
-    return Chunked(rows.drop("__low", "__width"), keys, True)
+    long_keys = stage(sizes, "long-keys")
+    chunks = -(-long_keys.agg(F.sum("__n")).first()[0] // max(1, limit // 2))
+    dealt = df.join(long_keys.drop("__n"), list(keys), "left_semi").repartitionByRange(chunks, *keys, order)
+    dealt = stage(dealt.withColumn(CHUNK, F.spark_partition_id().cast("bigint")), "chunks")
+    short = df.join(long_keys.drop("__n"), list(keys), "left_anti").withColumn(CHUNK, F.lit(0).cast("bigint"))
+    return Chunked(dealt.unionByName(short), keys, True)
 
 
 def chunk_window(keys: Sequence[str], order: str):

@@ -86,11 +86,11 @@ def sample_reroute(spark, sf_dir):
     ).select("seq", "value", "target_type", "topic")
 
 
-def _positions(spark, sf_dir, control: Column | None = None):
+def _positions(spark, sf_dir, control: Column | None = None, **options):
     config = sensor.sensor_config(spark)
     flagged = sensor.known_types(_flagged(spark, sf_dir), config)
     if control is None:
-        return sensor.with_window_positions(flagged)
+        return sensor.with_window_positions(flagged, **options)
     return sensor.with_window_positions(flagged.withColumn("is_command", control), control="is_command")
 
 
@@ -103,6 +103,12 @@ def count_window(name, spark, sf_dir):
     return rounded(_windows(spark, sf_dir, name).withColumnRenamed(name, "result"), "result")
 
 
+def reset_epochs_cut(spark, sf_dir):
+    """The same with every sensor type cut into chunks, as a key beyond the row limit is."""
+    limit = max(20, views.events(spark, sf_dir).count() // 16)
+    return _positions(spark, sf_dir, limit=limit).select("seq", "sensor_type", "is_anomaly", "epoch", "position")
+
+
 def reset_epochs(spark, sf_dir):
     return _positions(spark, sf_dir).select("seq", "sensor_type", "is_anomaly", "epoch", "position")
 
@@ -372,7 +378,7 @@ BATCH: dict[str, Query] = {
     f.__name__: f
     for f in (
         q1_consecutive_diff, q2_time_window, q3_max_window_diff, step_convergence, stencil_residual,
-        sensor_parse_quarantine, sensor_range_flags, unknown_sensor_reject, sample_reroute, reset_epochs,
+        sensor_parse_quarantine, sensor_range_flags, unknown_sensor_reject, sample_reroute, reset_epochs, reset_epochs_cut,
         manual_flush_windows, window_message_format,
         node_id_from_addr, link_local_from_lladdr, link_cost, symmetric_cost, dag_rank, objective_names,
         latest_report, state_as_of_tick, state_as_of_instants, message_degree_means, sticky_parent, neighbor_sets, neighbor_table_merge,

@@ -242,6 +242,7 @@ digests as (select seq, value, md5(concat('0:', cast(seq as varchar))) as h from
 for _name, _expr in (("avg", "avg(value)"), ("sum", "sum(value)"), ("min", "min(value)"), ("max", "max(value)")):
     _add(f"count_window_{_name}", _count_windows(f"{_expr} as r"), _result("r"))
 _add("reset_epochs", _positions(), "select seq, sensor_type, is_anomaly, cast(epoch as bigint) as epoch, position from positions")
+STATEMENTS["reset_epochs_cut"] = STATEMENTS["reset_epochs"]
 _add("manual_flush_windows", _count_windows("avg(value) as r", _positions("seq % 97 = 0")), _result("r"))
 _MESSAGE = """printf('{ "%s_average": %f}', sensor_type, r)"""
 _TYPED = """printf('{ average %s: %f}', case sensor_type when 'wind' then 'wind speed' when 'airQuality' then 'Air quiality'
