@@ -215,7 +215,7 @@ def degree_at_messages(
 
     Sums over the visible nodes change only when a report arrives or runs out, so they are
     running sums of these changes: two rows per report instead of one row per message and
-    node.  A node's new report takes the place of its last one if that is still visible; a
+    node.  The router's own messages change nothing but get their row; without visible nodes the mean is 0.  A node's new report takes the place of its last one if that is still visible; a
     report that is not replaced in time leaves after ``stale`` seconds.
     """
     stays = F.lit(int(round(stale * 1_000_000)))
@@ -245,14 +245,20 @@ def degree_at_messages(
         F.lit(-1).cast("bigint").alias("__nodes"),
         (-F.col("degree")).alias("__degrees"),
     )
-    changes = stage(arrivals.unionByName(expiries), "changes")
+    routers = reports.filter(F.col("node_id") == addresses.ROOT_ID).select(
+        "network",
+        F.struct("t", F.lit(0).alias("kind"), F.col(order).alias("id")).alias("__at"),
+        F.lit(0).cast("bigint").alias("__nodes"),
+        F.lit(0).cast("bigint").alias("__degrees"),
+    )
+    changes = stage(arrivals.unionByName(expiries).unionByName(routers), "changes")
     sums = {"visible": F.col("__nodes"), "degrees": F.col("__degrees")}
     totals = ordered.running_sums(changes, keys=["network"], order="__at", sums=sums, limit=limit)
     messages = totals.filter(F.col("__at.kind") == 0).select(
         "network",
         F.col("__at.id").alias(order),
         "visible",
-        (F.col("degrees") / F.col("visible")).alias("neighbor_avg"),
+        F.coalesce(F.try_divide("degrees", "visible"), F.lit(0.0)).alias("neighbor_avg"),
     )
     means = {"__sum": F.col("neighbor_avg"), "__n": F.lit(1).cast("bigint")}
     return (
