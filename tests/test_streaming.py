@@ -256,3 +256,24 @@ def test_triggers_leave_no_staged_folders(spark, tmp_path):
         handler(count_windows.keyed_readings(raw, config), trigger)
     assert set(staged.iterdir()) == before
     assert handler.result(spark).count() == (200 - 20) // 10 + 1
+
+
+def test_states_equal_the_batch_whatever_the_order_of_arrival(spark, tmp_path):
+    random.seed(4)
+    rows = [
+        ("n", i, (i * 700 + random.randint(0, 300)) * 1_000_000, random.randint(2, 9), random.choice([None, 1, 2, 3]), random.randint(0, 5))
+        for i in range(240)
+    ]
+    schema = "network string, offset long, t long, node_id long, parent_id long, degree int"
+    table = spark.createDataFrame(rows, schema)
+    whole = reports.state_at_intervals(reports.with_history(table, stale=9000), every=3600, stale=9000)
+    names = ["network", "tick", "node_id", "offset", "parent_id", "degree", "age"]
+    want = sorted(map(str, whole.select(*names).collect()))
+    for label, order in (("kept", (0, 1, 2)), ("mixed", (2, 0, 1)), ("again", (1, 0, 2))):
+        handler = network_state.TriggerStates(str(tmp_path / label), every=3600, stale=9000)
+        for trigger, part in enumerate(order):
+            batch = table.filter((F.col("offset") >= part * 80) & (F.col("offset") < part * 80 + 80))
+            handler(batch, trigger)
+            if label == "again" and trigger == 1:
+                handler(batch, trigger)
+        assert sorted(map(str, handler.result(spark).select(*names).collect())) == want

@@ -423,7 +423,7 @@ _add("network_summary", _instant(),
                round(neighbor_avg, 3) as neighbor_avg, objective_function as "of", root_id as root from inst""", True)
 
 
-# --- streams give the batch result, up to the ticks and windows the data itself has passed -----------
+# --- streams give the batch result -----------
 for _stream, _batch in (("stream_count_windows", "count_window_avg"), ("stream_trigger_windows", "count_window_avg"),
                         ("stream_flush_windows", "manual_flush_windows")):
     STATEMENTS[_stream] = STATEMENTS[_batch]
@@ -439,12 +439,11 @@ for _n in (1, 2, 3):
     STATEMENTS[f"q{_n}_sorted_csv"] = f"{STATEMENTS[_query]} order by all"
 STATEMENTS["q1_first_rows"] = f"{STATEMENTS['q1_consecutive_diff']} order by x, y limit 20"
 _add("stream_network_state", _states(),
-     """select 'mesh' as network, tick, node_id, event_id as "offset", parent_id, degree, age from vis
-        where tick * 1000000 <= (select max(t) from rep)""")
+     """select 'mesh' as network, tick, node_id, event_id as "offset", parent_id, degree, age from vis""")
 _add("stream_network_metrics", _instant(),
      """select network, tick, node_count, undirected_edge_count, tree_edge_count, diameter, round(depth_avg, 6) as depth_avg,
                round(neighbor_avg, 6) as neighbor_avg, round(avg_path_len, 6) as avg_path_len
-        from inst where tick * 1000000 <= (select max(t) from rep)""", True)
+        from inst""", True)
 _add("grid_csv_snapshots", GRID, "select x, y, time_step, time_step as seconds, temperature from grid")
 _add("report_json_source", _reports(),
      """select event_id, node_id, seq, objective_function, rank, coalesce(n, 0) as listed

@@ -119,40 +119,28 @@ def stream_time_windows(spark, sf_dir):
     return rounded(done.select("sensor_type", "window_start_step", "window_end_step", "temp_diff"), "temp_diff")
 
 
-def _report_stream(spark, sf_dir):
-    stream = _event_stream(spark, sf_dir)
+def _network_states(spark, sf_dir, label: str, *, parts: int = 4, with_metrics: bool = False) -> network_state.TriggerStates:
     # The candidate neighbors need the highest node id, a value of the whole table.
     top = views.events(spark, sf_dir).agg(F.max("user_id") + 2).first()[0]
-    return reports.decode(views.mesh_reports(stream, max_node=F.lit(top)))
+    folder = storage.new_folder(spark, label)
+    handler = network_state.TriggerStates(folder, every=views.DAY, stale=views.STALE, with_metrics=with_metrics)
+    for stream in _deliveries(spark, sf_dir, parts):
+        rows = reports.decode(views.mesh_reports(stream, max_node=F.lit(top)))
+        runs.run_available(rows.writeStream.foreachBatch(handler).option("checkpointLocation", f"{folder}/checkpoint"))
+    return handler
 
 
 def stream_network_state(spark, sf_dir):
-    states = network_state.snapshots(
-        _report_stream(spark, sf_dir).withColumn("received_at", F.col("received_at").cast("timestamp")),
-        every=views.DAY,
-        stale=views.STALE,
-        shards=8,
-    )
-    return _finished(states, "network-state").select("network", "tick", "node_id", "offset", "parent_id", "degree", "age")
+    states = _network_states(spark, sf_dir, "network-state").result(spark)
+    return states.select("network", "tick", "node_id", "offset", "parent_id", "degree", "age")
 
 
 def stream_network_metrics(spark, sf_dir):
-    states = network_state.snapshots(
-        _report_stream(spark, sf_dir).withColumn("received_at", F.col("received_at").cast("timestamp")),
-        every=views.DAY,
-        stale=views.STALE,
-        shards=8,
-    )
-    folder = storage.new_folder(spark, "network-metrics")
-    handler = network_state.TickMetrics(folder)
-    runs.run_available(
-        states.writeStream.foreachBatch(handler).option("checkpointLocation", f"{folder}/checkpoint")
-    )
+    handler = _network_states(spark, sf_dir, "network-metrics", parts=2, with_metrics=True)
     figures = ["depth_avg", "neighbor_avg", "avg_path_len"]
     return rounded(
-        handler.result(spark).select(
-            "network", F.col("tick").cast("bigint").alias("tick"), "node_count", "undirected_edge_count",
-            "tree_edge_count", "diameter", *figures,
+        handler.metrics_result(spark).select(
+            "network", "tick", "node_count", "undirected_edge_count", "tree_edge_count", "diameter", *figures
         ),
         *figures,
     )

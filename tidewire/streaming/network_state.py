@@ -233,3 +233,66 @@ class TickMetrics:
 
     def result(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.folder}/metrics")
+
+
+class TriggerStates:
+    """``foreachBatch`` handler: the batch history and state operators on each trigger's reports.
+
+    Between triggers one filled row per node is carried.  Nodes whose reports arrive in order need nothing else; a
+    node with a report older than its carried row is worked out anew from the log of its reports.  A
+    trigger writes state rows under its number; where triggers disagree on a node at a tick, the later report
+    and then the later trigger hold, so late reports correct what was written before.  With ``with_metrics`` the
+    metrics of all ticks a trigger touches are written anew.
+    """
+
+    def __init__(self, folder: str, *, every: int, stale: float, with_metrics: bool = False):
+        self.folder, self.every, self.stale, self.with_metrics = folder.rstrip("/"), every, stale, with_metrics
+        self.states = self.metrics = None
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with storage.temporary(batch.sparkSession):
+            self._trigger(batch, batch_id)
+
+    def _trigger(self, batch: DataFrame, batch_id: int) -> None:
+        spark, node = batch.sparkSession, list(reports.NODE)
+        batch.write.mode("overwrite").parquet(f"{self.folder}/log/trigger={batch_id}")
+        log = spark.read.schema(batch.schema).parquet(f"{self.folder}/log/trigger=*")
+        new = spark.read.schema(batch.schema).parquet(f"{self.folder}/log/trigger={batch_id}")
+        carried = new.limit(0)
+        if batch_id > 0:
+            carried = spark.read.schema(batch.schema).parquet(f"{self.folder}/carried/trigger={batch_id - 1}")
+        first = new.groupBy(*node).agg(F.min("offset").alias("__first"))
+        arrived = storage.stage(
+            first.join(carried.select(*node, F.col("offset").alias("__last")), node, "left").select(
+                *node, F.coalesce(F.col("__first") < F.col("__last"), F.lit(False)).alias("__late")
+            ),
+            "arrived",
+        )
+        late, in_order = (arrived.filter(F.col("__late") == flag).select(*node) for flag in (True, False))
+        rows = new.unionByName(carried).join(in_order, node, "left_semi").unionByName(log.join(late, node, "left_semi"))
+        history = storage.stage(reports.with_history(rows, stale=self.stale), "history")
+        states = reports.state_at_intervals(history, every=self.every, stale=self.stale)
+        states = states.withColumn("trigger", F.lit(batch_id).cast("bigint"))
+        states.write.mode("overwrite").parquet(f"{self.folder}/states/batch={batch_id}")
+        self.states = states.schema
+        newest = reports.latest(history.select(*batch.columns)).unionByName(carried.join(arrived, node, "left_anti"))
+        newest.write.mode("overwrite").parquet(f"{self.folder}/carried/trigger={batch_id}")
+        if batch_id > 1:
+            storage.drop(spark, f"{self.folder}/carried/trigger={batch_id - 2}")
+        if self.with_metrics:
+            touched = spark.read.schema(self.states).parquet(f"{self.folder}/states/batch={batch_id}").select("network", "tick").distinct()
+            state = storage.stage(self.result(spark).join(touched, ["network", "tick"], "left_semi"), "touched")
+            found = metrics.instant(reports.add_synthetic_root(state))
+            self.metrics = found.schema
+            by_tick = found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tick")
+            by_tick.parquet(f"{self.folder}/metrics")
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        """State rows of all ticks so far, those after the newest report included."""
+        every = spark.read.schema(self.states).parquet(f"{self.folder}/states/batch=*")
+        others = [c for c in every.columns if c not in ("network", "tick", "node_id", "trigger")]
+        best = F.max_by(F.struct(*others), F.struct("offset", "trigger")).alias("__row")
+        return every.groupBy("network", "tick", "node_id").agg(best).select("network", "tick", "node_id", "__row.*")
+
+    def metrics_result(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.metrics).parquet(f"{self.folder}/metrics")
