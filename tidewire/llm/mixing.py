@@ -151,7 +151,11 @@ def mixed_documents(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, bloc
         .groupBy("__id", "use").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__ranges")).drop("use")
     )
     parts = F.regexp_extract_all(F.col("text").cast("string"), F.lit("[^\\x20\\x09-\\x0D]++[\\x20\\x09-\\x0D]*+"), F.lit(0))
-    chosen = F.flatten(F.transform("__ranges", lambda r: F.slice("__parts", (r["first"] + 1).cast("int"), (r["last"] - r["first"] + 1).cast("int"))))
-    text = F.rtrim(F.array_join(chosen, ""))
-    columns = [text.alias("text") if c == "text" else F.length(text).cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns]
-    return known.join(ranges, "__id").withColumn("__parts", parts).select(*columns)
+
+    def taken(p: Column) -> Column:
+        return F.array_join(F.flatten(F.transform("__ranges", lambda r: F.slice(p, (r["first"] + 1).cast("int"), (r["last"] - r["first"] + 1).cast("int")))), "")
+
+    # The words go through a one-element array, so that they are found once and not anew for every range.
+    text = F.rtrim(F.get(F.transform(F.array(parts), taken), F.lit(0)))
+    chosen = known.join(ranges, "__id").select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return chosen.select(*[F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
