@@ -31,7 +31,7 @@ BLOCK = 32
 SHARD_SLOTS = 65_536
 SEED = 20
 ROUNDS = 24
-_CHUNK = 65_536
+_CHUNK = 16_384
 
 
 def permuted(index: Column, size: Column, *keys: Column) -> Column:
@@ -91,7 +91,9 @@ def slots(planned: DataFrame) -> DataFrame:
     chunks = planned.filter("slots > 0").select(
         "number", "blocks", "slots", "slots_before", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(_CHUNK).cast("long"))).alias("chunk")
     )
-    each = chunks.repartition("number", "chunk").select(
+    # A count of partitions of its own: few and short as the chunks are, adaptive execution would put them into one task.
+    tasks = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = chunks.repartition(tasks, "number", "chunk").select(
         "number", "blocks", "slots_before", F.explode(F.sequence(F.col("chunk"), F.least(F.col("chunk") + _CHUNK, F.col("slots")) - 1)).alias("k")
     )
     epoch = F.expr("k div blocks")
