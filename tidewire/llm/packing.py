@@ -24,12 +24,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import BoundedTable
+from .tables import BoundedTable, release
 
 MAX_LENGTH = 2048
 SEPARATOR_ID = 1
 #: Words kept in a worker's table before the older half is forgotten.
-WORD_TABLE = 300_000
+WORD_TABLE = 100_000
 
 # Characters for which lower-casing and letter classes are the same in every Unicode version.
 _PLAIN = regex.compile("[!-~¡-¬®-ÿ]+")
@@ -149,6 +149,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, max_length: int, separ
                     yield flush()
         if rows:
             yield flush()
+    release()
 
 
 def pack(

@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 
 from tidewire.storage import Rounds, stage
 
+from .tables import release
+
 SHINGLE = 4
 SEED = 42
 DISTANCE = 4
@@ -72,6 +74,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], size: int, seed: int) -> It
     for batch in batches:
         prints = np.fromiter((fingerprint_of(t.as_py() or "", size, seed) for t in batch.column(1)), np.uint64, batch.num_rows)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+    release()
 
 
 def fingerprints(docs: DataFrame, *, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:

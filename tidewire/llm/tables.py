@@ -1,7 +1,9 @@
-"""A mapping that fills itself and stays within a bound."""
+"""What keeps the memory of Python workers bounded: workers are used again and again, by one stage after another."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 
@@ -21,3 +23,15 @@ class BoundedTable(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def release() -> None:
+    """Hand memory that a finished task no longer needs back to the system; allocators would keep it otherwise."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library has no such function
+        return

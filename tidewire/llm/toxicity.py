@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from tidewire.storage import stage
 
-from .tables import BoundedTable
+from .tables import BoundedTable, release
 
 #: Labelled rows that the model is fitted on at most.
 MAX_TRAINING = 20_000
@@ -118,7 +118,7 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[float]:
 class _Scorer:
     def __init__(self, lexicon: dict[str, float]):
         self._lexicon = lexicon
-        self._table = BoundedTable(self._score, 300_000)
+        self._table = BoundedTable(self._score, 100_000)
 
     def _score(self, word: bytes) -> float:
         text = plain(word)
@@ -150,6 +150,7 @@ def _scan(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float], drift: f
         added = [pa.array(lengths, pa.int64()), pa.array(tops, pa.float64()), pa.array(further, pa.list_(pa.float64())), pa.array(values, pa.list_(pa.float64()))]
         kept = [c for c in batch.schema.names if keep_text or c != "text"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *added], [*kept, "__n", "__top", "__further", "__hits"])
+    release()
 
 
 def scan(rows: DataFrame, lexicon: dict[str, float], *, drift: float = DRIFT, keep_text: bool = False) -> DataFrame:
@@ -186,7 +187,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found.clear()
         return out
 
-    table = BoundedTable(plain, 200_000)
+    table = BoundedTable(plain, 100_000)
     for batch in batches:
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             uses: Counter[str] = Counter()
@@ -200,10 +201,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts = found.setdefault(feature, [0, 0, 0, 0])
                 counts[side] += n
                 counts[side + 2] += 1
-            if len(found) > 300_000:
+            if len(found) > 100_000:
                 yield flush()
     if found:
         yield flush()
+    release()
 
 
 def _lexicon(rows: DataFrame) -> dict[str, float]:
