@@ -58,6 +58,17 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             drop(spark, path)
 
 
+@contextlib.contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Lists the folders made inside, for a caller that knows when nothing reads them any more."""
+    _SCOPES.open = [*getattr(_SCOPES, "open", []), []]
+    made = _SCOPES.open[-1]
+    try:
+        yield made
+    finally:
+        _SCOPES.open = _SCOPES.open[:-1]
+
+
 def clear(spark: SparkSession) -> None:
     """Remove everything staged below the shared folder, once no result that reads it is needed any more."""
     drop(spark, f"{shared_folder(spark)}/tidewire")
