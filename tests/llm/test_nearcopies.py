@@ -1,0 +1,75 @@
+import random
+import re
+
+import corpus_pipeline
+import pytest
+
+from tidewire.llm import nearcopies
+from tidewire.llm.queries import table
+
+from . import cases
+
+
+def plain_set(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    return frozenset(" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1)))
+
+
+def wanted(rows):
+    """Ids that stay, by comparing all pairs of sets that share a shingle."""
+    ids, holders = {}, {}
+    for i, text in rows:
+        ids.setdefault(plain_set(text), []).append((i is None, i or 0))
+    sets = list(ids)
+    group = list(range(len(sets)))
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for k, s in enumerate(sets):
+        for other in {h for x in s for h in holders.get(x, ())}:
+            common = len(s & sets[other])
+            if common * 10 >= 8 * (len(s) + len(sets[other]) - common):
+                group[max(root(k), root(other))] = min(root(k), root(other))
+        for x in s:
+            holders.setdefault(x, []).append(k)
+    lowest = {}
+    for k, s in enumerate(sets):
+        lowest[root(k)] = min([*ids[s], lowest.get(root(k), (True, 1 << 62))])
+    return sorted(lowest.values())
+
+
+def kept(docs):
+    return sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in docs.collect())
+
+
+def test_pairs_on_both_sides_of_the_similarity(spark):
+    """Every pair at 0.80 to 0.95 loses its second document, no pair below 0.8 does."""
+    random.seed(5)
+    rows, merged, n = [], 0, 600
+    for k in range(60):
+        words = [f"w{k}x{random.getrandbits(40)}" for _ in range(n)]
+        # A changed tail of c words leaves n - 4 - c common shingles of n - 4 + c.
+        c = [round((n - 4) * (1 - s) / (1 + s)) + d for s, d in ((0.8, -1), (0.8, 1), (0.9, 0), (0.95, 0), (0.7, 0), (0.6, 0))][k % 6]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[: n - c] + [f"y{k}z{i}" for i in range(c)]))]
+        merged += k % 6 in (0, 2, 3)
+    docs = cases.documents(spark, [(i, t, "a") for i, t in rows])
+    got = kept(corpus_pipeline.drop_near_copies(spark, docs, ""))
+    assert got == wanted(rows) and len(got) == len(rows) - merged
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_whole_table(spark, sf):
+    docs = table(spark, f"/root/testdata/sf{sf}", "documents")
+    result = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert result.columns == docs.columns
+    assert kept(result) == wanted([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_awkward_documents(spark):
+    docs = cases.documents(spark)
+    result = nearcopies.one_of_each(docs)
+    assert result.columns == docs.columns and kept(result) == wanted([(i, t) for i, t, _ in cases.rows()])
+    assert nearcopies.one_of_each(cases.no_documents(spark)).count() == 0
