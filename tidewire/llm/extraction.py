@@ -1,9 +1,10 @@
 """Main text of web pages by composite text density.
 
 Every DOM node gets characters per tag, adjusted by how much of it sits in links relative to the whole
-body.  A node's density sum adds up its children's densities; the subtree with the largest sum is the
-core of the article.  An article or main element around the core is the article.  Elsewhere the lowest density on
-the path from the core up to the body is the threshold, and neighbors along that path that reach it belong to the article.
+body.  A node's density sum adds up the densities of its block children; the subtree with the largest sum is the
+core of the article.  The lowest density on the path from the core up to the body is the threshold, and neighbors along
+that path that reach it belong to the article too.  Article and main elements don't choose text: one around the core widens it (with
+its headings and short parts), one with most of the core's text narrows it.
 
 Elements that say they are navigation, header, footer, sidebar, notice, advert, form, script, style or
 reader comments (by name, role, class or id) are cut off before densities are computed.
@@ -190,29 +191,37 @@ def _measure(root: _Node) -> list[_Node]:
             ratio = node.chars / max(node.link_chars, 1) * max(node.tags, 1) / max(node.link_tags, 1)
             node.density = node.chars / max(node.tags, 1) * max(math.log(max(ratio, 1e-9)) / base, 0.0)
     for node in nodes:
-        node.total = sum(c.density for c in node.children if not isinstance(c, str) and not c.dropped)
+        # Inline elements are part of a block's text: a bold paragraph is no core of its own.
+        node.total = sum(c.density for c in node.children if not isinstance(c, str) and not c.dropped and c.tag not in INLINE)
     return nodes
 
 
+def _up_to_body(node: _Node) -> list[_Node]:
+    path = [node]
+    while path[-1].parent is not None and path[-1].tag != "body":
+        path.append(path[-1].parent)
+    return path
+
+
+def _inside(root: _Node) -> list[_Node]:
+    """Kept article and main elements below a node, parents before children."""
+    return [n for n in _in_order(root)[1:] if n.tag in ("article", "main") and n.chars]
+
+
 def main_nodes(root: _Node) -> list[_Node]:
     """The subtrees that hold the article, in page order."""
     nodes = _measure(root)
-    semantic = [n for n in nodes if n.tag in ("article", "main") and n.chars]
-    inside: set[int] = set()
-    for node in nodes:
-        if id(node.parent) in inside or node.tag in ("article", "main"):
-            inside.add(id(node))
-    candidates = [n for n in nodes if n.chars and (not semantic or id(n) in inside)]
+    candidates = [n for n in nodes if n.chars]
     if not candidates:
         return []
-    best = max(candidates, key=lambda n: (n.total, n.density))
-    path = [best]
-    while path[-1].parent is not None and path[-1].tag != "body":
-        path.append(path[-1].parent)
-    if semantic:  # the innermost article around the core, else the main part
-        return [next(n for tag in ("article", "main") for n in path if n.tag == tag)]
+    core = max(candidates, key=lambda n: (n.total, n.density))
+    # A lone child's wrapper has the same sum and takes in what stands beside it; an element with most of its text is meant.
+    most = [n for n in _inside(core) if 2 * (n.chars - n.link_chars) > core.chars - core.link_chars]
+    core = next((n for tag in ("article", "main") for n in reversed(most) if n.tag == tag), core)
+    path = _up_to_body(core)
     threshold = min(n.density for n in path)
-    above, chosen, waiting = {id(n) for n in path[1:]}, [], [path[-1]]
+    best = next((n for tag in ("article", "main") for n in path if n.tag == tag), core)
+    above, chosen, waiting = {id(n) for n in path[path.index(best) + 1 :]}, [], [path[-1]]
     while waiting:
         node = waiting.pop()
         if id(node) in above:
