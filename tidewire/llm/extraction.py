@@ -7,7 +7,10 @@ that path that reach it belong to the article too.  Article and main elements do
 its headings and short parts), one with most of the core's text narrows it.
 
 Elements that say they are navigation, header, footer, sidebar, notice, advert, form, script, style or
-reader comments (by name, role, class or id) are cut off before densities are computed.
+reader comments (by name, role, class or id) are cut off before densities are computed.  Classes and ids only count where
+the text agrees: what holds an article, main or h1 element or most of the body's unlinked characters stays (comments and adverts may
+outweigh an article, so they stay where they are nearly all of it and no such element is elsewhere), and names that layouts also use inside longer words
+cut link lists only.
 
 Defined cases: null, empty or text-free html gives an empty string; broken markup is read as far as it
 goes; repeated rows are extracted once each; an empty table gives no rows; further columns are ignored.
@@ -51,6 +54,14 @@ DROPPED_NAMES = frozenset(
     "recommended recommendations share sharing social comment comments commentlist disqus respond replies footer header "
     "masthead toolbar pagination pager skip copyright".split()
 )
+#: Of these, what readers or advertisers write; such a part can be longer than the article.
+FOREIGN = frozenset(
+    "comment comments commentlist disqus respond replies ad ads adv advert adverts advertisement advertisements advertising adsense sponsored cookie cookies consent gdpr".split()
+)
+#: Of these, words that are part of names of content too (``social-science``, ``elementor-widget``): alone they count, inside a name with link lists.
+AMBIGUOUS = frozenset("social widget widgets notice notices alert rail skip login copyright promotion subscription related respond replies header footer menu".split())
+#: Foreign parts with this share of the body's unlinked characters are the page's text.
+NEARLY_ALL = 0.9
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>?"
@@ -64,10 +75,11 @@ _SOLE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total", "named")
 
-    def __init__(self, tag: str, parent: _Node | None, dropped: bool):
+    def __init__(self, tag: str, parent: _Node | None, dropped: bool, named: str = ""):
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.named = named  # what its class and id say: "", "maybe", "boilerplate" or "foreign"
         self.children: list = []  # nodes and texts in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -86,16 +98,29 @@ def _is_boilerplate(tag: str, attrs: str, inside_article: bool) -> bool:
             return True
         if name == "role" and value.lower() in DROPPED_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main", "h1"):
-            for word in value.split():
-                parts = [p.lower() for p in _NAME_PART.findall(word)]
-                if parts and parts[0] in ("has", "with", "no", "without"):
-                    continue
-                if any(p in DROPPED_NAMES for p in parts) and not (inside_article and "header" in parts):
-                    return True
     return False
 
 
+def _named(attrs: str, inside_article: bool) -> str:
+    """What class and id words say of an element."""
+    found = ""
+    for name, value in _ATTRIBUTE.findall(attrs):
+        if name.lower() not in ("class", "id"):
+            continue
+        for word in value.strip("\"'").split():
+            parts = [p.lower() for p in _NAME_PART.findall(word)]
+            if parts and parts[0] in ("has", "with", "no", "without") or inside_article and "header" in parts:
+                continue
+            names = DROPPED_NAMES.intersection(parts)
+            if names & FOREIGN and (len(parts) == 1 or names - AMBIGUOUS):
+                return "foreign"
+            if names and (len(parts) == 1 or names - AMBIGUOUS):
+                found = "boilerplate"
+            elif names:
+                found = found or "maybe"
+    return found
+
+
 def parse(page: str) -> _Node:
     """The page's tree.  End tags that are missing or misplaced are supplied or ignored as browsers do."""
     root = _Node("#page", None, False)
@@ -142,7 +167,8 @@ def parse(page: str) -> _Node:
                 close_to(depth)
         if tag == "body" and (depth := open_depth(("head",))):
             close_to(depth)
-        node = _Node(tag, stack[-1], stack[-1].dropped or _is_boilerplate(tag, attrs, articles > 0))
+        named = _named(attrs, articles > 0) if attrs and tag not in ("html", "body", "main", "h1") else ""
+        node = _Node(tag, stack[-1], stack[-1].dropped or _is_boilerplate(tag, attrs, articles > 0), named)
         stack[-1].children.append(node)
         if tag in VOID or attrs.endswith("/") and tag not in RAW and tag not in CLOSES_P and tag not in INLINE:
             continue
@@ -157,6 +183,41 @@ def parse(page: str) -> _Node:
     return root
 
 
+def _is_main(node: _Node) -> bool:
+    return node.tag in ("main", "h1") or node.tag == "article" and node.named in ("", "maybe")
+
+
+def _cut_named(root: _Node) -> None:
+    """Cut off elements that their names call boilerplate, where their text agrees."""
+    nodes = _in_order(root)
+    if not any(n.named for n in nodes):
+        return
+    sizes: dict[int, tuple[int, int, bool]] = {}  # characters, those in links, whether a main part is inside
+    for node in reversed(nodes):  # children before parents
+        chars = linked = 0
+        holds = False
+        for child in node.children:
+            if isinstance(child, str):
+                chars += len("".join(child.split()))
+            elif not child.dropped:
+                c, k, h = sizes[id(child)]
+                chars, linked, holds = chars + c, linked + k, holds or h or c > 0 and _is_main(child)
+        sizes[id(node)] = (chars, chars if node.tag == "a" else linked, holds)
+    body = next((n for n in nodes if n.tag == "body"), root)
+    whole = sizes[id(body)][0] - sizes[id(body)][1]
+    headed = any(sizes[id(n)][0] and _is_main(n) for n in nodes)
+    cut: set[int] = set()
+    for node in nodes:  # parents before children
+        if id(node.parent) in cut:
+            node.dropped = True
+        elif node.named and node.tag != "article":
+            chars, linked, holds = sizes[id(node)]
+            most = 0.5 if node.named != "foreign" else 1.0 if headed else NEARLY_ALL
+            node.dropped = not holds and chars - linked <= most * whole and (node.named != "maybe" or 2 * linked > chars)
+        if node.dropped:
+            cut.add(id(node))
+
+
 def _in_order(root: _Node) -> list[_Node]:
     """Kept nodes, parents before children."""
     found, waiting = [], [root]
@@ -210,6 +271,7 @@ def _inside(root: _Node) -> list[_Node]:
 
 def main_nodes(root: _Node) -> list[_Node]:
     """The subtrees that hold the article, in page order."""
+    _cut_named(root)
     nodes = _measure(root)
     candidates = [n for n in nodes if n.chars]
     if not candidates:
