@@ -5,8 +5,9 @@ clean texts with an informative Dirichlet prior (proportional to the rate over b
 counts documents, not occurrences, so a word repeated in one text proves little.  Features with a large
 z-score form the lexicon; every other word costs ``DRIFT``.
 
-Scoring: a word scores as its longest lexicon feature, less with each further use.  One linear scan finds all maximal-scoring
-segments.  With lambda from sum(p(s) * exp(lambda * s)) = 1 over clean texts, a segment of score S in a text of n
+Scoring: a word scores as its longest lexicon feature, the m-th use since the running total was last at its lowest an m-th of it.
+No maximal-scoring segment reaches across such a place, so uses before it don't weaken what follows.  One linear scan finds all
+maximal-scoring segments.  With lambda from sum(p(s) * exp(lambda * s)) = 1 over clean texts, a segment of score S in a text of n
 words has the extreme-value statistic lambda * S - ln n.  The largest, plus what further significant
 segments add, is the evidence; a logistic curve fitted on labelled rows outside the counted ones turns it
 into a score from 0 to 1.
@@ -124,15 +125,23 @@ class _Scorer:
         text = plain(word)
         return next((self._lexicon[f] for f in features(text) if f in self._lexicon), 0.0) if text else 0.0
 
-    def hits(self, text: str) -> tuple[int, list[tuple[int, float]]]:
-        """Number of words, and (position, score) of those in the lexicon; the m-th use of a word scores an m-th."""
+    def hits(self, text: str, drift: float) -> tuple[int, list[tuple[int, float]]]:
+        """Number of words, and (position, score) of those in the lexicon; repeats count less until the total is at a new low."""
         words = text.encode().split()
         found = np.fromiter(map(self._table.__getitem__, words), np.float64, len(words))
         uses: Counter[bytes] = Counter()
         hits = []
+        total, low, at = 0.0, 0.0, -1
         for place in np.flatnonzero(found).tolist():
+            total -= drift * (place - at - 1)
+            at = place
+            if total <= low:
+                low = total
+                uses.clear()
             uses[words[place]] += 1
-            hits.append((place, float(found[place]) / uses[words[place]]))
+            score = float(found[place]) / uses[words[place]]
+            total += score
+            hits.append((place, score))
         return len(words), hits
 
 
@@ -141,7 +150,7 @@ def _scan(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float], drift: f
     for batch in batches:
         lengths, tops, further, values = [], [], [], []
         for text in batch.column("text"):
-            n, hits = scorer.hits(text.as_py() or "")
+            n, hits = scorer.hits(text.as_py() or "", drift)
             lengths.append(n)
             found = sorted(segments(hits, drift), reverse=True)
             tops.append(found[0] if found else 0.0)
