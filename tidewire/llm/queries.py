@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, extraction, mixing, packing, pii, rules, sharding, simhash, toxicity, warc
+from . import balltree, extraction, linededup, mixing, packing, pii, rules, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op13_two_filter_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = linededup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_power_of_two_packing": op1_power_of_two_packing,
     "op2_composite_text_density": op2_composite_text_density,
@@ -75,6 +80,7 @@ QUERIES = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_contextual_pii": op9_contextual_pii,
     "op10_source_mixing": op10_source_mixing,
+    "op13_two_filter_line_dedup": op13_two_filter_line_dedup,
 }
 
 # SQL for the queries that it can express.  The others need the tokenizer, learned models, XXH64 or CRC-32 and are tested
@@ -112,4 +118,23 @@ ORACLE: dict[str, str] = {
                case when k > 1 then first_id end as refers_to
         from digits
     """,
+    "op13_two_filter_line_dedup": """
+        with d as (
+            select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+        ), l as (
+            select r, doc_id, unnest(lines) as line, unnest(range(len(lines))) as i from d
+        ), k as (
+            select *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l
+        ), repeated as (
+            select key, max(coalesce(doc_id, -9223372036854775808)) as keep from k where length(key) >= 20
+            group by key having count(distinct r) >= 3
+        ), judged as (
+            select k.*, repeated.key is not null and coalesce(doc_id, -9223372036854775808) <> keep as dropped
+            from k left join repeated using (key)
+        )
+        select doc_id, count(*) as n_lines, count_if(dropped)::bigint as n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) order by i) filter (not dropped), '')) as kept_sha256
+        from judged group by r, doc_id
+    """,
 }

@@ -6,6 +6,8 @@ import ctypes
 import gc
 from collections.abc import Callable
 
+from pyspark.sql import DataFrame
+
 
 class BoundedTable(dict):
     """``table[key]`` makes a missing value; once full, entries not used since the last change are forgotten."""
@@ -35,3 +37,12 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # another C library has no such function
         return
+
+
+def plain_names(docs: DataFrame, *needed: str) -> DataFrame:
+    """The table with names ``c0``, ``c1``, ... for all columns but the needed ones.
+
+    Operators work on such a table and give the names back at the end with ``toDF``: no name of their own clashes with one of the
+    input's, and names with dots or backticks, which Spark's Arrow functions can't read, do no harm.
+    """
+    return docs.toDF(*[c if c in needed else f"c{i}" for i, c in enumerate(docs.columns)])
