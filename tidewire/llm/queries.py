@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, extraction, linededup, mixing, packing, pii, rules, sharding, simhash, toxicity, warc
+from . import balltree, extraction, linededup, merkle, mixing, packing, pii, rules, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,17 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op12_incremental_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in merkle.FIELDS}
+    tampered = fields | {"text": F.replace("text", F.lit("\n"))}
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    leaf = merkle.leaf_of(list(fields.values()))
+    leaves = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(chosen, merkle.leaf_of(list(tampered.values()))).otherwise(leaf).alias("claim"))
+    checked = merkle.verified(merkle.manifest(leaves), F.col("claim"))
+    return checked.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def op13_two_filter_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = linededup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -80,6 +91,7 @@ QUERIES = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_contextual_pii": op9_contextual_pii,
     "op10_source_mixing": op10_source_mixing,
+    "op12_incremental_witnesses": op12_incremental_witnesses,
     "op13_two_filter_line_dedup": op13_two_filter_line_dedup,
 }
 
@@ -118,6 +130,53 @@ ORACLE: dict[str, str] = {
                case when k > 1 then first_id end as refers_to
         from digits
     """,
+    "op12_incremental_witnesses": """
+        with recursive d as (
+            select row_number() over () as r, *, list_reduce(
+                list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(8), lambda i: 0::bigint)),
+                                              lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) as crc
+            from documents
+        ), leaves as (
+            select r, doc_id, coalesce('=' || source, '') as g,
+                   sha256(coalesce(strlen(doc_id::varchar) || ':' || doc_id::varchar, '-') || coalesce(strlen(source) || ':' || source, '-')
+                       || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars::varchar, '-')
+                       || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+                   case when (4294967295 - crc) % 2 = 0 then
+                       sha256(coalesce(strlen(doc_id::varchar) || ':' || doc_id::varchar, '-') || coalesce(strlen(source) || ':' || source, '-')
+                           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars::varchar, '-')
+                           || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+                   end as tampered
+            from d
+        ), trees as (
+            select r, g, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as i, leaf as node,
+                   coalesce(tampered, leaf) as folded, '' as proof, 0 as level from leaves
+            union all
+            select t.r, t.g, t.i // 3, sha256(array_to_string(u.run, '')),
+                   sha256(array_to_string(list_concat(u.run[1:t.i % 3], [t.folded], u.run[t.i % 3 + 2:]), '')),
+                   t.proof || array_to_string(list_concat(u.run[1:t.i % 3], u.run[t.i % 3 + 2:]), ''), t.level + 1
+            from trees t
+            join (select g, i // 3 as up, list(node order by i) as run from (select distinct g, i, node from trees) group by g, i // 3) u
+              on t.g = u.g and t.i // 3 = u.up
+            where t.g in (select g from trees where i > 0)
+        ), subroots as (
+            select * from trees qualify row_number() over (partition by r order by level desc) = 1
+        ), tops as (
+            select r, dense_rank() over (order by g) - 1 as i, node, folded, proof, 0 as level from subroots
+            union all
+            select t.r, t.i // 3, sha256(array_to_string(u.run, '')),
+                   sha256(array_to_string(list_concat(u.run[1:t.i % 3], [t.folded], u.run[t.i % 3 + 2:]), '')),
+                   t.proof || array_to_string(list_concat(u.run[1:t.i % 3], u.run[t.i % 3 + 2:]), ''), t.level + 1
+            from tops t
+            join (select i // 3 as up, list(node order by i) as run from (select distinct i, node from tops) group by i // 3) u on t.i // 3 = u.up
+            where exists (select 1 from tops where i > 0)
+        ), roots as (
+            select * from tops qualify row_number() over (partition by r order by level desc) = 1
+        )
+        select l.doc_id, l.leaf, s.node as subroot, t.node as root, sha256(t.proof) as proof_sha256, t.folded as folded_root,
+               t.folded = t.node as verified
+        from leaves l join subroots s using (r) join roots t using (r)
+    """,
     "op13_two_filter_line_dedup": """
         with d as (
             select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
