@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, extraction, linededup, merkle, mixing, packing, pii, rules, sharding, simhash, toxicity, warc
+from . import balltree, extraction, linededup, merkle, mixing, packing, pii, rules, sharding, simhash, toxicity, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,20 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    n, explained, error = (model.n, model.explained, model.identity_error) if model else (0, [], 0.0)
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.array(*map(F.lit, explained)).cast("array<double>"), "at").alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
 def op12_incremental_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fields = {c: F.col(c) for c in merkle.FIELDS}
@@ -91,6 +105,7 @@ QUERIES = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_contextual_pii": op9_contextual_pii,
     "op10_source_mixing": op10_source_mixing,
+    "op11_incremental_whitening": op11_incremental_whitening,
     "op12_incremental_witnesses": op12_incremental_witnesses,
     "op13_two_filter_line_dedup": op13_two_filter_line_dedup,
 }
