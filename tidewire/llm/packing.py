@@ -28,10 +28,11 @@ from .tables import BoundedTable, release
 
 MAX_LENGTH = 2048
 SEPARATOR_ID = 1
-#: Words kept in a worker's table before the older half is forgotten.
+#: Most words in each of a worker's tables.
 WORD_TABLE = 100_000
 
 # Characters for which lower-casing and letter classes are the same in every Unicode version.
+_ENDS = frozenset(b".,;:!?")
 _PLAIN = regex.compile("[!-~¡-¬®-ÿ]+")
 
 
@@ -49,17 +50,18 @@ class Encoder:
     any other tokenizer encodes the whole text.  Both give what ``Tokenizer.encode`` gives.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, word_table: int = WORD_TABLE):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
         self._split = self._word_pattern(config)
         self._marks = [t["content"] for t in config.get("added_tokens", [])]
         self._letters = _byte_letters()
-        self._parts = BoundedTable(self._encode_part, WORD_TABLE)
-        self._words = BoundedTable(self._encode_word, WORD_TABLE)
+        self._parts = BoundedTable(self._encode_part, word_table)
+        self._words = BoundedTable(self._encode_word, word_table)
 
     @staticmethod
     def _word_pattern(config: dict):
@@ -86,10 +88,14 @@ class Encoder:
 
     def _encode_part(self, part: str) -> bytes:
         mapped = "".join([self._letters[b] for b in part.encode()])
-        ids = [t.id for t in self._tokenizer.model.tokenize(mapped)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join([t.id.to_bytes(4, "little") for t in self._model.tokenize(mapped)])
 
     def _encode_word(self, word: bytes) -> bytes:
+        # Most words are ASCII letters, or those and one mark behind them: parts that need no pattern.
+        if word.isalpha():
+            return self._parts[word.lower().decode()]
+        if word[-1] in _ENDS and word[:-1].isalpha():
+            return self._parts[word[:-1].lower().decode()] + self._parts[chr(word[-1])]
         text = word.decode()
         if not _PLAIN.fullmatch(text) or any(mark in text for mark in self._marks):
             return self._whole(text)
@@ -103,9 +109,9 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, word_table: int) -> Encoder:
     """One encoder per worker and vocabulary."""
-    return Encoder(path)
+    return Encoder(path, word_table)
 
 
 def piece_lengths(n: int, max_length: int = MAX_LENGTH) -> list[int]:
@@ -115,8 +121,8 @@ def piece_lengths(n: int, max_length: int = MAX_LENGTH) -> list[int]:
     return [max_length] * (n // max_length) + digits
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, max_length: int, separator: int, with_ids: bool):
-    encode = encoder(path)
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, max_length: int, separator: int, with_ids: bool, word_table: int):
+    encode = encoder(path, word_table)
     tail = struct.pack("<I", separator)
     for batch in batches:
         rows: list[tuple] = []
@@ -159,17 +165,19 @@ def pack(
     max_length: int = MAX_LENGTH,
     separator_id: int = SEPARATOR_ID,
     with_ids: bool = True,
+    word_table: int = WORD_TABLE,
 ) -> DataFrame:
     """Pieces of every document: doc_id, sequence_id, offset, start, length, ids_crc32, doc_tokens and ids.
 
     ``ids`` holds little-endian unsigned 32-bit ids; without it only the digest columns are made.
+    ``word_table`` bounds the entries of a worker's tables, about 1.5 kB for each; larger ones are faster where many words are rare.
     ``length`` is the bucket.  ``sequence_id`` is unique; ``offset`` is 0 as a piece fills its sequence.
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        functools.partial(_pieces, path=tokenizer_path, max_length=max_length, separator=separator_id, with_ids=with_ids),
+        functools.partial(_pieces, path=tokenizer_path, max_length=max_length, separator=separator_id, with_ids=with_ids, word_table=word_table),
         schema,
     )
     return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})

@@ -10,16 +10,27 @@ from pyspark.sql import DataFrame
 
 
 class BoundedTable(dict):
-    """``table[key]`` makes a missing value; once full, entries not used since the last change are forgotten."""
+    """``table[key]`` makes a missing value, and keeps those in use.
+
+    Values wait in a table of their own until they are used a second time, so that what is used once pushes nothing else out; a
+    full one starts anew.  Once the main table is full, entries not used since the last time are forgotten.  Three
+    tables of at most ``limit`` entries are held.
+    """
 
     def __init__(self, make: Callable, limit: int):
         super().__init__()
-        self._make, self._limit, self._old = make, limit, {}
+        self._make, self._limit, self._old, self._new = make, limit, {}, {}
 
     def __missing__(self, key):
-        value = self._old.get(key)
+        value = self._new.pop(key, None)
+        if value is None:
+            value = self._old.get(key)
         if value is None:
             value = self._make(key)
+            if len(self._new) >= self._limit:
+                self._new = {}
+            self._new[key] = value
+            return value
         if len(self) >= self._limit:
             self._old = dict(self)
             self.clear()
