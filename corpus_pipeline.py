@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import mixing, nearcopies, packing, pii, queries, toxicity
+from tidewire.llm import mixing, packing, pii, queries, simhash, toxicity
 from tidewire.storage import drop, recorded, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -44,8 +44,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more): that with the smallest doc_id."""
-    return nearcopies.one_of_each(docs)
+    """One document of each group of texts whose SimHash fingerprints are linked: that with the smallest doc_id."""
+    return simhash.one_of_each(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
