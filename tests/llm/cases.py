@@ -10,7 +10,7 @@ TEXTS = [
     "mail a.b@c.de, 10.0.0.1 or +1 (234) 555-6789 card 4111 1111 1111 1111", "!!! ### $$$ |||", "\x1c\x85 odd \x0b spaces\x0cend", "same text here",
 ]
 #: Names that operators use for columns of their own.
-CLASHING = ["row", "fp", "n", "size", "number", "block", "words", "lines", "start", "slots", "times", "score", "low", "kept", "shard", "end", "found", "tokens", "base", "toxic", "fold"]
+CLASHING = ["row", "fp", "n", "size", "number", "block", "words", "lines", "start", "slots", "times", "score", "low", "kept", "shard", "end", "found", "tokens", "base", "toxic", "fold", "__row", "__id", "__spans", "__clean", "__n", "__ranges", "dotted.name", "c0", "a`b"]
 
 
 def rows() -> list[tuple]:
@@ -24,7 +24,7 @@ def documents(spark: SparkSession, given: list[tuple] | None = None) -> DataFram
     given = rows() if given is None else given
     data = [(i, t, None if k % 2 else "en", s, len(t) if t else None) for k, (i, t, s) in enumerate(given)]
     table = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
-    return table.withColumns({c: F.lit("clash") for c in CLASHING})
+    return table.select("*", *[F.lit("clash").alias(c) for c in CLASHING])
 
 
 def no_documents(spark: SparkSession) -> DataFrame:

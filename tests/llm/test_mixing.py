@@ -75,21 +75,87 @@ def test_permutations(spark, n):
             assert fixed < 10 and abs(sum(places[:500]) / 500 - 499.5) < 60
 
 
-def test_shards_get_multinomial_counts_and_exact_totals(spark):
+def slow_permuted(index, size, *keys):
+    """The swap-or-not shuffle, one index at a time."""
+    for r in range(1, mixing.ROUNDS + 1):
+        partner = (spark_hash(mixing.SEED, r, *keys) % size - index) % size
+        if spark_hash(mixing.SEED + 1, r, max(index, partner), *keys) % 2:
+            index = partner
+    return index
+
+
+def spark_hash(*values):
+    """Spark's xxhash64 of integers (32 bits where an int is given by position, else 64 bits): a chain of seeds."""
+    import struct
+
+    import xxhash
+
+    seed = 42
+    for k, v in enumerate(values):
+        data = struct.pack("<i", v) if k < HASH_INTS else struct.pack("<q", v)
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+HASH_INTS = 2
+
+
+def test_counts_blocks_and_taken_words_follow_from_the_seed(spark, monkeypatch):
+    """Everything from the plan on, anew: the draw, the sums over shards, the permutations and the words."""
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 16)
+    given = [(i, "w " * (40 + 7 * i), f"s{i % 3}") for i in range(12)]
+    docs = cases.documents(spark, given)
+    rows = mixing.ordered(mixing._sized(docs), ["no_source", "source", "doc_id", "size"], ["size"])
+    planned = mixing.plan(rows)
+    plan = {r["number"]: r for r in planned.collect()}
+    every = sum(p["slots"] for p in plan.values())
+    shards = -(-every // 16)
+    counts = defaultdict(int)
+    monkeypatch.setitem(globals(), "HASH_INTS", 1)
+    for n, p in plan.items():
+        for k in range(p["slots"]):
+            counts[n, spark_hash(mixing.SEED + 2, n, k) % shards] += 1
+    assert {(r["number"], r["shard"]): r["slots"] for r in mixing.shard_counts(planned).collect()} == dict(counts)
+    monkeypatch.setitem(globals(), "HASH_INTS", 2)
+    wanted, times = [], Counter()
+    for n, p in plan.items():
+        k = 0
+        for shard in range(shards):
+            for _ in range(counts[n, shard]):
+                epoch, at = divmod(k, p["blocks"])
+                block = slow_permuted(at, p["blocks"], n, epoch)
+                wanted.append((n, shard, epoch, block))
+                times[n, block] += 1
+                k += 1
+    assert sorted(tuple(r) for r in mixing.slots(planned).select("number", "shard", "epoch", "block").collect()) == sorted(wanted)
+    number = {p["source"]: n for n, p in plan.items()}
+    at, taken = defaultdict(int), {}
+    for i, t, s in sorted(given, key=lambda g: (g[2], g[0])):
+        taken[i] = sum(times[number[s], (at[s] + w) // mixing.BLOCK] for w in range(len(t.split())))
+        at[s] += len(t.split())
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()} == taken
+
+
+def test_the_query_works_from_the_counts(spark):
+    plan = op10_source_mixing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "mixing-counts" in plan or "shard" in plan
+
+
+def test_shards_get_multinomial_counts_and_exact_totals(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 500)
     rows = cases.documents(spark, [(i, "w " * 4000, f"s{i % 3}") for i in range(300)])
     planned = mixing.plan(mixing.ordered(mixing._sized(rows), ["no_source", "source", "doc_id", "size"], ["size"]))
-    drawn = mixing.slots(planned)
     totals = {r["number"]: r["slots"] for r in planned.collect()}
     counts = defaultdict(dict)
-    for r in drawn.withColumn("shard", F.floor(F.col("place") / 500)).groupBy("shard", "number").count().collect():
-        counts[r["shard"]][r["number"]] = r["count"]
+    for r in mixing.shard_counts(planned).collect():
+        counts[r["shard"]][r["number"]] = r["slots"]
     assert {n: sum(c.get(n, 0) for c in counts.values()) for n in totals} == totals
     share = {n: t / sum(totals.values()) for n, t in totals.items()}
-    whole = [c for c in counts.values() if sum(c.values()) == 500]
-    assert len({tuple(sorted(c.items())) for c in whole}) > 1
-    assert all(abs(c.get(n, 0) - 500 * share[n]) < 6 * (500 * share[n] * (1 - share[n])) ** 0.5 for c in whole for n in totals)
-    assert drawn.groupBy("shard", "place").count().filter("count > 1").count() == 0
-    assert mixing.shard_counts(drawn).agg(F.sum("slots")).first()[0] == sum(totals.values())
+    sizes = [sum(c.values()) for c in counts.values()]
+    assert all(abs(n - 500) < 6 * 500**0.5 for n in sizes) and len({tuple(sorted(c.items())) for c in counts.values()}) > 1
+    assert all(abs(c.get(n, 0) - sum(c.values()) * share[n]) < 6 * (500 * share[n] * (1 - share[n])) ** 0.5 for c in counts.values() for n in totals)
+    drawn = mixing.slots(planned).groupBy("shard", "number").count().collect()
+    assert {(r["shard"], r["number"]): r["count"] for r in drawn} == {(s, n): c for s, of in counts.items() for n, c in of.items()}
 
 
 def test_mixed_documents_hold_the_taken_words(spark):
@@ -103,3 +169,13 @@ def test_mixed_documents_hold_the_taken_words(spark):
         got[r["doc_id"]] += len(cases.words(r["text"]))
     # Both count the same blocks; only the order of equal rows could differ.
     assert got == {i: n for i, n in taken.items() if n}
+
+
+def test_a_use_keeps_its_shard(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 8)
+    docs = cases.documents(spark, [(i, f"a{i} b c " * 30, f"s{i % 2}") for i in range(20)]).drop("shard")
+    with_shard = mixing.mixed_documents(docs, with_shard=True)
+    assert with_shard.columns == [*docs.columns, "shard"]
+    rows = with_shard.collect()
+    assert len({r["shard"] for r in rows}) > 3
+    assert Counter(r["text"] for r in rows) == Counter(r["text"] for r in mixing.mixed_documents(docs).collect())

@@ -2,11 +2,12 @@
 
 Targets share the corpus by weight; what lies above three times a source's size is shared anew among the others.
 Each source's words, in the order of doc_id, are packed into blocks of fixed length.  The mix has slots for
-whole blocks; a pseudorandom deal of all slots gives every output shard its counts per source: a multinomial
-draw, conditioned on each source's total so that the totals meet their targets.  A source's k-th slot
-takes block ``permutation(epoch, k mod blocks)`` of epoch ``k div blocks``, and blocks are joined by that index.
+whole blocks.  First the counts of each source in each output shard are drawn: a multinomial draw, conditioned on each source's
+total so that the totals meet their targets.  The slots of a shard are made from its counts: with the sums of earlier shards' counts they
+number a source's slots, and its k-th slot takes block ``permutation(epoch, k mod blocks)`` of epoch ``k div blocks``.
+Blocks are joined by that index.
 
-Both permutations are swap-or-not shuffles: bijections of any range 0 .. n-1 that need no table, so slots are
+The permutations are swap-or-not shuffles: bijections of any range 0 .. n-1 that need no table, so slots are
 computed where they are and a rerun gives the same mix.
 
 Defined cases: null text has no words; null sources form one source, the last; documents without words take
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from tidewire.storage import stage
 
 from .running import ordered
+from .tables import plain_names
 
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -85,27 +87,40 @@ def plan(rows: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, block: int = BL
     return ordered(planned, ["number"], ["slots"], label="mixing-plan").drop("row")
 
 
-def slots(planned: DataFrame) -> DataFrame:
-    """Every slot of the mix: output shard and place in it, source number, epoch and block index."""
-    every = planned.agg(F.sum("slots")).first()[0] or 0
-    chunks = planned.filter("slots > 0").select(
-        "number", "blocks", "slots", "slots_before", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(_CHUNK).cast("long"))).alias("chunk")
-    )
+def _chunked(rows: DataFrame) -> DataFrame:
+    """Rows with ``slots`` cut into chunks of (at, upto), dealt to many tasks: there are few of them, but each is worth many slots."""
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(_CHUNK).cast("long")))
     # A count of partitions of its own: few and short as the chunks are, adaptive execution would put them into one task.
-    tasks = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    each = chunks.repartition(tasks, "number", "chunk").select(
-        "number", "blocks", "slots_before", F.explode(F.sequence(F.col("chunk"), F.least(F.col("chunk") + _CHUNK, F.col("slots")) - 1)).alias("k")
-    )
-    epoch = F.expr("k div blocks")
-    dealt = permuted(F.col("slots_before") + F.col("k"), F.lit(max(every, 1)).cast("long"))
-    return each.select(
-        "number", epoch.alias("epoch"), permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.col("number"), epoch).alias("block"), dealt.alias("place")
-    ).withColumns({"shard": F.floor(F.col("place") / SHARD_SLOTS), "place": F.col("place") % SHARD_SLOTS})
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = rows.filter("slots > 0").withColumn("at", at).withColumn("upto", F.least(F.col("at") + _CHUNK, F.col("slots")) - 1)
+    return chunks.repartition(tasks, "number", "at")
+
 
+def shard_counts(planned: DataFrame) -> DataFrame:
+    """Slots of each source (``number``) in each output ``shard``: every slot draws its shard, all alike.
 
-def shard_counts(drawn: DataFrame) -> DataFrame:
-    """Blocks drawn per output shard and source."""
-    return drawn.groupBy("shard", "number").agg(F.count("*").alias("slots"))
+    A source's counts over the shards are multinomial; a shard's counts over the sources are so too, under the condition
+    that each source's total is that of the plan.
+    """
+    every = planned.agg(F.sum("slots")).first()[0] or 0
+    shards = max(-(-every // SHARD_SLOTS), 1)
+    each = _chunked(planned).select("number", F.explode(F.sequence("at", "upto")).alias("k"))
+    shard = F.pmod(F.xxhash64(F.lit(SEED + 2), "number", "k"), F.lit(shards).cast("long"))
+    return each.groupBy("number", shard.alias("shard")).agg(F.count("*").alias("slots"))
+
+
+def slots(planned: DataFrame) -> DataFrame:
+    """Every slot of the mix, made from the counts: output shard, source number, epoch and block index.
+
+    A source's slots are numbered through its shards, so a shard has those from the sum of its earlier shards' counts on.
+    """
+    counts = ordered(shard_counts(planned), ["number", "shard"], ["slots"], label="mixing-counts")
+    of = planned.select("number", "blocks", F.col("slots_before").alias("start"))
+    drawn = counts.join(of, "number").withColumn("first", F.col("slots_before") - F.col("start"))
+    each = _chunked(drawn).select("number", "shard", "blocks", F.explode(F.sequence(F.col("first") + F.col("at"), F.col("first") + F.col("upto"))).alias("k"))
+    epoch = F.expr("k div blocks")
+    block = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.col("number"), epoch)
+    return each.select("number", "shard", epoch.alias("epoch"), block.alias("block"))
 
 
 def pieces(rows: DataFrame, planned: DataFrame, *, block: int = BLOCK) -> DataFrame:
@@ -123,10 +138,10 @@ def pieces(rows: DataFrame, planned: DataFrame, *, block: int = BLOCK) -> DataFr
 
 
 def uses(rows: DataFrame, planned: DataFrame, *, block: int = BLOCK) -> DataFrame:
-    """The pieces that the mix takes and how often: blocks joined with the slots by index."""
+    """The pieces that the mix takes, how often, and the output shards in order: blocks joined with the slots by index."""
+    drawn = slots(planned).groupBy("number", "block").agg(F.count("*").alias("times"), F.array_sort(F.collect_list("shard")).alias("shards"))
     # Sizes after an explode are underestimated; the hint keeps the slots from being broadcast.
-    drawn = slots(planned).groupBy("number", "block").agg(F.count("*").alias("times")).hint("merge")
-    return pieces(rows, planned, block=block).join(drawn, ["number", "block"])
+    return pieces(rows, planned, block=block).join(drawn.hint("merge"), ["number", "block"])
 
 
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
@@ -142,22 +157,26 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, block: int = BLO
     )
 
 
-def mixed_documents(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
-    """The mix as documents: one row per document and use, with the words taken that often; other columns are kept."""
-    known = stage(docs.withColumn("__id", F.monotonically_increasing_id()), "mixing-documents")
-    rows = ordered(_sized(known, "__id"), ["no_source", "source", "doc_id", "__id"], ["size"], label="mixing-rows")
+def mixed_documents(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK, with_shard: bool = False) -> DataFrame:
+    """The mix as documents: one row per document and use, with the words taken that often; other columns are kept.
+
+    ``with_shard`` adds ``shard``, the output shard that drew the first of the row's blocks: a use of a document stays together.
+    """
+    plain = plain_names(docs, "doc_id", "source", "text", "n_chars").withColumn("id", F.monotonically_increasing_id())
+    known = stage(plain, "mixing-documents")
+    rows = ordered(_sized(known, "id"), ["no_source", "source", "doc_id", "id"], ["size"], label="mixing-rows")
     planned = plan(rows, weights=weights, block=block)
-    used = uses(rows, planned, block=block).join(rows.select("row", "__id"), "row")
-    ranges = (
-        used.select("__id", "first", "last", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("use"))
-        .groupBy("__id", "use").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__ranges")).drop("use")
-    )
+    used = uses(rows, planned, block=block).join(rows.select("row", "id"), "row")
+    each = used.select("id", "first", "last", F.posexplode("shards").alias("use", "shard"))
+    ranges = each.groupBy("id", "use").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("ranges"), F.min_by("shard", "first").alias("shard")).drop("use")
     parts = F.regexp_extract_all(F.col("text").cast("string"), F.lit("[^\\x20\\x09-\\x0D]++[\\x20\\x09-\\x0D]*+"), F.lit(0))
 
     def taken(p: Column) -> Column:
-        return F.array_join(F.flatten(F.transform("__ranges", lambda r: F.slice(p, (r["first"] + 1).cast("int"), (r["last"] - r["first"] + 1).cast("int")))), "")
+        return F.array_join(F.flatten(F.transform("ranges", lambda r: F.slice(p, (r["first"] + 1).cast("int"), (r["last"] - r["first"] + 1).cast("int")))), "")
 
     # The words go through a one-element array, so that they are found once and not anew for every range.
     text = F.rtrim(F.get(F.transform(F.array(parts), taken), F.lit(0)))
-    chosen = known.join(ranges, "__id").select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
-    return chosen.select(*[F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    columns = plain.columns[:-1]
+    chosen = known.join(ranges, "id").select(*[text.alias("text") if c == "text" else F.col(c) for c in columns], "shard")
+    counted = chosen.select(*[F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in columns], "shard")
+    return counted.toDF(*docs.columns, "shard") if with_shard else counted.drop("shard").toDF(*docs.columns)

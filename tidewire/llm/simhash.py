@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tidewire.storage import Rounds, stage
 
-from .tables import release
+from .tables import plain_names, release
 
 SHINGLE = 4
 SEED = 42
@@ -72,8 +72,9 @@ def fingerprint_of(text: str, size: int = SHINGLE, seed: int = SEED) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], size: int, seed: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = np.fromiter((fingerprint_of(t.as_py() or "", size, seed) for t in batch.column(1)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+        *kept, texts = batch.columns
+        prints = np.fromiter((fingerprint_of(t.as_py() or "", size, seed) for t in texts), np.uint64, batch.num_rows)
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(prints.view(np.int64))], [*batch.schema.names[:-1], "fp"])
     release()
 
 
@@ -178,10 +179,11 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, distance: int = DISTANCE,
 
 def one_of_each(docs: DataFrame, *, shingle: int = SHINGLE, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
     """The document with the smallest doc_id of each group (null ids last), all columns kept."""
-    known = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-documents")
-    ids = known.select(F.col("doc_id").cast("long").alias("doc_id"), "__row")
-    prints = fingerprints(known.select(F.col("__row").alias("doc_id"), "text"), shingle=shingle).withColumnRenamed("doc_id", "__row")
-    rows = stage(prints.join(ids, "__row"), "simhash-prints")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
-    first = _grouped(rows, distance, segments).groupBy("root").agg(F.min(order).alias("first")).select("first.__row")
-    return known.join(first, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain = plain_names(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    known = stage(plain, "simhash-documents")
+    texts = known.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    prints = texts.mapInArrow(functools.partial(_fingerprints, size=shingle, seed=SEED), "row long, doc_id long, fp long")
+    rows = stage(prints, "simhash-prints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = _grouped(rows, distance, segments).groupBy("root").agg(F.min(order).alias("first")).select("first.row")
+    return known.join(first, "row", "left_semi").select(*plain.columns[:-1]).toDF(*docs.columns)

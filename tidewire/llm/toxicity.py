@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from tidewire.storage import stage
 
-from .tables import BoundedTable, release
+from .tables import BoundedTable, plain_names, release
 
 #: Labelled rows that the model is fitted on at most.
 MAX_TRAINING = 20_000
@@ -317,4 +317,6 @@ def score(docs: DataFrame, model: Model, *, drift: float = DRIFT) -> DataFrame:
 
 def clean_documents(docs: DataFrame, model: Model, *, drift: float = DRIFT) -> DataFrame:
     """The documents that the model doesn't predict to be toxic, all columns kept."""
-    return scan(docs, model.lexicon, drift=drift, keep_text=True).filter(_chance(model) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain = plain_names(docs, "doc_id", "text")
+    scanned = scan(plain, model.lexicon, drift=drift, keep_text=True)
+    return scanned.filter(_chance(model) < 0.5).select(*plain.columns).toDF(*docs.columns)
