@@ -1,10 +1,16 @@
 """Personal data by bootstrapped contextual extraction, in Spark expressions only.
 
-Base patterns find e-mail and network addresses, card and phone numbers; these are the seeds.  The words before
-and after a seed are its lexical patterns.  Patterns and the tokens they surround form a graph that is
-scored in rounds: a pattern is trusted by the share of its occurrences in the corpus (in front of or behind
-anything at all) that are trusted instances of a kind, a token by the patterns it occurs with.  Tokens with a digit
-or an at sign that no base pattern covers become findings once trusted patterns surround them.
+Base patterns find e-mail and network addresses, card and phone numbers; these are the seeds.  The words around an
+instance are its lexical patterns: one to three words before it, one to three behind it, and one on both sides.  Patterns and
+instances form a graph that is scored in rounds:
+
+* A pattern's trust for a kind is the share of its occurrences in the corpus, around anything at all, that are trusted
+  instances of the kind; it needs ``MIN_SEEDS`` different ones.
+* An instance is trusted as much as its best pattern; patterns of less than ``MIN_TRUST`` make nobody trusted.
+* Instances that are trusted anew induce patterns in the next round, until a round adds none.
+
+Candidates are words with a digit or an at sign that no base span touches; groups of digits one after another are one candidate.
+An occurrence with a trusted pattern around it becomes a span.
 
 Base patterns are matched leftmost without overlaps, a kind at a time; matches that fail their check are dropped.  Places
 come from the texts between matches, so no text leaves its row; all offsets are code points.
@@ -12,8 +18,9 @@ come from the texts between matches, so no text leaves its row; all offsets are
 Defined cases: null text is empty; an empty text has no spans; a null doc_id stays null; repeated rows are searched
 alike; an empty table gives no rows; further columns are ignored by ``find`` and kept by ``redact``.
 
-Plan: one pass for spans and contexts; the graph holds only contexts of identifiers; one pass counts the
-corpus occurrences of the patterns that have enough different seeds, combined before their shuffle.
+Plan: one pass for spans and contexts; the graph holds one row per pattern and instance, patterns as 64-bit hashes; one pass counts
+the word groups of the corpus that are patterns of enough different instances.  They are looked up in a broadcast table up to
+``MAX_BROADCAST`` of them, and beyond that counted first and joined then.
 """
 
 from __future__ import annotations
@@ -23,6 +30,8 @@ from pyspark.sql import functions as F
 
 from tidewire.storage import stage
 
+from .tables import plain_names
+
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns, possessive where that can't change a match, so that long runs take linear time.
 BASE = {
@@ -31,13 +40,21 @@ BASE = {
     "card": "[0-9](?:[\\x20-]?[0-9])++",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
 }
-#: Words that may be identifiers: with a digit or an at sign.
-TOKEN = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9@]*+[0-9@][^\\x20\\x09-\\x0D]*+"
+_DIGITS = "[(+]*+[0-9][0-9().+/-]*+"
+#: What may be an identifier: groups of digits one after another, or a word with a digit or an at sign.
+TOKEN = (
+    f"(?<![^\\x20\\x09-\\x0D])(?:{_DIGITS}(?![^\\x20\\x09-\\x0D])(?:\\x20{_DIGITS}(?![^\\x20\\x09-\\x0D]))*+"
+    f"(?:\\x20{_DIGITS}(?=[,;:!?]++(?![^\\x20\\x09-\\x0D])))?+|[^\\x20\\x09-\\x0D0-9@]*+[0-9@][^\\x20\\x09-\\x0D]*+)"
+)
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-ROUNDS = 3
-#: Different seeds a pattern needs, and the trust from which patterns and tokens count.
+#: Different trusted instances a pattern needs, and the trust from which patterns and instances count.
 MIN_SEEDS, MIN_TRUST = 3, 0.6
+#: Most words of a pattern on one side.
+WORDS = 3
+#: Most patterns in a broadcast table (8 bytes each, some 16 MB with the table around them).
+MAX_BROADCAST = 500_000
+_SPAN = "array<struct<start:int,kind:int,end:int,left:array<string>,right:array<string>,token:string>>"
 _CHUNK = 64
 
 
@@ -92,14 +109,16 @@ def _valid(kind: str, found: Column) -> Column:
 
 
 def _context(kind: int, m: Column) -> Column:
-    """Place and neighboring words of a match; empty where another match or the text's edge is next to it."""
+    """Place and neighboring words of a match, the nearest first; none where another match or the text's edge is next to it."""
     before, after = (F.translate(m[side], "\t\n\x0b\x0c\r", "     ") for side in ("before", "after"))
-    last = F.substring_index(F.rtrim(before), " ", -1)
+    word = lambda w: w != ""
+    # Some spaces between the words are more than one; six times as many parts hold the words of nearly all texts.
+    last = F.slice(F.reverse(F.filter(F.split(F.lower(F.substring_index(F.rtrim(before), " ", -6 * WORDS)), " "), word)), 1, WORDS)
     rest = F.when(F.instr(after, " ") > 0, F.substr(after, F.instr(after, " "))).otherwise("")
-    first = F.substring_index(F.ltrim(rest), " ", 1)
+    first = F.slice(F.filter(F.split(F.lower(F.substring_index(F.ltrim(rest), " ", 6 * WORDS)), " "), word), 1, WORDS)
     return F.struct(
         m["start"].alias("start"), F.lit(kind).alias("kind"), (m["start"] + F.length(m["found"])).alias("end"),
-        F.lower(last).alias("left"), F.lower(first).alias("right"), F.lower(m["found"]).alias("token"),
+        last.alias("left"), first.alias("right"), F.lower(m["found"]).alias("token"),
     )
 
 
@@ -109,7 +128,7 @@ def _of_kind(text: Column, number: int) -> Column:
     # A quick look first: most texts have none.
     signs = {"email": F.contains(text, F.lit("@")), "ip": text.rlike("[0-9]\\.[0-9]"), "card": text.rlike("[0-9][\\x20-]?[0-9]"), "phone": F.contains(text, F.lit("+"))}
     may = signs[kind]
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,left:string,right:string,token:string>>")
+    empty = F.array().cast(_SPAN)
     return F.when(may, F.transform(good, lambda m: _context(number, m))).otherwise(empty)
 
 
@@ -122,58 +141,111 @@ def base_spans(docs: DataFrame, *further: str) -> DataFrame:
         *further,
         F.monotonically_increasing_id().alias("row"),
         F.array_sort(F.concat(*[_of_kind(text, k) for k in range(len(KINDS))])).alias("base"),
-        F.coalesce(tokens, F.array().cast("array<struct<start:int,kind:int,end:int,left:string,right:string,token:string>>")).alias("tokens"),
+        F.coalesce(tokens, F.array().cast(_SPAN)).alias("tokens"),
     )
 
 
 # --- the graph -----------------------------------------------------------------------------------
 
 
-def _patterns(spans: DataFrame) -> Column:
-    """The lexical patterns around a span: the word before it and the word behind it."""
-    side = lambda name: F.struct(F.lit(name).alias("side"), spans[name].alias("word"))
-    return F.filter(F.array(side("left"), side("right")), lambda p: p["word"] != "")
+def _group(*words: Column) -> Column:
+    """Names a group of words one after another."""
+    return F.xxhash64(F.lit(len(words)), *words)
+
+
+def _around(first: Column, last: Column) -> Column:
+    """Names two words with anything between them."""
+    return F.xxhash64(F.lit(0), first, last)
+
+
+def _patterns() -> Column:
+    """The patterns of a span: (pattern, words) with the name of the word group that the corpus is searched for."""
+    found = []
+    for side, name in enumerate(("left", "right")):
+        for n in range(1, WORDS + 1):
+            words = [F.get(name, i) for i in (range(n - 1, -1, -1) if name == "left" else range(n))]
+            group = F.when(F.size(name) >= n, _group(*words))
+            found.append(F.struct(F.xxhash64(F.lit(side), group).alias("pattern"), group.alias("words")))
+    both = F.when((F.size("left") > 0) & (F.size("right") > 0), _around(F.get("left", F.lit(0)), F.get("right", F.lit(0))))
+    found.append(F.struct(F.xxhash64(F.lit(2), both).alias("pattern"), both.alias("words")))
+    return F.filter(F.array(*found), lambda p: p["words"].isNotNull())
 
 
 def _marked(rows: DataFrame) -> DataFrame:
-    """All base spans and tokens, one a row; ``covered`` tokens are touched by a base span."""
+    """All base spans and candidates, one a row; ``covered`` candidates are touched by a base span."""
     spans = rows.select("row", F.explode(F.concat("base", "tokens")).alias("s")).select("row", "s.*")
-    # Both windows only look back, which takes one pass; a base span comes before a token with the same start.
+    # Both windows only look back, which takes one pass; a base span comes before a candidate with the same start.
     forth, back = Window.partitionBy("row").orderBy("start", F.desc("kind")), Window.partitionBy("row").orderBy(F.desc("start"), "kind")
     is_base = F.col("kind") >= 0
     reached = F.max(F.when(is_base, F.col("end"))).over(forth.rowsBetween(Window.unboundedPreceding, -1))
     coming = F.min(F.when(is_base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     touched = F.coalesce(reached > F.col("start"), F.lit(False)) | F.coalesce(coming < F.col("end"), F.lit(False))
-    return stage(spans.withColumn("covered", touched), "pii-marked")
+    kept = spans.withColumn("covered", touched).filter("kind >= 0 or not covered")
+    return stage(kept.select("row", "start", "kind", "end", "token", _patterns().alias("patterns")), "pii-marked")
 
 
-def _edges(spans: DataFrame) -> DataFrame:
-    """One row per span and pattern."""
-    return spans.select("row", "start", "kind", "end", "token", F.explode(_patterns(spans)).alias("p")).select("*", "p.side", "p.word").drop("p")
+def _occurrences(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """words and occurrences: how often each wanted word group stands in the corpus."""
+    lowered = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    tokens = F.filter(F.split(lowered, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
+    def groups(w: Column) -> Column:
+        at = lambda i, k: F.get(w, i + k)
+        inside = lambda i, k, name: F.when(i + k < F.size(w), name)
+        each = lambda i: F.array(
+            *[inside(i, n - 1, _group(*[at(i, k) for k in range(n)])) for n in range(1, WORDS + 1)], inside(i, 2, _around(at(i, 0), at(i, 2)))
+        )
+        return F.when(F.size(w) > 0, F.flatten(F.transform(F.sequence(F.lit(0), F.size(w) - 1), each)))
 
-def trusted_tokens(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Tokens that trusted patterns surround: row, start, end, kind.  ``texts`` has the column ``text``."""
+    every = texts.select(F.explode(_once(tokens, groups)).alias("words"))
+    if wanted.count() <= MAX_BROADCAST:
+        return every.join(F.broadcast(wanted), "words", "left_semi").groupBy("words").agg(F.count("*").alias("occurrences"))
+    counted = every.groupBy("words").agg(F.count("*").alias("occurrences"))
+    return counted.join(wanted.hint("merge"), "words", "left_semi")
+
+
+def graph(rows: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged spans, edges (pattern, token, uses, occurrences, seed) and seeds (token, kind).  ``texts`` has the column ``text``."""
     marked = _marked(rows)
-    seeds = _edges(marked.filter("kind >= 0")).groupBy("side", "word", "kind", "token").agg(F.count("*").alias("uses"))
-    known = seeds.groupBy("side", "word", "kind").agg(F.sum("uses").alias("uses"), F.count("*").alias("seeds")).filter(F.col("seeds") >= MIN_SEEDS)
-    known = stage(known, "pii-patterns")
-    patterns = known.select("side", "word").distinct()
-    candidates = stage(_edges(marked.filter("kind < 0 and not covered")).drop("kind").join(patterns, ["side", "word"]), "pii-candidates")
-    # How often a pattern surrounds anything: how often its word occurs.
-    words = texts.select(F.explode(F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), "[\\x20\\x09-\\x0D]+")).alias("word"))
-    occurrences = words.join(patterns.select("word").distinct(), "word").groupBy("word").agg(F.count("*").alias("occurrences"))
-    seeded = stage(known.join(occurrences, "word").select("side", "word", "kind", "uses", "occurrences"), "pii-seeded")
-    trust = seeded.withColumn("trust", F.least(F.col("uses") / F.col("occurrences"), F.lit(1.0)))
-    for _ in range(ROUNDS - 1):
-        # A token is trusted as much as any of its patterns makes it likely, patterns taken as independent.
-        doubt = F.exp(F.sum(F.log(1 - F.least("trust", F.lit(0.999)))))
-        tokens = candidates.join(trust, ["side", "word"]).groupBy("token", "kind").agg((1 - doubt).alias("belief")).filter(F.col("belief") >= MIN_TRUST)
-        added = candidates.join(tokens, "token").groupBy("side", "word", "kind").agg(F.sum("belief").alias("added"))
-        share = (F.col("uses") + F.coalesce("added", F.lit(0.0))) / F.col("occurrences")
-        trust = stage(seeded.join(added, ["side", "word", "kind"], "left").withColumn("trust", F.least(share, F.lit(1.0))).drop("added"), "pii-trust")
+    edges = marked.select("token", F.explode("patterns").alias("p")).groupBy("p.pattern", "p.words", "token").agg(F.count("*").alias("uses"))
+    edges = stage(edges, "pii-edges")
+    # A pattern of fewer instances can never be trusted.
+    able = edges.groupBy("pattern", "words").agg(F.sum("uses").alias("all_uses"), F.count("*").alias("n")).filter(F.col("n") >= MIN_SEEDS)
+    able = stage(able.drop("n"), "pii-able")
+    found = _occurrences(texts, stage(able.select("words").distinct(), "pii-words"))
+    # An instance of several words, or one that is part of a word, can stand where the corpus has no such group.
+    total = F.greatest(F.coalesce("occurrences", F.lit(0)), "all_uses").alias("occurrences")
+    counted = stage(able.join(found, "words", "left").select("pattern", total), "pii-occurrences")
+    known = stage(edges.drop("words").join(counted, "pattern"), "pii-graph")
+    seeds = marked.filter("kind >= 0").select("token", "kind").distinct()
+    return marked, known, stage(seeds.withColumn("belief", F.lit(1.0)), "pii-seeds")
+
+
+def trusted_patterns(known: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Rounds over the graph: pattern, kind and trust of every pattern that ends up trusted."""
+    trusted, number = seeds, None
+    while True:
+        support = known.join(trusted, "token").groupBy("pattern", "kind").agg(
+            F.count("*").alias("instances"), F.sum(F.col("uses") * F.col("belief")).alias("good"), F.max("occurrences").alias("occurrences")
+        )
+        trust = F.least(F.col("good") / F.col("occurrences"), F.lit(1.0))
+        patterns = stage(support.withColumn("trust", trust).filter((F.col("instances") >= MIN_SEEDS) & (F.col("trust") >= MIN_TRUST)).select("pattern", "kind", "trust"), "pii-patterns")
+        reached = known.join(patterns, "pattern").groupBy("token", "kind").agg(F.max("trust").alias("belief"))
+        more = trusted.union(reached.join(seeds, ["token", "kind"], "left_anti").select("token", "kind", "belief"))
+        # Beliefs only rise: an instance keeps the best of all rounds.
+        trusted = stage(more.groupBy("token", "kind").agg(F.max("belief").alias("belief")), "pii-trusted")
+        before, number = number, trusted.count()
+        if number == before:
+            return patterns
+
+
+def trusted_tokens(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Candidates that trusted patterns surround: row, start, end, kind."""
+    marked, known, seeds = graph(rows, texts)
+    patterns = trusted_patterns(known, seeds)
+    candidates = marked.filter("kind < 0").select("row", "start", "end", F.explode("patterns.pattern").alias("pattern"))
     best = F.max(F.struct("trust", (-F.col("kind")).alias("order"))).alias("best")
-    chosen = candidates.join(trust.filter(F.col("trust") >= MIN_TRUST), ["side", "word"]).groupBy("row", "start", "end").agg(best)
+    chosen = candidates.join(patterns, "pattern").groupBy("row", "start", "end").agg(best)
     return chosen.select("row", "start", "end", (-F.col("best.order")).alias("kind"))
 
 
@@ -199,19 +271,43 @@ def find(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
-def redact(docs: DataFrame) -> DataFrame:
-    """The documents with every span replaced by its kind in brackets; other columns are kept."""
-    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "pii-documents")
-    spans = all_spans(rows, "__row").select("__row", F.col("spans").alias("__spans")).filter(F.size("__spans") > 0)
-    text = F.col("text").cast("string")
+def _reached(ends: Column) -> Column:
+    """The largest of all earlier elements of an array (0 before the first), by chunks."""
+    chunk = lambda i: F.floor(i / _CHUNK).cast("int")
+    most = lambda a: F.coalesce(F.array_max(a), F.lit(0))
+    tops = F.transform(F.sequence(F.lit(0), chunk(F.size(ends) - 1)), lambda c: most(F.slice(ends, c * _CHUNK + 1, _CHUNK)))
+    heads = _once(tops, lambda t: F.transform(t, lambda x, c: most(F.slice(t, F.lit(1), c))))
+    return _once(heads, lambda h: F.transform(ends, lambda x, i: F.greatest(F.get(h, chunk(i)), most(F.slice(ends, chunk(i) * _CHUNK + 1, i % _CHUNK)))))
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with its spans replaced, cut once at all borders; a span that begins inside an earlier one goes with it."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    part = 1024  # code points: a place in a text is found by counting from its start, so texts are cut into short parts first
 
-    def step(a: Column, s: Column) -> Column:
-        kept = F.struct(F.concat(a["out"], F.substr(text, a["at"] + 1, s["start"] - a["at"]), F.get(names, s["kind"])).alias("out"), s["end"].alias("at"))
-        return F.when(s["start"] >= a["at"], kept).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at")))
+    def joined(parts: Column, before: Column) -> Column:
+        of = lambda i: F.floor(i / part).cast("int")
 
-    clean = F.aggregate("__spans", start, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.length(text))))
-    known = rows.join(spans, "__row", "left").withColumn("__clean", F.when(F.col("__spans").isNull(), text).otherwise(clean))
-    columns = [F.col("__clean").alias("text") if c == "text" else F.length("__clean").cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns]
-    return known.select(*columns)
+        def piece(a: Column, b: Column) -> Column:
+            one = F.substr(F.get(parts, of(a)), a % part + 1, b - a)
+            middle = F.array_join(F.slice(parts, of(a) + 2, F.greatest(of(b) - of(a) - 1, F.lit(0))), "")
+            more = F.concat(F.substr(F.get(parts, of(a)), a % part + 1, F.lit(part)), middle, F.substr(F.coalesce(F.get(parts, of(b)), F.lit("")), F.lit(1), b % part))
+            return F.when(b <= a, "").when(of(a) == of(b), one).otherwise(more)
+
+        masked = F.transform(spans, lambda s, i: F.when(s["start"] >= F.get(before, i), F.concat(piece(F.get(before, i), s["start"]), F.get(names, s["kind"]))).otherwise(""))
+        return F.concat(F.array_join(masked, ""), piece(F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text)))
+
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{part}}}"), F.lit(0))
+    reached = _once(F.transform(spans, lambda s: s["end"]), _reached)
+    return _once(cut, lambda parts: _once(reached, lambda before: joined(parts, before)))
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """The documents with every span replaced by its kind in brackets; other columns are kept."""
+    plain = plain_names(docs, "doc_id", "text", "n_chars").withColumn("place", F.monotonically_increasing_id())
+    rows = stage(plain, "pii-documents")
+    spans = all_spans(rows, "place").select("place", "spans").filter(F.size("spans") > 0)
+    text = F.col("text").cast("string")
+    known = rows.join(spans, "place", "left").withColumn("clean", F.when(F.col("spans").isNull(), text).otherwise(_masked(text, F.col("spans"))))
+    new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
+    return known.select(*[new.get(c, F.col(c)).alias(c) for c in plain.columns[:-1]]).toDF(*docs.columns)
