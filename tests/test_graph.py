@@ -242,3 +242,23 @@ def test_depths_of_a_chain_longer_than_any_cap_and_of_loops(spark):
     )
     row = graph.depths(chain.union(loop)).agg(F.count("*").alias("n"), F.max("depth").alias("deepest")).first()
     assert (row.n, row.deepest) == (10_050, 10_049)
+
+
+def test_shortcuts_are_cheapest_paths_and_stop_at_hubs(spark):
+    rng = random.Random(8)
+    edges = [(a, b, rng.choice([1.0, 2.5])) for a, b in {tuple(sorted(rng.sample(range(60), 2))) for _ in range(70)}]
+    directed = graph._both_ways(edge_df(spark, {("n", 0): edges}), KEYS)
+    links, reach = graph.shortcuts(directed, KEYS, growth=10_000, most=4)
+    best = {0: {(v, v): 0.0 for e in edges for v in e[:2]}}
+    for hops in range(1, 5):
+        best[hops] = dict(best[hops - 1])
+        for (a, b), d in best[hops - 1].items():
+            for x, y, w in edges:
+                for one, two in ((x, y), (y, x)):
+                    if one == b:
+                        best[hops][a, two] = min(best[hops].get((a, two), 1e9), d + w)
+    assert reach == 4
+    assert {(r.a, r.b): r.cost for r in links.collect()} == {k: d for k, d in best[4].items() if k[0] != k[1]}
+    star = graph._both_ways(edge_df(spark, {("n", 0): [(0, i, 1.0) for i in range(1, 500)]}), KEYS)
+    links, reach = graph.shortcuts(star, KEYS, growth=160, most=8)
+    assert reach == 1 and links.count() == 998

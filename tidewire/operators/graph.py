@@ -178,25 +178,52 @@ def _key_texts(keys: Sequence[str]) -> dict[str, str]:
     }
 
 
-# Rounds are single statements: a loop of many rounds spends its time on data, not on building plans.
-_HOP_ROUND = """
+def shortcuts(directed: DataFrame, keys: Sequence[str], *, growth: int, most: int) -> tuple[DataFrame, int]:
+    """The cheapest paths of at most ``reach`` links as links of their own (a, b, cost), and ``reach``.
+
+    Joining the table with itself doubles ``reach``.  The join has as many rows as the squares of the nodes' ends sum up to;
+    that is known beforehand, and no further doubling is made where it exceeds ``growth`` times the links or ``reach``
+    would exceed ``most``.  Dense graphs so keep their plain links.
+    """
+    table, reach = directed, 1
+    budget = growth * directed.count()
+    while reach < most:
+        ends = table.groupBy(*keys, "a").agg(F.count("*").alias("n"))
+        if (ends.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or budget + 1) > budget:
+            break
+        on = table.select(*keys, F.col("a").alias("b"), F.col("b").alias("c"), F.col("cost").alias("more"))
+        joined = table.join(on, [*keys, "b"]).filter("a <> c").select(*keys, "a", F.col("c").alias("b"), (F.col("cost") + F.col("more")).alias("cost"))
+        table = stage(table.unionByName(joined).groupBy(*keys, "a", "b").agg(F.min("cost").alias("cost")), "shortcuts")
+        reach *= 2
+    return table, reach
+
+
+def _hop_round(reach: int) -> str:
+    """Statement of one round: the bits a node got at exactly {distance} links travel 1 .. ``reach`` links on.
+
+    Rounds are single statements: a loop of many rounds spends its time on data, not on building plans.
+    """
+    each = range(1, reach + 1)
+    fresh = {j: f"n{j} & ~(seen{''.join(f' | n{i}' for i in range(1, j))})" for j in each}
+    return f"""
 WITH gathered AS (
-  SELECT {keys}, node, word, seen, 0L AS arriving, hops, reached, ecc FROM {table}
+  SELECT {{keys}}, node, word, seen, {', '.join(f'0L AS n{j}' for j in each)}, hops, reached, ecc FROM {{table}}
   UNION ALL
-  SELECT {t_keys}, l.b, t.word, 0L, t.fresh, 0L, 0L, 0L
-  FROM {table} t JOIN {links} l ON {same} AND t.node = l.a WHERE t.fresh <> 0
+  SELECT {{t_keys}}, l.b, t.word, 0L, {', '.join(f'if(l.cost = {j}, t.fresh, 0L)' for j in each)}, 0L, 0L, 0L
+  FROM {{table}} t JOIN {{links}} l ON {{same}} AND t.node = l.a WHERE t.fresh <> 0
 ), merged AS (
-  SELECT {keys}, node, word, bit_or(seen) AS seen, bit_or(arriving) & ~bit_or(seen) AS fresh,
+  SELECT {{keys}}, node, word, bit_or(seen) AS seen, {', '.join(f'bit_or(n{j}) AS n{j}' for j in each)},
          max(hops) AS hops, max(reached) AS reached, max(ecc) AS ecc
-  FROM gathered GROUP BY {keys}, node, word
+  FROM gathered GROUP BY {{keys}}, node, word
 )
-SELECT {keys}, node, word, seen | fresh AS seen, fresh,
-       hops + cast(bit_count(fresh) AS bigint) * {distance} AS hops,
-       reached + bit_count(fresh) AS reached,
-       cast(if(fresh <> 0, {distance}, ecc) AS bigint) AS ecc
+SELECT {{keys}}, node, word, seen | {' | '.join(f'n{j}' for j in each)} AS seen, {fresh[reach]} AS fresh,
+       hops + {' + '.join(f'cast(bit_count({fresh[j]}) AS bigint) * ({{distance}} + {j})' for j in each)} AS hops,
+       reached + {' + '.join(f'bit_count({fresh[j]})' for j in each)} AS reached,
+       cast(greatest(ecc, {', '.join(f'if({fresh[j]} <> 0, {{distance}} + {j}, 0)' for j in each)}) AS bigint) AS ecc
 FROM merged
 """
 
+
 _RELAX_ROUND = """
 WITH gathered AS (
   SELECT {keys}, src, node, dist, cast(NULL AS double) AS offer FROM {table}
@@ -212,19 +239,24 @@ FROM merged
 """
 
 # Rounds between two looks for graphs that are finished.
-_RETIRE_EVERY = 8
+_RETIRE_EVERY = 4
+# Most links that one round passes, and most rows of the join that doubles them, in links.
+_HOP_REACH, _HOP_GROWTH = 8, 160
+_COST_REACH, _COST_GROWTH = 4, 32
 
 
 def hop_totals(edges: DataFrame, *, keys: Sequence[str] = GRAPH) -> DataFrame:
     """Per graph: hop diameter, sum of distances and number of reachable ordered pairs.
 
     Exact breadth-first search from all nodes at once.  A row stands for one node and 64
-    sources: which of them have reached it, as bits of one long.  A round passes the newly
-    set bits along the edges and ORs them per node, combining before the shuffle, so pairs
-    are never written out one by one.
+    sources: which of them have reached it, as bits of one long.  A round passes the bits of
+    the search's outermost nodes along paths of up to ``reach`` links (see ``shortcuts``) and ORs them per
+    node and length, combining before the shuffle, so pairs are never written out one by
+    one and the rounds are the longest distance divided by ``reach``.
     """
     spark = edges.sparkSession
-    directed = stage(_both_ways(edges.withColumn("cost", F.lit(1.0)), keys).select(*keys, "a", "b"), "links")
+    directed = stage(_both_ways(edges.withColumn("cost", F.lit(1.0)), keys), "links")
+    links, reach = shortcuts(directed, keys, growth=_HOP_GROWTH, most=_HOP_REACH)
     start = _numbered_nodes(directed, keys).select(
         *keys,
         "node",
@@ -236,13 +268,11 @@ def hop_totals(edges: DataFrame, *, keys: Sequence[str] = GRAPH) -> DataFrame:
     rounds = Rounds(spark, "hops")
     table = rounds.store(start)
     done = []
-    distance = 0
+    distance, step = 0, _hop_round(reach)
     while not table.filter("fresh <> 0").isEmpty():
-        distance += 1
-        table = rounds.store(
-            spark.sql(_HOP_ROUND.format(**_key_texts(keys), distance=distance), table=table, links=directed)
-        )
-        if distance % _RETIRE_EVERY == 0:
+        table = rounds.store(spark.sql(step.format(**_key_texts(keys), distance=distance), table=table, links=links))
+        distance += reach
+        if distance // reach % _RETIRE_EVERY == 0:
             # Graphs no bit moves in any more are summed up and leave the loop.
             moving = stage(table.filter("fresh <> 0").select(*keys).distinct(), "moving")
             done.append(stage(_hop_sums(table.join(moving, list(keys), "left_anti"), keys), "done"))
@@ -277,22 +307,24 @@ def weighted_metrics(
 ) -> DataFrame:
     """Cost diameter and average cost of the cheapest paths, over reachable ordered pairs.
 
-    Exact relaxation from every source until nothing improves (costs are positive).  The
+    Exact relaxation from every source until nothing improves (costs are positive), along paths of
+    several links a round (see ``shortcuts``).  The
     sources of a graph are worked off in passes, so the live state is bounded by
     ``sources_per_pass`` times the nodes; each pass leaves one row per node and source
     block, never a pair.
     """
     spark = edges.sparkSession
     directed = stage(_both_ways(edges, keys), "costs")
+    links, _ = shortcuts(directed, keys, growth=_COST_GROWTH, most=_COST_REACH)
     numbered = stage(_numbered_nodes(directed, keys), "nodes")
     most = numbered.agg(F.max("number")).first()[0]
     passes = 0 if most is None else most // sources_per_pass + 1
     parts = []
     for number in range(passes):
         in_pass = F.floor(F.col("number") / F.lit(sources_per_pass)) == number
-        parts.append(stage(_relax(numbered.filter(in_pass), directed, keys), "pass"))
+        parts.append(stage(_relax(numbered.filter(in_pass), links, keys), "pass"))
     if not parts:
-        parts = [_relax(numbered, directed, keys)]
+        parts = [_relax(numbered, links, keys)]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
