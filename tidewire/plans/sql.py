@@ -466,3 +466,21 @@ sessions as (
      """select event_id as "offset", node_id, epoch, last_value(raw_parent ignore nulls) over (
                  partition by epoch, node_id, sid order by event_id rows between unbounded preceding and current row) as parent_id,
                (pt is null or t - pt > 172800000000) as session_start from sessions""")
+STATEMENTS["stream_network_resets"] = STATEMENTS["reset_states"]
+STATEMENTS["output_reader_once"] = STATEMENTS["output_topic_rows"]
+_NO_FIGURES = "null::double as avg_neigh, null::bigint as min_neigh, null::bigint as max_neigh"
+_NO_GENERAL = """null::varchar as objective_function, null::bigint as diameter, null::double as diameter_avg, null::double as depth_avg,
+               null::bigint as depth_min, null::bigint as depth_max"""
+_add("stream_result_tables", _instant(),
+     f"""select 'topology' as result_table, 'mesh' as network, tick, node_id as Node, coalesce(cast(parent_id as varchar), '') as Parent,
+               coalesce(ids, '') as Neighbors, {_NO_FIGURES}, {_NO_GENERAL}
+        from vis left join (
+          select event_id, string_agg(cast(nb as varchar), ',' order by nb) as ids from nbr group by event_id) using (event_id)
+        where tick = (select max(tick) from vis)
+        union all
+        select 'nodes', 'mesh', tick, node_id, null, null, degree::double, degree, degree, {_NO_GENERAL}
+        from vis where tick = (select max(tick) from vis)
+        union all
+        select 'general', network, tick, null, null, null, {_NO_FIGURES}, objective_function, diameter, round(diameter_avg, 3),
+               round(depth_avg_over_time, 3), depth_min, depth_max
+        from means where tick = (select max(tick) from means)""", True)

@@ -11,7 +11,7 @@ from tidewire import storage
 from tidewire.functions import text
 from tidewire.operators import reports, sensor
 from tidewire.sources import grid_csv, reports_json, topics
-from tidewire.streaming import count_windows, network_state, runs, time_windows
+from tidewire.streaming import count_windows, network_state, output_reader, result_tables, runs, time_windows
 
 from . import catalog, views
 from .catalog import Query, _windows, rounded
@@ -119,15 +119,18 @@ def stream_time_windows(spark, sf_dir):
     return rounded(done.select("sensor_type", "window_start_step", "window_end_step", "temp_diff"), "temp_diff")
 
 
-def _network_states(spark, sf_dir, label: str, *, parts: int = 4, with_metrics: bool = False) -> network_state.TriggerStates:
+def _network_states(spark, sf_dir, label: str, *, parts: int = 4, tables: bool = False, **options):
+    """The handler after the last delivery; with ``tables`` the result tables that follow each trigger."""
     # The candidate neighbors need the highest node id, a value of the whole table.
     top = views.events(spark, sf_dir).agg(F.max("user_id") + 2).first()[0]
     folder = storage.new_folder(spark, label)
-    handler = network_state.TriggerStates(folder, every=views.DAY, stale=views.STALE, with_metrics=with_metrics)
+    states = network_state.TriggerStates(folder, every=views.DAY, stale=views.STALE, **options)
+    results = result_tables.ResultTables(f"{folder}/tables")
+    handler = result_tables.TriggerTables(states, results) if tables else states
     for stream in _deliveries(spark, sf_dir, parts):
         rows = reports.decode(views.mesh_reports(stream, max_node=F.lit(top)))
         runs.run_available(rows.writeStream.foreachBatch(handler).option("checkpointLocation", f"{folder}/checkpoint"))
-    return handler
+    return results if tables else states
 
 
 def stream_network_state(spark, sf_dir):
@@ -146,6 +149,38 @@ def stream_network_metrics(spark, sf_dir):
     )
 
 
+def stream_network_resets(spark, sf_dir):
+    """Reset messages in a stream of reports: the epoch is carried from trigger to trigger and over restarts."""
+    is_reset = F.col("offset") % 997 == 996
+    handler = _network_states(spark, sf_dir, "network-resets", with_history=True, reset=is_reset)
+    return handler.history_result(spark).select("offset", "node_id", "epoch", "parent_id", "session_start")
+
+
+def stream_result_tables(spark, sf_dir):
+    """The three tables as a reader sees them after the last trigger, all of one version."""
+    results = _network_states(spark, sf_dir, "result-tables", parts=2, with_metrics=True, tables=True)
+    topology, nodes, general = results.read(spark, "topology", "nodes", "general")
+    named = [t.withColumn("result_table", F.lit(n)) for n, t in (("topology", topology), ("nodes", nodes), ("general", general))]
+    return named[0].unionByName(named[1], allowMissingColumns=True).unionByName(named[2], allowMissingColumns=True)
+
+
+def output_reader_once(spark, sf_dir):
+    """An output topic into which every delivery comes a second time with the next one, read once over restarts."""
+    runs.use_durable_state(spark)
+    rows = storage.stage(output_topic_rows(spark, sf_dir), "output-rows")
+    folder = storage.new_folder(spark, "output-topic")
+    parts, hours = 4, 3600
+    for part in range(parts + 1):
+        # A message is written anew with the time of the writing.
+        written = rows.withColumn("timestamp", F.timestamp_seconds(F.lit(part * hours)))
+        for attempt, number in enumerate((part, part - 1)):
+            written.filter(F.pmod(F.xxhash64("id"), F.lit(parts)) == number).write.parquet(f"{folder}/delivery={part}/attempt={attempt}")
+        messages = output_reader.stream_messages(spark, f"{folder}/delivery=*/attempt=*")
+        seen = output_reader.once(messages, within="2 hours").drop("timestamp")
+        runs.run_available(runs.file_writer(seen, f"{folder}-read/rows", f"{folder}-read/checkpoint"))
+    return spark.read.schema(rows.schema).parquet(f"{folder}-read/rows")
+
+
 # --- sorted results and sinks ---------------------------------------------------------
 
 
@@ -263,7 +298,7 @@ STREAMS: dict[str, Query] = {
     f.__name__: f
     for f in (
         stream_count_windows, stream_trigger_windows, stream_flush_windows, stream_time_windows, stream_network_state,
-        stream_network_metrics, grid_csv_snapshots, report_json_source, report_json_quarantine,
+        stream_network_metrics, stream_network_resets, stream_result_tables, output_reader_once, grid_csv_snapshots, report_json_source, report_json_quarantine,
         output_topic_rows, next_topic_routing, reset_states, kept_fields, q1_sorted_csv, q2_sorted_csv, q3_sorted_csv,
         q1_first_rows,
     )

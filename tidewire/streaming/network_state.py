@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -242,19 +242,51 @@ class TriggerStates:
     node with a report older than its carried row is worked out anew from the log of its reports.  A
     trigger writes state rows under its number; where triggers disagree on a node at a tick, the later report
     and then the later trigger hold, so late reports correct what was written before.  With ``with_metrics`` the
-    metrics of all ticks a trigger touches are written anew.
+    metrics of all ticks a trigger touches are written anew; with ``with_history`` the filled reports are kept too.
+
+    ``reset`` marks control rows that clear a network: what comes after one, in order of ``offset`` inside a trigger, belongs to
+    the next *epoch*.  The number of control rows so far is carried per network, so a reset holds whether it came in
+    this trigger, in an earlier one or as the last row of a delivery; nodes of an earlier epoch are not carried on, and
+    their rows are no state any more from the time of the reset.
     """
 
-    def __init__(self, folder: str, *, every: int, stale: float, with_metrics: bool = False):
+    def __init__(self, folder: str, *, every: int, stale: float, with_metrics: bool = False, with_history: bool = False, reset: Column | None = None):
         self.folder, self.every, self.stale, self.with_metrics = folder.rstrip("/"), every, stale, with_metrics
-        self.states = self.metrics = None
+        self.with_history, self.reset = with_history, reset
+        self.node = list(reports.NODE) if reset is None else ["network", "epoch", "node_id"]
+        self.states = self.metrics = self.history = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with storage.temporary(batch.sparkSession):
             self._trigger(batch, batch_id)
 
+    def _epochs(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """network and resets, the control rows up to and with a trigger."""
+        schema = "network string, resets long"
+        return spark.read.schema(schema).parquet(f"{self.folder}/epochs/trigger={batch_id}") if batch_id >= 0 else spark.createDataFrame([], schema)
+
+    def _numbered(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The batch without its control rows and with ``epoch``; keeps the counts and the times of the resets."""
+        spark = batch.sparkSession
+        batch = storage.stage(batch, "marked")
+        before = self._epochs(spark, batch_id - 1)
+        seen = batch.groupBy("network").agg(F.count_if(self.reset).alias("n"))
+        resets = F.coalesce("resets", F.lit(0)) + F.coalesce("n", F.lit(0))
+        before.join(seen, "network", "full").select("network", resets.cast("long").alias("resets")).write.mode("overwrite").parquet(
+            f"{self.folder}/epochs/trigger={batch_id}"
+        )
+        known = before.withColumnRenamed("resets", "__before")
+        epoch = (F.col("epoch") + F.coalesce("__before", F.lit(0))).cast("long")
+        numbered = storage.stage(reports.resets_as_epochs(batch, reset=self.reset), "numbered")
+        controls = batch.filter(self.reset).withColumn("epoch", F.row_number().over(Window.partitionBy("network").orderBy("offset")) - 1)
+        ends = controls.join(known, "network", "left").select("network", epoch.alias("epoch"), F.col("t").alias("ended"))
+        ends.write.mode("overwrite").parquet(f"{self.folder}/ends/trigger={batch_id}")
+        return numbered.join(known, "network", "left").withColumn("epoch", epoch).drop("__before")
+
     def _trigger(self, batch: DataFrame, batch_id: int) -> None:
-        spark, node = batch.sparkSession, list(reports.NODE)
+        spark, node = batch.sparkSession, self.node
+        if self.reset is not None:
+            batch = self._numbered(batch, batch_id)
         batch.write.mode("overwrite").parquet(f"{self.folder}/log/trigger={batch_id}")
         log = spark.read.schema(batch.schema).parquet(f"{self.folder}/log/trigger=*")
         new = spark.read.schema(batch.schema).parquet(f"{self.folder}/log/trigger={batch_id}")
@@ -269,13 +301,23 @@ class TriggerStates:
             "arrived",
         )
         late, in_order = (arrived.filter(F.col("__late") == flag).select(*node) for flag in (True, False))
-        rows = new.unionByName(carried).join(in_order, node, "left_semi").unionByName(log.join(late, node, "left_semi"))
-        history = storage.stage(reports.with_history(rows, stale=self.stale), "history")
+        known = new.withColumn("__carried", F.lit(False)).unionByName(carried.withColumn("__carried", F.lit(True)))
+        rows = known.join(in_order, node, "left_semi").unionByName(log.join(late, node, "left_semi").withColumn("__carried", F.lit(False)))
+        history = storage.stage(reports.with_history(rows, stale=self.stale, keys=node), "history")
+        if self.with_history:
+            # A carried row was written by the trigger that brought it.
+            filled = history.filter(~F.col("__carried")).drop("__carried", "next_t").withColumn("trigger", F.lit(batch_id).cast("bigint"))
+            filled.write.mode("overwrite").parquet(f"{self.folder}/history/batch={batch_id}")
+            self.history = filled.schema
+        history = history.drop("__carried")
         states = reports.state_at_intervals(history, every=self.every, stale=self.stale)
         states = states.withColumn("trigger", F.lit(batch_id).cast("bigint"))
         states.write.mode("overwrite").parquet(f"{self.folder}/states/batch={batch_id}")
         self.states = states.schema
-        newest = reports.latest(history.select(*batch.columns)).unionByName(carried.join(arrived, node, "left_anti"))
+        newest = reports.latest(history.select(*batch.columns), keys=node).unionByName(carried.join(arrived, node, "left_anti"))
+        if self.reset is not None:
+            now = self._epochs(spark, batch_id).withColumnRenamed("resets", "epoch")
+            newest = newest.join(now, ["network", "epoch"], "left_semi").select(*batch.columns)
         newest.write.mode("overwrite").parquet(f"{self.folder}/carried/trigger={batch_id}")
         if batch_id > 1:
             storage.drop(spark, f"{self.folder}/carried/trigger={batch_id - 2}")
@@ -287,12 +329,24 @@ class TriggerStates:
             by_tick = found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tick")
             by_tick.parquet(f"{self.folder}/metrics")
 
-    def result(self, spark: SparkSession) -> DataFrame:
-        """State rows of all ticks so far, those after the newest report included."""
+    def result(self, spark: SparkSession, *, since: int | None = None) -> DataFrame:
+        """State rows of all ticks so far, or from ``since`` on, those after the newest report included."""
         every = spark.read.schema(self.states).parquet(f"{self.folder}/states/batch=*")
+        if since is not None:
+            every = every.filter(F.col("tick") >= since)
+        if self.reset is not None:
+            ends = spark.read.schema("network string, epoch long, ended long").parquet(f"{self.folder}/ends/trigger=*")
+            every = every.join(ends, ["network", "epoch"], "left").filter(F.col("ended").isNull() | (F.col("tick") * 1_000_000 < F.col("ended"))).drop("ended")
         others = [c for c in every.columns if c not in ("network", "tick", "node_id", "trigger")]
         best = F.max_by(F.struct(*others), F.struct("offset", "trigger")).alias("__row")
         return every.groupBy("network", "tick", "node_id").agg(best).select("network", "tick", "node_id", "__row.*")
 
+    def history_result(self, spark: SparkSession) -> DataFrame:
+        """Every report with its fields filled and ``session_start``; of a report written twice the later trigger's row."""
+        every = spark.read.schema(self.history).parquet(f"{self.folder}/history/batch=*")
+        others = [c for c in every.columns if c not in ("network", "offset", "trigger")]
+        best = F.max_by(F.struct(*others), "trigger").alias("__row")
+        return every.groupBy("network", "offset").agg(best).select("network", "offset", "__row.*")
+
     def metrics_result(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self.metrics).parquet(f"{self.folder}/metrics")
