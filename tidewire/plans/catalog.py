@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions import addresses, routing, text
-from tidewire.operators import graph, grid, metrics, reports, sensor
+from tidewire.operators import graph, grid, messages, metrics, reports, sensor
 
 from . import views
 
@@ -218,6 +218,13 @@ def message_degree_means(spark, sf_dir):
     )
 
 
+def message_metrics(spark, sf_dir):
+    """The whole metrics row at every message, with its since-boot means."""
+    history = views.node_reports(views.events(spark, sf_dir))
+    rows = messages.metrics_at_messages(history, stale=views.STALE).drop("position", "t")
+    return rounded(rows, "depth_avg", "neighbor_avg", "avg_path_len", *metrics.RUNNING.values())
+
+
 def sticky_parent(spark, sf_dir):
     return views.node_reports(views.events(spark, sf_dir)).select("offset", "node_id", "parent_id", "session_start")
 
@@ -381,7 +388,7 @@ BATCH: dict[str, Query] = {
         sensor_parse_quarantine, sensor_range_flags, unknown_sensor_reject, sample_reroute, reset_epochs, reset_epochs_cut,
         manual_flush_windows, window_message_format,
         node_id_from_addr, link_local_from_lladdr, link_cost, symmetric_cost, dag_rank, objective_names,
-        latest_report, state_as_of_tick, state_as_of_instants, message_degree_means, sticky_parent, neighbor_sets, neighbor_table_merge,
+        latest_report, state_as_of_tick, state_as_of_instants, message_degree_means, message_metrics, sticky_parent, neighbor_sets, neighbor_table_merge,
         wireless_edges_any, wireless_edges_mutual, edge_list_undirected, tree_edges, node_depths, root_choice,
         hop_diameter_apl, tree_diameter_apl, weighted_diameter_apl, node_table,
         depth_stats, degree_stats, network_counts, degree_midrange, degree_mean, instant_metrics, running_means,

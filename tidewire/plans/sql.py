@@ -292,6 +292,52 @@ at_msg as (
      """select 'mesh' as network, msg as "offset", visible, round(degrees / visible, 6) as neighbor_avg,
                round(avg(degrees / visible) over (order by msg rows between unbounded preceding and current row), 6)
                  as neighbor_avg_over_time from at_msg""")
+_add("message_metrics", f"""{_reports()},
+vis as (
+  select m.event_id as tick, k.node_id, k.parent_id, k.event_id, d.degree
+  from kept k join deg d using (event_id)
+  join rep m on m.t >= k.t and (k.nt is null or m.t < k.nt) and m.t <= k.t + {STALE * 1_000_000}),
+st as (select tick, node_id, parent_id from vis union all select event_id, 1, null from rep),
+tree as (select tick, node_id as child, parent_id as parent from vis where parent_id is not null and parent_id <> node_id),
+up as (
+  select tick, child as node, parent as above, child as branch, 1 as hops from tree
+  union all
+  select u.tick, u.node, t.parent, u.above, u.hops + 1 from up u join tree t on t.tick = u.tick and t.child = u.above),
+{DEPTHS},
+depth as (
+  select tick, avg(depth) as depth_avg, min(depth) as depth_min, max(depth) as depth_max from reach where node_id <> 1 group by tick),
+sizes as (select tick, above as node, count(*) + 1 as size from up group by tick, above),
+tops as (
+  select u.tick, u.node, max_by(u.above, u.hops) as top, max(u.hops) as hops from up u group by u.tick, u.node),
+cuts as (
+  select p.tick, sum(coalesce(s.size, 1) * (c.size - coalesce(s.size, 1))) as total
+  from tops p left join sizes s on s.tick = p.tick and s.node = p.node join sizes c on c.tick = p.tick and c.node = p.top group by p.tick),
+pairs as (
+  select tick, sum(size * (size - 1) / 2) as pairs from sizes
+  where not exists (select 1 from tree t where t.tick = sizes.tick and t.child = sizes.node) group by tick),
+branches as (select tick, above, branch, max(hops) as height from up group by tick, above, branch),
+bends as (
+  select tick, above, height + coalesce(lead(height) over (partition by tick, above order by height desc), 0) as bend from branches),
+paths as (select tick, max(bend) as diameter from bends group by tick),
+nodes as (
+  select tick, count(*) + 1 as node_count, count(case when parent_id <> node_id then 1 end) as tree_edge_count,
+         avg(degree) as neighbor_avg, min(degree) as neighbor_min, max(degree) as neighbor_max from vis group by tick),
+links as (
+  select tick, count(distinct (least(v.node_id, n.nb), greatest(v.node_id, n.nb))) as undirected_edge_count
+  from vis v join nbr n using (event_id) where v.node_id <> n.nb group by tick),
+inst as (
+  select 'mesh' as network, r.event_id as "offset", cast(null as varchar) as dag_id, r.objective_function, cast(1 as bigint) as root_id,
+         node_count, coalesce(undirected_edge_count, 0) as undirected_edge_count, tree_edge_count,
+         coalesce(depth_avg, 0) as depth_avg, depth_min, depth_max, cast(coalesce(diameter, 0) as bigint) as diameter,
+         coalesce(total / pairs, 0) as avg_path_len, neighbor_avg, neighbor_min, neighbor_max, r.seq as round_seq
+  from rep r join nodes n on n.tick = r.event_id left join depth d on d.tick = r.event_id left join links l on l.tick = r.event_id
+  left join paths p on p.tick = r.event_id left join cuts c on c.tick = r.event_id left join pairs q on q.tick = r.event_id)""",
+     """select network, "offset", dag_id, objective_function, root_id, node_count, undirected_edge_count, tree_edge_count,
+               round(depth_avg, 6) as depth_avg, depth_min, depth_max, diameter, round(avg_path_len, 6) as avg_path_len,
+               round(neighbor_avg, 6) as neighbor_avg, neighbor_min, neighbor_max, round_seq,
+               count(*) over w as samples, round(avg(diameter) over w, 6) as diameter_avg, round(avg(depth_avg) over w, 6) as depth_avg_over_time,
+               round(avg(neighbor_avg) over w, 6) as neighbor_avg_over_time, round(avg(avg_path_len) over w, 6) as avg_path_len_over_time
+        from inst window w as (order by "offset" rows between unbounded preceding and current row)""", True)
 _add("sticky_parent", _reports(),
      """select event_id as "offset", node_id, parent_id, (pt is null or t - pt > 172800000000) as session_start from kept""")
 _KEPT = {
