@@ -92,5 +92,50 @@ def test_junk_truncation_and_mixed_forms():
     a, b = build(True, 3), build(False, 3)
     data = b"junk before" + a[0] + b"\r\n\r\n" + b[1] + b"\x1f\x8b\x08\x00broken" + a[2][:-5]
     got, gaps = numbers(data)
-    assert got == [0, 1] and [g[0] for g in gaps] == [0, data.index(b"\x1f\x8b\x08\x00broken")]
+    # The last member lacks its end; its record was unpacked whole and has a digest.
+    last = len(data) - len(a[2][:-5])
+    assert got == [0, 1, 2] and [g[0] for g in gaps] == [0, data.index(b"\x1f\x8b\x08\x00broken"), last]
     assert list(warc.salvage(b"")) == [] and numbers(b"nothing here") == ([], [(0, 12, "version line")])
+
+
+def test_damage_inside_a_member_costs_one_record():
+    parts = build(False, 5)
+    parts[2] = parts[2].replace(b"payload 2", b"payl0ad 2", 1)
+    data = b"junk" + warc.member(b"".join(parts)) + build(True, 6)[5]
+    got, gaps = numbers(data)
+    assert got == [0, 1, 3, 4, 5] and [(o, why) for o, _, why in gaps] == [(0, "version line"), (4, "block digest")]
+
+
+def test_what_was_unpacked_before_a_fault_is_kept():
+    random.seed(5)
+    whole = [warc.record(i, i, f"http://x/{i}", random.randbytes(3000), None) for i in range(40)]
+    packed = bytearray(warc.member(b"".join(whole)))
+    packed[len(packed) // 2] ^= 0xFF
+    data = bytes(packed) + warc.member(whole[7])
+    got, gaps = numbers(data)
+    # The record at the fault fails its digest; what comes after it may or may not be readable.
+    assert got[-1] == 7 and got[:-1] == sorted(set(got[:-1])) and set(range(19)) <= set(got) and 19 not in got
+    assert [(o, n) for o, n, _ in gaps] == [(0, len(packed))]
+    assert numbers(bytes(packed[: len(packed) // 4]))[0] == list(range(9))
+
+
+def test_a_member_of_junk_is_a_gap():
+    a = build(True, 2)
+    junk = warc.member(b"no record here")
+    got, gaps = numbers(a[0] + junk + a[1])
+    assert got == [0, 1] and gaps == [(len(a[0]), len(junk), "version line")]
+
+
+def test_long_header_and_bytes_a_file(spark, tmp_path, monkeypatch):
+    long_url = "http://x/" + "é" * (1 << 20)
+    pages = spark.createDataFrame([(1, long_url, "a"), (2, "u", "a")], "page_id long, url string, html string")
+    got = sorted(tuple(r) for r in warc.round_trip(pages).collect())
+    assert got == expected([(1, "a"), (2, "a")])
+    random.seed(4)
+    rows = [(i, "u", random.randbytes(1 << 19).hex()) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(pages, str(tmp_path / "a"), rows_per_file=16)
+    sizes = [f.stat().st_size for f in (tmp_path / "a").glob("part-*")]
+    assert max(sizes) < 16 * warc.ROW_BYTES + (1 << 20)
+    read = warc.read_archives(spark, str(tmp_path / "a")).collect()
+    assert sorted(bytes(r["payload"]).decode() for r in read) == sorted(r[2] for r in rows)

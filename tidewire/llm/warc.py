@@ -6,19 +6,23 @@ response, the others are revisit records that refer to it.
 Reader: an archive is read member by member (or, uncompressed, record by record).  Where a check fails
 (compression, version line, header, length, record end, block or payload digest) the reader searches on for the next
 position at which a record passes all checks, goes on there and reports the bytes in between as a quarantined gap.
+The search also runs inside what a member holds: a bad record costs the others of its member nothing.  Of a member that
+can't be unpacked to its end, what was unpacked before is searched too, and records with a valid digest are kept.  Records and
+gaps inside a member carry its place in the file; a broken member is a gap beside the records that it gave.
 
 Defined cases: null html is an empty payload; a null page_id sorts last among equal payloads; repeated rows are
 records of their own, all but one revisit the first; line breaks in urls are percent-encoded, a null url is
 replaced by the record's id; an empty table gives no rows; further columns are ignored.
 
 Plan: one shuffle of the pages by payload digest (equal payloads may be many; the join's sides are both shuffled, so
-adaptive execution can split them), then one task per archive.  Archives are bounded by rows per file, so an
-archive fits in a task.
+adaptive execution can split them), then one task per archive.  Archives are bounded by rows per file, where every
+``ROW_BYTES`` bytes of a record count as a row: a file has at most ``ROWS_PER_FILE * ROW_BYTES`` bytes and one record more.
 """
 
 from __future__ import annotations
 
 import base64
+import contextlib
 import functools
 import hashlib
 import re
@@ -39,11 +43,11 @@ DATE = "2000-01-01T00:00:00Z"
 #: An empty gzip member; it stands between records so that Spark's text writer can write members.
 SPACER = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
 ROWS_PER_FILE = 4000
+ROW_BYTES = 1 << 16
 
 _START = re.compile(rb"WARC/1\.[01]\r?\n")
 _CANDIDATE = re.compile(rb"\x1f\x8b\x08[\x00-\x1f]|WARC/1\.[01]\r?\n")
 _PADDING = re.compile(rb"[\r\n\x00]+")
-_MAX_HEADER = 1 << 20
 
 
 # --- records --------------------------------------------------------------------------------
@@ -86,27 +90,31 @@ def read_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     start = _START.match(data, at)
     if not start:
         raise Damaged("version line")
-    head_end = data.find(b"\r\n\r\n", start.end() - 2, at + _MAX_HEADER)
-    if head_end < 0:
-        raise Damaged("header end")
-    fields: dict[str, str] = {}
-    last = None
-    for line in data[start.end() : head_end].split(b"\r\n"):
+    parts: dict[str, list[bytes]] = {}
+    last, place = None, start.end()
+    while True:
+        stop = data.find(b"\r\n", place)
+        if stop < 0:
+            raise Damaged("header end")
+        line, place = data[place:stop], stop + 2
+        if not line:
+            break
         if line[:1] in (b" ", b"\t") and last:
-            fields[last] += " " + line.strip().decode("utf-8", "replace")
+            parts[last].append(line.strip())
             continue
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header field")
         last = name.strip().lower().decode("utf-8", "replace")
-        if last in fields and last != "warc-concurrent-to":  # two headers run into one
+        if last in parts and last != "warc-concurrent-to":  # two headers run into one
             raise Damaged("repeated header field")
-        fields[last] = value.strip().decode("utf-8", "replace")
+        parts[last] = [value.strip()]
+    fields = {name: b" ".join(values).decode("utf-8", "replace") for name, values in parts.items()}
     if not fields.get("content-length", "").isascii() or not fields.get("content-length", "").isdigit():
         raise Damaged("content length")
     if not all(fields.get(name) for name in REQUIRED):
         raise Damaged("missing header field")
-    begin = head_end + 4
+    begin = place
     end = begin + int(fields["content-length"])
     if end > len(data):
         raise Damaged("block end")
@@ -123,55 +131,81 @@ def read_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     return fields, payload, min(end + 4, len(data))
 
 
-def _read_member(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """Records of the gzip member at a position and its end; a member is whole or ``Damaged``."""
+def _unpack(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """Content of the gzip member at a position, its end, and what broke it; of a broken one the content before the fault."""
     unpacker = zlib.decompressobj(31)
     parts, pos, window = [], at, 1 << 16
-    try:
-        while not unpacker.eof and pos < len(data):
+    while not unpacker.eof and pos < len(data):
+        before = unpacker.copy()
+        try:
             parts.append(unpacker.decompress(data[pos : pos + window]))
-            pos += window
-    except zlib.error:
-        raise Damaged("compression") from None
+        except zlib.error:
+            # The fault lies in this window; a byte at a time shows what comes out before it.
+            with contextlib.suppress(zlib.error):
+                for i in range(pos, min(pos + window, len(data))):
+                    parts.append(before.decompress(data[i : i + 1]))
+            return b"".join(parts), at, "compression"
+        pos += window
     if not unpacker.eof:
-        raise Damaged("member end")
-    end = min(pos, len(data)) - len(unpacker.unused_data)
-    content, found, inner = b"".join(parts), [], 0
-    while inner < len(content):
-        if skip := _PADDING.match(content, inner):
-            inner = skip.end()
+        return b"".join(parts), at, "member end"
+    return b"".join(parts), min(pos, len(data)) - len(unpacker.unused_data), None
+
+
+def _inside(content: bytes) -> Iterator[tuple[dict[str, str] | None, bytes | str]]:
+    """(fields, payload) of the records in unpacked content; (None, reason) for what lies between."""
+    at, damaged = 0, False
+    while at < len(content):
+        if not damaged and (skip := _PADDING.match(content, at)):
+            at = skip.end()
+            continue
+        try:
+            fields, payload, end = read_record(content, at)
+        except Damaged as damage:
+            if not damaged:
+                yield None, str(damage)
+                damaged = True
+            later = _START.search(content, at + 1)
+            at = later.start() if later else len(content)
             continue
-        fields, payload, inner = read_record(content, inner)
-        found.append((fields, payload))
-    return found, end
+        yield fields, payload
+        at, damaged = end, False
+
+
+def _has_digest(fields: dict[str, str]) -> bool:
+    return any(fields.get(name, "").startswith("sha1:") for name in ("warc-block-digest", "warc-payload-digest"))
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
     """('record', offset, length, fields, payload) and ('gap', offset, length, reason, None) in file order."""
     at, gap, reason = 0, -1, ""
     while at < len(data):
-        try:
-            if data.startswith(b"\x1f\x8b", at):
-                found, end = _read_member(data, at)
-            elif _START.match(data, at):
+        found: list[tuple] = []
+        broken: str | None = "version line"
+        end = at
+        if data.startswith(b"\x1f\x8b", at):
+            content, end, broken = _unpack(data, at)
+            found = [f for f in _inside(content) if not broken or f[0] and _has_digest(f[0])]
+        elif _START.match(data, at):
+            try:
                 fields, payload, end = read_record(data, at)
-                found = [(fields, payload)]
-            elif gap < 0 and (skip := _PADDING.match(data, at)):
-                at = skip.end()
-                continue
-            else:
-                raise Damaged("version line")
-        except Damaged as damage:
-            if gap < 0:
-                gap, reason = at, str(damage)
-            later = _CANDIDATE.search(data, at + 1)
-            at = later.start() if later else len(data)
+                found, broken = [(fields, payload)], None
+            except Damaged as damage:
+                broken = str(damage)
+        elif gap < 0 and (skip := _PADDING.match(data, at)):
+            at = skip.end()
             continue
-        if gap >= 0 and found:
+        if broken:
+            later = _CANDIDATE.search(data, at + 1)
+            end = later.start() if later else len(data)
+        records = any(fields is not None for fields, _ in found)
+        if gap >= 0 and records:
             yield "gap", gap, at - gap, reason, None
             gap = -1
-        for fields, payload in found:
-            yield "record", at, end - at, fields, payload
+        if records:
+            for fields, what in found:
+                yield ("gap", at, end - at, what, None) if fields is None else ("record", at, end - at, fields, what)
+        if gap < 0 and (broken or found and not records):
+            gap, reason = at, broken or found[0][1]
         at = end
     if gap >= 0:
         yield "gap", gap, len(data) - gap, reason, None
@@ -184,7 +218,9 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         packed = []
         for page_id, row, url, html, refers in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), batch.column(4).to_pylist(), strict=True):
-            packed.append(member(record(page_id, row, url, (html.as_py() or "").encode(), refers)))
+            made = member(record(page_id, row, url, (html.as_py() or "").encode(), refers))
+            # Empty rows, each an empty gzip member in the file, let a long record count as several rows.
+            packed += [b""] * (len(made) // ROW_BYTES) + [made]
         yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["member"])
 
 
