@@ -12,8 +12,8 @@ the text agrees: what holds an article, main or h1 element or most of the body's
 outweigh an article, so they stay where they are nearly all of it and no such element is elsewhere), and names that layouts also use inside longer words
 cut link lists only.
 
-Defined cases: null, empty or text-free html gives an empty string; broken markup is read as far as it
-goes; repeated rows are extracted once each; an empty table gives no rows; further columns are ignored.
+Defined cases: null, empty or text-free html gives an empty string; a tag with an unclosed quote ends at its first ``>``, and
+what no ``>`` follows is text; other broken markup is read as far as it goes; repeated rows are extracted once each; an empty table gives no rows; further columns are ignored.
 
 Plan: one pass over the table, no shuffle; memory is one Arrow batch and one page's nodes.
 """
@@ -63,12 +63,8 @@ AMBIGUOUS = frozenset("social widget widgets notice notices alert rail skip logi
 #: Foreign parts with this share of the body's unlinked characters are the page's text.
 NEARLY_ALL = 0.9
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|(?P<text>[^<]+|<)",
-    re.S,
-)
+_TAG = re.compile(r"<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)")
+_MARK = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"(?:^|[\s/\"'])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?=[\s/]|$)", re.I)
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _SOLE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
@@ -121,44 +117,88 @@ def _named(attrs: str, inside_article: bool) -> str:
     return found
 
 
+class _Tags:
+    """Ends of a page's tags.  Where a tag has been found to have none is remembered, so a page is read in linear time."""
+
+    def __init__(self, page: str):
+        self._page, self._last = page, page.rfind(">")
+        self._endless: set[int] = set()  # places outside quotes from which an unclosed quote follows
+
+    def start(self, pos: int) -> re.Match | None:
+        return _TAG.match(self._page, pos) if pos < self._last else None
+
+    def end(self, pos: int) -> int:
+        """Behind the first ``>`` outside quotes; where a quote is never closed, behind the first one at all."""
+        seen, at = [], pos
+        while at not in self._endless and (mark := _MARK.search(self._page, at)):
+            if mark[0] == ">":
+                return mark.end()
+            close = self._page.find(mark[0], mark.end())
+            if close < 0:
+                break
+            at = close + 1
+            seen.append(at)
+        self._endless.update(seen)
+        return self._page.find(">", pos) + 1
+
+
 def parse(page: str) -> _Node:
     """The page's tree.  End tags that are missing or misplaced are supplied or ignored as browsers do."""
     root = _Node("#page", None, False)
     stack = [root]
     articles = 0  # open article and main elements
+    places: dict[str, list[int]] = {}  # by name, the depths of its open elements
     pos, size = 0, len(page)
+    tags, last_data = _Tags(page), page.rfind("]]>")
 
     def close_to(depth: int) -> None:
         nonlocal articles
         while len(stack) > depth:
-            articles -= stack.pop().tag in ("article", "main")
+            tag = stack.pop().tag
+            places[tag].pop()
+            articles -= tag in ("article", "main")
+
+    def deepest(names: tuple[str, ...]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
 
-    def open_depth(names: tuple[str, ...], stops: frozenset | tuple = ()) -> int:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in names:
-                return depth
-            if stack[depth].tag in stops:
-                return 0
-        return 0
+    def open_depth(names: tuple[str, ...], stops: tuple[str, ...] = ()) -> int:
+        """Depth of the innermost open element of these names, 0 where there is none or a stop is inside it."""
+        depth = deepest(names)
+        return depth if depth and depth >= deepest(stops) else 0
 
     while pos < size:
-        match = _TOKEN.match(page, pos)
-        if match is None:  # a tag that never ends
-            break
-        pos = match.end()
-        kind = match.lastgroup
-        if kind in ("text", "data"):
-            stack[-1].children.append(html.unescape(match["text"]) if kind == "text" else match["data"])
+        if page[pos] != "<":
+            end = page.find("<", pos)
+            end = size if end < 0 else end
+            stack[-1].children.append(html.unescape(page[pos:end]))
+            pos = end
+            continue
+        if page.startswith("<!--", pos):
+            end = page.find("-->", pos + 4)
+            pos = size if end < 0 else end + 3
+            continue
+        if page.startswith("<![CDATA[", pos) and pos + 9 <= last_data:
+            end = page.index("]]>", pos + 9)
+            stack[-1].children.append(page[pos + 9 : end])
+            pos = end + 3
+            continue
+        if page.startswith(("<!", "<?"), pos):
+            end = page.find(">", pos)
+            pos = size if end < 0 else end + 1
             continue
-        if match["name"] is None:
+        match = tags.start(pos)
+        if match is None:
+            stack[-1].children.append("<")
+            pos += 1
             continue
+        pos = tags.end(match.end())
         tag = match["name"].lower()
         if match["end"]:
             stops = ("table", "td", "th", "article", "main", "section", "div", "body") if tag in INLINE or tag == "p" else ("article", "main") if tag not in ("body", "html") else ()
             if depth := open_depth((tag,), tuple(s for s in stops if s != tag)):
                 close_to(depth)
             continue
-        attrs = match["attrs"]
+        attrs = page[match.end() : pos - 1]
         if tag in CLOSES_P and (depth := open_depth(("p",), ("table", "td", "th", "button", "article", "main", "section", "div", "body"))):
             close_to(depth)
         if tag in _SOLE:
@@ -178,6 +218,7 @@ def parse(page: str) -> _Node:
             if not node.dropped and tag not in ("script", "style", "title"):
                 node.children.append(page[pos:stop])
             pos = stop
+        places.setdefault(tag, []).append(len(stack))
         stack.append(node)
         articles += tag in ("article", "main")
     return root
