@@ -55,3 +55,9 @@ def test_the_tree_prunes():
     found = tree.search(query, tree.bounds(query[None])[0], np.arange(4000), 5, float("-inf"), -1)
     assert sorted(s for s, _, _ in found) == sorted(vectors @ query)[-5:]
     assert sum(seen) < 1000
+
+
+def test_huge_components_take_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (50, [1e300, 1.0]), (1, [-1e308, 0.0]), (2, [3.0, 4.0]), (100, [2.0, -1.0])]
+    got = balltree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=5)
+    assert sorted((r.query_id, r.vec_id, r.score // 65536) for r in got.collect()) == [(0, 2, 11), (0, 100, 0), (100, 0, 0), (100, 2, 2)]

@@ -5,9 +5,10 @@ A shard's vectors form a ball tree.  For a query q no vector of a ball scores ab
 nodes are visited by that bound, largest first, until it falls below the current k-th score.  Each block
 first searches one shard; the k-th scores found there are shared with the searches of all other shards.
 
-Components are integers (floor of a multiple), so scores are exact as long as sums stay below 2 ** 53.
+Components are integers (floor of a multiple), and scores are exact: sums stay below 2 ** 53.
 
-Defined cases: vectors that are null or hold null or non-finite components, and rows without id, take no part;
+Defined cases: vectors that are null or hold null or non-finite components, and rows without id, take no part; neither do
+vectors with a component so large that scores could leave that range (``largest_component``: 46,340 for 64 dimensions);
 shorter vectors count as padded with zeros; a row is never its own result, but another row with the same
 id can be; repeated query rows each get their results; equal scores go by id; fewer candidates than k give fewer
 rows; an empty table gives no rows; further columns are ignored.
@@ -107,6 +108,11 @@ class BallTree:
 # --- Spark ------------------------------------------------------------------------------------
 
 
+def largest_component(dimensions: int, scale: int) -> float:
+    """Largest absolute component with which every score is a whole number below 2 ** 53, that is exact in doubles."""
+    return (math.isqrt(2**53 // max(dimensions, 1)) - 1) / scale
+
+
 def _vectors(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, packed = [], []
@@ -114,7 +120,7 @@ def _vectors(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.Recor
             if vec_id is None or not vector.is_valid or vector.values.null_count:
                 continue
             values = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
-            if np.isfinite(values).all():
+            if np.isfinite(values).all() and (np.abs(values) <= largest_component(len(values), scale)).all():
                 ids.append(vec_id)
                 packed.append(np.floor(values * scale).astype("<f8").tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["vec_id", "vector"])
