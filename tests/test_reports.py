@@ -146,15 +146,17 @@ def visible_model(rows, tick, stale):
     return {(node, offset) for node, (t, offset) in newest.items() if tick - t <= stale}
 
 
-def test_state_at_intervals_and_instants(spark, timeline):
+@pytest.mark.parametrize(("span", "limit"), [(256, 1 << 21), (3, 20), (1, 1 << 21)])
+def test_state_at_intervals_and_instants(spark, timeline, span, limit):
     history = reports.with_history(timeline_df(spark, timeline), stale=60)
     end = max(r[2] for r in timeline) + 61_000_000
     got = {(r.tick, r.node_id, r.offset) for r in reports.state_at_intervals(history, every=30, stale=60).collect()}
     want = {(tick // 1_000_000, *seen) for tick in range(0, end, 30_000_000) for seen in visible_model(timeline, tick, 60_000_000)}
     assert got == want
-    instants = sorted({r[2] for r in timeline})
-    ticks = spark.createDataFrame([("n", t) for t in instants], "network string, tick_t long")
-    got = {(r.tick_t, r.node_id, r.offset) for r in reports.state_at_ticks(history, ticks, bucket=45, stale=60).collect()}
+    # Given out of order and twice, beside one that nothing is visible at.
+    instants = sorted({r[2] for r in timeline} | {-1, end + 10**9})
+    ticks = spark.createDataFrame([("n", t) for t in [*reversed(instants), *instants, None]], "network string, tick_t long")
+    got = {(r.tick_t, r.node_id, r.offset) for r in reports.state_at_ticks(history, ticks, stale=60, span=span, limit=limit).collect()}
     assert got == {(t, *seen) for t in instants for seen in visible_model(timeline, t, 60_000_000)}
 
 
@@ -162,10 +164,22 @@ def test_visibility_ends_exactly_at_stale(spark):
     rows = [(0, 2, 0, None), (1, 3, 60_000_000, None), (2, 4, 60_001_000, None)]
     history = reports.with_history(timeline_df(spark, rows), stale=60)
     ticks = spark.createDataFrame([("n", 60_000_000), ("n", 60_001_000)], "network string, tick_t long")
-    got = {(r.tick_t, r.node_id) for r in reports.state_at_ticks(history, ticks, bucket=10, stale=60).collect()}
+    got = {(r.tick_t, r.node_id) for r in reports.state_at_ticks(history, ticks, stale=60).collect()}
     assert got == {(60_000_000, 2), (60_000_000, 3), (60_001_000, 3), (60_001_000, 4)}
 
 
+def test_instants_of_one_network_are_dealt_into_ranges(spark):
+    # 40 nodes that report once and stay visible: 6,000 instants see all of them.
+    rows = [(n, n + 2, n, None) for n in range(40)]
+    history = reports.with_history(timeline_df(spark, rows), stale=60)
+    ticks = spark.range(6000).selectExpr("'n' as network", "1000 + id * 1000 as tick_t")
+    seen = reports.state_at_ticks(history, ticks, stale=60, span=100)
+    assert (seen.count(), seen.select("tick_t").distinct().count()) == (240_000, 6000)
+    assert seen.schema.names == [c for c in history.columns if c != "next_t"] + ["tick_t", "age"]
+    with pytest.raises(ValueError, match="at least 1"):
+        reports.state_at_ticks(history, ticks, stale=60, span=0)
+
+
 @pytest.mark.parametrize("limit", [20, 1 << 21])
 def test_degree_at_messages(spark, timeline, limit):
     got = {r.offset: r for r in metrics.degree_at_messages(timeline_df(spark, timeline), stale=60, limit=limit).collect()}

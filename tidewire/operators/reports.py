@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import addresses, routing
+from tidewire.storage import stage
 
 from . import ordered
 
@@ -171,28 +172,55 @@ def state_at_ticks(
     reports: DataFrame,
     ticks: DataFrame,
     *,
-    bucket: float,
     stale: float,
+    span: int = 256,
+    limit: int = ordered.ROW_LIMIT,
 ) -> DataFrame:
     """State rows at given instants (``network``, ``tick_t`` in microseconds, e.g. every message).
 
-    Visibility intervals are spread over time buckets and equi-joined with the ticks of
-    the bucket, so the range condition never meets more than one bucket's rows.
+    A sweep over instants and visibility borders numbers a network's distinct instants and turns the time a report is
+    visible into the interval of numbers it holds; the sweep is a running sum, cut into ranges of rows where a network
+    has many.  Intervals are cut at multiples of ``span``, so what is open at the border of a range goes on in the
+    next, and meet the range's instants as one array of at most ``span`` times.  Only rows of the result are
+    made, and no range holds more of a network than ``span`` instants.
+    Reports that hold no instant, and instants at which nothing is visible, give no row.
     """
-    size = F.lit(_micros(bucket))
+    if span < 1:
+        raise ValueError("a range must hold at least 1 instant")
     until = F.least(F.col("next_t") - 1, F.col("t") + F.lit(_micros(stale)))
-    spread = (
-        reports.withColumn("__until", until)
-        .filter(F.col("t") <= F.col("__until"))
-        .withColumn("__bucket", F.explode_outer(F.sequence(F.floor(F.col("t") / size), F.floor(F.col("__until") / size))))
+    rows = stage(
+        reports.withColumns({"__until": until, "__row": F.monotonically_increasing_id()}).filter(F.col("t") <= F.col("__until")),
+        "visible",
+    )
+    at = stage(ticks.select("network", "tick_t").filter(F.col("tick_t").isNotNull()).distinct(), "instants")
+    # At equal times a report begins before the instant and ends after it.
+    borders = F.array(
+        F.struct(F.col("t").alias("t"), F.lit(0).alias("kind"), F.col("__row").alias("row")),
+        F.struct(F.col("__until").alias("t"), F.lit(2).alias("kind"), F.col("__row").alias("row")),
+    )
+    instant = F.struct(F.col("tick_t").alias("t"), F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("row"))
+    swept = ordered.running_sums(
+        rows.select("network", F.explode(borders).alias("__at")).unionByName(at.select("network", instant.alias("__at"))),
+        keys=["network"], order="__at", sums={"__n": (F.col("__at.kind") == 1).cast("bigint")}, limit=limit,
+    )
+    swept = stage(swept.select("network", "__at.*", "__n"), "swept")
+    places = swept.filter("kind <> 1").groupBy(F.col("row").alias("__row")).agg(
+        F.max(F.when(F.col("kind") == 0, F.col("__n"))).alias("__first"), F.max(F.when(F.col("kind") == 2, F.col("__n"))).alias("__end")
     )
-    at = ticks.select("network", "tick_t").distinct().withColumn("__bucket", F.floor(F.col("tick_t") / size))
-    visible = (F.col("tick_t") >= F.col("t")) & (F.col("tick_t") <= F.col("__until"))
+    # Numbers from 0: the report holds those from __first to before __end.
+    size = F.lit(span).cast("bigint")
+    number = F.floor((F.col("__n") - 1) / size)
+    times = swept.filter("kind = 1").groupBy("network", number.alias("__range")).agg(F.sort_array(F.collect_list("t")).alias("__times"))
+    held = rows.join(places.filter("__first < __end"), "__row")
+    pieces = held.withColumn("__range", F.explode(F.sequence(F.floor(F.col("__first") / size), F.floor((F.col("__end") - 1) / size))))
+    low = F.greatest(F.col("__first") - F.col("__range") * size, F.lit(0))
+    high = F.least(F.col("__end") - F.col("__range") * size, size)
+    mine = F.slice("__times", (low + 1).cast("int"), (high - low).cast("int"))
     return (
-        spread.join(at, ["network", "__bucket"])
-        .filter(visible)
+        pieces.join(times, ["network", "__range"])
+        .withColumn("tick_t", F.explode(mine))
         .withColumn("age", F.col("tick_t") - F.col("t"))
-        .drop("__bucket", "__until", "next_t")
+        .select(*[c for c in reports.columns if c != "next_t"], "tick_t", "age")
     )
 
 

@@ -206,7 +206,7 @@ def state_as_of_instants(spark, sf_dir):
     history = views.node_reports(views.events(spark, sf_dir))
     hour = F.floor(F.col("t") / F.lit(views.HOUR * 1_000_000))
     ticks = history.groupBy("network", hour.alias("hour")).agg(F.min("t").alias("tick_t"))
-    seen = reports.state_at_ticks(history, ticks, bucket=6 * views.HOUR, stale=views.STALE)
+    seen = reports.state_at_ticks(history, ticks, stale=views.STALE)
     return seen.select("network", "tick_t", "node_id", "offset", "age")
 
 
