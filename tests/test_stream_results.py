@@ -1,10 +1,12 @@
 """Resets on a stream of reports, result tables that change together, and the reader of an output topic."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidewire import storage
-from tidewire.operators import reports
+from tidewire.operators import metrics, reports
 from tidewire.streaming import output_reader, runs
 from tidewire.streaming.network_state import TriggerStates
 from tidewire.streaming.result_tables import ResultTables, TriggerTables
@@ -31,7 +33,7 @@ ROWS = [
 @pytest.mark.parametrize("cuts", [[], [3], [2, 3, 7, 8, 11], list(range(1, 15))])
 def test_resets_over_any_deliveries(spark, tmp_path, cuts):
     """Also where a reset is the last or the only row of a delivery, and where a trigger is repeated."""
-    handler = TriggerStates(str(tmp_path / "s"), every=1, stale=100, with_history=True, reset=F.col("node_id") == -1)
+    handler = TriggerStates(str(tmp_path / "s"), every=1, stale=100, reset=F.col("node_id") == -1)
     edges = [0, *cuts, len(ROWS)]
     for number, (a, b) in enumerate(zip(edges, edges[1:])):
         for _ in range(2 if number == 1 else 1):
@@ -109,3 +111,75 @@ def test_output_is_read_once(spark, tmp_path):
     deliver(4, [("a", 10), ("e", 10)])
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "rows")).collect()) == ["a", "a", "b", "c", "d", "e"]
     storage.clear(spark)
+
+
+STATE = ["network", "tick", "node_id", "offset", "parent_id", "degree", "age"]
+NODE_FIELDS = "network string, offset long, t long, node_id long, parent_id long, degree int"
+
+
+def batch_states(table, every, stale):
+    return reports.state_at_intervals(reports.with_history(table, stale=stale), every=every, stale=stale)
+
+
+def rows_of(df, names):
+    return sorted(map(str, df.select(*names).collect()))
+
+
+@pytest.mark.parametrize("falling", [False, True])
+def test_late_reports_equal_the_batch(spark, tmp_path, falling):
+    """Reports in any order over many triggers and time ranges; also where times fall along a node's order."""
+    pick = random.Random(11)
+    rows = []
+    for i in range(150):
+        t = pick.randint(0, 900) if falling else i * 6 + pick.randint(0, 5)
+        rows.append(("n" if i % 3 else "m", i, t * SECOND, pick.randint(2, 4), pick.choice([None, None, 1, 2, 3]), i % 5))
+    moved = sorted(rows, key=lambda r: r[1] + (pick.randint(0, 120) if pick.random() < 0.2 else 0))
+    handler = TriggerStates(str(tmp_path / "s"), every=10, stale=40, span=50)
+    for number in range(5):
+        handler(spark.createDataFrame(moved[number * 30 : number * 30 + 30], NODE_FIELDS), number)
+    handler(spark.createDataFrame(moved[120:], NODE_FIELDS), 4)
+    table = spark.createDataFrame(rows, NODE_FIELDS)
+    whole = reports.with_history(table, stale=40)
+    fields = ["network", "offset", "node_id", "parent_id", "session_start"]
+    # Read by a handler that has seen no trigger, as after a restart of the driver.
+    restarted = TriggerStates(str(tmp_path / "s"), every=10, stale=40, span=50)
+    assert rows_of(restarted.history_result(spark), fields) == rows_of(whole, fields)
+    if not falling:
+        assert rows_of(restarted.result(spark), STATE) == rows_of(batch_states(table, 10, 40), STATE)
+        late = restarted.result(spark, since=500)
+        assert rows_of(late, STATE) == rows_of(batch_states(table, 10, 40).filter("tick >= 500"), STATE)
+
+
+def rows_read(spark, work):
+    """Rows that the stages of ``work`` read from files."""
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
+
+    def stages():
+        none = spark.sparkContext._gateway.new_array(jvm.double, 0)
+        found = store.stageList(None, False, False, none, jvm.java.util.ArrayList())
+        return {found.apply(i).stageId(): found.apply(i).inputRecords() for i in range(found.size())}
+
+    before = set(stages())
+    work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(n for stage, n in stages().items() if stage not in before)
+
+
+def test_a_late_report_reads_no_more_after_twenty_triggers(spark, tmp_path):
+    handler = TriggerStates(str(tmp_path / "s"), every=10, stale=40)
+    read = []
+    for trigger in range(20):
+        # 60 reports of 200 seconds; one of them comes a trigger late.
+        offsets = [trigger * 60 + i for i in range(60) if i != 59] + ([trigger * 60 - 1] if trigger else [])
+        rows = [report(o, 2 + o % 6, 1, seconds=o * 10 // 3) for o in offsets]
+        batch = spark.createDataFrame(rows, SCHEMA)
+        handler.with_metrics = trigger in (4, 19)
+        read.append(rows_read(spark, lambda: handler(batch, trigger)))
+    assert read[19] < 1.2 * read[4]
+    assert max(read[14:19]) < 1.2 * max(read[2:4])
+    table = spark.createDataFrame([report(o, 2 + o % 6, 1, seconds=o * 10 // 3) for o in range(1200) if o != 1199], SCHEMA)
+    assert rows_of(handler.result(spark), STATE) == rows_of(batch_states(table, 10, 40), STATE)
+    # As a new driver sees them: the last trigger's 200 seconds, and what its carried rows reach back.
+    found = TriggerStates(handler.folder, every=10, stale=40).metrics_result(spark).filter("tick between 3800 and 3990")
+    want = metrics.instant(reports.add_synthetic_root(batch_states(table, 10, 40).filter("tick between 3800 and 3990")))
+    assert rows_of(found, ["tick", "node_count", "diameter"]) == rows_of(want, ["tick", "node_count", "diameter"])

@@ -152,7 +152,7 @@ def stream_network_metrics(spark, sf_dir):
 def stream_network_resets(spark, sf_dir):
     """Reset messages in a stream of reports: the epoch is carried from trigger to trigger and over restarts."""
     is_reset = F.col("offset") % 997 == 996
-    handler = _network_states(spark, sf_dir, "network-resets", with_history=True, reset=is_reset)
+    handler = _network_states(spark, sf_dir, "network-resets", reset=is_reset)
     return handler.history_result(spark).select("offset", "node_id", "epoch", "parent_id", "session_start")
 
 

@@ -238,23 +238,32 @@ class TickMetrics:
 class TriggerStates:
     """``foreachBatch`` handler: the batch history and state operators on each trigger's reports.
 
-    Between triggers one filled row per node is carried.  Nodes whose reports arrive in order need nothing else; a
-    node with a report older than its carried row is worked out anew from the log of its reports.  A
+    Between triggers one filled row per node is carried.  Nodes whose reports arrive in order need nothing else.  A
+    node with a report older than its carried row is worked out anew from that report on, starting with the filled row before it.  A
     trigger writes state rows under its number; where triggers disagree on a node at a tick, the later report
     and then the later trigger hold, so late reports correct what was written before.  With ``with_metrics`` the
-    metrics of all ticks a trigger touches are written anew; with ``with_history`` the filled reports are kept too.
+    metrics of all ticks a trigger touches are written anew.
+
+    Reports as they came (``log``), filled reports (``history``) and ``states`` lie in folders by time range (``span`` seconds, by default four
+    times the longer of ``every`` and ``stale``) and trigger, and an index names the highest order value of a range.  A late report reads the
+    ranges from ``stale`` before it on, and those that hold reports which come after it in order: what else a node sent can't
+    reach it.  That rests on times that don't fall along a node's order; nodes seen to break it are remembered, and a late report
+    of theirs reads everything.  Metrics read the ranges of the touched ticks.  So a trigger's work follows what it brings and how late that
+    is, not the triggers before it.
 
     ``reset`` marks control rows that clear a network: what comes after one, in order of ``offset`` inside a trigger, belongs to
     the next *epoch*.  The number of control rows so far is carried per network, so a reset holds whether it came in
     this trigger, in an earlier one or as the last row of a delivery; nodes of an earlier epoch are not carried on, and
     their rows are no state any more from the time of the reset.
+
+    Results can be read by a new handler on the same folder, also before its first trigger.
     """
 
-    def __init__(self, folder: str, *, every: int, stale: float, with_metrics: bool = False, with_history: bool = False, reset: Column | None = None):
+    def __init__(self, folder: str, *, every: int, stale: float, with_metrics: bool = False, reset: Column | None = None, span: float | None = None):
         self.folder, self.every, self.stale, self.with_metrics = folder.rstrip("/"), every, stale, with_metrics
-        self.with_history, self.reset = with_history, reset
+        self.reset, self.span = reset, int(span or 4 * max(every, stale))
         self.node = list(reports.NODE) if reset is None else ["network", "epoch", "node_id"]
-        self.states = self.metrics = self.history = None
+        self._schemas: dict[str, T.StructType] = {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with storage.temporary(batch.sparkSession):
@@ -262,8 +271,39 @@ class TriggerStates:
 
     def _epochs(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """network and resets, the control rows up to and with a trigger."""
-        schema = "network string, resets long"
-        return spark.read.schema(schema).parquet(f"{self.folder}/epochs/trigger={batch_id}") if batch_id >= 0 else spark.createDataFrame([], schema)
+        return self._small(spark, "epochs", batch_id, "network string, resets long")
+
+    def _small(self, spark: SparkSession, name: str, batch_id: int, schema: str | T.StructType) -> DataFrame:
+        """A table that every trigger writes whole, as the trigger left it; empty before the first."""
+        return spark.read.schema(schema).parquet(f"{self.folder}/{name}/trigger={batch_id}") if batch_id >= 0 else spark.createDataFrame([], schema)
+
+    def _store_small(self, rows: DataFrame, name: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/trigger={batch_id}")
+        if batch_id > 1:
+            storage.drop(rows.sparkSession, f"{self.folder}/{name}/trigger={batch_id - 2}")
+
+    def _store(self, rows: DataFrame, name: str, batch_id: int, seconds: Column) -> None:
+        """Adds a trigger's rows to a table laid out by time range; a repeated trigger replaces its own."""
+        kept = rows.withColumns({"range": self._range(seconds), "trigger": F.lit(batch_id).cast("bigint")})
+        if name not in self._schemas:
+            # For a new driver: empty results have no file that tells their columns.
+            kept.limit(0).write.mode("overwrite").parquet(f"{self.folder}/schemas/{name}")
+            self._schemas[name] = kept.schema
+        by_range = kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("range", "trigger")
+        by_range.parquet(f"{self.folder}/{name}")
+
+    def _stored(self, spark: SparkSession, name: str, ranges: list[int] | None = None) -> DataFrame:
+        """Rows of all triggers, of some time ranges or all; other ranges are not even listed."""
+        if name not in self._schemas:
+            self._schemas[name] = spark.read.parquet(f"{self.folder}/schemas/{name}").schema
+        folder, schema = f"{self.folder}/{name}", self._schemas[name]
+        if ranges is not None and not ranges:
+            return spark.createDataFrame([], schema)
+        paths = [folder] if ranges is None else [f"{folder}/range={r}" for r in ranges]
+        return spark.read.schema(schema).option("basePath", folder).parquet(*paths)
+
+    def _range(self, seconds: Column) -> Column:
+        return F.coalesce(F.floor(seconds / F.lit(self.span)), F.lit(0)).cast("bigint")
 
     def _numbered(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """The batch without its control rows and with ``epoch``; keeps the counts and the times of the resets."""
@@ -272,9 +312,7 @@ class TriggerStates:
         before = self._epochs(spark, batch_id - 1)
         seen = batch.groupBy("network").agg(F.count_if(self.reset).alias("n"))
         resets = F.coalesce("resets", F.lit(0)) + F.coalesce("n", F.lit(0))
-        before.join(seen, "network", "full").select("network", resets.cast("long").alias("resets")).write.mode("overwrite").parquet(
-            f"{self.folder}/epochs/trigger={batch_id}"
-        )
+        self._store_small(before.join(seen, "network", "full").select("network", resets.cast("long").alias("resets")), "epochs", batch_id)
         known = before.withColumnRenamed("resets", "__before")
         epoch = (F.col("epoch") + F.coalesce("__before", F.lit(0))).cast("long")
         numbered = storage.stage(reports.resets_as_epochs(batch, reset=self.reset), "numbered")
@@ -283,70 +321,104 @@ class TriggerStates:
         ends.write.mode("overwrite").parquet(f"{self.folder}/ends/trigger={batch_id}")
         return numbered.join(known, "network", "left").withColumn("epoch", epoch).drop("__before")
 
+    def _again(self, late: DataFrame, columns: list[str], before: DataFrame, batch_id: int) -> DataFrame | None:
+        """Earlier reports that late ones concern: as they came from the first late one on, and the filled one before it (``__carried``)."""
+        spark, node = late.sparkSession, self.node
+        found = late.agg(F.min("__since").alias("since"), F.min("__first").alias("first"), F.max("__falls").alias("falls")).first()
+        if found["first"] is None:
+            return None
+        # One row per time range comes to the driver.
+        reached = (F.col("range") >= found["since"]) | (F.col("highest") >= found["first"]) | F.lit(found["falls"])
+        ranges = sorted(r["range"] for r in before.filter(reached).select("range").collect())
+        # A repeated trigger finds what it wrote at its first attempt.
+        log, history = (self._stored(spark, name, ranges).filter(F.col("trigger") < batch_id) for name in ("log", "history"))
+        first = late.select(*node, "__first")
+        as_came = log.join(first, node).filter(F.col("offset") >= F.col("__first")).select(*columns)
+        filled = history.join(first, node).filter(F.col("offset") < F.col("__first"))
+        seeds = filled.groupBy(*node).agg(F.max_by(F.struct(*columns), F.struct("offset", "trigger")).alias("__row")).select("__row.*")
+        return as_came.withColumn("__carried", F.lit(False)).unionByName(seeds.withColumn("__carried", F.lit(True)))
+
     def _trigger(self, batch: DataFrame, batch_id: int) -> None:
         spark, node = batch.sparkSession, self.node
         if self.reset is not None:
             batch = self._numbered(batch, batch_id)
-        batch.write.mode("overwrite").parquet(f"{self.folder}/log/trigger={batch_id}")
-        log = spark.read.schema(batch.schema).parquet(f"{self.folder}/log/trigger=*")
-        new = spark.read.schema(batch.schema).parquet(f"{self.folder}/log/trigger={batch_id}")
-        carried = new.limit(0)
-        if batch_id > 0:
-            carried = spark.read.schema(batch.schema).parquet(f"{self.folder}/carried/trigger={batch_id - 1}")
-        first = new.groupBy(*node).agg(F.min("offset").alias("__first"))
+        columns, seconds = batch.columns, F.col("t") / _SECOND
+        new = storage.stage(batch, "new")
+        self._store(new, "log", batch_id, seconds)
+        indexed = self._small(spark, "index", batch_id - 1, "range long, highest long")
+        here = new.groupBy(self._range(seconds).alias("range")).agg(F.max("offset").cast("long").alias("highest"))
+        self._store_small(indexed.unionByName(here).groupBy("range").agg(F.max("highest").alias("highest")), "index", batch_id)
+
+        carried = self._small(spark, "carried", batch_id - 1, batch.schema)
+        falling = self._small(spark, "falling", batch_id - 1, new.select(*node).schema)
+        since = F.min(F.when(F.col("t").isNull(), F.lit(-(1 << 62))).otherwise(self._range(seconds - F.lit(self.stale))))
+        first = new.groupBy(*node).agg(F.min("offset").alias("__first"), since.alias("__since"))
+        last = carried.select(*node, F.col("offset").alias("__last"))
         arrived = storage.stage(
-            first.join(carried.select(*node, F.col("offset").alias("__last")), node, "left").select(
-                *node, F.coalesce(F.col("__first") < F.col("__last"), F.lit(False)).alias("__late")
+            first.join(last, node, "left").join(falling.withColumn("__falls", F.lit(True)), node, "left").select(
+                *node, "__first", "__since", F.coalesce("__falls", F.lit(False)).alias("__falls"),
+                F.coalesce(F.col("__first") < F.col("__last"), F.lit(False)).alias("__late"),
             ),
             "arrived",
+        )
+        late, in_order = arrived.filter("__late"), arrived.filter("not __late")
+        again = self._again(late, columns, indexed, batch_id)
+        rows = new.withColumn("__carried", F.lit(False)).unionByName(
+            carried.join(in_order, node, "left_semi").withColumn("__carried", F.lit(True))
         )
-        late, in_order = (arrived.filter(F.col("__late") == flag).select(*node) for flag in (True, False))
-        known = new.withColumn("__carried", F.lit(False)).unionByName(carried.withColumn("__carried", F.lit(True)))
-        rows = known.join(in_order, node, "left_semi").unionByName(log.join(late, node, "left_semi").withColumn("__carried", F.lit(False)))
+        if again is not None:
+            rows = rows.unionByName(again)
         history = storage.stage(reports.with_history(rows, stale=self.stale, keys=node), "history")
-        if self.with_history:
-            # A carried row was written by the trigger that brought it.
-            filled = history.filter(~F.col("__carried")).drop("__carried", "next_t").withColumn("trigger", F.lit(batch_id).cast("bigint"))
-            filled.write.mode("overwrite").parquet(f"{self.folder}/history/batch={batch_id}")
-            self.history = filled.schema
+        # A carried row was written by the trigger that brought it.
+        self._store(history.filter(~F.col("__carried")).drop("__carried", "next_t"), "history", batch_id, seconds)
+        falls = history.filter(F.col("next_t") < F.col("t")).select(*node)
+        self._store_small(falling.unionByName(falls).distinct(), "falling", batch_id)
         history = history.drop("__carried")
         states = reports.state_at_intervals(history, every=self.every, stale=self.stale)
-        states = states.withColumn("trigger", F.lit(batch_id).cast("bigint"))
-        states.write.mode("overwrite").parquet(f"{self.folder}/states/batch={batch_id}")
-        self.states = states.schema
-        newest = reports.latest(history.select(*batch.columns), keys=node).unionByName(carried.join(arrived, node, "left_anti"))
+        self._store(states, "states", batch_id, F.col("tick"))
+        touched = states.select("network", "tick", self._range(F.col("tick")).alias("range")).distinct()
+        newest = reports.latest(history.select(*columns), keys=node).unionByName(carried.join(arrived, node, "left_anti"))
         if self.reset is not None:
             now = self._epochs(spark, batch_id).withColumnRenamed("resets", "epoch")
-            newest = newest.join(now, ["network", "epoch"], "left_semi").select(*batch.columns)
-        newest.write.mode("overwrite").parquet(f"{self.folder}/carried/trigger={batch_id}")
-        if batch_id > 1:
-            storage.drop(spark, f"{self.folder}/carried/trigger={batch_id - 2}")
+            newest = newest.join(now, ["network", "epoch"], "left_semi").select(*columns)
+        self._store_small(newest, "carried", batch_id)
         if self.with_metrics:
-            touched = spark.read.schema(self.states).parquet(f"{self.folder}/states/batch={batch_id}").select("network", "tick").distinct()
-            state = storage.stage(self.result(spark).join(touched, ["network", "tick"], "left_semi"), "touched")
-            found = metrics.instant(reports.add_synthetic_root(state))
-            self.metrics = found.schema
-            by_tick = found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tick")
-            by_tick.parquet(f"{self.folder}/metrics")
-
-    def result(self, spark: SparkSession, *, since: int | None = None) -> DataFrame:
-        """State rows of all ticks so far, or from ``since`` on, those after the newest report included."""
-        every = spark.read.schema(self.states).parquet(f"{self.folder}/states/batch=*")
-        if since is not None:
-            every = every.filter(F.col("tick") >= since)
+            self._write_metrics(storage.stage(touched, "touched"))
+
+    def _write_metrics(self, touched: DataFrame) -> None:
+        """Metrics of the ticks that a trigger wrote states of, from the time ranges that hold them."""
+        spark = touched.sparkSession
+        ranges = sorted(r["range"] for r in touched.select("range").distinct().collect())
+        state = self._merged(spark, self._stored(spark, "states", ranges)).join(touched.drop("range"), ["network", "tick"], "left_semi")
+        found = metrics.instant(reports.add_synthetic_root(storage.stage(state, "state")))
+        if "metrics" not in self._schemas:
+            found.limit(0).write.mode("overwrite").parquet(f"{self.folder}/schemas/metrics")
+            self._schemas["metrics"] = found.schema
+        by_tick = found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tick")
+        by_tick.parquet(f"{self.folder}/metrics")
+
+    def _merged(self, spark: SparkSession, every: DataFrame) -> DataFrame:
+        """One row per node and tick."""
         if self.reset is not None:
             ends = spark.read.schema("network string, epoch long, ended long").parquet(f"{self.folder}/ends/trigger=*")
-            every = every.join(ends, ["network", "epoch"], "left").filter(F.col("ended").isNull() | (F.col("tick") * 1_000_000 < F.col("ended"))).drop("ended")
-        others = [c for c in every.columns if c not in ("network", "tick", "node_id", "trigger")]
+            every = every.join(ends, ["network", "epoch"], "left").filter(F.col("ended").isNull() | (F.col("tick") * _SECOND < F.col("ended"))).drop("ended")
+        others = [c for c in every.columns if c not in ("network", "tick", "node_id", "trigger", "range")]
         best = F.max_by(F.struct(*others), F.struct("offset", "trigger")).alias("__row")
         return every.groupBy("network", "tick", "node_id").agg(best).select("network", "tick", "node_id", "__row.*")
 
+    def result(self, spark: SparkSession, *, since: int | None = None) -> DataFrame:
+        """State rows of all ticks so far, or from ``since`` on, those after the newest report included."""
+        every = self._stored(spark, "states")
+        if since is not None:
+            every = every.filter((F.col("range") >= self._range(F.lit(since))) & (F.col("tick") >= since))
+        return self._merged(spark, every)
+
     def history_result(self, spark: SparkSession) -> DataFrame:
         """Every report with its fields filled and ``session_start``; of a report written twice the later trigger's row."""
-        every = spark.read.schema(self.history).parquet(f"{self.folder}/history/batch=*")
-        others = [c for c in every.columns if c not in ("network", "offset", "trigger")]
+        every = self._stored(spark, "history")
+        others = [c for c in every.columns if c not in ("network", "offset", "trigger", "range")]
         best = F.max_by(F.struct(*others), "trigger").alias("__row")
         return every.groupBy("network", "offset").agg(best).select("network", "offset", "__row.*")
 
     def metrics_result(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.metrics).parquet(f"{self.folder}/metrics")
+        return self._stored(spark, "metrics")
