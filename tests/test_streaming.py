@@ -277,3 +277,18 @@ def test_states_equal_the_batch_whatever_the_order_of_arrival(spark, tmp_path):
             if label == "again" and trigger == 1:
                 handler(batch, trigger)
         assert sorted(map(str, handler.result(spark).select(*names).collect())) == want
+
+
+@pytest.mark.parametrize("limit", [1 << 21, 15])
+def test_offsets_of_several_partitions(spark, tmp_path, limit):
+    """One key over three partitions that count their offsets alike; held readings stay before later ones."""
+    config = sensor.sensor_config(spark)
+    handler = count_windows.TriggerWindows(str(tmp_path), config, aggregate="sum", limit=limit)
+    rows = [("wind", float(i * i % 97), 2 - i % 3, i // 3, False, False) for i in range(120)]
+    schema = "sensor_type string, value double, partition int, offset long, is_anomaly boolean, is_command boolean"
+    parts = [rows[:50], rows[50:57], rows[57:]]
+    for number, part in enumerate(parts):
+        handler(spark.createDataFrame(part, schema).orderBy(F.rand(2)), number)
+    order = [r[1] for part in parts for r in sorted(part, key=lambda r: r[2:4])]
+    got = sorted((r.window_no, r.result) for r in handler.result(spark).collect())
+    assert got == [(n, sum(order[10 * n : 10 * n + 20])) for n in range(11)]

@@ -133,14 +133,18 @@ def count_windows(readings: DataFrame, *, aggregate: str = "average") -> DataFra
 
 
 class TriggerWindows:
-    """``foreachBatch`` handler around the batch operator; ``offset`` orders the readings of a key.
+    """``foreachBatch`` handler around the batch operator.
+
+    Readings of a key are ordered by trigger, then by ``partition`` and ``offset``, which is unique inside a partition
+    only; a batch without ``partition`` is one partition.  What an earlier trigger holds stays before what comes later.
 
     What outlives a trigger is written under its number: the held readings (fewer than a
     window per key) and, per key, how many resets and windows it has seen.  A repeated
     trigger reads the state before it and overwrites its own, so results stay exactly-once.
     """
 
-    COLUMNS = ("sensor_type", "value", "offset", "is_anomaly", "is_command")
+    COLUMNS = ("sensor_type", "value", "partition", "offset", "is_anomaly", "is_command")
+    ORDER = ("trigger", "partition", "offset")
 
     def __init__(self, folder: str, config: DataFrame, *, aggregate: str = "average", limit: int = ordered.ROW_LIMIT):
         sensor.aggregate(aggregate)
@@ -155,7 +159,10 @@ class TriggerWindows:
 
     def _trigger(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = storage.stage(batch.select(*self.COLUMNS), "trigger")
+        if "partition" not in batch.columns:
+            batch = batch.withColumn("partition", F.lit(0))
+        arrived = batch.select(*self.COLUMNS, F.lit(batch_id).cast("bigint").alias("trigger"))
+        rows = storage.stage(arrived, "trigger")
         seen = rows.select("sensor_type").limit(0).selectExpr(
             "sensor_type", "cast(0 as bigint) as epochs", "cast(0 as bigint) as windows"
         )
@@ -163,7 +170,10 @@ class TriggerWindows:
             rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{self._state(batch_id - 1)}/held"))
             seen = spark.read.schema(seen.schema).parquet(f"{self._state(batch_id - 1)}/seen")
         positions = storage.stage(
-            sensor.with_window_positions(rows, order="offset", control="is_command", limit=self.limit), "positions"
+            sensor.with_window_positions(
+                rows.withColumn("at", F.struct(*self.ORDER)), order="at", control="is_command", limit=self.limit
+            ),
+            "positions",
         )
         # A command row holds no reading, so resets are counted on the rows, not on the positions.
         resets = rows.groupBy("sensor_type").agg(
@@ -198,7 +208,7 @@ class TriggerWindows:
         held = open_rows.join(keys.select("sensor_type", "emitted", "step"), "sensor_type").filter(
             F.col("position") > F.col("emitted") * F.col("step")
         )
-        held.select(*self.COLUMNS).write.mode("overwrite").parquet(f"{self._state(batch_id)}/held")
+        held.select(*rows.columns).write.mode("overwrite").parquet(f"{self._state(batch_id)}/held")
         (
             keys.select(
                 "sensor_type",

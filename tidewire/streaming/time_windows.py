@@ -40,7 +40,8 @@ class PaneWindows:
     """``foreachBatch`` handler: folds each trigger's rows into panes; ``result`` makes the windows of all panes.
 
     A late row adds to its pane whenever it comes, and windows that are still open are there too.  A trigger
-    writes its panes under its number, so a repeated trigger replaces its own.
+    writes its panes under its number, so a repeated trigger replaces its own.  A new handler on the same folder reads
+    the results of the one before.
     """
 
     def __init__(self, folder: str, *, keys: Sequence[str] = CELL, size: str = "100 seconds", slide: str = "10 seconds", **columns: str):
@@ -53,5 +54,7 @@ class PaneWindows:
         folded.write.mode("overwrite").parquet(f"{self.folder}/panes/trigger={batch_id}")
 
     def result(self, spark: SparkSession) -> DataFrame:
-        folded = spark.read.schema(self.schema).parquet(f"{self.folder}/panes/trigger=*")
+        written = f"{self.folder}/panes/trigger=*"
+        # Also a trigger without rows leaves a file with the columns.
+        folded = spark.read.schema(self.schema or spark.read.parquet(written).schema).parquet(written)
         return windows_of_panes(folded, keys=self.keys, size=self.size, slide=self.slide)
