@@ -240,6 +240,8 @@ def test_late_rows_and_open_windows_of_time_windows(spark, tmp_path):
     handler(table.filter(F.col("time_step") % 3 == 1), 2)
     whole = grid.sliding_window_differences(table, keys=["cell"], size="600 seconds", slide="60 seconds")
     assert sorted(map(tuple, handler.result(spark).collect())) == sorted(map(tuple, whole.collect()))
+    restarted = time_windows.PaneWindows(str(tmp_path), keys=["cell"], size="600 seconds", slide="60 seconds")
+    assert sorted(map(tuple, restarted.result(spark).collect())) == sorted(map(tuple, whole.collect()))
 
 
 def test_triggers_leave_no_staged_folders(spark, tmp_path):

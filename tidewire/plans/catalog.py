@@ -145,6 +145,18 @@ def node_id_from_addr(spark, sf_dir):
     )
 
 
+def root_addresses(spark, sf_dir):
+    """The border router's address as each report's DODAG id tells it: two forms that hold it, one that doesn't, none."""
+    ev = views.events(spark, sf_dir).select("event_id", "k", views.address(F.col("user_id") + 2).alias("address"))
+    dodag = (
+        F.when(F.col("k") % 4 == 0, F.lit("fd00::201:1:1:1"))
+        .when(F.col("k") % 4 == 1, F.concat(F.lit("FD00::"), F.upper(F.hex("k")), F.lit(":1:1:1")))
+        .when(F.col("k") % 4 == 2, F.regexp_replace("address", "^fe80", "fd00"))
+    )
+    told = ev.select(F.col("event_id").alias("offset"), dodag.alias("dodag_id"))
+    return told.withColumn("root_address", addresses.root_address(F.col("dodag_id")))
+
+
 def link_local_from_lladdr(spark, sf_dir):
     node = F.col("node_id").cast("bigint")
     counted = _mesh(spark, sf_dir).groupBy(node.alias("node_id")).agg(F.count(F.lit(1)).alias("reports"))
@@ -387,7 +399,7 @@ BATCH: dict[str, Query] = {
         q1_consecutive_diff, q2_time_window, q3_max_window_diff, step_convergence, stencil_residual,
         sensor_parse_quarantine, sensor_range_flags, unknown_sensor_reject, sample_reroute, reset_epochs, reset_epochs_cut,
         manual_flush_windows, window_message_format,
-        node_id_from_addr, link_local_from_lladdr, link_cost, symmetric_cost, dag_rank, objective_names,
+        node_id_from_addr, root_addresses, link_local_from_lladdr, link_cost, symmetric_cost, dag_rank, objective_names,
         latest_report, state_as_of_tick, state_as_of_instants, message_degree_means, message_metrics, sticky_parent, neighbor_sets, neighbor_table_merge,
         wireless_edges_any, wireless_edges_mutual, edge_list_undirected, tree_edges, node_depths, root_choice,
         hop_diameter_apl, tree_diameter_apl, weighted_diameter_apl, node_table,

@@ -260,6 +260,12 @@ _add("next_topic_routing", _count_windows("avg(value) as r"),
 _ADDRESS = "format('fe80::{:x}:{:x}:{:x}:{:x}', xor(node_id, 512), node_id, node_id, node_id)"
 _add("node_id_from_addr", _reports(),
      f"""select node_id, {_ADDRESS} as address, count(*) as reports from rep group by node_id""")
+_add("root_addresses", _reports(),
+     f"""select "offset", dodag_id,
+                case when regexp_matches(dodag_id, '::[0-9a-f]+:1:1:1$', 'i') then dodag_id else 'fe80::201:1:1:1' end as root_address
+         from (select event_id as "offset",
+                      case k % 4 when 0 then 'fd00::201:1:1:1' when 1 then upper(format('fd00::{{:x}}:1:1:1', k))
+                                 when 2 then replace({_ADDRESS}, 'fe80', 'fd00') end as dodag_id from rep)""")
 _add("link_local_from_lladdr", _reports(),
      f"""select node_id, repeat(lpad(format('{{:x}}', node_id), 4, '0'), 4) as lladdr,
                 regexp_replace({_ADDRESS}, '^fe80::0:', 'fe80::') as link_local, count(*) as reports
