@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.operators import graph, metrics
+from tidewire.operators import components, graph, metrics
 
 KEYS = ("network", "tick")
 
@@ -262,3 +262,43 @@ def test_shortcuts_are_cheapest_paths_and_stop_at_hubs(spark):
     star = graph._both_ways(edge_df(spark, {("n", 0): [(0, i, 1.0) for i in range(1, 500)]}), KEYS)
     links, reach = graph.shortcuts(star, KEYS, growth=160, most=8)
     assert reach == 1 and links.count() == 998
+
+
+@pytest.mark.parametrize("local_nodes", [0, 5, None])
+def test_components_of_every_size_sum_up(spark, graphs, local_nodes):
+    """Searched by rounds, found inside tasks, or some of both in one graph."""
+    edges = edge_df(spark, graphs)
+    hops = {(r.network, r.tick): (r.diameter, r.avg_path_len) for r in graph.hop_totals(edges, local_nodes=local_nodes).withColumn("avg_path_len", F.col("total") / F.col("pairs")).collect()}
+    costs = {(r.network, r.tick): r for r in graph.weighted_metrics(edges, local_nodes=local_nodes, sources_per_pass=40).collect()}
+    assert hops.keys() == costs.keys() == graphs.keys()
+    for key, links in graphs.items():
+        longest, mean = all_pairs([(a, b, 1) for a, b, _ in links])
+        assert hops[key][0] == longest and float(hops[key][1]) == pytest.approx(mean)
+        longest, mean = all_pairs(links)
+        assert costs[key].diameter_weighted == pytest.approx(longest) and costs[key].avg_path_len_weighted == pytest.approx(mean)
+
+
+def test_small_components_take_no_search_round(spark, monkeypatch):
+    """4,000 chains of ten nodes in one graph, and a ring in several blocks of sources: no table of nodes by sources is written."""
+    monkeypatch.setattr(graph, "_searched_hops", None)
+    monkeypatch.setattr(graph, "_relax", None)
+    monkeypatch.setattr(components, "_CELLS", 1 << 12)
+    chains = spark.range(40_000).filter("id % 10 < 9").selectExpr("'chains' AS network", "0L AS tick", "id AS a", "id + 1 AS b", "2.0D AS cost")
+    ring = spark.range(600).selectExpr("'ring' AS network", "0L AS tick", "least(id, (id + 1) % 600) AS a", "greatest(id, (id + 1) % 600) AS b", "1.0D AS cost")
+    edges = chains.unionByName(ring)
+    hops = {r.network: (r.diameter, r.avg_path_len) for r in graph.hop_metrics(edges).collect()}
+    assert hops == {"chains": (9, pytest.approx(11 / 3)), "ring": (300, pytest.approx(300 * 300 / 599))}
+    costs = {r.network: (r.diameter_weighted, r.avg_path_len_weighted) for r in graph.weighted_metrics(edges).collect()}
+    assert costs == {"chains": (18.0, pytest.approx(22 / 3)), "ring": (300.0, pytest.approx(300 * 300 / 599))}
+
+
+def test_component_labels(spark):
+    """A long chain numbered at random, a star, a repeated link, a self link."""
+    rng = random.Random(5)
+    numbers = list(range(300))
+    rng.shuffle(numbers)
+    pairs = [*zip(numbers, numbers[1:]), *[(1000, n) for n in range(1001, 1040)], (2000, 2001), (2000, 2001), (3000, 3000)]
+    rows = [("n", 0, *link, 1.0) for a, b in pairs for link in ((a, b), (b, a))]
+    found = components.labels(spark.createDataFrame(rows, "network string, tick long, a long, b long, cost double"), KEYS)
+    want = {**{n: 0 for n in numbers}, **{n: 1000 for n in range(1000, 1040)}, 2000: 2000, 2001: 2000, 3000: 3000}
+    assert {r.node: r.component for r in found.collect()} == want and found.count() == len(want)

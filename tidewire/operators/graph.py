@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidewire.functions import addresses
 from tidewire.storage import Rounds, stage
 
-from . import ordered
+from . import components, ordered
 
 GRAPH = ("network", "tick")
 
@@ -245,17 +245,37 @@ _HOP_REACH, _HOP_GROWTH = 8, 160
 _COST_REACH, _COST_GROWTH = 4, 32
 
 
-def hop_totals(edges: DataFrame, *, keys: Sequence[str] = GRAPH) -> DataFrame:
+def hop_totals(edges: DataFrame, *, keys: Sequence[str] = GRAPH, local_nodes: int | None = None) -> DataFrame:
     """Per graph: hop diameter, sum of distances and number of reachable ordered pairs.
 
+    Distances inside components of at most ``local_nodes`` nodes (default ``components.NODES``) are found bin by bin inside tasks (see
+    ``components``); larger components take the search from all nodes at once.
+    """
+    directed = stage(_both_ways(edges.withColumn("cost", F.lit(1.0)), keys), "links")
+    small, large = components.by_size(directed, keys, nodes=local_nodes)
+    near = components.distance_sums(stage(small, "small"), keys).select(
+        *keys,
+        F.col("ecc").cast("bigint").alias("diameter"),
+        F.col("total").cast("decimal(38,0)").alias("total"),
+        F.col("pairs").cast("decimal(38,0)").alias("pairs"),
+    )
+    if large is not None:
+        near = near.unionByName(_searched_hops(stage(large, "large"), keys))
+    return near.groupBy(*keys).agg(
+        F.max("diameter").alias("diameter"), F.sum("total").cast("decimal(38,0)").alias("total"), F.sum("pairs").cast("decimal(38,0)").alias("pairs")
+    )
+
+
+def _searched_hops(directed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hop totals by search over links both ways.
+
     Exact breadth-first search from all nodes at once.  A row stands for one node and 64
     sources: which of them have reached it, as bits of one long.  A round passes the bits of
     the search's outermost nodes along paths of up to ``reach`` links (see ``shortcuts``) and ORs them per
     node and length, combining before the shuffle, so pairs are never written out one by
     one and the rounds are the longest distance divided by ``reach``.
     """
-    spark = edges.sparkSession
-    directed = stage(_both_ways(edges.withColumn("cost", F.lit(1.0)), keys), "links")
+    spark = directed.sparkSession
     links, reach = shortcuts(directed, keys, growth=_HOP_GROWTH, most=_HOP_REACH)
     start = _numbered_nodes(directed, keys).select(
         *keys,
@@ -303,31 +323,23 @@ def hop_metrics(edges: DataFrame, *, keys: Sequence[str] = GRAPH) -> DataFrame:
 
 
 def weighted_metrics(
-    edges: DataFrame, *, keys: Sequence[str] = GRAPH, sources_per_pass: int = 1 << 14
+    edges: DataFrame, *, keys: Sequence[str] = GRAPH, sources_per_pass: int = 1 << 14, local_nodes: int | None = None
 ) -> DataFrame:
     """Cost diameter and average cost of the cheapest paths, over reachable ordered pairs.
 
-    Exact relaxation from every source until nothing improves (costs are positive), along paths of
+    Distances inside components of at most ``local_nodes`` nodes (default ``components.NODES``) are found bin by bin inside tasks (see
+    ``components``).  Larger components take an exact relaxation from every source until nothing improves (costs are positive), along paths of
     several links a round (see ``shortcuts``).  The
     sources of a graph are worked off in passes, so the live state is bounded by
     ``sources_per_pass`` times the nodes; each pass leaves one row per node and source
     block, never a pair.
     """
-    spark = edges.sparkSession
     directed = stage(_both_ways(edges, keys), "costs")
-    links, _ = shortcuts(directed, keys, growth=_COST_GROWTH, most=_COST_REACH)
-    numbered = stage(_numbered_nodes(directed, keys), "nodes")
-    most = numbered.agg(F.max("number")).first()[0]
-    passes = 0 if most is None else most // sources_per_pass + 1
-    parts = []
-    for number in range(passes):
-        in_pass = F.floor(F.col("number") / F.lit(sources_per_pass)) == number
-        parts.append(stage(_relax(numbered.filter(in_pass), links, keys), "pass"))
-    if not parts:
-        parts = [_relax(numbered, links, keys)]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
+    small, large = components.by_size(directed, keys, nodes=local_nodes)
+    whole = components.distance_sums(stage(small, "small"), keys)
+    if large is not None:
+        for part in _relaxed_passes(stage(large, "large"), keys, sources_per_pass):
+            whole = whole.unionByName(part)
     return whole.groupBy(*keys).agg(
         F.max("ecc").alias("diameter_weighted"), F.sum("total").alias("__t"), F.sum("pairs").alias("__p")
     ).select(
@@ -337,6 +349,17 @@ def weighted_metrics(
     )
 
 
+def _relaxed_passes(directed: DataFrame, keys: Sequence[str], sources_per_pass: int) -> list[DataFrame]:
+    links, _ = shortcuts(directed, keys, growth=_COST_GROWTH, most=_COST_REACH)
+    numbered = stage(_numbered_nodes(directed, keys), "nodes")
+    most = numbered.agg(F.max("number")).first()[0]
+    parts = []
+    for number in range(most // sources_per_pass + 1):
+        in_pass = F.floor(F.col("number") / F.lit(sources_per_pass)) == number
+        parts.append(stage(_relax(numbered.filter(in_pass), links, keys), "pass"))
+    return parts
+
+
 def _relax(sources: DataFrame, directed: DataFrame, keys: Sequence[str]) -> DataFrame:
     rounds = Rounds(sources.sparkSession, "relax")
     table = rounds.store(
