@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.operators import messages, reports
+from tidewire.operators import forest, messages, reports
 
 STALE = 60_000_000
 SCHEMA = "network string, offset long, node_id long, t long, parent_id long, is_root boolean, seq long, objective_function string, dodag_id string, neighbors array<struct<id:bigint,cost:double>>"
@@ -122,3 +122,35 @@ def test_ranges_make_up_the_interval(spark, monkeypatch):
     for row in df.collect():
         held = [p for level, number in row.r for p in range(number << level, number + 1 << level)]
         assert sorted(held) == list(range(row.a, row.b))
+
+
+@pytest.mark.parametrize("block", [7, 256])
+def test_versions_followed_and_worked_out_one_by_one_agree(spark, sent, block, monkeypatch):
+    """Loops that open and close, roots on and off a loop, networks that come and go, blocks that begin in between."""
+    monkeypatch.setattr(forest, "BLOCK", block)
+    rng = random.Random(3)
+    rows = [(*r[:2], rng.randint(1, 9), *r[3:]) for r in sent]
+    spans = messages.version_spans(versions := messages.positions(frame(spark, rows), stale=STALE // 1_000_000), versions.select("network", "position"))[1]
+    names = ("network", "version", "root_id", "depth_avg", "depth_min", "depth_max", "diameter", "avg_path_len")
+
+    def found(**options):
+        return {(r.network, r.version): tuple(r) for r in messages.tree_shapes(spans, **options).select(*names).fillna(0).collect()}
+
+    followed, one_by_one = found(), found(tree_nodes=0)
+    assert followed.keys() == one_by_one.keys() and len(followed) > 200
+    for key, row in followed.items():
+        assert row == pytest.approx(one_by_one[key]), key
+
+
+def test_no_row_per_version_and_node(spark, monkeypatch):
+    """A changing chain of 2,000 nodes: what blocks hold grows with reports, not with versions times nodes."""
+    monkeypatch.setattr(messages, "_each_version", None)
+    rows = [("n", i, 2 + i % 2000, i * 1000, 1 + i % 2000, False, i, "OF0", None, []) for i in range(2000)]
+    rows += [("n", 2000 + i, 2001, 2_000_000 + i * 1000, 1 + (i * 37) % 1999, False, i, "OF0", None, []) for i in range(1000)]
+    got = {r.offset: r for r in messages.metrics_at_messages(frame(spark, rows), stale=10**6).collect()}
+    assert len(got) == 3000
+    for i in range(1999, 2000):
+        assert (got[i].diameter, got[i].depth_max, got[i].depth_avg) == (2000, 2000, 1000.5)
+    for i in (0, 500, 999):
+        parent = 1 + (i * 37) % 1999
+        assert got[2000 + i].depth_avg == pytest.approx((1999 * 1000 + parent) / 2000)

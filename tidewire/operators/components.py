@@ -19,7 +19,7 @@ from tidewire.storage import Rounds, stage
 #: Most nodes of a component whose distances are found inside tasks, and most directed links per such node.
 NODES, LINKS = 1 << 14, 16
 #: Sources of a component that one group takes, and distances (nodes times sources) a group holds.
-_BLOCK, _CELLS = 256, 1 << 20
+_BLOCK, _CELLS = 256, 1 << 17
 
 
 def labels(directed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -119,7 +119,7 @@ def _bin_sums(group: tuple, links: pd.DataFrame, keys: list[str]) -> pd.DataFram
     first = np.flatnonzero(np.r_[True, np.diff(owner) != 0])
     place = np.arange(len(owner)) - np.repeat(first, np.diff(np.r_[first, len(owner)]))
     low, high = group[2] * _BLOCK, min((group[2] + 1) * _BLOCK, int(place.max()) + 1)
-    step = max(1, _CELLS // len(cost))
+    step = max(16, _CELLS // len(cost))
     longest, total, pairs = (np.zeros(len(owner)) for _ in range(3))
     for begin in range(low, high, step):
         width = min(step, high - begin)

@@ -8,7 +8,8 @@ the intervals in the cheapest form it allows:
 * links begin and end where the number of reports that list them leaves and returns to 0;
 * extremes are looked up in a tree of aligned position ranges that the intervals are cut into;
 * root, depths and routing-tree figures depend on parents and root flags alone.  Messages that change none of them share a
-  *version* of the tree, and only versions are worked out as graphs: versions times nodes rows.
+  *version* of the tree.  Versions are dealt into blocks; inside a block the tree is followed from change to change, so a version costs
+  what changed and its ancestors, not the network.
 
 Defined cases: a message without a node's earlier reports starts that node; a report is visible up to and including ``stale`` seconds
 after its arrival; the border router is there at every message, without neighbors while it doesn't report; means without
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from tidewire.functions import addresses
 from tidewire.storage import stage
 
-from . import graph, metrics, ordered, reports
+from . import forest, graph, metrics, ordered, reports
 
 #: Positions in the largest range of the tree; longer intervals take several of them, so no range is looked up by more positions.
 LARGEST = 12
@@ -114,6 +115,16 @@ def extremes(intervals: DataFrame, at: DataFrame, value: str) -> DataFrame:
 
 def tree_versions(versions: DataFrame, at: DataFrame, *, limit: int = ordered.ROW_LIMIT) -> tuple[DataFrame, DataFrame]:
     """``at`` with the ``version`` of the routing tree in force, and the nodes of every version with parent and root flag."""
+    numbered, spans = version_spans(versions, at, limit=limit)
+    return numbered, _each_version(spans)
+
+
+def _each_version(spans: DataFrame) -> DataFrame:
+    return spans.select("network", F.explode(F.sequence("first", "last")).alias("version"), "node_id", "parent_id", "is_root")
+
+
+def version_spans(versions: DataFrame, at: DataFrame, *, limit: int = ordered.ROW_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """``at`` with its ``version``, and nodes with parent, root flag and the ``first`` and ``last`` version they hold for."""
     rows = ordered.adjacent_rows(
         versions.select("network", "node_id", "position", "until", F.struct("parent_id", "is_root").alias("now")),
         keys=["network", "node_id"], order="position", previous={"now": "__was", "until": "__left"}, following={"position": "__next"}, limit=limit,
@@ -132,12 +143,34 @@ def tree_versions(versions: DataFrame, at: DataFrame, *, limit: int = ordered.RO
     nodes = (
         versions.select("network", "node_id", "position", "until", "parent_id", "is_root")
         .join(begin, AT).join(end, ["network", "until"]).filter("__first <= __last")
-        .select("network", F.explode(F.sequence("__first", "__last")).alias("version"), "node_id", "parent_id", "is_root")
+        .select("network", "node_id", "parent_id", "is_root", F.col("__first").alias("first"), F.col("__last").alias("last"))
     )
     return numbered.drop("__new"), nodes
 
 
-def metrics_at_messages(history: DataFrame, *, stale: float, order: str = "offset", limit: int = ordered.ROW_LIMIT) -> DataFrame:
+def tree_shapes(spans: DataFrame, *, tree_nodes: int | None = None) -> DataFrame:
+    """Figures of every version: root, depths, diameter and path length of the routing tree.
+
+    Networks of at most ``tree_nodes`` nodes (default ``forest.NODES``) are followed from version to version, in blocks; of larger ones every
+    version is worked out as a graph.
+    """
+    most = forest.NODES if tree_nodes is None else tree_nodes
+    spans = stage(spans, "tree-spans")
+    large = stage(spans.groupBy("network").agg(F.count_distinct("node_id").alias("n")).filter(F.col("n") > most).select("network"), "large")
+    keys = ["network", "version"]
+    shapes = forest.shapes(spans.join(large, "network", "left_anti"))
+    if large.isEmpty():
+        return shapes
+    each = _each_version(spans.join(large, "network", "left_semi"))
+    trees = stage(reports.add_synthetic_root(each, keys=("network", "version")), "trees")
+    paths = graph.tree_metrics(graph.tree_edges(trees, keys=keys), keys=keys)
+    depths = metrics.depth_stats(graph.depths(trees, keys=keys), graph.roots(trees, keys=keys), keys=keys)
+    return shapes.unionByName(depths.join(paths, keys, "left").select(*shapes.columns))
+
+
+def metrics_at_messages(
+    history: DataFrame, *, stale: float, order: str = "offset", limit: int = ordered.ROW_LIMIT, tree_nodes: int | None = None
+) -> DataFrame:
     """One row per message: the network as it is after that message, and the since-boot means of the headline metrics.
 
     ``history`` are decoded reports with kept fields (``reports.with_history``).  ``dag_id`` and ``objective_function`` are those of
@@ -164,14 +197,11 @@ def metrics_at_messages(history: DataFrame, *, stale: float, order: str = "offse
     seqs = totals.filter("seq is not null").select("network", "__given", F.col("seq").alias("round_seq"))
 
     degrees = extremes(versions.filter(~router).withColumn("degree", F.col("degree").cast("bigint")), at, "degree")
-    numbered, nodes = tree_versions(versions, at.select(*AT), limit=limit)
-    trees = stage(reports.add_synthetic_root(nodes, keys=("network", "version")), "trees")
-    keys = ["network", "version"]
-    paths = graph.tree_metrics(graph.tree_edges(trees, keys=keys), keys=keys)
-    shapes = metrics.depth_stats(graph.depths(trees, keys=keys), graph.roots(trees, keys=keys), keys=keys).join(paths, keys, "left")
+    numbered, spans = version_spans(versions, at.select(*AT), limit=limit)
+    shapes = tree_shapes(spans, tree_nodes=tree_nodes)
 
     instants = (
-        totals.join(seqs, ["network", "__given"], "left").join(degrees, AT, "left").join(numbered, AT).join(stage(shapes, "tree-shapes"), keys)
+        totals.join(seqs, ["network", "__given"], "left").join(degrees, AT, "left").join(numbered, AT).join(stage(shapes, "tree-shapes"), ["network", "version"])
         .select(
             *AT, order, "t", F.col("dodag_id").alias("dag_id"), "objective_function", "root_id",
             (F.col("__nodes") + 1).alias("node_count"), F.col("__links").alias("undirected_edge_count"), F.col("__parents").alias("tree_edge_count"),
