@@ -124,12 +124,14 @@ def test_ranges_make_up_the_interval(spark, monkeypatch):
         assert sorted(held) == list(range(row.a, row.b))
 
 
-@pytest.mark.parametrize("block", [7, 256])
-def test_versions_followed_and_worked_out_one_by_one_agree(spark, sent, block, monkeypatch):
+@pytest.mark.parametrize(("block", "repeats"), [(7, 0), (256, 0), (11, 25)])
+def test_versions_followed_and_worked_out_one_by_one_agree(spark, sent, block, repeats, monkeypatch):
     """Loops that open and close, roots on and off a loop, networks that come and go, blocks that begin in between."""
     monkeypatch.setattr(forest, "BLOCK", block)
     rng = random.Random(3)
     rows = [(*r[:2], rng.randint(1, 9), *r[3:]) for r in sent]
+    # Messages that came twice.
+    rows += rng.sample(rows, repeats)
     spans = messages.version_spans(versions := messages.positions(frame(spark, rows), stale=STALE // 1_000_000), versions.select("network", "position"))[1]
     names = ("network", "version", "root_id", "depth_avg", "depth_min", "depth_max", "diameter", "avg_path_len")
 
@@ -137,7 +139,7 @@ def test_versions_followed_and_worked_out_one_by_one_agree(spark, sent, block, m
         return {(r.network, r.version): tuple(r) for r in messages.tree_shapes(spans, **options).select(*names).fillna(0).collect()}
 
     followed, one_by_one = found(), found(tree_nodes=0)
-    assert followed.keys() == one_by_one.keys() and len(followed) > 200
+    assert followed.keys() == one_by_one.keys() and len(followed) > 150
     for key, row in followed.items():
         assert row == pytest.approx(one_by_one[key]), key
 

@@ -19,7 +19,7 @@ from tidewire.functions import addresses
 NODES, BLOCK = 1 << 20, 256
 SHAPES = "network string, version long, root_id long, depth_avg double, depth_min long, depth_max long, diameter long, avg_path_len double"
 
-_ALONE = (1, 0, 0, 0, 0)
+_ALONE = (1, 0, 0, 0, 0, 1, 0)
 
 
 def shapes(intervals: DataFrame) -> DataFrame:
@@ -40,10 +40,12 @@ class Forest:
 
     def __init__(self):
         self.parent, self.closing = {}, {}
-        # Per node: size, sum of distances down, sum of distances inside (ordered pairs), height, diameter of its subtree.
+        # Rows of a node, where messages repeat; a depth counts once for every choice of rows on the way to the root.
+        self.rows = defaultdict(lambda: 1)
+        # Per node: size, sum of distances down, sum of distances inside (ordered pairs), height, diameter of its subtree; number and sum of depths.
         self.figures = defaultdict(lambda: _ALONE)
-        # Over its children: sizes, distances, inside, distances times sizes; how many have which height and diameter.
-        self.sums = defaultdict(lambda: [0, 0, 0, 0])
+        # Over its children: sizes, distances, inside, distances times sizes, numbers and sums of depths; how many have which height and diameter.
+        self.sums = defaultdict(lambda: [0, 0, 0, 0, 0, 0])
         self.heights, self.diameters = defaultdict(Counter), defaultdict(Counter)
         self.children = defaultdict(set)
         # Over all tops.
@@ -51,25 +53,26 @@ class Forest:
         self._loops = {}
 
     def _count(self, figures, sign):
-        size, _, inside, _, diameter = figures
+        size, _, inside, _, diameter, _, _ = figures
         self.inside += sign * inside
         self.pairs += sign * size * (size - 1)
         _add(self.longest, diameter, sign)
 
     def _attach(self, node, child, sign):
-        size, down, inside, height, diameter = self.figures[child]
+        size, down, inside, height, diameter, ways, depths = self.figures[child]
         sums, far = self.sums[node], down + size
-        for i, more in enumerate((size, far, inside, far * size)):
+        for i, more in enumerate((size, far, inside, far * size, ways, depths + ways)):
             sums[i] += sign * more
         _add(self.heights[node], height + 1, sign)
         _add(self.diameters[node], diameter, sign)
 
     def _renew(self, node):
-        sizes, far, inside, products = self.sums[node]
+        sizes, far, inside, products, ways, depths = self.sums[node]
         tall = heapq.nlargest(2, self.heights[node])
         bend = sum(tall) if not tall or self.heights[node][tall[0]] == 1 else 2 * tall[0]
         self.figures[node] = (
             sizes + 1, far, inside + 2 * (far * (sizes + 1) - products), tall[0] if tall else 0, max(bend, max(self.diameters[node], default=0)),
+            self.rows[node] * (1 + ways), self.rows[node] * depths,
         )
 
     def top(self, node):
@@ -108,6 +111,15 @@ class Forest:
             # The loop may be open now.
             self.link(top, self.closing.pop(top))
 
+    def weigh(self, node, rows):
+        """Sets the rows of a node that has no parent."""
+        if self.rows[node] != rows:
+            if node in self.figures:
+                self._count(self.figures[node], -1)
+            self.rows[node] = rows
+            self._renew(node)
+            self._count(self.figures[node], 1)
+
     def link(self, node, above):
         for end in (node, above):
             if end not in self.figures:
@@ -162,19 +174,20 @@ class Forest:
         return max(longest, default=0), inside, self.pairs
 
     def below(self, root):
-        """Number of nodes below the root, sum and maximum of their depths; the root's own link doesn't count."""
+        """Number, sum and maximum of the depths below the root; the root's own link doesn't count."""
         for top in self.closing:
             line, hung, _, _ = self._loop(top)
             if root in line:
-                place = line.index(root)
-                steps = [(place - i) % len(line) for i in range(len(line))]
-                return (
-                    sum(h[0] for h in hung) - 1,
-                    sum(h[1] + h[0] * s for h, s in zip(hung, steps)),
-                    max(h[3] + s for h, s in zip(hung, steps)),
-                )
-        size, down, _, height, _ = self.figures.get(root, _ALONE)
-        return size - 1, down, height
+                # From the root back against the links; ``more`` are the choices of rows from a loop node to the root.
+                place, more, count, total, deepest = line.index(root), 1, -self.rows[root], 0, 0
+                for steps in range(len(line)):
+                    at = (place - steps) % len(line)
+                    _, _, _, height, _, ways, depths = hung[at]
+                    count, total, deepest = count + ways * more, total + (depths + ways * steps) * more, max(deepest, height + steps)
+                    more *= self.rows[line[at]]
+                return count, total, deepest
+        _, _, _, height, _, ways, depths = self.figures.get(root, _ALONE)
+        return ways - self.rows[root], depths, height
 
 
 def _add(counter, value, sign):
@@ -189,27 +202,37 @@ def _block_shapes(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     low, high = int(block) * size, (int(block) + 1) * size - 1
     starts, ends = defaultdict(list), defaultdict(list)
     for node, parent, flag, first, last in zip(*(rows[c].tolist() for c in ("node_id", "parent_id", "is_root", "first", "last"))):
-        starts[max(first, low)].append((node, parent if parent != node else None, flag))
+        starts[max(first, low)].append((node, (parent != node, parent, flag)))
         if last < high:
-            ends[last + 1].append(node)
-    forest, links, router = Forest(), {}, addresses.ROOT_ID
+            ends[last + 1].append((node, (parent != node, parent, flag)))
+    forest, held, links, router = Forest(), defaultdict(Counter), {}, addresses.ROOT_ID
     flagged, highest, seen, out = {router}, [-router], 0, []
     for version in range(low, min(high, int(rows["last"].max())) + 1):
         seen += len(starts[version]) - len(ends[version])
-        new = {node: (None, False) for node in ends[version]} | {node: (parent, flag) for node, parent, flag in starts[version]}
-        moved = {node: parent for node, (parent, _) in new.items() if links.get(node) != parent}
-        for node in moved:
-            forest.cut(node)
-        for node, parent in moved.items():
-            links[node] = parent
-            if parent is not None:
-                forest.link(node, parent)
-        for node, (_, flag) in new.items():
+        for changes, sign in ((ends[version], -1), (starts[version], 1)):
+            for node, row in changes:
+                _add(held[node], row, sign)
+        moved = {}
+        for node in {node for node, _ in ends[version]} | {node for node, _ in starts[version]}:
+            here = held[node]
+            has_parent, parent, _ = max(here, default=(False, None, False))
+            link = (parent if has_parent else None, here.total() or 1)
+            if links.get(node, (None, 1)) != link:
+                moved[node] = link
+            flag = any(flag for _, _, flag in here)
             if flag and node not in flagged:
                 flagged.add(node)
                 heapq.heappush(highest, -node)
             elif not flag and node != router:
                 flagged.discard(node)
+        for node in moved:
+            forest.cut(node)
+        for node, (_, count) in moved.items():
+            forest.weigh(node, count)
+        for node, (parent, _) in moved.items():
+            if parent is not None:
+                forest.link(node, parent)
+        links |= moved
         while -highest[0] not in flagged:
             heapq.heappop(highest)
         if not seen:
