@@ -9,17 +9,16 @@ from pyspark.sql import functions as F
 ROOT_ID = 1
 ROOT_ADDRESS = "fe80::201:1:1:1"
 
-# Fixed patterns: the address form that carries a node id three times, and the DODAG form of a root.
-NODE_ADDRESS = r"(?i)::([0-9a-f]+):([0-9a-f]+):\2:\2$"
+# Fixed patterns: the address form that carries a node id three times (the digits after its zeros, as many as a long holds,
+# are a group of their own), and the DODAG form of a root.
+NODE_ADDRESS = r"(?i)::[0-9a-f]+:(0*([0-7]?[0-9a-f]{1,15})):\1:\1$"
 ROOT_ADDRESS_FORM = r"(?i)::[0-9a-f]+:1:1:1$"
 
 
 def node_id_from_address(address: Column) -> Column:
     """Node id carried by an address, null when the address has another form or the id no long holds it."""
-    digits = F.regexp_replace(F.regexp_extract(address, NODE_ADDRESS, 2), "^0+(?=.)", "")
     # No match gives an empty text, and that converts to null.
-    fits = (F.length(digits) < 16) | digits.rlike("^[0-7].{15}$")
-    return F.when(fits, F.conv(digits, 16, 10)).try_cast("bigint")
+    return F.conv(F.regexp_extract(address, NODE_ADDRESS, 2), 16, 10).try_cast("bigint")
 
 
 def root_address(dodag_id: Column) -> Column:

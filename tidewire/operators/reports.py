@@ -53,12 +53,10 @@ def decode(reports: DataFrame) -> DataFrame:
             "t": ordered.micros("received_at"),
         }
     ).filter(F.col("node_id").isNotNull())
-    return decoded.withColumns(
-        {
-            "neighbors": F.when(distinct_ids == F.size(listed), listed).otherwise(last_wins),
-            "degree": distinct_ids,
-        }
-    ).drop("__listed", "preferred_parent")
+    # The number of different ids is found once: it is read twice here.
+    counted = decoded.withColumn("degree", distinct_ids)
+    neighbors = F.when(F.col("degree") == F.size(listed), listed).otherwise(last_wins)
+    return counted.withColumn("neighbors", neighbors).drop("__listed", "preferred_parent")
 
 
 def undecodable(reports: DataFrame) -> DataFrame:

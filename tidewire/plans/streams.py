@@ -41,7 +41,7 @@ def _deliveries(spark: SparkSession, sf_dir: str, parts: int = 4) -> Iterator[Da
     for cut in cuts:
         share = share + (F.col("event_id") > cut).cast("int")
     for part in range(parts):
-        table.filter(share == part).write.parquet(f"{folder}/part={part}")
+        views.spread(table.filter(share == part)).write.parquet(f"{folder}/part={part}")
         stream = spark.readStream.schema(table.schema).parquet(f"{folder}/part=*")
         yield stream.select(
             "event_id", "ts", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("bigint").alias("k")

@@ -6,6 +6,8 @@ the view; all rows of the table take part in each of them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ DAY = 24 * HOUR
 STALE = 48 * HOUR
 FRESH = 12 * HOUR
 
+#: Events that a part of ``spread`` holds on average.
+PART_ROWS = 1 << 16
+
 TYPE_OF_EVENT = {"view": "temperature", "click": "humidity", "error": "wind", "purchase": "airQuality"}
 
 
@@ -27,6 +32,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value", k)
 
 
+def spread(ev: DataFrame) -> DataFrame:
+    """The events dealt into parts of like size, so that work on single events isn't left to a task per row group."""
+    return ev.repartition(max(1, math.ceil(ev.count() / PART_ROWS)), "event_id")
+
+
 def grid_cells(ev: DataFrame) -> DataFrame:
     """User -> cell, the user's event order -> step."""
     numbered = ordered.number_rows(
@@ -64,8 +74,13 @@ def raw_readings(ev: DataFrame) -> DataFrame:
     return sensor_readings(ev).withColumn("value", text)
 
 
+def _hex(number: Column) -> Column:
+    """As ``%x`` writes it, null included; the formatter itself takes several times as long."""
+    return F.coalesce(F.lower(F.hex(number)), F.lit("null"))
+
+
 def address(node: Column) -> Column:
-    return F.format_string("fe80::%x:%x:%x:%x", node.bitwiseXOR(F.lit(512)), node, node, node)
+    return F.concat(F.lit("fe80::"), _hex(node.bitwiseXOR(F.lit(512))), F.repeat(F.concat(F.lit(":"), _hex(node)), 3))
 
 
 def lladdr(node: Column) -> Column:
@@ -93,21 +108,17 @@ def mesh_reports(ev: DataFrame, *, flagged_roots: bool = False, max_node: Column
     null_int, null_double = F.lit(None).cast("int"), F.lit(None).cast("double")
 
     def neighbor(nb, j):
-        metric = F.when(j != 4, F.lit(128) + ((k * 7 + j * 13) % 60) * 8).otherwise(null_int)
-        metric = F.when(j != 5, metric).cast("int")
-        return F.struct(
+        metric = F.lit(128) + ((k * 7 + j * 13) % 60) * 8
+        listed = F.struct(
             address(nb).alias("addr"),
-            nb.alias("__nb"),
-            j.alias("__j"),
-            metric.alias("rpl_link_metric"),
-            F.when((j == 2) & (k % 3 == 0), (F.lit(160) + k).cast("double")).otherwise(null_double).alias("etx"),
-            F.when(j == 5, (k * 2).cast("double")).otherwise(null_double).alias("link_metric_to_neighbor"),
+            (metric.cast("int") if j not in (4, 5) else null_int).alias("rpl_link_metric"),
+            (F.when(k % 3 == 0, (F.lit(160) + k).cast("double")) if j == 2 else null_double).alias("etx"),
+            ((k * 2).cast("double") if j == 5 else null_double).alias("link_metric_to_neighbor"),
         )
+        return F.when(nb.between(F.lit(1), F.col("max_node")) & ((k + j) % 5 != 0), listed)
 
-    listed = F.filter(
-        F.transform("candidates", neighbor),
-        lambda n: n["__nb"].between(F.lit(1), F.col("max_node")) & ((k + n["__j"]) % 5 != 0),
-    )
+    # One column per candidate: unlike a function over an array, they are compiled.
+    neighbors = F.array_compact(F.array(*[neighbor(F.col("candidates")[j], j) for j in range(6)]))
     rank = F.lit(256) + k * 5
     if flagged_roots:
         rank = F.when(k < 3, F.lit(128)).otherwise(rank)
@@ -125,10 +136,7 @@ def mesh_reports(ev: DataFrame, *, flagged_roots: bool = False, max_node: Column
             "rank",
             F.expr("cast(floor(rank / 128) as int)").alias("dag_rank"),
             F.expr("floor(rank / 128) <= 1").alias("is_root"),
-            F.transform(
-                listed,
-                lambda n: F.struct(n["addr"], n["rpl_link_metric"], n["etx"], n["link_metric_to_neighbor"]),
-            ).alias("neighbors"),
+            neighbors.alias("neighbors"),
         )
     )
 
@@ -151,7 +159,7 @@ def gappy_reports(ev: DataFrame) -> DataFrame:
 
 def node_reports(ev: DataFrame, **options) -> DataFrame:
     """Decoded reports with kept parents."""
-    return reports.with_history(reports.decode(mesh_reports(ev, **options)), stale=STALE)
+    return reports.with_history(reports.decode(mesh_reports(spread(ev), **options)), stale=STALE)
 
 
 def visible(ev: DataFrame, *, every: int = DAY, **options) -> DataFrame:
