@@ -4,6 +4,9 @@
 All but the last return the columns of ``documents``.  A stage's result is to be written before the next stage
 is called, which drops what the one before it staged.  ``run`` writes each stage as Parquet in the shared folder and
 reads it again, so a lost executor costs the work of one stage at most.
+
+Stages hand texts to Python workers in batches of at most ``BATCH_BYTES`` (a setting of the session, lowered where it is
+higher): a task holds several copies of a batch, in the JVM and in the worker.
 """
 
 from __future__ import annotations
@@ -18,15 +21,27 @@ from tidewire.storage import drop, recorded, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Bytes of a batch handed to a Python worker; one row more where a text crosses the bound.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: By application, what the last stage staged; its result reads it until it is written.
 _LEFT: dict[str, list[str]] = {}
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Lower the session's batch size; a result is computed after its stage has returned, so the setting stays."""
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_SETTING))
+    if size > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
 def _cleaning(function: Stage) -> Stage:
     """Drops what the stage before left in the shared folder: its result is written once the next one starts."""
 
     @functools.wraps(function)
     def cleaned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _bound_batches(spark)
         application = spark.sparkContext.applicationId
         for path in _LEFT.pop(application, []):
             drop(spark, path)

@@ -2,6 +2,7 @@ import struct
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -72,3 +73,26 @@ def test_bounded_table_forgets_and_makes_again():
     table = BoundedTable(lambda k: made.append(k) or k * 2, 4)
     assert [table[k % 9] for k in range(40)] == [k % 9 * 2 for k in range(40)]
     assert len(table) <= 4 and len(made) > 9
+
+
+def test_words_are_forgotten_when_a_task_ends(tokenizer):
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words, Some (words) twice some words", None]})
+
+    def held(table):
+        return len(table) + len(table._old) + len(table._new)
+
+    def cut(word_table, **kept):
+        made = list(packing._pieces(iter([batch]), PATH, 64, 1, True, word_table, **kept))
+        encode = packing.encoder(PATH, word_table)
+        return pa.Table.from_batches(made), held(encode._words) + held(encode._parts)
+
+    (pieces, left), (same, stayed) = cut(50, keep_words=False), cut(51, keep_words=True)
+    assert left == 0 < stayed and pieces.equals(same)
+    ids = struct.unpack(f"<{pieces['doc_tokens'][0]}I", b"".join(pieces["ids"].to_pylist()[:-1]))
+    assert list(ids) == [*tokenizer.encode("some words, Some (words) twice some words", add_special_tokens=False).ids, 1]
+
+    unfinished = packing._pieces(iter([batch, batch]), PATH, 64, 1, True, 50, keep_words=False)
+    next(unfinished)
+    unfinished.close()
+    encode = packing.encoder(PATH, 50)
+    assert held(encode._words) + held(encode._parts) == 0

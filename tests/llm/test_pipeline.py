@@ -73,3 +73,21 @@ def test_awkward_documents_pass_every_stage(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+def test_workers_get_batches_of_bounded_bytes(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = cases.documents(spark, [(i, "word " * 20_000, "a") for i in range(200)]).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.from_pydict({"bytes": [batch.nbytes]})
+
+    try:
+        for size, most in (("64m", corpus_pipeline.BATCH_BYTES), ("1m", 1 << 20)):
+            spark.conf.set(setting, size)
+            corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+            seen = [r["bytes"] for r in docs.select("text").mapInArrow(sizes, "bytes long").collect()]
+            assert len(seen) > 1 and max(seen) <= most + 110_000
+    finally:
+        spark.conf.unset(setting)

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import BoundedTable, release
+from .tables import BoundedTable, release, trim
 
 MAX_LENGTH = 2048
 SEPARATOR_ID = 1
@@ -107,6 +107,11 @@ class Encoder:
         # Bytes split at ASCII white space only; other space characters stay inside a word.
         return b"".join(map(self._words.__getitem__, text.encode().split()))
 
+    def forget(self) -> None:
+        """Drop the words looked up so far; the vocabulary stays."""
+        self._parts.forget()
+        self._words.forget()
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str, word_table: int) -> Encoder:
@@ -121,8 +126,17 @@ def piece_lengths(n: int, max_length: int = MAX_LENGTH) -> list[int]:
     return [max_length] * (n // max_length) + digits
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, max_length: int, separator: int, with_ids: bool, word_table: int):
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, max_length: int, separator: int, with_ids: bool, word_table: int, keep_words: bool):
     encode = encoder(path, word_table)
+    try:
+        yield from _cut(batches, encode, max_length, separator, with_ids)
+    finally:
+        if not keep_words:
+            encode.forget()
+        release()
+
+
+def _cut(batches: Iterator[pa.RecordBatch], encode: Encoder, max_length: int, separator: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     tail = struct.pack("<I", separator)
     for batch in batches:
         rows: list[tuple] = []
@@ -150,12 +164,12 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, max_length: int, separ
                     ids.append(bytes(piece))
                     held += len(piece)
                 start += length
-                if len(rows) >= 10_000 or held > 1 << 23:
+                if len(rows) >= 10_000 or held > 1 << 21:
                     held = 0
                     yield flush()
+                    trim()
         if rows:
             yield flush()
-    release()
 
 
 def pack(
@@ -166,18 +180,20 @@ def pack(
     separator_id: int = SEPARATOR_ID,
     with_ids: bool = True,
     word_table: int = WORD_TABLE,
+    keep_words: bool = False,
 ) -> DataFrame:
     """Pieces of every document: doc_id, sequence_id, offset, start, length, ids_crc32, doc_tokens and ids.
 
     ``ids`` holds little-endian unsigned 32-bit ids; without it only the digest columns are made.
     ``word_table`` bounds the entries of a worker's tables, about 1.5 kB for each; larger ones are faster where many words are rare.
+    A task's words are forgotten when it ends, as workers go on to the tasks of other stages; ``keep_words`` hands them to the worker's next task.
     ``length`` is the bucket.  ``sequence_id`` is unique; ``offset`` is 0 as a piece fills its sequence.
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        functools.partial(_pieces, path=tokenizer_path, max_length=max_length, separator=separator_id, with_ids=with_ids, word_table=word_table),
+        functools.partial(_pieces, path=tokenizer_path, max_length=max_length, separator=separator_id, with_ids=with_ids, word_table=word_table, keep_words=keep_words),
         schema,
     )
     return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})

@@ -20,7 +20,7 @@ def vocabulary() -> str:
 
 
 def op1_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False, word_table=200_000)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False, word_table=200_000, keep_words=True)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

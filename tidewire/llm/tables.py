@@ -37,12 +37,22 @@ class BoundedTable(dict):
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        """Drop all entries."""
+        self._old, self._new = {}, {}
+        self.clear()
+
 
 def release() -> None:
     """Hand memory that a finished task no longer needs back to the system; allocators would keep it otherwise."""
+    gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Hand back what is free already, for use within a task."""
     import pyarrow as pa
 
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
