@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidewire import storage
 from tidewire.operators import forest, messages, reports
 
 STALE = 60_000_000
@@ -156,3 +157,48 @@ def test_no_row_per_version_and_node(spark, monkeypatch):
     for i in (0, 500, 999):
         parent = 1 + (i * 37) % 1999
         assert got[2000 + i].depth_avg == pytest.approx((1999 * 1000 + parent) / 2000)
+
+
+@pytest.fixture
+def broadcasts_all(spark):
+    """Spark takes every table for small, as it takes one whose files are well compressed."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_nothing_with_a_row_per_message_is_broadcast(spark, sent, broadcasts_all, monkeypatch, capsys):
+    """Joins of intervals, positions and versions are shuffled whatever size Spark takes them for."""
+    plans = {}
+
+    def staged(df, label):
+        df.explain()
+        plans[label] = capsys.readouterr().out
+        return storage.stage(df, label)
+
+    monkeypatch.setattr(messages, "stage", staged)
+    rows = messages.metrics_at_messages(frame(spark, sent), stale=STALE // 1_000_000)
+    rows.explain()
+    plans["result"] = capsys.readouterr().out
+    assert rows.count() == len(sent)
+    joins = {label: plan.count("SortMergeJoin") for label, plan in plans.items()}
+    assert joins["message-totals"] == 2 and joins["tree-spans"] == 2 and joins["message-metrics"] == 5, joins
+    # Networks of too many nodes, the only other side of a join, are a row each.
+    for label in plans.keys() - {"tree-shapes"}:
+        assert "Broadcast" not in plans[label], label
+
+
+def test_block_sizes_of_many_networks_are_not_broadcast(spark, sent, broadcasts_all, monkeypatch, capsys):
+    versions = messages.positions(frame(spark, sent), stale=STALE // 1_000_000)
+    spans = storage.stage(messages.version_spans(versions, versions.select("network", "position"))[1], "spans")
+
+    def found():
+        out = forest.shapes(spans)
+        out.explain()
+        return "Broadcast" in capsys.readouterr().out, {(r.network, r.version): tuple(r) for r in out.collect()}
+
+    few = found()
+    monkeypatch.setattr(forest, "NETWORKS", 1)
+    many = found()
+    assert few[0] and not many[0]
+    assert few[1] == many[1] and len(few[1]) > 100

@@ -17,6 +17,8 @@ from tidewire.functions import addresses
 
 #: Most nodes of a network whose tree a task holds, and fewest versions of a block.
 NODES, BLOCK = 1 << 20, 256
+#: Most networks whose block sizes Spark may broadcast.
+NETWORKS = 1 << 16
 SHAPES = "network string, version long, root_id long, depth_avg double, depth_min long, depth_max long, diameter long, avg_path_len double"
 
 _ALONE = (1, 0, 0, 0, 0, 1, 0)
@@ -27,12 +29,12 @@ def shapes(intervals: DataFrame) -> DataFrame:
     # A block has a quarter as many versions as the network has nodes, so the links at the begin of all blocks are some four per version.
     size = F.greatest(F.floor(F.count_distinct("node_id") / 4), F.lit(BLOCK)).cast("bigint")
     sizes = intervals.groupBy("network").agg(size.alias("size"), F.max("last").alias("until"))
-    cut = intervals.join(sizes, "network").select(
+    blocks, networks = sizes.agg(F.sum(F.floor(F.col("until") / F.col("size")) + 1), F.count(F.lit(1))).first()
+    cut = intervals.join(sizes if networks <= NETWORKS else sizes.hint("merge"), "network").select(
         "network", "size", "node_id", F.coalesce("parent_id", "node_id").alias("parent_id"), F.coalesce("is_root", F.lit(False)).alias("is_root"),
         "first", "last", F.explode(F.sequence(F.floor(F.col("first") / F.col("size")), F.floor(F.col("last") / F.col("size")))).alias("block"),
     )
-    blocks = sizes.agg(F.sum(F.floor(F.col("until") / F.col("size")) + 1)).first()[0] or 1
-    return cut.repartition(min(blocks, 4096), "network", "block").groupBy("network", "block").applyInPandas(_block_shapes, SHAPES)
+    return cut.repartition(min(blocks or 1, 4096), "network", "block").groupBy("network", "block").applyInPandas(_block_shapes, SHAPES)
 
 
 class Forest:

@@ -31,6 +31,15 @@ LARGEST = 12
 AT = ["network", "position"]
 
 
+def merged(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join of two sides that both grow with the messages: always shuffled, never broadcast.
+
+    Left to itself, Spark takes a side for as large as the files it is read from.  Positions and versions are stored in a few
+    bytes a row, and what is exploded from them counts as one row each, so millions of rows would pass through the driver.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def positions(history: DataFrame, *, stale: float, order: str = "offset", limit: int = ordered.ROW_LIMIT) -> DataFrame:
     """Reports with ``position`` (number of the message in its network, from 1) and ``until``, the first position that doesn't see it."""
     stays = F.lit(int(round(stale * 1_000_000)))
@@ -48,7 +57,7 @@ def positions(history: DataFrame, *, stale: float, order: str = "offset", limit:
         F.max(F.when(own, F.col("__n"))).alias("position"), F.max(F.when(~own, F.col("__n") + 1)).alias("__out")
     )
     rows = ordered.adjacent_rows(
-        history.join(places, ["network", order]),
+        merged(history, places, ["network", order]),
         keys=["network", "node_id"], order="position", following={"position": "__next"}, limit=limit,
     )
     return rows.withColumn("until", F.least("__out", "__next")).drop("__out", "__next")
@@ -110,7 +119,7 @@ def extremes(intervals: DataFrame, at: DataFrame, value: str) -> DataFrame:
         lambda level: F.struct(level.alias("level"), F.call_function("shiftright", F.col("position"), level).alias("number")),
     )
     asked = at.select("network", "position", F.explode(above).alias("r"))
-    return asked.join(found, ["network", "r"]).groupBy(*AT).agg(F.min("lowest").alias("lowest"), F.max("highest").alias("highest"))
+    return merged(asked, found, ["network", "r"]).groupBy(*AT).agg(F.min("lowest").alias("lowest"), F.max("highest").alias("highest"))
 
 
 def tree_versions(versions: DataFrame, at: DataFrame, *, limit: int = ordered.ROW_LIMIT) -> tuple[DataFrame, DataFrame]:
@@ -134,15 +143,15 @@ def version_spans(versions: DataFrame, at: DataFrame, *, limit: int = ordered.RO
     changed = rows.select(
         "network", F.explode(F.array_compact(F.array(F.when(~stays, F.col("position")), F.when(leaves, F.col("until"))))).alias("position")
     ).distinct()
-    marked = at.join(changed.withColumn("__new", F.lit(1).cast("bigint")), AT, "left").withColumn("__new", F.coalesce("__new", F.lit(0)))
+    marked = merged(at, changed.withColumn("__new", F.lit(1).cast("bigint")), AT, "left").withColumn("__new", F.coalesce("__new", F.lit(0)))
     numbered = stage(ordered.running_sums(marked, keys=["network"], order="position", sums={"version": F.col("__new")}, limit=limit), "tree-versions")
     # A version is worked out at its first message.
     # No interval ends later than one position behind the last message, so every end is found.
     begin = numbered.select(*AT, (F.col("version") + 1 - F.col("__new")).alias("__first"))
     end = numbered.select("network", (F.col("position") + 1).alias("until"), F.col("version").alias("__last"))
+    held = merged(versions.select("network", "node_id", "position", "until", "parent_id", "is_root"), begin, AT)
     nodes = (
-        versions.select("network", "node_id", "position", "until", "parent_id", "is_root")
-        .join(begin, AT).join(end, ["network", "until"]).filter("__first <= __last")
+        merged(held, end, ["network", "until"]).filter("__first <= __last")
         .select("network", "node_id", "parent_id", "is_root", F.col("__first").alias("first"), F.col("__last").alias("last"))
     )
     return numbered.drop("__new"), nodes
@@ -165,7 +174,7 @@ def tree_shapes(spans: DataFrame, *, tree_nodes: int | None = None) -> DataFrame
     trees = stage(reports.add_synthetic_root(each, keys=("network", "version")), "trees")
     paths = graph.tree_metrics(graph.tree_edges(trees, keys=keys), keys=keys)
     depths = metrics.depth_stats(graph.depths(trees, keys=keys), graph.roots(trees, keys=keys), keys=keys)
-    return shapes.unionByName(depths.join(paths, keys, "left").select(*shapes.columns))
+    return shapes.unionByName(merged(depths, paths, keys, "left").select(*shapes.columns))
 
 
 def metrics_at_messages(
@@ -190,7 +199,7 @@ def metrics_at_messages(
     counts = _begin_and_end(versions, ["network"], figures)
     links = link_changes(versions, limit=limit)
     # Changes at positions beyond the last message are of no message.
-    moves = at.join(counts, AT, "left").join(links, AT, "left")
+    moves = merged(merged(at, counts, AT, "left"), links, AT, "left")
     sums = {f"__{n}": F.coalesce(n, F.lit(0)) for n in (*figures, "links")}
     sums["__given"] = F.col("seq").isNotNull().cast("bigint")
     totals = stage(ordered.running_sums(moves, keys=["network"], order="position", sums=sums, limit=limit), "message-totals")
@@ -200,8 +209,9 @@ def metrics_at_messages(
     numbered, spans = version_spans(versions, at.select(*AT), limit=limit)
     shapes = tree_shapes(spans, tree_nodes=tree_nodes)
 
+    figured = merged(merged(merged(totals, seqs, ["network", "__given"], "left"), degrees, AT, "left"), numbered, AT)
     instants = (
-        totals.join(seqs, ["network", "__given"], "left").join(degrees, AT, "left").join(numbered, AT).join(stage(shapes, "tree-shapes"), ["network", "version"])
+        merged(figured, stage(shapes, "tree-shapes"), ["network", "version"])
         .select(
             *AT, order, "t", F.col("dodag_id").alias("dag_id"), "objective_function", "root_id",
             (F.col("__nodes") + 1).alias("node_count"), F.col("__links").alias("undirected_edge_count"), F.col("__parents").alias("tree_edge_count"),
