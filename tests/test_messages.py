@@ -202,3 +202,22 @@ def test_block_sizes_of_many_networks_are_not_broadcast(spark, sent, broadcasts_
     many = found()
     assert few[0] and not many[0]
     assert few[1] == many[1] and len(few[1]) > 100
+
+
+def test_means_of_messages_that_came_twice_follow_one_order(spark, sent):
+    """However the rows of the joins are dealt, those of a position keep their order."""
+    rows = sent[:90]
+    history = frame(spark, rows + random.Random(5).sample(rows, 20))
+
+    def found(**options):
+        got = messages.metrics_at_messages(history, stale=STALE // 1_000_000, **options).collect()
+        return sorted(repr([round(v, 9) if isinstance(v, float) else v for v in r]) for r in got)
+
+    whole = found()
+    assert len(whole) > 110
+    for partitions in ("1", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            assert found(limit=25) == whole
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")

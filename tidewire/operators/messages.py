@@ -202,6 +202,7 @@ def metrics_at_messages(
     moves = merged(merged(at, counts, AT, "left"), links, AT, "left")
     sums = {f"__{n}": F.coalesce(n, F.lit(0)) for n in (*figures, "links")}
     sums["__given"] = F.col("seq").isNotNull().cast("bigint")
+    sums["__row"] = F.lit(1).cast("bigint")
     totals = stage(ordered.running_sums(moves, keys=["network"], order="position", sums=sums, limit=limit), "message-totals")
     seqs = totals.filter("seq is not null").select("network", "__given", F.col("seq").alias("round_seq"))
 
@@ -209,11 +210,13 @@ def metrics_at_messages(
     numbered, spans = version_spans(versions, at.select(*AT), limit=limit)
     shapes = tree_shapes(spans, tree_nodes=tree_nodes)
 
+    # A message that came twice has the rows of both at its position; they keep their order, that of the later version first.
+    place = F.struct("__row", (-F.col("version")).alias("version")).alias("__place")
     figured = merged(merged(merged(totals, seqs, ["network", "__given"], "left"), degrees, AT, "left"), numbered, AT)
     instants = (
         merged(figured, stage(shapes, "tree-shapes"), ["network", "version"])
         .select(
-            *AT, order, "t", F.col("dodag_id").alias("dag_id"), "objective_function", "root_id",
+            *AT, place, order, "t", F.col("dodag_id").alias("dag_id"), "objective_function", "root_id",
             (F.col("__nodes") + 1).alias("node_count"), F.col("__links").alias("undirected_edge_count"), F.col("__parents").alias("tree_edge_count"),
             "depth_avg", "depth_min", "depth_max",
             F.coalesce("diameter", F.lit(0)).cast("bigint").alias("diameter"), F.coalesce("avg_path_len", F.lit(0.0)).alias("avg_path_len"),
@@ -221,4 +224,4 @@ def metrics_at_messages(
             F.col("lowest").alias("neighbor_min"), F.col("highest").alias("neighbor_max"), "round_seq",
         )
     )
-    return metrics.running_means(stage(instants, "message-metrics"), order="position", limit=limit)
+    return metrics.running_means(stage(instants, "message-metrics"), order="__place", limit=limit).drop("__place")
